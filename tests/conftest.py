@@ -1,6 +1,11 @@
 import os
 
+from pathlib import Path
+
 os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
+# Python workers import the package from here, whatever the working directory.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(Path(__file__).resolve().parents[1]), os.environ.get("PYTHONPATH", "")])
+
 import pytest
 from pyspark.sql import SparkSession
 
