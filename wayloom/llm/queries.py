@@ -10,6 +10,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a factorisation machine."""
+    from . import quality_fm as q
+    from .features import held_out
+
+    docs = _table(spark, sf_dir, "documents")
+    model = q.train(docs, _table(spark, sf_dir, "labels"))
+    return q.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside a benchmark window of 10 words, and the items concerned."""
     from . import decontaminate as d
@@ -56,6 +66,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
     "op8_token_counts": op8_token_counts,
 }
