@@ -55,6 +55,28 @@ from w left join p on w.r = p.r left join q on w.r = q.r
 """
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, by a conditional random field over its words."""
+    from . import langid_crf as c
+    from .features import held_out
+
+    docs = _table(spark, sf_dir, "documents")
+    model = c.train(docs)
+    return c.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_switches")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a chain of classifiers."""
+    from . import toxicity_chain as x
+    from .features import held_out
+
+    docs = _table(spark, sf_dir, "documents")
+    chain = x.train(docs, _table(spark, sf_dir, "labels"))
+    return x.score(docs, chain).select(
+        "doc_id", held_out().alias("held_out"), F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"), "p_severe", "p_repeated", "p_toxic"
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document under a 50k byte-level vocabulary."""
     import public_tokenizers
@@ -68,6 +90,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
+    "op5_language": op5_language,
+    "op6_toxicity": op6_toxicity,
     "op8_token_counts": op8_token_counts,
 }
 ORACLES = {"op2_decontaminate": OP2_SQL}
