@@ -55,6 +55,17 @@ from w left join p on w.r = p.r left join q on w.r = q.r
 """
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, of its edited text, and their likenesses."""
+    from .winnow import compare_with_next
+
+    found = compare_with_next(_table(spark, sf_dir, "documents"))
+    text = lambda c: F.array_join(F.transform(c, lambda x: F.hex(x)), ",")
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), text("grams").alias("fingerprint"), text("edited_grams").alias("edited_fingerprint"), "near_edited", "near_next"
+    )
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, by a conditional random field over its words."""
     from . import langid_crf as c
@@ -90,6 +101,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
+    "op3_fingerprints": op3_fingerprints,
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
     "op8_token_counts": op8_token_counts,
