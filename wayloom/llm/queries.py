@@ -98,6 +98,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document when 50-byte strings of earlier documents are removed."""
+    from .suffix_dedup import spans
+
+    found = spans(_table(spark, sf_dir, "documents"), width=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
@@ -105,5 +113,6 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES = {"op2_decontaminate": OP2_SQL}
