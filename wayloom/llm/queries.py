@@ -66,6 +66,13 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by wrappers induced for its host."""
+    from .wrapper import extract
+
+    return extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, by a conditional random field over its words."""
     from . import langid_crf as c
@@ -110,6 +117,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
     "op3_fingerprints": op3_fingerprints,
+    "op4_main_text": op4_main_text,
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
     "op8_token_counts": op8_token_counts,
