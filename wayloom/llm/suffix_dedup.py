@@ -6,15 +6,17 @@ with a smaller id. All are judged on the input.
 1. Documents are dealt into slices by a hash of the id. In a slice every window of
    `width` bytes gets an anchor, the least hashed GRAM-byte string inside it. Equal
    windows have equal anchors, wherever they occur. Neighbouring windows with the same
-   anchor make a segment; equal segments of a slice are one row (anchor, digest, least
-   and greatest id).
-2. Rows of one anchor meet in a window function. An anchor of a single document ends
-   here. If all its segments are equal, the least id owns each of their windows.
-3. Where segments around an anchor differ, their bytes are gathered in shards, and the
-   suffix array of a shard (`suffix_array`) groups equal windows of different segments:
-   neighbours in the array with a common prefix of `width` bytes or more. The least id
-   in a group owns its windows. An anchor with over `hot_rows` rows is sharded by whole
-   windows instead, so no shard grows with a hot passage.
+   anchor make a segment; equal segments of a slice are one row (anchor, digest and
+   side hashes, least and greatest id).
+2. Rows of one anchor meet in window functions. An anchor of a single document ends
+   here. Two different segments can only share a window if they agree on SIDE bytes to
+   the left or the right of the anchor; one that agrees with no other is owned by the
+   least id among its equals.
+3. The bytes of the others are gathered in shards, and the suffix array of a shard
+   (`suffix_array`) groups equal windows of different segments: neighbours in the array
+   with a common prefix of `width` bytes or more. The least id in a group owns its
+   windows. An anchor with over `hot_rows` rows is sharded by whole windows instead, so
+   no shard grows with a hot passage.
 4. Back in its slice, each document compares the owners of its windows with its own id.
 
 The text is shuffled once (all three uses read the same exchange), anchors once, and
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .suffix_array import earliest
@@ -44,12 +46,17 @@ SIDE = 17  # bytes beside the anchor that two equal windows share on one side at
 
 
 class Runs:
-    """Segments of a slice: first window, number of windows, row, anchor hash and digest of the bytes."""
+    """Segments of a slice: first window, number of windows, row, anchor position and hash, and tag.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int):
+    The anchor keeps the top `bits` bits of its hash: a collision only sends segments to
+    a shard in vain. The tag is a 32-bit digest of the segment's bytes, then 16 bits each
+    of the hashes of SIDE bytes left and right of the anchor, 0 where there are fewer.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int, bits: int = 64):
         n = len(data)
         empty = np.zeros(0, np.int64)
-        self.first = self.count = self.row = self.anchor = self.digest = self.at = empty
+        self.first = self.count = self.row = self.anchor = self.tag = self.at = empty
         self.data, self.offsets, self.width = data, offsets, width
         if n < width:
             return
@@ -58,15 +65,15 @@ class Runs:
         total[0] = 0
         np.cumsum((data.astype(U64) + U64(1)) * power[:n], out=total[1:])
         gram = mix((total[GRAM:] - total[:-GRAM]) * inverse[: n - GRAM + 1])
-        bits = U64(int(n).bit_length())
-        low = (gram >> bits << bits) | np.arange(len(gram), dtype=U64)
+        place = U64(int(n).bit_length())
+        low = (gram >> place << place) | np.arange(len(gram), dtype=U64)
         span, reach = width - GRAM + 1, 1
         while reach * 2 <= span:
             low = np.minimum(low[:-reach], low[reach:])
             reach *= 2
         if span > reach:
             low = np.minimum(low[: len(low) - (span - reach)], low[span - reach :])
-        low = (low & ((U64(1) << bits) - U64(1))).astype(np.int64)  # anchor position of each window
+        low = (low & ((U64(1) << place) - U64(1))).astype(np.int64)  # anchor position of each window
         valid = np.ones(n - width + 1, bool)
         size = np.diff(offsets)
         # Windows that start in the last width - 1 bytes of a row run over its end.
@@ -81,29 +88,36 @@ class Runs:
         self.first, self.at = window[new], where[new]
         self.count = np.diff(np.append(new, len(window)))
         self.row = np.searchsorted(offsets, self.first, "right") - 1
-        self.anchor = gram[self.at].view(np.int64)
+        self.anchor = (gram[self.at] >> U64(64 - bits)).view(np.int64)
         end = self.first + self.count + width - 1
-        self.digest = (mix((total[end] - total[self.first]) * inverse[self.first]) >> U64(24)).view(np.int64)
+
+        def code(a: np.ndarray, b: np.ndarray, keep: int) -> np.ndarray:
+            return mix((total[b] - total[a]) * inverse[a]) >> U64(64 - keep)
+
+        left = np.where(self.at - self.first >= SIDE, code(np.maximum(self.at - SIDE, 0), self.at, 16) | U64(1), U64(0))
+        after = self.at + GRAM
+        right = np.where(after + SIDE <= end, code(after, np.minimum(after + SIDE, n), 16) | U64(1), U64(0))
+        self.tag = ((code(self.first, end, 32) << U64(32)) | (left << U64(16)) | right).view(np.int64)
 
     def key(self) -> np.ndarray:
-        return pair_key(self.anchor, self.digest)
+        return pair_key(self.anchor, self.tag)
 
     def bytes_of(self, i: int) -> bytes:
         return self.data[self.first[i] : self.first[i] + self.count[i] + self.width - 1].tobytes()
 
 
-def pair_key(anchor: np.ndarray, digest: np.ndarray) -> np.ndarray:
-    """One number for an anchor and a digest."""
-    return mix(anchor.view(U64) + digest.view(U64) * U64(0xC2B2AE3D27D4EB4F))
+def pair_key(anchor: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """One number for an anchor and a tag."""
+    return mix(anchor.view(U64) * U64(0x9E3779B97F4A7C15) + tag.view(U64) * U64(0xC2B2AE3D27D4EB4F))
 
 
-def _slice(table: pa.Table, width: int) -> tuple[Runs, np.ndarray, np.ndarray]:
+def _slice(table: pa.Table, width: int, bits: int) -> tuple[Runs, np.ndarray, np.ndarray]:
     """Runs, ids and whether each row has an id, of a slice."""
     table = table.combine_chunks()
     data, offsets = buffers(table["t"])
     ids = table["id"].fill_null(0).to_numpy()
     known = table["id"].is_valid().to_numpy()
-    return Runs(data, offsets, width), ids, known
+    return Runs(data, offsets, width, bits), ids, known
 
 
 def _distinct(runs: Runs, ids: np.ndarray, known: np.ndarray, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,7 +133,9 @@ def _distinct(runs: Runs, ids: np.ndarray, known: np.ndarray, keep: np.ndarray |
     at, key = at[order], key[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     own = ids[runs.row[at]]
-    return at[new], np.minimum.reduceat(own, new), np.maximum.reduceat(own, new)
+    at, low, high = at[new], np.minimum.reduceat(own, new), np.maximum.reduceat(own, new)
+    order = np.argsort(at)  # rows of a document follow each other, which compresses well
+    return at[order], low[order], high[order]
 
 
 def _shared_sides(segments: list[bytes], anchor: np.ndarray, offset: np.ndarray) -> np.ndarray:
@@ -137,43 +153,56 @@ def _shared_sides(segments: list[bytes], anchor: np.ndarray, offset: np.ndarray)
     return out
 
 
-def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """(dealt, found): rows (id, t, slice), and for each slice the segments owned by a smaller id.
+def anchor_bits(size: int) -> int:
+    """Bits of an anchor's hash for so many bytes: some thousand values for each segment."""
+    return min(56, max(32, (size // 16 + 1).bit_length() + 10))
 
-    found: slice, anchor, digest, and own, the owner of each window (a single one if it owns all).
+
+def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tuple[DataFrame, DataFrame, int]:
+    """(dealt, found, bits): rows (id, t, slice), and for each slice the segments owned by a smaller id.
+
+    found: slice, anchor, tag, nth, own: the owner of each window (a single one if it
+    owns all), or of window nth alone.
     """
     if width < GRAM + 2 * SIDE:
         raise ValueError(f"width must be {GRAM + 2 * SIDE} at least")
     if docs.schema["id"].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError("the id must be an integer")
     size = docs.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    slices, shards = max(1, -(-size // slice_bytes)), max(64, -(-size // (4 * slice_bytes)))
-    dealt = docs.select(F.col("id").cast("bigint"), "t").withColumn("slice", F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.xxhash64("t"))), F.lit(slices)))
+    slices, shards, bits = max(1, -(-size // slice_bytes)), max(64, -(-size // (4 * slice_bytes))), anchor_bits(size)
+
+    def slice_of(name: str, other) -> Column:
+        return F.pmod(F.xxhash64(name, other), F.lit(slices))
+
+    dealt = docs.select(F.col("id").cast("bigint"), "t").withColumn("slice", slice_of("id", F.when(F.col("id").isNull(), F.xxhash64("t"))))
 
     def anchors(table: pa.Table) -> pa.Table:
-        runs, ids, known = _slice(table, width)
+        runs, ids, known = _slice(table, width, bits)
         at, low, high = _distinct(runs, ids, known)
-        part = pa.array(np.full(len(at), table["slice"][0].as_py()), pa.int64())
-        return pa.table({"slice": part, "anchor": runs.anchor[at], "digest": runs.digest[at], "low": low, "high": high})
+        return pa.table({"anchor": runs.anchor[at], "tag": runs.tag[at], "low": low, "more": high - low})
 
-    rows = dealt.groupBy("slice").applyInArrow(anchors, "slice bigint, anchor bigint, digest bigint, low bigint, high bigint")
+    rows = dealt.groupBy("slice").applyInArrow(anchors, "anchor bigint, tag bigint, low bigint, more bigint")
+    high = F.col("low") + F.col("more")
     same = Window.partitionBy("anchor")
-    met = rows.withColumns(
-        {"least": F.min("low").over(same), "most": F.max("high").over(same), "d0": F.min("digest").over(same), "d1": F.max("digest").over(same), "n": F.count(F.lit(1)).over(same)}
-    ).where("least < most")
-    # Only segments with a later document, or that may own windows of different ones, go back.
-    told = met.where("d0 <> d1 or high > least").select(
-        "slice", "anchor", "digest", "high", F.when(F.expr("d0 = d1"), F.col("least")).alias("owner"), F.expr(f"n > {hot_rows}").alias("hot")
+    met = rows.withColumns({"least": F.min("low").over(same), "most": F.max(high).over(same), "n": F.count(F.lit(1)).over(same)}).where("least < most")
+    met = met.withColumns({"left": F.expr("(tag >> 16) & 65535"), "right": F.expr("tag & 65535")})
+    for side in ("left", "right"):
+        over = Window.partitionBy("anchor", side)
+        met = met.withColumn(f"{side}_shared", (F.col(side) != 0) & (F.min("tag").over(over) != F.max("tag").over(over)))
+    met = met.withColumn("owner", F.when(~(F.col("left_shared") | F.col("right_shared")), F.min("low").over(Window.partitionBy("anchor", "tag"))))
+    # Only segments with a later document, or that may share windows with others, go back to the slice they came from.
+    told = met.where(F.col("owner").isNull() | (high > F.col("owner"))).select(
+        slice_of("low", F.lit(None).cast("bigint")).alias("slice"), "anchor", "tag", "owner", F.expr(f"n > {hot_rows}").alias("hot")
     )
 
     def segments(key, table: pa.Table, known_rows: pa.Table) -> pa.Table:
         """Bytes of contested segments, or of their windows around a hot anchor, with the shard that decides them."""
-        runs, ids, known = _slice(table, width) if len(table) else (None, None, None)
-        names = ("slice", "anchor", "digest", "nth", "seg", "at", "low", "high", "shard")
+        runs, ids, known = _slice(table, width, bits) if len(table) else (None, None, None)
+        names = ("slice", "anchor", "tag", "nth", "seg", "at", "low", "high", "shard")
         out: dict[str, list] = {k: [] for k in names}
         if runs is not None and len(known_rows):
             told = known_rows.filter(known_rows["owner"].is_null()).combine_chunks()
-            wanted = pair_key(told["anchor"].to_numpy(), told["digest"].to_numpy())
+            wanted = pair_key(told["anchor"].to_numpy(), told["tag"].to_numpy())
             order = np.argsort(wanted)
             hot = told["hot"].to_numpy(zero_copy_only=False)[order]
             wanted = wanted[order]
@@ -186,7 +215,7 @@ def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tupl
                 if hot[pos[i]]:
                     pieces = [(k, seg[k : k + width], at - k, int.from_bytes(hashlib.blake2b(seg[k : k + width], digest_size=7).digest()) % shards) for k in range(len(seg) - width + 1)]
                 for nth, piece, o, shard in pieces:
-                    for k, v in zip(names, (key[0].as_py(), anchor, int(runs.digest[i]), nth, piece, o, low, high, shard), strict=True):
+                    for k, v in zip(names, (key[0].as_py(), anchor, int(runs.tag[i]), nth, piece, o, low, high, shard), strict=True):
                         out[k].append(v)
         kinds = {"nth": pa.int32(), "seg": pa.binary(), "at": pa.int32()}
         return pa.table({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()})
@@ -194,7 +223,7 @@ def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tupl
     contested = (
         dealt.groupBy("slice")
         .cogroup(told.groupBy("slice"))
-        .applyInArrow(segments, "slice bigint, anchor bigint, digest bigint, nth int, seg binary, at int, low bigint, high bigint, shard bigint")
+        .applyInArrow(segments, "slice bigint, anchor bigint, tag bigint, nth int, seg binary, at int, low bigint, high bigint, shard bigint")
     )
 
     def decide(table: pa.Table) -> pa.Table:
@@ -213,12 +242,12 @@ def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tupl
         high = t["high"].to_numpy()
         least = np.array([v.min() for v in own])
         keep = np.flatnonzero(least[seg_of] < high)
-        cols = {k: t[k].take(pa.array(keep)) for k in ("slice", "anchor", "digest", "nth")}
+        cols = {k: t[k].take(pa.array(keep)) for k in ("slice", "anchor", "tag", "nth")}
         return pa.table(cols | {"own": pa.array([own[seg_of[i]].tolist() for i in keep], pa.list_(pa.int64()))})
 
-    decided = contested.groupBy("shard").applyInArrow(decide, "slice bigint, anchor bigint, digest bigint, nth int, own array<bigint>")
-    settled = told.where("owner is not null").select("slice", "anchor", "digest", F.lit(None).cast("int").alias("nth"), F.array("owner").alias("own"))
-    return dealt, settled.unionByName(decided)
+    decided = contested.groupBy("shard").applyInArrow(decide, "slice bigint, anchor bigint, tag bigint, nth int, own array<bigint>")
+    settled = told.where("owner is not null").select("slice", "anchor", "tag", F.lit(None).cast("int").alias("nth"), F.array("owner").alias("own"))
+    return dealt, settled.unionByName(decided), bits
 
 
 def removed_ranges(runs: Runs, ids: np.ndarray, known: np.ndarray, found: pa.Table, width: int) -> np.ndarray:
@@ -226,7 +255,7 @@ def removed_ranges(runs: Runs, ids: np.ndarray, known: np.ndarray, found: pa.Tab
     gone = np.zeros(len(runs.data) + 1, np.int32)
     if len(found) and len(runs.first):
         found = found.combine_chunks()
-        wanted = pair_key(found["anchor"].to_numpy(), found["digest"].to_numpy())
+        wanted = pair_key(found["anchor"].to_numpy(), found["tag"].to_numpy())
         nth = found["nth"].fill_null(-1).to_numpy()
         own = found["own"].combine_chunks() if isinstance(found["own"], pa.ChunkedArray) else found["own"]
         sizes = own.value_lengths().to_numpy()
@@ -254,10 +283,10 @@ def removed_ranges(runs: Runs, ids: np.ndarray, known: np.ndarray, found: pa.Tab
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, slice_bytes: int = 1 << 20, hot_rows: int = 20_000) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) of every row; kept: the remaining bytes."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    dealt, found = owners(source, width, slice_bytes, hot_rows)
+    dealt, found, bits = owners(source, width, slice_bytes, hot_rows)
 
     def cut(key, table: pa.Table, told: pa.Table) -> pa.Table:
-        runs, ids, known = _slice(table, width)
+        runs, ids, known = _slice(table, width, bits)
         gone = removed_ranges(runs, ids, known, told, width)
         total = np.concatenate([[0], np.cumsum(gone)])
         off = runs.offsets
