@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 K, W = 8, 16
 _POSITIONS = (1 << 30) - 1
 _ALL = 1 << 30
+#: Up to so many buckets (24 bytes each) their first ids are broadcast; beyond, the join is a shuffle.
+BROADCAST_BUCKETS = 1 << 18
 
 
 def _pack(gram: Column, position: Column) -> Column:
@@ -109,9 +111,10 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     width = max(1, -(-(high - low + 1) // max(1, -(-n // per_bucket))))
     bucket = F.expr(f"cast((cast(id as decimal(20, 0)) - {low}) div {width} as bigint)")
     tops = rows.where("id is not null").groupBy(bucket.alias("b")).agg(F.max("id").alias("top"))
+    few = -(-n // per_bucket) <= BROADCAST_BUCKETS
     edges = _below(tops.select("b")).join(tops.select(F.col("b").alias("below"), "top"), "below").select(F.col("top").alias("id"), F.col("b").alias("to"))
     own = rows.withColumn("b", F.coalesce(bucket, -1 - F.pmod(F.xxhash64("t"), F.lit(1 << 20)))).withColumn("halo", F.lit(False))
-    halo = rows.join(edges, "id").select("id", "t", F.col("to").alias("b"), F.lit(True).alias("halo"))
+    halo = rows.join(F.broadcast(edges) if few else edges, "id").select("id", "t", F.col("to").alias("b"), F.lit(True).alias("halo"))
     both = own.unionByName(halo).withColumns({"n": F.length("t"), "tie": F.xxhash64("t")})
     order = Window.partitionBy("b").orderBy("halo", F.col("id").desc(), "tie")
     none = F.col("id").isNull()
