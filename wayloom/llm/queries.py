@@ -95,6 +95,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document, by weighted sampling of its shingles."""
+    from .icws import classes
+
+    found = classes(_table(spark, sf_dir, "documents"))
+    return found.withColumn("is_kept", F.col("doc_id") == F.col("class_id"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document under a 50k byte-level vocabulary."""
     import public_tokenizers
@@ -120,6 +128,7 @@ QUERIES = {
     "op4_main_text": op4_main_text,
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_token_counts": op8_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
