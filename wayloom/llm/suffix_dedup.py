@@ -6,10 +6,9 @@ with a smaller id. All are judged on the input.
 1. Documents are dealt into slices by a hash of the id. In a slice every window of
    `width` bytes gets an anchor, the least hashed GRAM-byte string inside it. Equal
    windows have equal anchors, wherever they occur. Neighbouring windows with the same
-   anchor make a segment; equal segments of a slice are one row (anchor, digest and
-   side hashes, least and greatest id).
-2. Rows of one anchor meet in window functions. An anchor of a single document ends
-   here. Two different segments can only share a window if they agree on SIDE bytes to
+   anchor make a segment; equal segments of a slice are one entry (anchor, tag, least
+   and greatest id). A slice sends each bucket of anchors its entries as packed arrays.
+2. Entries of one anchor meet in its bucket. An anchor of a single document ends here. Two different segments can only share a window if they agree on SIDE bytes to
    the left or the right of the anchor; one that agrees with no other is owned by the
    least id among its equals.
 3. The bytes of the others are gathered in shards, and the suffix array of a shard
@@ -20,8 +19,9 @@ with a smaller id. All are judged on the input.
 4. Back in its slice, each document compares the owners of its windows with its own id.
 
 The text is shuffled once (all three uses read the same exchange), anchors once, and
-only segments around shared anchors again. A slice, a shard and the rows that an anchor
-gets from one slice have bounded sizes, a single longer text aside.
+only segments around shared anchors again. Slices, buckets and shards have bounded sizes,
+as an anchor gets one entry from a slice for each different segment; a single longer
+text makes a longer slice.
 
 Edge cases: null and empty texts keep all; rows without an id keep all and own nothing;
 rows with equal ids don't remove from each other; texts shorter than `width` keep all;
@@ -31,11 +31,10 @@ extra columns are ignored by `spans` and kept by `dedupe`.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .suffix_array import earliest
@@ -49,7 +48,7 @@ class Runs:
     """Segments of a slice: first window, number of windows, row, anchor position and hash, and tag.
 
     The anchor keeps the top `bits` bits of its hash: a collision only sends segments to
-    a shard in vain. The tag is a 32-bit digest of the segment's bytes, then 16 bits each
+    a shard in vain. The tag is a 32-bit digest of the segment's bytes, then 8 bits each
     of the hashes of SIDE bytes left and right of the anchor, 0 where there are fewer.
     """
 
@@ -94,10 +93,10 @@ class Runs:
         def code(a: np.ndarray, b: np.ndarray, keep: int) -> np.ndarray:
             return mix((total[b] - total[a]) * inverse[a]) >> U64(64 - keep)
 
-        left = np.where(self.at - self.first >= SIDE, code(np.maximum(self.at - SIDE, 0), self.at, 16) | U64(1), U64(0))
+        left = np.where(self.at - self.first >= SIDE, code(np.maximum(self.at - SIDE, 0), self.at, 8) | U64(1), U64(0))
         after = self.at + GRAM
-        right = np.where(after + SIDE <= end, code(after, np.minimum(after + SIDE, n), 16) | U64(1), U64(0))
-        self.tag = ((code(self.first, end, 32) << U64(32)) | (left << U64(16)) | right).view(np.int64)
+        right = np.where(after + SIDE <= end, code(after, np.minimum(after + SIDE, n), 8) | U64(1), U64(0))
+        self.tag = ((code(self.first, end, 32) << U64(16)) | (left << U64(8)) | right).view(np.int64)
 
     def key(self) -> np.ndarray:
         return pair_key(self.anchor, self.tag)
@@ -158,11 +157,82 @@ def anchor_bits(size: int) -> int:
     return min(56, max(32, (size // 16 + 1).bit_length() + 10))
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Integers as their least one and byte planes of what exceeds it."""
+    if not len(x):
+        return b""
+    least = int(x.min())
+    rest = x.astype(np.int64).view(U64) - U64(least % (1 << 64))
+    width = max(1, (int(rest.max()).bit_length() + 7) // 8)
+    planes = rest.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return least.to_bytes(8, "little", signed=True) + bytes([width]) + planes.tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    """The integers of `pack`."""
+    if not raw:
+        return np.zeros(0, np.int64)
+    least, width = int.from_bytes(raw[:8], "little", signed=True), raw[8]
+    planes = np.frombuffer(raw, np.uint8, offset=9).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return (out.view(U64).ravel() + U64(least % (1 << 64))).view(np.int64)
+
+
+def _packets(groups: np.ndarray, columns: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, list[bytes]]]:
+    """(group, packed columns) for each value of groups."""
+    order = np.argsort(groups, kind="stable")
+    own = groups[order]
+    cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+    bounds = list(zip(cut.tolist(), [*cut[1:].tolist(), len(own)], strict=False))
+    return own[cut], {k: [pack(v[order[a:b]]) for a, b in bounds] for k, v in columns.items()}
+
+
+def _open(table: pa.Table, *names: str) -> list[np.ndarray]:
+    """Unpacked columns of packets, and last the number of the packet of each entry."""
+    parts = {k: [unpack(x) for x in table[k].to_pylist()] for k in names}
+    sizes = [len(x) for x in parts[names[0]]]
+    return [np.concatenate([np.zeros(0, np.int64), *parts[k]]) for k in names] + [np.repeat(np.arange(len(sizes)), sizes)]
+
+
+def _begins(*keys: np.ndarray) -> np.ndarray:
+    """Where a new group of equal keys begins."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
+
+
+def meet(anchor: np.ndarray, tag: np.ndarray, low: np.ndarray, high: np.ndarray, hot_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, owner, contested, hot): entries of a bucket that have to hear, of anchors in several documents."""
+    order = np.lexsort((tag, anchor))
+    anchor, tag, low, high = anchor[order], tag[order], low[order], high[order]
+    if not len(order):
+        return order, low, order > 0, order > 0
+    cut = _begins(anchor)
+    size = np.diff(np.append(cut, len(anchor)))
+    shared = np.repeat(np.minimum.reduceat(low, cut) < np.maximum.reduceat(high, cut), size)
+    hot = np.repeat(size > hot_rows, size)[shared]
+    order, anchor, tag, low, high = order[shared], anchor[shared], tag[shared], low[shared], high[shared]
+    if not len(order):
+        return order, low, hot, hot
+    cut = _begins(anchor, tag)
+    owner = np.repeat(np.minimum.reduceat(low, cut), np.diff(np.append(cut, len(tag))))
+    contested = np.zeros(len(order), bool)
+    for side in ((tag >> 8) & 255, tag & 255):
+        by = np.lexsort((tag, side, anchor))
+        cut = _begins(anchor[by], side[by])
+        last = np.append(cut[1:], len(by)) - 1
+        several = np.repeat((tag[by][cut] != tag[by][last]) & (side[by][cut] != 0), np.diff(np.append(cut, len(by))))
+        contested[by] |= several
+    told = contested | (high > owner)
+    return order[told], owner[told], contested[told], hot[told]
+
+
 def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tuple[DataFrame, DataFrame, int]:
     """(dealt, found, bits): rows (id, t, slice), and for each slice the segments owned by a smaller id.
 
-    found: slice, anchor, tag, nth, own: the owner of each window (a single one if it
-    owns all), or of window nth alone.
+    found: slice, and packed: key, nth, size, own: the owners of the windows of the
+    segment of that key (one for all if size is 1), or of its window nth alone.
     """
     if width < GRAM + 2 * SIDE:
         raise ValueError(f"width must be {GRAM + 2 * SIDE} at least")
@@ -170,96 +240,107 @@ def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tupl
         raise TypeError("the id must be an integer")
     size = docs.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     slices, shards, bits = max(1, -(-size // slice_bytes)), max(64, -(-size // (4 * slice_bytes))), anchor_bits(size)
-
-    def slice_of(name: str, other) -> Column:
-        return F.pmod(F.xxhash64(name, other), F.lit(slices))
-
-    dealt = docs.select(F.col("id").cast("bigint"), "t").withColumn("slice", slice_of("id", F.when(F.col("id").isNull(), F.xxhash64("t"))))
+    buckets = max(64, -(-size // (6 * slice_bytes)))
+    dealt = docs.select(F.col("id").cast("bigint"), "t").withColumn("slice", F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.xxhash64("t"))), F.lit(slices)))
 
     def anchors(table: pa.Table) -> pa.Table:
         runs, ids, known = _slice(table, width, bits)
         at, low, high = _distinct(runs, ids, known)
-        return pa.table({"anchor": runs.anchor[at], "tag": runs.tag[at], "low": low, "more": high - low})
-
-    rows = dealt.groupBy("slice").applyInArrow(anchors, "anchor bigint, tag bigint, low bigint, more bigint")
-    high = F.col("low") + F.col("more")
-    same = Window.partitionBy("anchor")
-    met = rows.withColumns({"least": F.min("low").over(same), "most": F.max(high).over(same), "n": F.count(F.lit(1)).over(same)}).where("least < most")
-    met = met.withColumns({"left": F.expr("(tag >> 16) & 65535"), "right": F.expr("tag & 65535")})
-    for side in ("left", "right"):
-        over = Window.partitionBy("anchor", side)
-        met = met.withColumn(f"{side}_shared", (F.col(side) != 0) & (F.min("tag").over(over) != F.max("tag").over(over)))
-    met = met.withColumn("owner", F.when(~(F.col("left_shared") | F.col("right_shared")), F.min("low").over(Window.partitionBy("anchor", "tag"))))
-    # Only segments with a later document, or that may share windows with others, go back to the slice they came from.
-    told = met.where(F.col("owner").isNull() | (high > F.col("owner"))).select(
-        slice_of("low", F.lit(None).cast("bigint")).alias("slice"), "anchor", "tag", "owner", F.expr(f"n > {hot_rows}").alias("hot")
-    )
-
-    def segments(key, table: pa.Table, known_rows: pa.Table) -> pa.Table:
-        """Bytes of contested segments, or of their windows around a hot anchor, with the shard that decides them."""
-        runs, ids, known = _slice(table, width, bits) if len(table) else (None, None, None)
-        names = ("slice", "anchor", "tag", "nth", "seg", "at", "low", "high", "shard")
-        out: dict[str, list] = {k: [] for k in names}
-        if runs is not None and len(known_rows):
-            told = known_rows.filter(known_rows["owner"].is_null()).combine_chunks()
-            wanted = pair_key(told["anchor"].to_numpy(), told["tag"].to_numpy())
-            order = np.argsort(wanted)
-            hot = told["hot"].to_numpy(zero_copy_only=False)[order]
-            wanted = wanted[order]
+        anchor = runs.anchor[at]
+        group, packed = _packets(anchor % buckets, {"anchor": anchor // buckets, "tag": runs.tag[at], "low": low, "more": high - low})
+        part = pa.array(np.full(len(group), table["slice"][0].as_py()), pa.int64())
+        return pa.table({"slice": part, "bucket": pa.array(group, pa.int64()), **{k: pa.array(v, pa.binary()) for k, v in packed.items()}})
+
+    entries = dealt.groupBy("slice").applyInArrow(anchors, "slice bigint, bucket bigint, anchor binary, tag binary, low binary, more binary")
+
+    def tell(table: pa.Table) -> pa.Table:
+        anchor, tag, low, more, packet = _open(table, "anchor", "tag", "low", "more")
+        at, owner, contested, hot = meet(anchor, tag, low, low + more, hot_rows)
+        key = pair_key(anchor[at] * buckets + table["bucket"][0].as_py(), tag[at]).view(np.int64)
+        group, packed = _packets(table["slice"].to_numpy()[packet[at]], {"key": key, "owner": owner, "state": contested.astype(np.int64) + (contested & hot)})
+        return pa.table({"slice": pa.array(group, pa.int64()), **{k: pa.array(v, pa.binary()) for k, v in packed.items()}})
+
+    told = entries.groupBy("bucket").applyInArrow(tell, "slice bigint, key binary, owner binary, state binary")
+    columns = ("key", "anchor", "nth", "at", "low", "high", "size")
+
+    def segments(key, table: pa.Table, heard: pa.Table) -> pa.Table:
+        """Bytes of contested segments, or of their windows around a hot anchor, for the shards that decide them."""
+        out: dict[str, list[int]] = {k: [] for k in (*columns, "shard")}
+        segs: list[bytes] = []
+        if len(table) and len(heard):
+            runs, ids, known = _slice(table, width, bits)
+            wanted, state, _ = _open(heard, "key", "state")
+            wanted, state = wanted[state > 0], state[state > 0]
+            order = np.argsort(wanted.view(U64))
+            wanted, state = wanted.view(U64)[order], state[order]
             keys = runs.key()
-            pos = np.searchsorted(wanted, keys) if len(wanted) else np.zeros(len(keys), np.int64)
-            match = wanted[np.minimum(pos, len(wanted) - 1)] == keys if len(wanted) else np.zeros(len(keys), bool)
+            pos = np.minimum(np.searchsorted(wanted, keys), max(len(wanted) - 1, 0))
+            match = wanted[pos] == keys if len(wanted) else np.zeros(len(keys), bool)
             for i, low, high in zip(*(x.tolist() for x in _distinct(runs, ids, known, match)), strict=True):
                 seg, anchor, at = runs.bytes_of(i), int(runs.anchor[i]), int(runs.at[i] - runs.first[i])
                 pieces = [(-1, seg, at, anchor % shards)]
-                if hot[pos[i]]:
+                if state[pos[i]] > 1:
                     pieces = [(k, seg[k : k + width], at - k, int.from_bytes(hashlib.blake2b(seg[k : k + width], digest_size=7).digest()) % shards) for k in range(len(seg) - width + 1)]
                 for nth, piece, o, shard in pieces:
-                    for k, v in zip(names, (key[0].as_py(), anchor, int(runs.tag[i]), nth, piece, o, low, high, shard), strict=True):
+                    segs.append(piece)
+                    for k, v in zip(out, (int(keys[i].view(np.int64)), anchor, nth, o, low, high, len(piece), shard), strict=True):
                         out[k].append(v)
-        kinds = {"nth": pa.int32(), "seg": pa.binary(), "at": pa.int32()}
-        return pa.table({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()})
+        shard = np.array(out.pop("shard"), np.int64)
+        group, packed = _packets(shard, {k: np.array(v, np.int64) for k, v in out.items()})
+        order = np.argsort(shard, kind="stable")
+        bounds = np.searchsorted(shard[order], group, "left").tolist() + [len(order)]
+        blob = [b"".join(segs[i] for i in order[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+        part = pa.array(np.full(len(group), key[0].as_py() or 0), pa.int64())
+        return pa.table({"slice": part, "shard": pa.array(group, pa.int64()), "blob": pa.array(blob, pa.binary()), **{k: pa.array(v, pa.binary()) for k, v in packed.items()}})
 
     contested = (
-        dealt.groupBy("slice")
-        .cogroup(told.groupBy("slice"))
-        .applyInArrow(segments, "slice bigint, anchor bigint, tag bigint, nth int, seg binary, at int, low bigint, high bigint, shard bigint")
+        dealt.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(segments, "slice bigint, shard bigint, blob binary, " + ", ".join(f"{k} binary" for k in columns))
     )
 
     def decide(table: pa.Table) -> pa.Table:
-        """Owners of the windows of a shard's segments, for rows with a later document."""
-        t = table.combine_chunks()
+        """Owners of the windows of a shard's segments, for entries with a later document."""
+        key, anchor, nth, at, low, high, length, packet = _open(table, *columns)
+        blob = b"".join(table["blob"].to_pylist())
+        ends = np.cumsum(length).tolist()
         numbers: dict[bytes, int] = {}
-        seg_of = np.array([numbers.setdefault(x, len(numbers)) for x in t["seg"].to_pylist()], np.int64)
+        seg_of = np.array([numbers.setdefault(blob[b - n : b], len(numbers)) for b, n in zip(ends, length.tolist(), strict=True)], np.int64)
         distinct = list(numbers)
         _, one = np.unique(seg_of, return_index=True)
-        low = np.full(len(distinct), np.iinfo(np.int64).max)
-        np.minimum.at(low, seg_of, t["low"].to_numpy())
-        near = np.flatnonzero(_shared_sides(distinct, t["anchor"].to_numpy()[one], t["at"].to_numpy()[one]))
-        own: list[np.ndarray] = [np.full(len(x) - width + 1, low[k]) for k, x in enumerate(distinct)]
-        for k, v in zip(near.tolist(), earliest([distinct[k] for k in near], low[near], width), strict=True):
+        least = np.full(len(distinct), np.iinfo(np.int64).max)
+        np.minimum.at(least, seg_of, low)
+        near = np.flatnonzero(_shared_sides(distinct, anchor[one], at[one]))
+        own: list[np.ndarray] = [np.full(len(x) - width + 1, least[k]) for k, x in enumerate(distinct)]
+        for k, v in zip(near.tolist(), earliest([distinct[k] for k in near], least[near], width), strict=True):
             own[k] = v
-        high = t["high"].to_numpy()
-        least = np.array([v.min() for v in own])
-        keep = np.flatnonzero(least[seg_of] < high)
-        cols = {k: t[k].take(pa.array(keep)) for k in ("slice", "anchor", "tag", "nth")}
-        return pa.table(cols | {"own": pa.array([own[seg_of[i]].tolist() for i in keep], pa.list_(pa.int64()))})
-
-    decided = contested.groupBy("shard").applyInArrow(decide, "slice bigint, anchor bigint, tag bigint, nth int, own array<bigint>")
-    settled = told.where("owner is not null").select("slice", "anchor", "tag", F.lit(None).cast("int").alias("nth"), F.array("owner").alias("own"))
+        first = np.array([v.min() for v in own])
+        keep = np.flatnonzero(first[seg_of] < high)
+        lists = [own[seg_of[i]] for i in keep]
+        sizes = np.array([len(x) for x in lists], np.int64)
+        to = table["slice"].to_numpy()[packet[keep]]
+        group, packed = _packets(to, {"key": key[keep], "nth": nth[keep], "size": sizes})
+        _, values = _packets(np.repeat(to, sizes), {"own": np.concatenate([np.zeros(0, np.int64), *lists])})
+        return pa.table({"slice": pa.array(group, pa.int64()), **{k: pa.array(v, pa.binary()) for k, v in (packed | values).items()}})
+
+    found = "slice bigint, key binary, nth binary, size binary, own binary"
+    decided = contested.groupBy("shard").applyInArrow(decide, found)
+    settled = told.select("slice", "key", F.lit(None).cast("binary").alias("nth"), F.col("state").alias("size"), F.col("owner").alias("own"))
     return dealt, settled.unionByName(decided), bits
 
 
 def removed_ranges(runs: Runs, ids: np.ndarray, known: np.ndarray, found: pa.Table, width: int) -> np.ndarray:
-    """Whether each byte of a slice goes."""
+    """Whether each byte of a slice goes. found: packets of settled segments (nth is null, size their state) and decided ones."""
     gone = np.zeros(len(runs.data) + 1, np.int32)
     if len(found) and len(runs.first):
-        found = found.combine_chunks()
-        wanted = pair_key(found["anchor"].to_numpy(), found["tag"].to_numpy())
-        nth = found["nth"].fill_null(-1).to_numpy()
-        own = found["own"].combine_chunks() if isinstance(found["own"], pa.ChunkedArray) else found["own"]
-        sizes = own.value_lengths().to_numpy()
-        begin, values = np.cumsum(sizes) - sizes, own.flatten().to_numpy()
+        settled, decided = found.filter(found["nth"].is_null()), found.filter(found["nth"].is_valid())
+        key, state, owner, _ = _open(settled, "key", "size", "own")
+        key, owner = key[state == 0], owner[state == 0]
+        more, nth, sizes, _ = _open(decided, "key", "nth", "size")
+        values, _ = _open(decided, "own")
+        wanted = np.concatenate([key, more]).view(U64)
+        nth = np.concatenate([np.full(len(key), -1), nth])
+        sizes = np.concatenate([np.ones(len(key), np.int64), sizes])
+        values = np.concatenate([owner, values])
+        begin = np.cumsum(sizes) - sizes
         order = np.argsort(wanted, kind="stable")
         wanted = wanted[order]
         keys = runs.key()
