@@ -22,7 +22,7 @@ all pairs, and a link is only lost where sampling misses it.
 
 Edge cases: null and empty texts, and texts without words, are classed with their
 equals only; a text of one to four words is one shingle; rows without an id have no
-class; repeated ids have the class of each of their texts; extra columns are ignored.
+class; rows that share an id count as one document; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -287,3 +287,19 @@ def classes(
     known = signed.select("id", "digest").join(by_text, "digest").select(F.col("id").alias(id_col), "class_id")
     unknown = rows.where("id is null").select(F.col("id").alias(id_col), F.lit(None).cast("bigint").alias("class_id"))
     return known.unionByName(unknown)
+
+
+def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 1 << 20, **options) -> DataFrame:
+    """Rows of docs without the near copies of documents with smaller ids: one document of each class stays.
+
+    Rows without an id stay; of rows that share an id one stays.
+    """
+    found = checkpoint(classes(docs, id_col, text_col, broadcast_ids=broadcast_ids, **options))
+    gone = found.where(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
+    if gone.count() <= broadcast_ids:
+        gone = F.broadcast(gone)
+    out = docs.join(gone, id_col, "left_anti")
+    twice = found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    if not twice.isEmpty():
+        out = out.join(twice, id_col, "left_anti").unionByName(out.join(twice, id_col, "left_semi").dropDuplicates([id_col]))
+    return out.select(*docs.columns)

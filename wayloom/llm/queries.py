@@ -113,6 +113,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op9_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every document, with their scores."""
+    import public_tokenizers
+
+    from .segment import digests
+
+    return digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document when 50-byte strings of earlier documents are removed."""
     from .suffix_dedup import spans
@@ -130,6 +139,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_token_counts": op8_token_counts,
+    "op9_segmentations": op9_segmentations,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES = {"op2_decontaminate": OP2_SQL}

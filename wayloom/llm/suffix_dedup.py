@@ -241,7 +241,7 @@ def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tupl
     size = docs.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     slices, shards, bits = max(1, -(-size // slice_bytes)), max(64, -(-size // (4 * slice_bytes))), anchor_bits(size)
     buckets = max(64, -(-size // (6 * slice_bytes)))
-    dealt = docs.select(F.col("id").cast("bigint"), "t").withColumn("slice", F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.xxhash64("t"))), F.lit(slices)))
+    dealt = docs.withColumn("slice", F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.xxhash64("t"))), F.lit(slices)))
 
     def anchors(table: pa.Table) -> pa.Table:
         runs, ids, known = _slice(table, width, bits)
@@ -361,9 +361,10 @@ def removed_ranges(runs: Runs, ids: np.ndarray, known: np.ndarray, found: pa.Tab
     return np.cumsum(gone)[:-1] > 0
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, slice_bytes: int = 1 << 20, hot_rows: int = 20_000) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept) of every row; kept: the remaining bytes."""
-    source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+def _cut(docs: DataFrame, id_col: str, text_col: str, carry: list[str], width: int, slice_bytes: int, hot_rows: int) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept) and the carried columns, as c0, c1 and so on."""
+    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
+    extra = [f"c{i}" for i in range(len(carry))]
     dealt, found, bits = owners(source, width, slice_bytes, hot_rows)
 
     def cut(key, table: pa.Table, told: pa.Table) -> pa.Table:
@@ -378,9 +379,29 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         begins[inner] = gone[inner]
         at = np.concatenate([[0], np.cumsum(begins)])
         kept = [runs.data[a:b][~gone[a:b]].tobytes() if r else runs.data[a:b].tobytes() for a, b, r in zip(off[:-1], off[1:], n_removed, strict=True)]
-        return pa.table(
-            {"id": table["id"], "n_bytes": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(at[off[1:]] - at[off[:-1]], pa.int64()), "kept": pa.array(kept, pa.binary())}
-        )
+        own = {
+            "id": table["id"],
+            "n_bytes": pa.array(np.diff(off), pa.int64()),
+            "n_removed": pa.array(n_removed, pa.int64()),
+            "n_spans": pa.array(at[off[1:]] - at[off[:-1]], pa.int64()),
+            "kept": pa.array(kept, pa.binary()),
+        }
+        return pa.table(own | {c: table[c] for c in extra})
+
+    kinds = "".join(f", {c} {source.schema[c].dataType.simpleString()}" for c in extra)
+    return dealt.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary" + kinds)
+
+
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, slice_bytes: int = 1 << 20, hot_rows: int = 20_000) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept) of every row; kept: the remaining bytes."""
+    return _cut(docs, id_col, text_col, [], width, slice_bytes, hot_rows).withColumnRenamed("id", id_col)
+
 
-    out = dealt.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
-    return out.withColumnRenamed("id", id_col)
+def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, slice_bytes: int = 1 << 20, hot_rows: int = 20_000) -> DataFrame:
+    """Rows with the remaining text, less bytes of characters that lost some; a row that lost all its text goes."""
+    carry = [c for c in docs.columns if c not in (id_col, text_col)]
+    out = _cut(docs, id_col, text_col, carry, width, slice_bytes, hot_rows).where("n_removed = 0 or n_removed < n_bytes")
+    whole = F.try_validate_utf8(F.col("kept").cast("string"))
+    text = F.coalesce(whole, F.make_valid_utf8(F.col("kept").cast("string")))
+    back = {id_col: F.col("id"), text_col: text} | {c: F.col(f"c{i}") for i, c in enumerate(carry)}
+    return out.select(*(back[c].alias(c) for c in docs.columns))
