@@ -13,12 +13,17 @@ shingle and the quantised weight of least ln a = ln c - r (t - b + 1), t = floor
 tables; two texts agree in a sample with the probability of their weighted Jaccard
 similarity. Texts that agree in all rows of a band are candidates.
 
-Equal texts are one node. A bucket's members are compared with its least member; links
-that pass are verified by the exact weighted Jaccard similarity of the whole texts and
-joined to components. Then, in buckets that still hold several components, members of
-different ones are compared by their samples, a bucket of over `dense` members within
-its finer buckets, and what passes is verified too. So copies are never expanded into
-all pairs, and a link is only lost where sampling misses it.
+Equal texts are one node. Buckets are verified in rounds, a few bands first, and only
+those that still hold several components: the members' whole texts are compared by
+their exact weighted Jaccard similarity, and the bucket returns links that span what is
+alike, at most one for each member. A bucket of over BLOCK members is dealt into blocks,
+each with the bucket's least member in it, and in the last round also into its finer
+buckets, which agree in a second band. So copies are never expanded into all pairs, no
+task's work grows with a group, and a link is lost only where sampling misses it.
+
+As the weight of a shingle is its count times a number of its own, a count c is the same
+as c different shingles (the first occurrence, the second and so on) of that number, and
+the common weight of all pairs of a block is one matrix product.
 
 Edge cases: null and empty texts, and texts without words, are classed with their
 equals only; a text of one to four words is one shingle; rows without an id have no
@@ -47,7 +52,9 @@ DF_PARTS = 64
 ROW_BITS = 20
 TABLE_BITS = 16
 SLICE = 1 << 21
-BLOCK = 1 << 15
+CHUNK = 1 << 15
+BLOCK = 1024
+ROUNDS = ((1, 2), (3, 4), (1, BANDS))  # first band, bands
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +95,7 @@ def samples(first: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> np.nd
     stop = np.append(begin[1:], first[-1]) if len(filled) else begin
     a = 0
     while a < len(filled):
-        b = max(a + 1, int(np.searchsorted(stop, begin[a] + BLOCK, "right")))
+        b = max(a + 1, int(np.searchsorted(stop, begin[a] + CHUNK, "right")))
         x, y = begin[a], stop[b - 1]
         s, w = shingle[x:y], ln_w[x:y]
         own = begin[a:b] - x
@@ -169,126 +176,145 @@ def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray
     return float(common / (total - common))
 
 
-def signatures(docs: DataFrame, idf, slice_bytes: int = SLICE) -> DataFrame:
-    """(id, digest, sig, keys) of rows (id, t); keys is empty without words. idf: a broadcast table."""
+def buckets_of(docs: DataFrame, idf, slice_bytes: int = SLICE) -> DataFrame:
+    """(id, digest, keys) of rows (id, t); keys is empty without words. idf: a broadcast table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column(2))
-            sigs, keys = [], []
+            keys = []
             for a, b in byte_slices(offsets, slice_bytes):
                 first, s, n = weighted(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                sig = samples(first, s, _weights(s, n, idf.value))
                 some = np.diff(first) > 0
-                sigs += [x.tobytes() for x in sig]
-                keys += [k if y else [] for k, y in zip(band_keys(sig).tolist(), some, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "digest", "sig", "keys"])
-
-    return docs.select("id", F.unhex(F.md5("t")).alias("digest"), "t").mapInArrow(run, "id bigint, digest binary, sig binary, keys array<bigint>")
-
-
-def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
-    """Pairs whose samples agree in `least` places at least."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, SAMPLES) for k in (2, 3))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= least))
-
-    with_a = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
-    both = with_a.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
-    return both.mapInArrow(run, "a bigint, b bigint")
+                keys += [k if y else [] for k, y in zip(band_keys(samples(first, s, _weights(s, n, idf.value))).tolist(), some, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["id", "digest", "keys"])
+
+    return docs.select("id", F.unhex(F.md5("t")).alias("digest"), "t").mapInArrow(run, "id bigint, digest binary, keys array<bigint>")
+
+
+def _alike(first: np.ndarray, shingle: np.ndarray, count: np.ndarray, rows: list[int], idf: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarities of some rows, all with all."""
+    m = len(rows)
+    size = first[np.array(rows) + 1] - first[rows]
+    take = np.repeat(first[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    row, s, c = np.repeat(np.arange(m), size), shingle[take], count[take]
+    weight = idf[s >> U64(64 - DF_BITS)]
+    total = np.bincount(row, weight * c, m)
+    # One feature for each occurrence; those of a single row add nothing in common.
+    nth = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+    row, weight = np.repeat(row, c), np.repeat(weight, c)
+    _, feature, times = np.unique(mix(np.repeat(s, c) + nth.astype(U64) * U64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
+    keep = times[feature] > 1
+    row, weight, feature = row[keep], weight[keep], feature[keep]
+    _, feature = np.unique(feature, return_inverse=True)
+    order = np.argsort(feature, kind="stable")
+    row, weight, feature = row[order], weight[order], feature[order]
+    common = np.zeros((m, m))
+    a, columns = 0, 4096
+    while a < len(feature):
+        b = int(np.searchsorted(feature, feature[a] + columns))
+        x = np.zeros((m, columns), np.float32)
+        x[row[a:b], feature[a:b] - feature[a]] = np.sqrt(weight[a:b])
+        common += x @ x.T
+        a = b
+    both = total[:, None] + total[None, :] - common
+    return np.divide(common, both, out=np.zeros((m, m)), where=both > 0)
+
+
+def spanning(like: np.ndarray, component: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links of at least the threshold that join members of different components, without cycles."""
+    m = len(component)
+    label = np.unique(component, return_inverse=True)[1]
+    out = []
+    for i in range(m):
+        while True:
+            other = np.flatnonzero((like[i] >= threshold) & (label != label[i]))
+            if not len(other):
+                break
+            j = int(other[np.argmax(like[i, other])])
+            out.append((i, j))
+            label[label == label[j]] = label[i]
+    return out
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float, broadcast_ids: int) -> DataFrame:
-    """Pairs whose whole texts have a weighted Jaccard similarity of `threshold` at least."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    if ids.count() <= broadcast_ids:
-        ids = F.broadcast(ids)
-    texts = checkpoint(docs.select("id", "t").join(ids, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = np.diff(buffers(batch.column(2))[1]) + np.diff(buffers(batch.column(3))[1])
-            for i, j in byte_slices(np.concatenate([[0], np.cumsum(size)]), SLICE):
-                part = batch.slice(i, j - i)
-                sets = []
-                for k in (2, 3):
-                    first, s, n = weighted(*buffers(part.column(k)))
-                    w = _weights(s, n, idf.value)
-                    # A slice's row number is not part of a shingle: it was shifted out.
-                    sets.append([(s[x:y], w[x:y]) for x, y in zip(first[:-1], first[1:], strict=True)])
-                like = np.array([similarity(x, y) for x, y in zip(*sets, strict=True)])
-                yield part.select(["a", "b"]).filter(pa.array(like >= threshold))
-
-    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-    both = with_a.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(run, "a bigint, b bigint")
-
-
-def _across(members: DataFrame, least: int) -> DataFrame:
-    """Pairs of members of one bucket, but of different components, whose samples agree. members: key, id, component, sig."""
+def _linked(members: DataFrame, texts: DataFrame, idf, threshold: float, shards: int) -> DataFrame:
+    """(a, b): verified links that join the components inside each block. members: key, block, id, component."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table["id"].to_numpy()
-        comp = table["component"].to_numpy()
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(-1, SAMPLES)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        step = max(1, (1 << 22) // max(1, len(ids)))
-        for x in range(0, len(ids), step):
-            agree = np.zeros((min(step, len(ids) - x), len(ids)), np.uint8)
-            for k in range(SAMPLES):
-                agree += sig[x : x + step, k, None] == sig[None, :, k]
-            i, j = np.nonzero((agree >= least) & (comp[x : x + step, None] < comp[None, :]))
-            a.append(ids[i + x])
-            b.append(ids[j])
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    return members.groupBy("key").applyInArrow(run, "a bigint, b bigint").distinct()
-
-
-def classes(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = 0.8,
-    agree: float = 0.56,
-    dense: int = 2000,
-    broadcast_ids: int = 1 << 20,
-) -> DataFrame:
-    """(id, class_id): the least id of the document's group of near copies. agree: share of equal samples to be verified."""
+        ids, t = table["id"].to_numpy(), table["t"].combine_chunks()
+        own, one, number = np.unique(ids, return_index=True, return_inverse=True)
+        data, offsets = buffers(t.take(pa.array(one)) if not isinstance(t, pa.ChunkedArray) else t.combine_chunks().take(pa.array(one)))
+        first, shingle, count = weighted(data, offsets)
+        component = table["component"].to_numpy()
+        key, block = table["key"].to_numpy(), table["block"].to_numpy()
+        order = np.lexsort((number, block, key))
+        cut = np.flatnonzero(np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (block[order][1:] != block[order][:-1])]))
+        links = []
+        for group in np.split(order, cut[1:]):
+            rows, at = np.unique(number[group], return_index=True)
+            if len(rows) > 1 and len(set(component[group[at]].tolist())) > 1:
+                like = _alike(first, shingle, count, rows.tolist(), idf.value)
+                links += [(own[rows[i]], own[rows[j]]) for i, j in spanning(like, component[group[at]], threshold)]
+        return pa.table({"a": pa.array([int(x) for x, _ in links], pa.int64()), "b": pa.array([int(x) for _, x in links], pa.int64())})
+
+    shard = F.pmod(F.xxhash64("key", "block"), F.lit(shards))
+    return members.join(texts, "id").select(shard.alias("shard"), "key", "block", "id", "component", "t").groupBy("shard").applyInArrow(run, "a bigint, b bigint")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, broadcast_ids: int = 1 << 20) -> DataFrame:
+    """(id, class_id): the least id of the document's group of near copies."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     counts, n = frequencies(rows)
     idf = docs.sparkSession.sparkContext.broadcast(idf_table(counts, n))
-    least = int(agree * SAMPLES)
-    signed = checkpoint(signatures(rows.where("id is not null"), idf))
-    # Equal texts have equal samples, so any will do.
-    nodes = checkpoint(signed.groupBy("digest").agg(F.min("id").alias("id"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys")))
-    sigs = nodes.select("id", "sig")
-    banded = nodes.select("id", F.explode("keys").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = banded.join(buckets, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    links = checkpoint(_verified(checkpoint(_agreeing(stars, sigs, least)), rows, idf, threshold, broadcast_ids))
-    labels = components(links)
-    # Buckets that still hold several components.
-    labelled = banded.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y").select("key", "n")
-    members = checkpoint(labelled.join(mixed, "key"))
-    few = members.where(F.col("n") <= dense).select("key", "id", "component")
-    many = members.where(F.col("n") > dense).select("key", "id", "component")
-    finer = many.join(banded.select("id", F.col("key").alias("other")), "id").where("key <> other").select(F.xxhash64("key", "other").alias("key"), "id", "component")
-    again = finer.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    crowd = few.unionByName(finer.join(again, "key")).join(sigs, "id")
-    more = checkpoint(_across(crowd, least).join(links, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = links.unionByName(_verified(more, rows, idf, threshold, broadcast_ids))
-        labels = components(links)
-    by_text = nodes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
-    known = signed.select("id", "digest").join(by_text, "digest").select(F.col("id").alias(id_col), "class_id")
+    keyed = checkpoint(buckets_of(rows.where("id is not null"), idf))
+    # Equal texts have equal keys, so any will do.
+    nodes = checkpoint(keyed.groupBy("digest").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys")))
+    none = rows.select(F.col("id").alias("a"), F.col("id").alias("b")).where(F.lit(False))
+    links, labels = none, none.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    for number, (first, bands) in enumerate(ROUNDS):
+        banded = nodes.select("id", F.explode(F.slice("keys", first, bands)).alias("key"))
+        found = _mixed_members(banded, labels, number, number == len(ROUNDS) - 1)
+        members = checkpoint(found)
+        many = members.count()
+        if not many:
+            continue
+        ids = members.select("id").distinct()
+        if ids.count() <= broadcast_ids:
+            ids = F.broadcast(ids)
+        texts = checkpoint(rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t")))
+        links = links.unionByName(checkpoint(_linked(members, texts, idf, threshold, max(64, many // 1000))))
+        labels = checkpoint(components(links).select(F.col("node").alias("id"), "component"))
+    by_text = nodes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
+    known = keyed.select("id", "digest").join(by_text, "digest").select(F.col("id").alias(id_col), "class_id")
     unknown = rows.where("id is null").select(F.col("id").alias(id_col), F.lit(None).cast("bigint").alias("class_id"))
     return known.unionByName(unknown)
 
 
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """Buckets with several components: key, size, least member."""
+    seen = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "component")).alias("least"))
+    return seen.where("x <> y").select("key", "n", "least")
+
+
+def _mixed_members(banded: DataFrame, labels: DataFrame, number: int, last: bool) -> DataFrame:
+    """(key, block, id, component): members of buckets with several components, in blocks of bounded size."""
+
+    def dealt(labelled: DataFrame, mixed: DataFrame) -> DataFrame:
+        blocks = F.ceil(F.col("n") / BLOCK)
+        own = labelled.join(mixed, "key").select("key", F.pmod(F.xxhash64("id", F.lit(number)), blocks).alias("block"), "id", "component")
+        lead = mixed.where(F.col("n") > BLOCK).select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"), "least.id", "least.component")
+        return own.unionByName(lead)
+
+    labelled = banded.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = _mixed(labelled)
+    out = dealt(labelled, mixed)
+    if last:
+        many = labelled.join(mixed.where(F.col("n") > BLOCK).select("key"), "key")
+        finer = many.join(banded.select("id", F.col("key").alias("other")), "id").where("key <> other").select(F.xxhash64("key", "other").alias("key"), "id", "component")
+        out = out.unionByName(dealt(finer, _mixed(finer)))
+    return out
+
+
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 1 << 20, **options) -> DataFrame:
     """Rows of docs without the near copies of documents with smaller ids: one document of each class stays.
 
