@@ -241,10 +241,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     w = words(*buffers(got["t"])) if len(names) else None
     if w is None or not len(w.hash):
         return Crf([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)))
-    first, bucket = word_features(w, np.arange(len(w.hash)))
+    # Features are kept for distinct words only, so the driver holds little.
+    _, pick, word = np.unique(w.hash, return_index=True, return_inverse=True)
+    first, bucket = word_features(w, pick)
     lang = np.array([labels.index(x) for x in names])
     seqs, gold = _sequences(lang, w.first[:-1], w.first[1:], length)
-    return fit(seqs, first, bucket, gold, labels, epochs)
+    return fit(word[seqs], first, bucket.astype(np.int32), gold, labels, epochs)
 
 
 def has_letter(raw: bytes) -> bool:

@@ -410,7 +410,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col), F.xxhash64(F.col(id_col).cast("string")).alias("__wl_key"), F.col(text_col).alias("__wl_text"))
 
 
-def segmentations(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 21) -> DataFrame:
+def segmentations(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 20) -> DataFrame:
     """(id, rank, ids, log_prob, perturbed, inclusion): up to k distinct segmentations of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,7 +427,7 @@ def segmentations(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "d
     return _source(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, rank int, ids array<int>, log_prob double, perturbed double, inclusion double")
 
 
-def digests(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 21) -> DataFrame:
+def digests(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 20) -> DataFrame:
     """As `segmentations`, with n_pieces, a digest of the ids and whether they decode to the text in place of the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

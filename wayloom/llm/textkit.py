@@ -68,8 +68,8 @@ def buffers(arr: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def byte_slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges holding at most `limit` bytes each; one longer row stands alone."""
-    a, n = 0, len(offsets) - 1
+    """Row ranges holding just under `limit` bytes each at most; one longer row stands alone."""
+    a, n, limit = 0, len(offsets) - 1, limit - 64  # so tables of the next power of two suffice
     while a < n:
         b = int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1
         b = min(max(b, a + 1), n)
