@@ -29,7 +29,7 @@ def encode_int(res: Column, foot: Column, road: Column, wood: Column, green: Col
     """The record: lengths and relief in steps of ten metres, cut off at the top; no relief is 511."""
     parts = {
         "res": _step(res, 255), "foot": _step(foot, 255), "road": _step(road, 255), "wood": wood, "green": green, "water": water,
-        "relief": F.coalesce(_step(relief, 510), F.lit(NO_RELIEF)),
+        "relief": F.when(relief.isNull(), NO_RELIEF).otherwise(_step(relief, 510)),
     }
     return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(parts[n].cast("bigint"), at) for n, at, _ in FIELDS])
 
@@ -68,25 +68,23 @@ def green_kind(wood: Column, green: Column) -> Column:
 def classify(record: Column | str) -> Column:
     """Bit mask of the classes of a record: five rules that hold or not on their own, else rural.
 
-    Shares are compared as whole numbers, so no rounding decides.
+    Lengths are compared in their steps of ten metres and shares as whole numbers, so no
+    rounding decides. Without a walkable way no rule holds. The last step is a lookup,
+    so that the rules stand in the generated code once.
     """
-    f = {n: field(record, n) for n, _, _ in FIELDS}
+    f = {n: F.shiftright(_col(record), at).bitwiseAND(F.lit((1 << bits) - 1)) for n, at, bits in FIELDS}
     total = f["res"] + f["foot"] + f["road"]
     walked = f["foot"] > 0
-    wet = (F.bit_count(f["water"]) * 4 >= 4) & walked
-    green = ((F.bit_count(f["wood"].bitwiseOR(f["green"])) * 2 >= 4) & walked) | ((f["foot"] >= 120) & (f["foot"] * 10 >= total * 7))
-    kind = green_kind(f["wood"], f["green"])
-    rules = {
-        "urban": (total >= 900) & (f["res"] * 100 <= total * 35),
-        "residential": (f["res"] >= 120) & (f["res"] * 10 >= total * 4),
-        "woodland": green & (kind == "woodland"),
-        "greenspace": green & (kind == "greenspace"),
-        "mountain": F.coalesce(f["relief"] >= 500, F.lit(False)),
-        "water": wet,
-    }
-    mask = reduce(lambda a, b: a + b, [F.when(rule, CLASS_BITS[n]).otherwise(0) for n, rule in rules.items()])
-    rural = F.lit(CLASS_BITS["rural"])
-    return F.when(total == 0, rural).when(mask == 0, rural).otherwise(mask)
+    green = ((F.bit_count(f["wood"].bitwiseOR(f["green"])) >= 2) & walked) | ((f["foot"] >= 12) & (f["foot"] * 10 >= total * 7))
+    woody = green_kind(f["wood"], f["green"]) == "woodland"
+    mask = (
+        F.when((total >= 90) & (f["res"] * 100 <= total * 35), CLASS_BITS["urban"]).otherwise(0)
+        .bitwiseOR(F.when((f["res"] >= 12) & (f["res"] * 10 >= total * 4), CLASS_BITS["residential"]).otherwise(0))
+        .bitwiseOR(F.when(green, F.when(woody, CLASS_BITS["woodland"]).otherwise(CLASS_BITS["greenspace"])).otherwise(0))
+        .bitwiseOR(F.when(f["relief"].between(50, NO_RELIEF - 1) & (total > 0), CLASS_BITS["mountain"]).otherwise(0))
+        .bitwiseOR(F.when((f["water"] > 0) & walked, CLASS_BITS["water"]).otherwise(0))
+    )
+    return F.get(F.lit([CLASS_BITS["rural"], *range(1, 128)]), mask)
 
 
 def has_class(mask: Column | str, name: str) -> Column:

@@ -12,10 +12,11 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .grid import M_PER_DEG, TILE_DEG
 
-RING = "array<struct<lat:double,lng:double>>"
+RING = T.ArrayType(T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lng", T.DoubleType())]))
 # Tolerances and least areas, fine and coarse.
 SIMPLIFY_M, COARSE_SIMPLIFY_M = 10.0, 50.0
 LEAST_M2, LEAST_CLIPPED_M2 = 2000.0, 1000.0

@@ -70,7 +70,7 @@ NEEDS = {"fx_dem": ["fx_obs"], "fx_cell": ["fx_obs"], "fx_rec": ["fx_cell", "fx_
 
 #: The record of fx_rec, its fields in steps of ten metres, and its class mask, as SQL.
 RECORD_SQL = """fx_code as (select cx, cy, least(255, cast(floor(res / 100.0) as bigint)) as r, least(255, cast(floor(foot / 100.0) as bigint)) as f, least(255, cast(floor(road / 100.0) as bigint)) as d,
-  cast(wood as bigint) as wood, cast(green as bigint) as green, cast(water as bigint) as water, coalesce(least(510, cast(floor(relief / 10.0) as bigint)), 511) as h from fx_rec),
+  cast(wood as bigint) as wood, cast(green as bigint) as green, cast(water as bigint) as water, case when relief is null then 511 else least(510, cast(floor(relief / 10.0) as bigint)) end as h from fx_rec),
 fx_record as (select *, r + f * 256 + d * 65536 + wood * 16777216 + green * 268435456 + water * 4294967296 + h * 68719476736 as record, r + f + d as total from fx_code),
 fx_rule as (select *, bit_count(wood | green) * 2 >= 4 and f > 0 or (f >= 12 and f * 10 >= total * 7) as is_green, bit_count(wood) > 0 and bit_count(wood) >= bit_count(green) as woody from fx_record),
 fx_mask as (select *, case when total = 0 then 32 else coalesce(nullif(

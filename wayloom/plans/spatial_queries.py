@@ -1 +1,186 @@
-"""."""
+"""Queries over spatial joins, elevation and relief."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import grid
+from ..operators import relief, spatial
+from . import fixtures as fx
+from .registry import query
+
+col = F.col
+MID = 42.03  # latitude of the fixtures' middle
+_LL = "cast({0}lat_e6 as double) / 1e6 as lat, cast({0}lng_e6 as double) / 1e6 as lng"
+
+
+def _vertices(spark, sf):
+    return fx.vertex(spark, sf).where("way_id % 10 = 0")
+
+
+_BOX = "abs(lat - (i + 0.5) * cast(0.01 as double)) <= 1200 / cast(111320 as double) and abs(lng - (j + 0.5) * cast(0.01 as double)) <= 1200 / (cast(111320 as double) * cos(radians((i + 0.5) * cast(0.01 as double))))"
+
+
+@query(
+    "way_tile_binning",
+    fx.sql("fx_vertex", f"select distinct i, j, way_id from v, ii, jj where {_BOX}", f"v as (select way_id, {_LL.format('')} from fx_vertex), ii as (select unnest(range(4190, 4220)) as i), jj as (select unnest(range(-7160, -7130)) as j)"),
+)
+def way_tile_binning(spark, sf):
+    return spatial.ways_in_tiles(fx.vertex(spark, sf))
+
+
+@query("crossing_points", fx.sql("fx_vertex fx_way", "select way_id, lat_e6, lng_e6 from fx_vertex where n = 1 and way_id % 5 = 0 union all select w.way_id, cast(floor(avg(lat_e6) + 0.25) as bigint), cast(floor(avg(lng_e6) + 0.25) as bigint) from fx_way w join fx_vertex v on w.way_id = v.way_id where highway = 'footway' and n <= 2 group by w.way_id"))
+def crossing_points(spark, sf):
+    nodes = fx.vertex(spark, sf).where("n = 1 and way_id % 5 = 0").select("way_id", "lat_e6", "lng_e6")
+    ways = fx.way(spark, sf).where("highway = 'footway'").select("way_id").join(fx.vertex(spark, sf).where("n <= 2"), "way_id")
+    middle = ways.groupBy("way_id").agg(*(F.floor(F.avg(c) + 0.25).cast("bigint").alias(c) for c in ("lat_e6", "lng_e6")))
+    return nodes.unionByName(middle)
+
+
+_RING = [(42.01, -71.49), (42.05, -71.485), (42.045, -71.45), (42.02, -71.455)]
+_EDGES = " + ".join(f"case when ({a[0]} > lat) <> ({b[0]} > lat) and lng < cast({b[1]} - {a[1]} as double) * (lat - {a[0]}) / cast({b[0]} - {a[0]} as double) + {a[1]} then 1 else 0 end" for a, b in zip(_RING, [*_RING[1:], _RING[0]], strict=True))
+
+
+@query("ownership_semi", fx.sql("fx_obs", f"select event_id from (select event_id, {_LL.format('')} from fx_obs) where ({_EDGES}) % 2 = 1"))
+def ownership_semi(spark, sf):
+    ring = F.array(*(F.struct(F.lit(a).alias("lat"), F.lit(b).alias("lng")) for a, b in _RING))
+    return spatial.owned(fx.obs(spark, sf), F.array(ring)).select("event_id")
+
+
+_SAMPLE = " | ".join(
+    f"case when lat0_e6 <= cy * 1500 + {y} and cy * 1500 + {y} < lat1_e6 and lng0_e6 <= cx * 1500 + {x} and cx * 1500 + {x} < lng1_e6 then {1 << k} else 0 end"
+    for k, (y, x) in enumerate([(375, 375), (375, 1125), (1125, 375), (1125, 1125)])
+)
+
+
+@query("cover_mask", fx.sql("fx_dem fx_poly", f"select cx, cy, kind, bit_or({_SAMPLE}) as mask from fx_dem, fx_poly where ({_SAMPLE}) > 0 group by cx, cy, kind"))
+def cover_mask(spark, sf):
+    return spatial.cover_masks(fx.dem(spark, sf).select("cx", "cy"), fx.poly(spark, sf))
+
+
+_FAR = "sqrt(((lat - (i + 0.5) * cast(0.01 as double)) * 111320) * ((lat - (i + 0.5) * cast(0.01 as double)) * 111320) + ((lng - (j + 0.5) * cast(0.01 as double)) * 111320 * cos(radians((i + 0.5) * cast(0.01 as double)))) * ((lng - (j + 0.5) * cast(0.01 as double)) * 111320 * cos(radians((i + 0.5) * cast(0.01 as double)))))"
+_R = "case kind when 'city' then 8000 when 'town' then 4000 when 'village' then 2000 when 'suburb' then 2000 else 1200 end"
+_GRID = "ii as (select unnest(range(4180, 4226)) as i), jj as (select unnest(range(-7170, -7124)) as j)"
+
+
+@query("landmark_proximity", fx.sql("fx_landmark", f"select lm_id, kind, cast(i as bigint) as i, cast(j as bigint) as j, round({_FAR}, 3) as distance from p, ii, jj where {_FAR} <= {_R}", f"p as (select lm_id, kind, {_LL.format('')} from fx_landmark), {_GRID}"))
+def landmark_proximity(spark, sf):
+    near = spatial.near_tiles(fx.landmark(spark, sf), ["lm_id"])
+    return near.select("lm_id", "kind", "i", "j", F.round("distance", 3).alias("distance"))
+
+
+_IN_BOX = "cast(lat0_e6 as double) / 1e6 <= (i + 0.5) * cast(0.01 as double) and (i + 0.5) * cast(0.01 as double) < cast(lat1_e6 as double) / 1e6 and cast(lng0_e6 as double) / 1e6 <= (j + 0.5) * cast(0.01 as double) and (j + 0.5) * cast(0.01 as double) < cast(lng1_e6 as double) / 1e6"
+
+
+@query("landmark_containment", fx.sql("fx_poly", f"select poly_id, cast(i as bigint) as i, cast(j as bigint) as j from fx_poly, ii, jj where {_IN_BOX}", _GRID))
+def landmark_containment(spark, sf):
+    return spatial.containing_tiles(fx.poly(spark, sf), ["poly_id"])
+
+
+@query(
+    "listing_union",
+    fx.sql("fx_poly", f"select distinct poly_id, cast(i as bigint) as i, cast(j as bigint) as j from (select poly_id, kind, cast(lat0_e6 as double) / 1e6 as lat, cast(lng0_e6 as double) / 1e6 as lng, lat0_e6, lat1_e6, lng0_e6, lng1_e6 from fx_poly), ii, jj where ({_IN_BOX}) or {_FAR} <= 1200", _GRID),
+)
+def listing_union(spark, sf):
+    areas = fx.poly(spark, sf)
+    near = spatial.near_tiles(areas.select("poly_id", "kind", col("lat0").alias("lat"), col("lng0").alias("lng")), ["poly_id"]).select("poly_id", "i", "j")
+    return near.unionByName(spatial.containing_tiles(areas, ["poly_id"])).distinct()
+
+
+_STEP = "len as (select way_id, n, lat1, lng1, lat2, lng2, sqrt(((lat2 - lat1) * 111320) * ((lat2 - lat1) * 111320) + ((lng2 - lng1) * 111320 * cos(radians(lat1))) * ((lng2 - lng1) * 111320 * cos(radians(lat1)))) as m from seg), st as (select *, greatest(1, cast(ceil(m / 20) as integer)) as k from len), ex as (select *, unnest(range(0, k)) as s from st)"
+_SEG = f"v as (select way_id, n, {_LL.format('')} from fx_vertex where way_id % 10 = 0), seg as (select a.way_id, a.n, a.lat as lat1, a.lng as lng1, a.lat + (b.lat - a.lat) / 16 as lat2, a.lng + (b.lng - a.lng) / 16 as lng2 from v a join v b on a.way_id = b.way_id and b.n = a.n + 1)"
+
+
+@query(
+    "way_length_by_cell",
+    fx.sql(
+        "fx_vertex fx_way",
+        "select cast(floor((lng1 + (lng2 - lng1) * (s + 0.5) / k) / cast(0.0015 as double)) as bigint) as cx, cast(floor((lat1 + (lat2 - lat1) * (s + 0.5) / k) / cast(0.0015 as double)) as bigint) as cy, "
+        "case when highway in ('residential', 'living_street') then 'res' when highway in ('footway', 'path', 'pedestrian', 'steps', 'track') then 'foot' else 'road' end as grp, round(sum(m / k), 3) as metres "
+        "from ex join fx_way w on ex.way_id = w.way_id where highway not in ('primary', 'tertiary_link', 'motorway') group by 1, 2, 3",
+        f"{_SEG}, {_STEP}",
+    ),
+)
+def way_length_by_cell(spark, sf):
+    from ..functions import tags
+
+    v = _vertices(spark, sf).select("way_id", "n", "lat", "lng")
+    ahead = v.select("way_id", (col("n") - 1).alias("n"), col("lat").alias("lat_b"), col("lng").alias("lng_b"))
+    seg = v.join(ahead, ["way_id", "n"]).join(fx.way(spark, sf).select("way_id", tags.habitat_group(col("highway")).alias("group")).where(F.col("group").isNotNull()), "way_id")
+    part = lambda a, b: col(a) + (col(b) - col(a)) / 16
+    seg = seg.select("group", col("lat").alias("lat1"), col("lng").alias("lng1"), part("lat", "lat_b").alias("lat2"), part("lng", "lng_b").alias("lng2"))
+    return spatial.segment_lengths(seg).select("cx", "cy", col("group").alias("grp"), F.round("metres", 3).alias("metres"))
+
+
+@query("landcover_by_tile", fx.sql("fx_poly", "select cast(i as bigint) as i, cast(j as bigint) as j, kind, count(*) as n from (select kind, cast(lat0_e6 as double) / 1e6 as a, cast(lat1_e6 as double) / 1e6 as b, cast(lng0_e6 as double) / 1e6 as c, cast(lng1_e6 as double) / 1e6 as d from fx_poly), ii, jj where i between floor(a / cast(0.01 as double)) and floor(b / cast(0.01 as double)) and j between floor(c / cast(0.01 as double)) and floor(d / cast(0.01 as double)) group by 1, 2, 3", _GRID))
+def landcover_by_tile(spark, sf):
+    cells = grid.cells_of_box(col("lat0"), col("lat1"), col("lng0"), col("lng1"))
+    return fx.poly(spark, sf).select("kind", F.explode(cells).alias("c")).groupBy("c.i", "c.j", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "nearest_post",
+    fx.sql("fx_dem", "select c.cx, c.cy, c.kx, c.ky, p.e from k c left join k p on c.kx = p.kx and c.ky = p.ky and p.cx % 2 = 0", "k as (select cx, cy, e, cast(floor(((2 * cx + 1) * 10800 + 2000) / 4000.0) as bigint) as kx, cast(floor(((2 * cy + 1) * 10800 + 2000) / 4000.0) as bigint) as ky from fx_dem)"),
+)
+def nearest_post(spark, sf):
+    cells = fx.dem(spark, sf)
+    posts = cells.where("cx % 2 = 0").select(grid.post("cx", 3600).alias("kx"), grid.post("cy", 3600).alias("ky"), "e")
+    return relief.nearest_post(cells.select("cx", "cy"), posts, 3600).select("cx", "cy", "kx", "ky", "e")
+
+
+@query("band_width", "select lat as tile_lat, arg_min(width, lng) as width from (select cast(c_custkey % 40 as bigint) as lat, cast(c_custkey as bigint) as lng, case when c_custkey % 40 > 30 then 2400 else 3600 end as width from customer) group by lat")
+def band_width(spark, sf):
+    heads = fx.table(spark, sf, "customer").selectExpr("c_custkey % 40 as tile_lat", "c_custkey as tile_lng", "case when c_custkey % 40 > 30 then 2400 else 3600 end as width")
+    return relief.band_width(heads)
+
+
+def _disc_sql(radius: float) -> str:
+    return "(values " + ", ".join(f"({dy}, {h})" for dy, h in relief.disc(radius, MID)) + ") d(dy, h)"
+
+
+@query("relief_disc", fx.sql("fx_dem", f"select a.cx, a.cy, cast(max(b.e) - min(b.e) as bigint) as relief from fx_dem a, {_disc_sql(900.0)}, fx_dem b where a.e is not null and b.e is not null and b.cy = a.cy + dy and abs(b.cx - a.cx) <= h group by a.cx, a.cy"))
+def relief_disc(spark, sf):
+    return relief.relief(fx.dem(spark, sf), 900.0, MID)
+
+
+@query(
+    "peak_drop",
+    fx.sql(
+        "fx_landmark fx_dem",
+        f"select peak, p.cx, p.cy, o.e, o.e - low as fall from p left join fx_dem o on o.cx = p.cx and o.cy = p.cy left join (select peak as q, min(b.e) as low from p, {_disc_sql(1500.0)}, fx_dem b where b.e is not null and b.cy = p.cy + dy and abs(b.cx - p.cx) <= h group by peak) on q = peak",
+        "p as (select lm_id as peak, cast(floor(lng_e6 / 1500.0) as bigint) as cx, cast(floor(lat_e6 / 1500.0) as bigint) as cy from fx_landmark)",
+    ),
+)
+def peak_drop(spark, sf):
+    peaks = fx.landmark(spark, sf).select(col("lm_id").alias("peak"), F.floor(col("lng_e6") / 1500).cast("bigint").alias("cx"), F.floor(col("lat_e6") / 1500).cast("bigint").alias("cy"))
+    return relief.drops(peaks, fx.dem(spark, sf), 1500.0, MID).select("peak", "cx", "cy", "e", col("drop").alias("fall"))
+
+
+@query("window_sum", fx.sql("fx_tile", "select a.i, a.j, ri, rj, cast(sum(b.bytes) as bigint) as total from t a, (values (2, 3), (5, 6)) r(ri, rj), t b where abs(a.i - b.i) <= ri and abs(a.j - b.j) <= rj group by a.i, a.j, ri, rj", "t as (select i, j, sum(bytes) as bytes from fx_tile group by i, j)"))
+def window_sum(spark, sf):
+    tiles = fx.tile(spark, sf).groupBy("i", "j").agg(F.sum("bytes").alias("bytes"))
+    return relief.window_sum(tiles, [(2, 3), (5, 6)])
+
+
+@query(
+    "nearest_class_block",
+    fx.sql(
+        "fx_mask",
+        "select t.bx, t.b_y, c.class, greatest(abs(c.bx - t.bx), abs(c.b_y - t.b_y)) as distance, c.bx as x, c.b_y as y from t, c qualify row_number() over (partition by t.bx, t.b_y, c.class order by greatest(abs(c.bx - t.bx), abs(c.b_y - t.b_y)), c.bx, c.b_y) = 1",
+        "c as (select distinct case when mask & 16 <> 0 then 'mountain' when mask & 8 <> 0 then 'greenspace' else 'other' end as class, cast(floor(cx / 4.0) as bigint) as bx, cast(floor(cy / 4.0) as bigint) as b_y from fx_mask where (mask & 24) <> 0), t as (select distinct cast(floor(cx / 4.0) as bigint) as bx, cast(floor(cy / 4.0) as bigint) as b_y from fx_mask)",
+    ),
+)
+def nearest_class_block(spark, sf):
+    cells = fx.record(spark, sf).select(grid.floor_div("cx", 4).alias("bx"), grid.floor_div("cy", 4).alias("by"), "mask")
+    kind = F.when(col("mask").bitwiseAND(F.lit(16)) != 0, "mountain").otherwise("greenspace")
+    blocks = cells.where((col("mask").bitwiseAND(F.lit(24))) != 0).select(kind.alias("class"), "bx", "by").distinct()
+    return spatial.nearest_by_rings(cells, blocks).withColumnRenamed("by", "b_y")
+
+
+@query(
+    "seam_dedupe",
+    fx.sql("fx_vertex", "select a0, a1, b0, b1, m, min(way_id) as way_id, count(*) as copies from (select way_id, min(lat_e6) as a0, min(lng_e6) as a1, max(lat_e6) as b0, max(lng_e6) as b1, count(*) as m from fx_vertex where n <= 2 group by way_id) group by a0, a1, b0, b1, m"),
+)
+def seam_dedupe(spark, sf):
+    ends = fx.vertex(spark, sf).where("n <= 2").groupBy("way_id").agg(F.min("lat_e6").alias("a0"), F.min("lng_e6").alias("a1"), F.max("lat_e6").alias("b0"), F.max("lng_e6").alias("b1"), F.count(F.lit(1)).alias("m"))
+    return ends.groupBy("a0", "a1", "b0", "b1", "m").agg(F.min("way_id").alias("way_id"), F.count(F.lit(1)).alias("copies"))
