@@ -207,3 +207,54 @@ def cache_expiry(spark, sf):
     e = fx.table(spark, sf, "events").select("event_id", "ts", F.expr(_STATES).alias("kind"))
     life = F.when(col("kind") == "hole", 2592000).when(col("kind") == "uncovered", 300).otherwise(3600)
     return e.select("event_id", "kind", (col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), life.cast("decimal(18,6)"))).alias("expires_at"))
+
+
+@query("archive_roundtrip")
+def archive_roundtrip(spark, sf):
+    """Each part's tiles packed into an archive and read back through its directory: whether every byte returned."""
+    import pyarrow as pa
+
+    from ..sources import archive as files
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        tiles = [(r["i"], r["j"], files.pack(f'{{"v":4,"n":{r["n"]},"bytes":{r["bytes"]}}}'.encode())) for r in rows]
+        raw = files.build(f"s{rows[0]['part']}", "v4", tiles)
+        head, _, entries = files.parse(raw)
+        own = {files.tile_id(i, j): body for i, j, body in tiles}
+        same = [raw[head.tiles[0] + at : head.tiles[0] + at + n] == own[number] for number, at, n in entries]
+        return pa.table({"part": [rows[0]["part"]], "tiles": [len(entries)], "same": [sum(same)], "bytes": [len(raw)]})
+
+    return fx.tile(spark, sf).select(col("part").cast("int"), col("i").cast("int"), col("j").cast("int"), "n", "bytes").groupBy("part").applyInArrow(run, "part int, tiles long, same long, bytes long")
+
+
+@query("tile_bodies")
+def tile_bodies(spark, sf):
+    """Canonical JSON of tiles, packed and unpacked again: digest and whether it came back."""
+    from ..sources import features, sinks
+
+    empty = lambda kind: F.array().cast(kind)
+    tiles = fx.tile(spark, sf).withColumns({"slice": F.concat(F.lit("s"), col("part").cast("string")), "ways": empty("array<struct<points:array<struct<lat:double,lng:double>>,foot:boolean>>"), "names": F.array(col("n").cast("string")), "crossings": empty("array<struct<lat:double,lng:double>>")})
+    packed = sinks.tile_bodies(tiles, "v4")
+    return features.payloads(packed).select("slice", "i", "j", "sha", (F.sha2("body", 256) == col("sha")).alias("same"))
+
+
+@query("raster_blocks")
+def raster_blocks(spark, sf):
+    """Elevations by block of 16 x 16 cells, encoded as a raster block and decoded again: cells and differences."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ..sources import elevation
+
+    def run(table: pa.Table) -> pa.Table:
+        x, y = table["cx"].to_numpy(), table["cy"].to_numpy()
+        e = table["e"].to_numpy(zero_copy_only=False).astype(np.float32)
+        block = np.full((16, 16), np.nan, np.float32)
+        block[y % 16, x % 16] = e
+        back = elevation.decode_block(elevation.encode_block(block), 16, 16)
+        bad = int(((back != block) & ~(np.isnan(back) & np.isnan(block))).sum())
+        return pa.table({"bx": [int(x[0] // 16)], "b_y": [int(y[0] // 16)], "cells": [len(x)], "bad": [bad]})
+
+    cells = fx.dem(spark, sf).withColumns({"bx": grid.floor_div("cx", 16), "b_y": grid.floor_div("cy", 16)})
+    return cells.groupBy("bx", "b_y").applyInArrow(run, "bx long, b_y long, cells long, bad long")
