@@ -225,7 +225,7 @@ def archive_roundtrip(spark, sf):
         same = [raw[head.tiles[0] + at : head.tiles[0] + at + n] == own[number] for number, at, n in entries]
         return pa.table({"part": [rows[0]["part"]], "tiles": [len(entries)], "same": [sum(same)], "bytes": [len(raw)]})
 
-    return fx.tile(spark, sf).select(col("part").cast("int"), col("i").cast("int"), col("j").cast("int"), "n", "bytes").groupBy("part").applyInArrow(run, "part int, tiles long, same long, bytes long")
+    return fx.tile(spark, sf).select(col("part").cast("int"), col("i").cast("int"), col("j").cast("int"), "n", "bytes").groupBy("part").applyInArrow(run, "part long, tiles long, same long, bytes long")
 
 
 @query("tile_bodies")
