@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from wayloom.llm import decontaminate, icws, langid_crf, segment, suffix_dedup
 from wayloom.llm.storage import checkpoint
 
-#: A document whose likeliest language has less of its words goes, as do documents without a letter.
-LEAST_LANGUAGE_SHARE = 0.35
+#: A document goes in which no language has so much of the words, as do documents without a letter.
+LEAST_LANGUAGE_SHARE = 0.2
 WIDTH = 50
 WINDOW = 10
 SAMPLES = 2

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import small_batches
 from .textkit import Words, buffers, byte_slices, words
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -220,6 +221,7 @@ def find_hits(
 ) -> DataFrame:
     """docs with n_words, hit_spans (merged word ranges), hit_bytes (byte range of each span) and hit_items (sorted ids)."""
     extra = {COUNT: "bigint", SPANS: "array<struct<a:int,b:int>>", BYTES: "array<struct<a:int,b:int>>", ITEMS: "array<string>"}
+    small_batches(docs.sparkSession)
     out = docs.drop(*extra).withColumns({k: F.lit(None).cast(v) for k, v in extra.items()})
     schema = out.schema
     for block in _blocks(items, item_id, item_text, block_bytes) or [[]]:

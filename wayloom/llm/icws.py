@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .storage import checkpoint
+from .storage import checkpoint, small_batches
 from .textkit import U64, buffers, byte_slices, mix, shingles, words
 
 SHINGLE = 5
@@ -264,6 +264,7 @@ def _linked(members: DataFrame, texts: DataFrame, idf, threshold: float, shards:
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, broadcast_ids: int = 1 << 20) -> DataFrame:
     """(id, class_id): the least id of the document's group of near copies."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    small_batches(docs.sparkSession)
     counts, n = frequencies(rows)
     idf = docs.sparkSession.sparkContext.broadcast(idf_table(counts, n))
     keyed = checkpoint(buckets_of(rows.where("id is not null"), idf))

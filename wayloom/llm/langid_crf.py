@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import held_out, sample
+from .storage import small_batches
 from .textkit import U64, Words, _powers, buffers, byte_slices, mix, words
 
 BITS = 17
@@ -256,6 +257,7 @@ def has_letter(raw: bytes) -> bool:
 
 def identify(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 21) -> DataFrame:
     """docs with lang_pred, score (posterior share of that language) and n_switches (words labelled unlike the word before)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(crf)
     docs = docs.drop("lang_pred", "score", "n_switches")
     position = docs.columns.index(text_col)

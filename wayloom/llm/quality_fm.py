@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import STATS, Features, extract, held_out, sample
+from .storage import small_batches
 from .textkit import buffers, byte_slices
 
 BINS = 10
@@ -134,6 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 
 def score(docs: DataFrame, model: FactorMachine, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 21) -> DataFrame:
     """(id, score) of every row; the model has a fixed size and is broadcast."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,6 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import small_batches
 from .textkit import U64, _powers, buffers, byte_slices, mix
 
 SPACE = "▁"
@@ -407,6 +408,7 @@ def _batches(batches: Iterator[pa.RecordBatch], path: str, k: int, slice_bytes:
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col), F.xxhash64(F.col(id_col).cast("string")).alias("__wl_key"), F.col(text_col).alias("__wl_text"))
 
 

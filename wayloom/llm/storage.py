@@ -1,10 +1,13 @@
-"""Where intermediate results are written: the folder all executors share."""
+"""Where intermediate results are written, and how many rows go to Python at once."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -19,3 +22,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint"))
     return df.checkpoint(eager=True)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of texts hold BATCH_ROWS rows at most; a session that asks for fewer keeps its number.
+
+    A batch is held by the JVM and by Python at once; Spark's default of 10,000 texts
+    costs each core some 200 MB.
+    """
+    now = int(spark.conf.get(_BATCH))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))

@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import small_batches
 from .textkit import byte_slices, buffers
 
 SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -108,5 +109,6 @@ def count_tokens(
             size = pc.cast(pc.binary_length(text), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), size, pa.array(counts, pa.int64())], names=[id_col, "n_bytes", "n_tokens"])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, F.col(text_col).alias("__wl_text")).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import held_out, sample
+from .storage import small_batches
 from .textkit import U64, Words, buffers, byte_slices, mix, words
 
 CATEGORIES = ("severe", "repeated", "toxic")
@@ -188,6 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 21) -> DataFrame:
     """(id, one probability for each category) of every row; the model has a fixed size and is broadcast."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

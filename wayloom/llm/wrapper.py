@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import checkpoint
+from .storage import checkpoint, small_batches
 
 #: Element classes of HTML.
 RAW = ["script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select"]
@@ -327,6 +327,7 @@ def _pieces(keep: list[str]):
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_rows: int = 200_000, **rules) -> DataFrame:
     """(id, url, text) of every page."""
+    small_batches(pages.sparkSession)
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), _host(url_col).alias("host"), F.col(html_col).alias("html"))
     template = induce(source.select("host", "html"), **rules)
     # The verdicts are used twice (counted and joined), so they are written down, where executors share a folder.
