@@ -54,7 +54,7 @@ TABLE_BITS = 16
 SLICE = 1 << 21
 CHUNK = 1 << 15
 BLOCK = 1024
-ROUNDS = ((1, 2), (3, 4), (1, BANDS))  # first band, bands
+ROUNDS = ((0, 1), (2, 5), (0, BANDS - 1))  # first and last band
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -217,6 +217,7 @@ def _alike(first: np.ndarray, shingle: np.ndarray, count: np.ndarray, rows: list
         x[row[a:b], feature[a:b] - feature[a]] = np.sqrt(weight[a:b])
         common += x @ x.T
         a = b
+    np.fill_diagonal(common, total)
     both = total[:, None] + total[None, :] - common
     return np.divide(common, both, out=np.zeros((m, m)), where=both > 0)
 
@@ -268,14 +269,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     counts, n = frequencies(rows)
     idf = docs.sparkSession.sparkContext.broadcast(idf_table(counts, n))
     keyed = checkpoint(buckets_of(rows.where("id is not null"), idf))
-    # Equal texts have equal keys, so any will do.
-    nodes = checkpoint(keyed.groupBy("digest").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys")))
+    # Equal texts have equal keys: the row of the least id stands for all.
+    first = keyed.groupBy("digest").agg(F.min("id").alias("id"))
+    banded = keyed.join(first, ["digest", "id"]).select("id", F.posexplode("keys").alias("band", "key")).distinct()
+    several = banded.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    shared = checkpoint(banded.join(several, "key").select("key", "band", "id"))
     none = rows.select(F.col("id").alias("a"), F.col("id").alias("b")).where(F.lit(False))
     links, labels = none, none.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    for number, (first, bands) in enumerate(ROUNDS):
-        banded = nodes.select("id", F.explode(F.slice("keys", first, bands)).alias("key"))
-        found = _mixed_members(banded, labels, number, number == len(ROUNDS) - 1)
-        members = checkpoint(found)
+    for number, (least, most) in enumerate(ROUNDS):
+        here = shared.where(F.col("band").between(least, most)).select("key", "id")
+        members = checkpoint(_mixed_members(here, labels, number, number == len(ROUNDS) - 1))
         many = members.count()
         if not many:
             continue
@@ -285,7 +288,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         texts = checkpoint(rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t")))
         links = links.unionByName(checkpoint(_linked(members, texts, idf, threshold, max(64, many // 1000))))
         labels = checkpoint(components(links).select(F.col("node").alias("id"), "component"))
-    by_text = nodes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
+    by_text = first.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
     known = keyed.select("id", "digest").join(by_text, "digest").select(F.col("id").alias(id_col), "class_id")
     unknown = rows.where("id is null").select(F.col("id").alias(id_col), F.lit(None).cast("bigint").alias("class_id"))
     return known.unionByName(unknown)
@@ -293,27 +296,28 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
 def _mixed(labelled: DataFrame) -> DataFrame:
     """Buckets with several components: key, size, least member."""
-    seen = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "component")).alias("least"))
+    seen = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
     return seen.where("x <> y").select("key", "n", "least")
 
 
 def _mixed_members(banded: DataFrame, labels: DataFrame, number: int, last: bool) -> DataFrame:
     """(key, block, id, component): members of buckets with several components, in blocks of bounded size."""
 
-    def dealt(labelled: DataFrame, mixed: DataFrame) -> DataFrame:
+    def dealt(labelled: DataFrame) -> DataFrame:
         blocks = F.ceil(F.col("n") / BLOCK)
-        own = labelled.join(mixed, "key").select("key", F.pmod(F.xxhash64("id", F.lit(number)), blocks).alias("block"), "id", "component")
-        lead = mixed.where(F.col("n") > BLOCK).select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"), "least.id", "least.component")
-        return own.unionByName(lead)
+        own = labelled.join(_mixed(labelled), "key")
+        block = F.pmod(F.xxhash64("id", F.lit(number)), blocks)
+        # The least member of a large bucket goes to all its blocks, so they share one.
+        every = F.when((F.col("n") > BLOCK) & (F.col("id") == F.col("least")), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array(block))
+        return own.select("key", F.explode(every).alias("block"), "id", "component", "n")
 
     labelled = banded.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = _mixed(labelled)
-    out = dealt(labelled, mixed)
+    out = dealt(labelled)
     if last:
-        many = labelled.join(mixed.where(F.col("n") > BLOCK).select("key"), "key")
+        many = out.where(F.col("n") > BLOCK).select("key", "id", "component").distinct()
         finer = many.join(banded.select("id", F.col("key").alias("other")), "id").where("key <> other").select(F.xxhash64("key", "other").alias("key"), "id", "component")
-        out = out.unionByName(dealt(finer, _mixed(finer)))
-    return out
+        out = out.unionByName(dealt(finer))
+    return out.drop("n")
 
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 1 << 20, **options) -> DataFrame:

@@ -77,7 +77,7 @@ class Link:
 def _fit(first: np.ndarray, slot: np.ndarray, before: np.ndarray, y: np.ndarray, n: int, steps: int = 500) -> Link:
     """Full-batch Adagrad with weight decay; both classes weigh alike."""
     link = Link(0.0, np.zeros(n), np.zeros(before.shape[1]))
-    if y.min(initial=1) == y.max(initial=0):
+    if not len(y) or y.min() == y.max():
         p = min(max((y.sum() + 0.5) / (len(y) + 1), 1e-4), 1 - 1e-4)
         link.bias = float(np.log(p / (1 - p)))
         return link
