@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import small_batches
+from .storage import lean, small_batches
 from .textkit import Words, buffers, byte_slices, words
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -225,7 +225,7 @@ def find_hits(
     out = docs.drop(*extra).withColumns({k: F.lit(None).cast(v) for k, v in extra.items()})
     schema = out.schema
     for block in _blocks(items, item_id, item_text, block_bytes) or [[]]:
-        out = out.mapInArrow(_scanner(block, text_col, window, slice_bytes), schema)
+        out = out.mapInArrow(lean(_scanner(block, text_col, window, slice_bytes)), schema)
     return out
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .storage import checkpoint, small_batches
+from .storage import checkpoint, lean, release, small_batches
 from .textkit import U64, buffers, byte_slices, mix, shingles, words
 
 SHINGLE = 5
@@ -147,7 +147,7 @@ def frequencies(docs: DataFrame, text: str = "t") -> tuple[np.ndarray, int]:
         return pa.table({"part": table["part"][:1], "counts": pa.array([total.tobytes()], pa.binary()), "rows": pa.array([sum(table["rows"].to_pylist())], pa.int64())})
 
     schema = "part int, counts binary, rows bigint"
-    got = docs.select(text).mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
+    got = docs.select(text).mapInArrow(lean(count), schema).groupBy("part").applyInArrow(add, schema).collect()
     out = np.zeros(1 << DF_BITS, np.float64)
     for r in got:
         n = len(out) // DF_PARTS
@@ -189,7 +189,7 @@ def buckets_of(docs: DataFrame, idf, slice_bytes: int = SLICE) -> DataFrame:
                 keys += [k if y else [] for k, y in zip(band_keys(samples(first, s, _weights(s, n, idf.value))).tolist(), some, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["id", "digest", "keys"])
 
-    return docs.select("id", F.unhex(F.md5("t")).alias("digest"), "t").mapInArrow(run, "id bigint, digest binary, keys array<bigint>")
+    return docs.select("id", F.unhex(F.md5("t")).alias("digest"), "t").mapInArrow(lean(run), "id bigint, digest binary, keys array<bigint>")
 
 
 def _alike(first: np.ndarray, shingle: np.ndarray, count: np.ndarray, rows: list[int], idf: np.ndarray) -> np.ndarray:
@@ -256,6 +256,7 @@ def _linked(members: DataFrame, texts: DataFrame, idf, threshold: float, shards:
             if len(rows) > 1 and len(set(component[group[at]].tolist())) > 1:
                 like = _alike(first, shingle, count, rows.tolist(), idf.value)
                 links += [(own[rows[i]], own[rows[j]]) for i, j in spanning(like, component[group[at]], threshold)]
+        release()
         return pa.table({"a": pa.array([int(x) for x, _ in links], pa.int64()), "b": pa.array([int(x) for _, x in links], pa.int64())})
 
     shard = F.pmod(F.xxhash64("key", "block"), F.lit(shards))

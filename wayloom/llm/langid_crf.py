@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import held_out, sample
-from .storage import small_batches
+from .storage import lean, small_batches
 from .textkit import U64, Words, _powers, buffers, byte_slices, mix, words
 
 BITS = 17
@@ -234,7 +234,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 out.append(bytes(w.lower[w.start[a] : w.end[b - 1]]).decode("utf-8", "ignore") if b > a else "")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out), batch.column(2)], names=["y", "t", "h"])
 
-    got = rows.mapInArrow(run, "y string, t string, h bigint").toArrow().sort_by("h")
+    got = rows.mapInArrow(lean(run), "y string, t string, h bigint").toArrow().sort_by("h")
     names = got["y"].to_pylist()
     labels = sorted(set(names))
     if len(labels) > max_languages:
@@ -301,4 +301,4 @@ def identify(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tags, pa.string()), pa.array(np.concatenate(share)), pa.array(np.concatenate(turns))], names=[*batch.schema.names, "lang_pred", "score", "n_switches"])
 
     out = docs.withColumns({"lang_pred": F.lit(None).cast("string"), "score": F.lit(None).cast("double"), "n_switches": F.lit(None).cast("bigint")}).schema
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(lean(run), out)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import STATS, Features, extract, held_out, sample
-from .storage import small_batches
+from .storage import lean, small_batches
 from .textkit import buffers, byte_slices
 
 BINS = 10
@@ -111,7 +111,7 @@ def collect_features(rows: DataFrame, text_col: str, label_col: str, bits: int)
             stats = pa.ListArray.from_arrays(pa.array(np.arange(len(f.stats) + 1) * len(STATS), pa.int32()), pa.array(f.stats.ravel()))
             yield pa.RecordBatch.from_arrays([lists(f.bucket, pa.int32()), lists(f.count, pa.int32()), stats, pa.array(f.n_words, pa.int64()), batch.column(1)], names=["b", "c", "s", "n", "y"])
 
-    out = rows.select(text_col, F.col(label_col).cast("int")).mapInArrow(run, "b array<int>, c array<int>, s array<double>, n bigint, y int").toArrow().sort_by([("n", "ascending"), ("y", "ascending")])
+    out = rows.select(text_col, F.col(label_col).cast("int")).mapInArrow(lean(run), "b array<int>, c array<int>, s array<double>, n bigint, y int").toArrow().sort_by([("n", "ascending"), ("y", "ascending")])
     flat = lambda k: out[k].combine_chunks().flatten().to_numpy(zero_copy_only=False)
     sizes = np.array([len(x) for x in out["b"]], np.int64)
     f = Features(np.concatenate([[0], np.cumsum(sizes)]), flat("b").astype(np.int64), flat("c"), out["n"].to_numpy(), flat("s").reshape(len(sizes), len(STATS)))
@@ -149,4 +149,4 @@ def score(docs: DataFrame, model: FactorMachine, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out))], names=[id_col, "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, score double")

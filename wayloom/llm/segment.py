@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import small_batches
+from .storage import lean, small_batches
 from .textkit import U64, _powers, buffers, byte_slices, mix
 
 SPACE = "▁"
@@ -412,7 +412,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col), F.xxhash64(F.col(id_col).cast("string")).alias("__wl_key"), F.col(text_col).alias("__wl_text"))
 
 
-def segmentations(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 20) -> DataFrame:
+def segmentations(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 19) -> DataFrame:
     """(id, rank, ids, log_prob, perturbed, inclusion): up to k distinct segmentations of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,10 +426,10 @@ def segmentations(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "d
             yield pa.RecordBatch.from_arrays([names.take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), lists, *(pa.array(c, pa.float64()) for c in cols[3:])], names=[id_col, "rank", "ids", "log_prob", "perturbed", "inclusion"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return _source(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, rank int, ids array<int>, log_prob double, perturbed double, inclusion double")
+    return _source(docs, id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, rank int, ids array<int>, log_prob double, perturbed double, inclusion double")
 
 
-def digests(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 20) -> DataFrame:
+def digests(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 19) -> DataFrame:
     """As `segmentations`, with n_pieces, a digest of the ids and whether they decode to the text in place of the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -448,7 +448,7 @@ def digests(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id"
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return _source(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, rank int, n_pieces bigint, ids_sha256 string, round_trip boolean, log_prob double, perturbed double, inclusion double")
+    return _source(docs, id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, rank int, n_pieces bigint, ids_sha256 string, round_trip boolean, log_prob double, perturbed double, inclusion double")
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
@@ -463,4 +463,4 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out_col: str
             text = [None if x is None else p.decode(np.array(x, np.int64)).decode("utf-8", "replace") for x in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], names=[*batch.schema.names, out_col])
 
-    return rows_out.mapInArrow(run, rows_out.withColumn(out_col, F.lit("")).schema)
+    return rows_out.mapInArrow(lean(run), rows_out.withColumn(out_col, F.lit("")).schema)

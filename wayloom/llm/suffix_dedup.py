@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import release
 from .suffix_array import earliest
 from .textkit import U64, _powers, buffers, mix
 
@@ -112,6 +113,7 @@ def pair_key(anchor: np.ndarray, tag: np.ndarray) -> np.ndarray:
 
 def _slice(table: pa.Table, width: int, bits: int) -> tuple[Runs, np.ndarray, np.ndarray]:
     """Runs, ids and whether each row has an id, of a slice."""
+    release()
     table = table.combine_chunks()
     data, offsets = buffers(table["t"])
     ids = table["id"].fill_null(0).to_numpy()
@@ -299,6 +301,7 @@ def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int) -> tupl
 
     def decide(table: pa.Table) -> pa.Table:
         """Owners of the windows of a shard's segments, for entries with a later document."""
+        release()
         key, anchor, nth, at, low, high, length, packet = _open(table, *columns)
         blob = b"".join(table["blob"].to_pylist())
         ends = np.cumsum(length).tolist()

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import small_batches
+from .storage import lean, small_batches
 from .textkit import byte_slices, buffers
 
 SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -111,4 +111,4 @@ def count_tokens(
 
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).alias("__wl_text")).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")
+    return docs.select(id_col, F.col(text_col).alias("__wl_text")).mapInArrow(lean(run), f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import held_out, sample
-from .storage import small_batches
+from .storage import lean, small_batches
 from .textkit import U64, Words, buffers, byte_slices, mix, words
 
 CATEGORIES = ("severe", "repeated", "toxic")
@@ -180,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
                 yield pa.RecordBatch.from_arrays([lists, batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a)], names=["t", "y", "h"])
 
     rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col, "__wl_y", F.xxhash64(id_col).alias("h"))
-    got = rows.mapInArrow(run, "t array<int>, y int, h bigint").toArrow().sort_by("h")
+    got = rows.mapInArrow(lean(run), "t array<int>, y int, h bigint").toArrow().sort_by("h")
     lists = got["t"].combine_chunks()
     bucket = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     first = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
@@ -202,4 +202,4 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(p[:, k]) for k in range(len(CATEGORIES)))], names=[id_col, *(f"p_{c}" for c in CATEGORIES)])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, " + ", ".join(f"p_{c} double" for c in CATEGORIES))
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, " + ", ".join(f"p_{c} double" for c in CATEGORIES))
