@@ -1,5 +1,5 @@
 import numpy as np
-from conftest import odd_rows
+from oddities import odd_rows
 
 from wayloom.llm import quality_fm as q
 from wayloom.llm import toxicity_chain as x

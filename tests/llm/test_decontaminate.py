@@ -1,6 +1,6 @@
 import random
 
-from conftest import odd_rows
+from oddities import odd_rows
 
 from wayloom.llm import decontaminate as d
 

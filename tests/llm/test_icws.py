@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
-from conftest import odd_rows, prose
+from oddities import odd_rows, prose
 
 from wayloom.llm import icws as x
 from wayloom.llm.textkit import buffers

@@ -1,6 +1,6 @@
 import numpy as np
 import pyarrow as pa
-from conftest import odd_rows
+from oddities import odd_rows
 
 from wayloom.llm import langid_crf as c
 from wayloom.llm.textkit import buffers, words

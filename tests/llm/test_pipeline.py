@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline as c
-from conftest import CLASH, odd_rows, prose
+from oddities import CLASH, odd_rows, prose
 
 from wayloom.llm import queries
 

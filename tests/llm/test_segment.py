@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
-from conftest import odd_rows
+from oddities import odd_rows
 
 from wayloom.llm import segment as s
 from wayloom.llm.textkit import buffers

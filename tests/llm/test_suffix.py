@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest import odd_rows
+from oddities import odd_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

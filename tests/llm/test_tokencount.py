@@ -2,7 +2,7 @@ import os
 
 import public_tokenizers
 import sentencepiece
-from conftest import odd_rows
+from oddities import odd_rows
 from tokenizers import Tokenizer
 
 from wayloom.llm import tokencount as t
