@@ -11,7 +11,22 @@ NOT_FOOT = ["residential", "service", "unclassified"]
 HABITAT_RES = ["residential", "living_street"]
 HABITAT_FOOT = ["footway", "path", "pedestrian", "steps", "track"]
 HABITAT_ROAD = ["service", "unclassified"]
-HAZARDS = ["tertiary", "tertiary_link", "secondary", "secondary_link", "primary", "primary_link"]
+HAZARDS = ["tertiary", "tertiary_link", "secondary", "secondary_link", "primary", "primary_link", "trunk", "trunk_link", "motorway", "motorway_link"]
+#: What is taken from an extract: object (n node, w way, a area), key, values.
+SELECTED = [
+    ("w", "highway", FOOT + NOT_FOOT + HAZARDS),
+    ("n", "highway", ["crossing"]),
+    ("w", "footway", ["crossing"]),
+    ("a", "natural", ["wood", "water"]),
+    ("a", "waterway", ["riverbank"]),
+    ("a", "landuse", ["forest", "reservoir", "basin", "grass", "meadow", "recreation_ground", "village_green", "farmland", "farmyard", "orchard", "cemetery"]),
+    ("a", "leisure", ["park", "garden", "common", "nature_reserve"]),
+    ("a", "amenity", ["library"]),
+    ("n", "amenity", ["library"]),
+    ("n", "place", ["city", "town", "village", "hamlet", "suburb"]),
+    ("n", "natural", ["peak"]),
+    ("a", "boundary", ["national_park", "protected_area"]),
+]
 LIT_YES = ["yes", "24/7", "sunset-sunrise", "dusk-dawn", "automatic"]
 LIT_NO = ["no", "disused"]
 ACCESS = ["private", "no", "permissive"]
@@ -32,6 +47,14 @@ REFERENCE = {"national_park": 5e7, "protected_area": 5e6, "park": 1e5, "library"
 PEAK_REFERENCE_M = 95.0
 
 
+def selected(kind: Column, tag) -> Column:
+    """Whether an object of an extract is wanted at all. tag: a function from a key to its column."""
+    out = F.lit(False)
+    for obj, key, values in SELECTED:
+        out = out | ((kind == obj) & F.coalesce(tag(key).isin(values), F.lit(False)))
+    return out
+
+
 def walkable(highway: Column) -> Column:
     return F.coalesce(highway.isin(FOOT + NOT_FOOT), F.lit(False))
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import codec, text
+from ..functions import codec, tags, text
 
 FEATURE = "type string, id string, properties map<string,string>, geometry struct<type:string,coordinates:string>"
 HABITAT = "cx long, cy long, f string, classes array<string>"
@@ -48,6 +48,11 @@ def features(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def selected(rows: DataFrame) -> DataFrame:
+    """Features that any layer uses, so that nothing else is read further."""
+    return rows.where(tags.selected(F.col("object"), lambda k: F.col("tags")[k]))
+
+
 def parse_boundary(body: str) -> list[dict]:
     """Rings of a boundary file: sections of longitude and latitude, a name beginning with ! being a hole."""
     out, ring, hole = [], None, False
