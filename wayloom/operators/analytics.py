@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codec, grid
 
+PERCENTILE_BINS = 4096
+
 
 def distinct_cells(grids: DataFrame) -> DataFrame:
     """One row for each spawn cell of overlapping tile grids; a cell's records agree by construction."""
@@ -27,17 +29,23 @@ def several_classes(cells: DataFrame, mask: str = "mask") -> DataFrame:
 
 
 def floor_percentile(df: DataFrame, value: str, shares: dict[str, float], within: list[str] | None = None) -> DataFrame:
-    """Percentiles by index floor(p * n), the last at most: not the discrete percentile.
+    """Percentiles by index floor(p * n), the last at most: not the discrete percentile. The value is a number.
 
-    Values are counted first, so the sort sees each value once; a running count finds
-    the value that holds the index.
+    Values are counted first, and dealt into at most PERCENTILE_BINS bins between their
+    least and greatest. Running counts go over the bins, which are few, and inside each
+    bin, so neither a group's values nor all values meet in one task.
     """
-    from pyspark.sql import Window
-
     within = within or []
     counted = df.where(F.col(value).isNotNull()).groupBy(*within, value).agg(F.count(F.lit(1)).alias("c"))
-    by = Window.partitionBy(*within)
-    run = counted.withColumns({"upto": F.sum("c").over(by.orderBy(value)), "n": F.sum("c").over(by)})
+    ends = [F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("c").alias("n")]
+    frame = counted.groupBy(*within).agg(*ends) if within else counted.agg(*ends)
+    part = F.try_divide((F.col(value) - F.col("lo")) * F.lit(float(PERCENTILE_BINS)), (F.col("hi") - F.col("lo")).cast("double"))
+    rows = counted.join(frame, within) if within else counted.crossJoin(F.broadcast(frame))
+    rows = rows.withColumn("bin", F.coalesce(F.floor(part), F.lit(0)).cast("int"))
+    before = F.sum("b").over(Window.partitionBy(*within).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    bins = rows.groupBy(*within, "bin").agg(F.sum("c").alias("b")).withColumn("before", F.coalesce(before, F.lit(0))).drop("b")
+    upto = F.col("before") + F.sum("c").over(Window.partitionBy(*within, "bin").orderBy(value))
+    run = rows.join(bins, [*within, "bin"]).withColumn("upto", upto)
     index = lambda p: F.least(F.col("n") - 1, F.floor(F.col("n") * p))
     agg = [F.min(F.when(F.col("upto") > index(p), F.col(value))).alias(name) for name, p in shares.items()]
     return (run.groupBy(*within) if within else run).agg(*agg)
