@@ -54,7 +54,7 @@ TABLE_BITS = 16
 SLICE = 1 << 21
 CHUNK = 1 << 15
 BLOCK = 1024
-ROUNDS = ((0, 1), (2, 5), (0, BANDS - 1))  # first and last band
+ROUNDS = ((0, 2), (0, BANDS - 1))  # first and last band
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -286,7 +286,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         ids = members.select("id").distinct()
         if ids.count() <= broadcast_ids:
             ids = F.broadcast(ids)
-        texts = checkpoint(rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t")))
+        texts = rows.join(ids, "id", "left_semi")
         links = links.unionByName(checkpoint(_linked(members, texts, idf, threshold, max(64, many // 1000))))
         labels = checkpoint(components(links).select(F.col("node").alias("id"), "component"))
     by_text = first.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))

@@ -255,7 +255,7 @@ def has_letter(raw: bytes) -> bool:
     return any(c.isalpha() for c in raw.decode("utf-8", "replace"))
 
 
-def identify(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 21) -> DataFrame:
+def identify(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 19) -> DataFrame:
     """docs with lang_pred, score (posterior share of that language) and n_switches (words labelled unlike the word before)."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(crf)

@@ -94,14 +94,44 @@ class Pieces:
                 two = np.frombuffer(piece, np.uint8)
                 self.inside[two[:-1], two[1:]] = True
         self.width = width
-        self.trie = np.zeros(nodes * width, np.int32)
-        self.trie[list(edges)] = list(edges.values())
+        self._fill(np.array(list(edges), np.int64), np.array(list(edges.values()), np.int32))
         self.end = np.full(nodes, -1, np.int32)
         self.end[list(ends)] = list(ends.values())
         self.size = np.array([len(x) for x in self.raw])
         self.place = np.cumsum(self.size) - self.size
         self.blob = np.frombuffer(b"".join(self.raw), np.uint8)
 
+    def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Trie edges in an open-addressed table, at most a quarter full."""
+        self.bits = int(4 * len(keys)).bit_length()
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.zeros(1 << self.bits, np.int32)
+        slot = self._slot(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            at, first = np.unique(slot[free], return_index=True)
+            self.keys[at], self.values[at] = keys[free[first]], values[free[first]]
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(U64) * U64(0x9E3779B97F4A7C15)) >> U64(64 - self.bits)).astype(np.int64)
+
+    def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Next trie states, 0 where there is no edge."""
+        keys = state * self.width + column
+        slot = self._slot(keys)
+        out = np.zeros(len(keys), np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            here = self.keys[slot]
+            same = here == keys[left]
+            out[left[same]] = self.values[slot[same]]
+            more = ~same & (here >= 0)
+            left, slot = left[more], (slot[more] + 1) & ((1 << self.bits) - 1)
+        return out
+
     @classmethod
     def load(cls, path: str) -> Pieces:
         if path not in _loaded:
@@ -155,10 +185,10 @@ class Lattice:
         at, state, length = first, np.zeros(len(first), np.int64), 0
         column = p.column[text]
         while len(at):
-            state = p.trie[state * p.width + column[at + length]]
+            state = p.step(state, column[at + length])
             length += 1
             alive = state > 0
-            at, state = at[alive], state[alive].astype(np.int64)
+            at, state = at[alive], state[alive]
             piece = p.end[state]
             got = piece >= 0
             a.append(at[got])
