@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import checkpoint
+from .storage import Kept, checkpoint
 
 
 SMALL = 1 << 20
@@ -54,15 +54,16 @@ def _small(edges: DataFrame) -> DataFrame:
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).where("u <> v").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60, small: int = SMALL) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 60, small: int = SMALL, kept: Kept | None = None) -> DataFrame:
     """(node, component) of all nodes with an edge; a component is its least node. edges: (a, b), any order.
 
     Every round writes its links to the shared checkpoint folder; rounds grow with the
     logarithm of the longest chain. A node with very many neighbours is combined
-    map-side and its join is split like any skewed one.
+    map-side and its join is split like any skewed one. kept: writes the
+    links for a caller that knows their number.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = checkpoint(edges)
+    edges = (kept or checkpoint)(edges)
     if edges.count() <= small:
         return edges.coalesce(1).mapInArrow(_join_here, "node bigint, component bigint")
     state = None

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .storage import checkpoint, lean, release, small_batches
+from .storage import Kept, lean, release, small_batches
 from .textkit import U64, buffers, byte_slices, mix, shingles, words
 
 SHINGLE = 5
@@ -268,18 +268,19 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     small_batches(docs.sparkSession)
     counts, n = frequencies(rows)
+    kept = Kept(n * BANDS)
     idf = docs.sparkSession.sparkContext.broadcast(idf_table(counts, n))
-    keyed = checkpoint(buckets_of(rows.where("id is not null"), idf))
+    keyed = kept(buckets_of(rows.where("id is not null"), idf))
     # Equal texts have equal keys: the row of the least id stands for all.
     first = keyed.groupBy("digest").agg(F.min("id").alias("id"))
     banded = keyed.join(first, ["digest", "id"]).select("id", F.posexplode("keys").alias("band", "key")).distinct()
     several = banded.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-    shared = checkpoint(banded.join(several, "key").select("key", "band", "id"))
+    shared = kept(banded.join(several, "key").select("key", "band", "id"))
     none = rows.select(F.col("id").alias("a"), F.col("id").alias("b")).where(F.lit(False))
     links, labels = none, none.select(F.col("a").alias("id"), F.col("b").alias("component"))
     for number, (least, most) in enumerate(ROUNDS):
         here = shared.where(F.col("band").between(least, most)).select("key", "id")
-        members = checkpoint(_mixed_members(here, labels, number, number == len(ROUNDS) - 1))
+        members = kept(_mixed_members(here, labels, number, number == len(ROUNDS) - 1))
         many = members.count()
         if not many:
             continue
@@ -287,12 +288,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         if ids.count() <= broadcast_ids:
             ids = F.broadcast(ids)
         texts = rows.join(ids, "id", "left_semi")
-        links = links.unionByName(checkpoint(_linked(members, texts, idf, threshold, max(64, many // 1000))))
-        labels = checkpoint(components(links).select(F.col("node").alias("id"), "component"))
+        links = links.unionByName(kept(_linked(members, texts, idf, threshold, max(64, many // 1000))))
+        labels = kept(components(links, kept=kept).select(F.col("node").alias("id"), "component"))
     by_text = first.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
     known = keyed.select("id", "digest").join(by_text, "digest").select(F.col("id").alias(id_col), "class_id")
     unknown = rows.where("id is null").select(F.col("id").alias(id_col), F.lit(None).cast("bigint").alias("class_id"))
-    return known.unionByName(unknown)
+    return kept(known.unionByName(unknown))
 
 
 def _mixed(labelled: DataFrame) -> DataFrame:
@@ -326,7 +327,7 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broa
 
     Rows without an id stay; of rows that share an id one stays.
     """
-    found = checkpoint(classes(docs, id_col, text_col, broadcast_ids=broadcast_ids, **options))
+    found = classes(docs, id_col, text_col, broadcast_ids=broadcast_ids, **options)
     gone = found.where(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
     if gone.count() <= broadcast_ids:
         gone = F.broadcast(gone)

@@ -9,10 +9,26 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+FILE_ROWS = 1 << 21
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+class Kept:
+    """Checkpoints of narrow tables, in files of some FILE_ROWS rows.
+
+    Writing a file costs the executor a process of its own (for its permissions), so a
+    table is dealt into few files rather than one for each of its tasks.
+    """
+
+    def __init__(self, rows: int) -> None:
+        """rows: about how many the largest table has."""
+        self.files = max(1, -(-rows // FILE_ROWS))
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return checkpoint(df.repartition(self.files))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write df to the cluster's checkpoint folder and read it back, cutting its lineage.
 

@@ -331,7 +331,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), _host(url_col).alias("host"), F.col(html_col).alias("html"))
     template = induce(source.select("host", "html"), **rules)
     # The verdicts are used twice (counted and joined), so they are written down, where executors share a folder.
-    template = checkpoint(template)
+    template = checkpoint(template.coalesce(8))
     keep = ["id", "url", "host"]
     kinds = ", ".join(f"{k} {source.schema[k].dataType.simpleString()}" for k in keep)
     rows = source.mapInArrow(_pieces(keep), f"{kinds}, skeleton string, nodes array<int>, texts array<string>")
