@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from ..functions import grid
 # Fixed values.
 RELIEF_RADIUS_M = 5000.0
 PEAK_RADIUS_M = 8000.0
+#: Cells along a block's side: with a 5 km disc, a block sees some 1.8 times its own cells.
+BLOCK = 256
 
 
 def disc(radius_m: float, lat: float, size: float = grid.SPAWN_DEG) -> list[tuple[int, int]]:
@@ -25,31 +29,49 @@ def disc(radius_m: float, lat: float, size: float = grid.SPAWN_DEG) -> list[tupl
     return out
 
 
+def slide(grid_: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """Extreme of every `width` neighbours along rows, by doubling the span."""
+    out, span = grid_, 1
+    while span * 2 <= width:
+        out = best(out[:, :-span], out[:, span:])
+        span *= 2
+    return best(out[:, : out.shape[1] - (width - span)], out[:, width - span :]) if span < width else out
+
+
 def relief(cells: DataFrame, radius_m: float = RELIEF_RADIUS_M, lat: float | None = None, value: str = "e") -> DataFrame:
     """(cx, cy, relief): highest less lowest value in the disc around each measured cell; unmeasured cells count for nothing.
 
-    The disc is a set of row ranges. For each half width, one sliding window along the
-    rows gives the extremes of every range; each goes to the rows it serves, and the
-    second aggregation combines them map-side. lat: of the whole slice, as the disc is one for all.
+    The plane is cut into blocks of BLOCK x BLOCK cells; each block also gets the cells
+    around it that its discs reach, so a group has a fixed size whatever the slice. In a
+    block the disc is a stack of row ranges: for each distinct width one sliding pass,
+    then one comparison for each row. lat: of the whole slice, as the disc is one for all.
     """
     rows = disc(radius_m, lat if lat is not None else 0.0)
-    known = cells.where(F.col(value).isNotNull()).select("cx", "cy", F.col(value).alias("v"))
-    parts = []
-    for half in sorted({h for _, h in rows}):
-        over = Window.partitionBy("cy").orderBy("cx").rangeBetween(-half, half)
-        shifts = F.array(*(F.lit(-dy) for dy, h in rows if h == half))
-        # Only measured centres matter, but a row without one at some cx still serves its neighbours: spread the values instead.
-        parts.append((half, over, shifts))
-    out = None
-    for half, over, shifts in parts:
-        # Every cell that a range can serve: centres in the rows reached, at their own cx.
-        centres = known.select("cx", F.explode(F.transform(shifts, lambda d: F.col("cy") - d)).alias("cy")).distinct()
-        line = known.select("cx", "cy", "v", F.lit(True).alias("own")).unionByName(centres.join(known.select("cx", "cy"), ["cx", "cy"], "left_anti").select("cx", "cy", F.lit(None).cast(known.schema["v"].dataType).alias("v"), F.lit(False).alias("own")))
-        slid = line.withColumns({"hi": F.max("v").over(over), "lo": F.min("v").over(over)}).where("hi is not null")
-        sent = slid.select("cx", F.explode(F.transform(shifts, lambda d: F.col("cy") + d)).alias("cy"), "hi", "lo")
-        out = sent if out is None else out.unionByName(sent)
-    ends = out.groupBy("cx", "cy").agg((F.max("hi") - F.min("lo")).alias("relief"))
-    return known.select("cx", "cy").join(ends, ["cx", "cy"])
+    rx, ry = max(h for _, h in rows), max(abs(dy) for dy, _ in rows)
+    known = cells.where(F.col(value).isNotNull()).select("cx", "cy", F.col(value).cast("double").alias("v"))
+    reach = lambda c, r: F.sequence(grid.floor_div(F.col(c) - r, BLOCK), grid.floor_div(F.col(c) + r, BLOCK))
+    dealt = known.select("*", F.explode(reach("cx", rx)).alias("bx")).select("*", F.explode(reach("cy", ry)).alias("by"))
+
+    def run(key, table):
+        x0, y0 = key[0].as_py() * BLOCK, key[1].as_py() * BLOCK
+        cx, cy, v = (table[k].to_numpy() for k in ("cx", "cy", "v"))
+        x, y = cx - x0 + rx, cy - y0 + ry
+        ends = []
+        for best, none in ((np.maximum, -np.inf), (np.minimum, np.inf)):
+            plane = np.full((BLOCK + 2 * ry, BLOCK + 2 * rx), none)
+            plane[y, x] = v
+            out = np.full((BLOCK, BLOCK), none)
+            for half in {h for _, h in rows}:
+                line = slide(plane, 2 * half + 1, best)[:, rx - half : rx - half + BLOCK]
+                for dy in (d for d, h in rows if h == half):
+                    best(out, line[ry + dy : ry + dy + BLOCK], out=out)
+            ends.append(out)
+        own = (x >= rx) & (x < rx + BLOCK) & (y >= ry) & (y < ry + BLOCK)
+        at = (y[own] - ry, x[own] - rx)
+        return pa.table({"cx": cx[own], "cy": cy[own], "relief": ends[0][at] - ends[1][at]})
+
+    found = dealt.groupBy("bx", "by").applyInArrow(run, "cx bigint, cy bigint, relief double")
+    return found.select("cx", "cy", F.col("relief").cast(cells.schema[value].dataType).alias("relief"))
 
 
 def drops(peaks: DataFrame, posts: DataFrame, radius_m: float = PEAK_RADIUS_M, lat: float = 0.0, size: float = grid.SPAWN_DEG) -> DataFrame:
