@@ -98,13 +98,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def sample(labels: DataFrame, by: str, per_class: int, key: str) -> DataFrame:
+def sample(labels: DataFrame, by: str, per_class: int, key: str, most: int = 256) -> DataFrame:
     """At most `per_class` rows for each value of `by`, the first by hash of `key`: the same rows whatever the partitioning.
 
-    The sizes of the classes are counted first, and only the expected share (and a
+    Only the `most` largest classes are sampled. The sizes of the classes are counted first, and only the expected share (and a
     margin) of each class is ranked, so no class meets in one task whole.
     """
-    sizes = {r[0]: r[1] for r in labels.where(F.col(by).isNotNull()).groupBy(by).count().collect()}
+    sizes = {r[0]: r[1] for r in labels.where(F.col(by).isNotNull()).groupBy(by).count().orderBy(F.desc("count"), by).limit(most).collect()}
     if not sizes:
         return labels.where(F.lit(False))
     scale = 1 << 20

@@ -13,7 +13,8 @@ of the plain recursion over the whole document.
 
 Training sequences are runs of words of different documents put together, so the
 transitions see switches. At most `per_language` documents of each language are
-collected for it, and at most `train_words` words of each.
+collected for it, and at most `train_words` words of each; of more than `max_languages`
+languages the commonest are learnt.
 
 Edge cases: null texts and texts without a letter are `und` with score 0; a text
 with letters always gets a learnt language; repeated rows are labelled alike; extra
@@ -218,7 +219,7 @@ def _sequences(lang: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: i
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 700, train_words: int = 250, max_languages: int = 256, epochs: int = 4, length: int = 50) -> Crf:
     """Fit on rows with a language that are not held out."""
     own = docs.select(id_col, F.col(lang_col).alias("__wl_y")).where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    chosen = sample(own, "__wl_y", per_language, id_col).dropDuplicates([id_col])
+    chosen = sample(own, "__wl_y", per_language, id_col, max_languages).dropDuplicates([id_col])
     rows = docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), id_col).select("__wl_y", text_col, F.xxhash64(id_col).alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,8 +238,6 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     got = rows.mapInArrow(lean(run), "y string, t string, h bigint").toArrow().sort_by("h")
     names = got["y"].to_pylist()
     labels = sorted(set(names))
-    if len(labels) > max_languages:
-        raise ValueError(f"{len(labels)} languages; at most {max_languages} are supported")
     w = words(*buffers(got["t"])) if len(names) else None
     if w is None or not len(w.hash):
         return Crf([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)))
