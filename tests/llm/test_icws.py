@@ -107,6 +107,21 @@ def test_large_groups_are_dealt_into_blocks(spark, monkeypatch):
     assert got == {0}
 
 
+def test_pairs_inside_a_large_unlike_group_are_found(spark, monkeypatch):
+    monkeypatch.setattr(x, "BLOCK", 8)
+    r = random.Random(1)
+    base = prose(r, 150).split()
+    rows = []
+    for k in range(180):
+        rows.append((k, " ".join(base + prose(r, 16).split())))
+    for k in range(60):
+        rows.append((180 + k, " ".join(rows[k][1].split()[:154] + prose(r, 12).split())))
+    want = brute_classes(rows)
+    assert len(set(want.values())) == 180
+    got = {a.doc_id: a.class_id for a in x.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_odd_rows_and_empty_tables(spark, odd):
     rows = odd_rows()
     found = x.classes(odd).collect()

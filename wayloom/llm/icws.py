@@ -17,9 +17,11 @@ Equal texts are one node. Buckets are verified in rounds, a few bands first, and
 those that still hold several components: the members' whole texts are compared by
 their exact weighted Jaccard similarity, and the bucket returns links that span what is
 alike, at most one for each member. A bucket of over BLOCK members is dealt into blocks,
-each with the bucket's least member in it, and in the last round also into its finer
-buckets, which agree in a second band. So copies are never expanded into all pairs, no
-task's work grows with a group, and a link is lost only where sampling misses it.
+each with the bucket's least member in it, which joins most of a group of copies. What
+still holds several components after the last round is compared in full, part against
+part, in blocks of two parts. So no task's work grows with a group, and a link is lost
+only where sampling misses it; the number of blocks grows with the square of a bucket
+whose members are not alike.
 
 As the weight of a shingle is its count times a number of its own, a count c is the same
 as c different shingles (the first occurrence, the second and so on) of that number, and
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .storage import Kept, lean, release, small_batches
+from .storage import Kept, checkpoint, lean, release, small_batches
 from .textkit import U64, buffers, byte_slices, mix, shingles, words
 
 SHINGLE = 5
@@ -278,9 +280,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     shared = kept(banded.join(several, "key").select("key", "band", "id"))
     none = rows.select(F.col("id").alias("a"), F.col("id").alias("b")).where(F.lit(False))
     links, labels = none, none.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    for number, (least, most) in enumerate(ROUNDS):
+    large = shared.groupBy("key").count().where(F.col("count") > BLOCK).select("key")
+    for number, (least, most) in enumerate((*ROUNDS, ROUNDS[-1])):
         here = shared.where(F.col("band").between(least, most)).select("key", "id")
-        members = kept(_mixed_members(here, labels, number, number == len(ROUNDS) - 1))
+        if number < len(ROUNDS):
+            members = kept(_mixed_members(here, labels, number))
+        elif large.isEmpty():
+            break
+        else:
+            members = checkpoint(_paired_members(here.join(large, "key", "left_semi"), labels))
         many = members.count()
         if not many:
             continue
@@ -302,24 +310,34 @@ def _mixed(labelled: DataFrame) -> DataFrame:
     return seen.where("x <> y").select("key", "n", "least")
 
 
-def _mixed_members(banded: DataFrame, labels: DataFrame, number: int, last: bool) -> DataFrame:
+def _mixed_members(banded: DataFrame, labels: DataFrame, number: int) -> DataFrame:
     """(key, block, id, component): members of buckets with several components, in blocks of bounded size."""
+    labelled = _labelled(banded, labels)
+    blocks = F.ceil(F.col("n") / BLOCK)
+    block = F.pmod(F.xxhash64("id", F.lit(number)), blocks)
+    # The least member of a large bucket goes to all its blocks, so they share one.
+    every = F.when((F.col("n") > BLOCK) & (F.col("id") == F.col("least")), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array(block))
+    return labelled.join(_mixed(labelled), "key").select("key", F.explode(every).alias("block"), "id", "component")
 
-    def dealt(labelled: DataFrame) -> DataFrame:
-        blocks = F.ceil(F.col("n") / BLOCK)
-        own = labelled.join(_mixed(labelled), "key")
-        block = F.pmod(F.xxhash64("id", F.lit(number)), blocks)
-        # The least member of a large bucket goes to all its blocks, so they share one.
-        every = F.when((F.col("n") > BLOCK) & (F.col("id") == F.col("least")), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array(block))
-        return own.select("key", F.explode(every).alias("block"), "id", "component", "n")
-
-    labelled = banded.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    out = dealt(labelled)
-    if last:
-        many = out.where(F.col("n") > BLOCK).select("key", "id", "component").distinct()
-        finer = many.join(banded.select("id", F.col("key").alias("other")), "id").where("key <> other").select(F.xxhash64("key", "other").alias("key"), "id", "component")
-        out = out.unionByName(dealt(finer))
-    return out.drop("n")
+
+def _labelled(banded: DataFrame, labels: DataFrame) -> DataFrame:
+    return banded.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def _paired_members(banded: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, block, id, component): members of buckets of over BLOCK with several components, each two of which meet in a block.
+
+    A bucket is dealt into parts of half a block, and a block is two of its parts; blocks of one component are left out.
+    """
+    labelled = _labelled(banded, labels)
+    parts = F.ceil(F.col("n") / max(1, BLOCK // 2))
+    own = labelled.join(_mixed(labelled).where(F.col("n") > BLOCK), "key").withColumn("parts", parts)
+    own = own.withColumn("part", F.pmod(F.xxhash64("id", F.lit(len(ROUNDS))), F.col("parts")))
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), lambda x: x != F.col("part"))
+    paired = own.select("key", "part", "parts", F.explode(others).alias("other"), "id", "component")
+    paired = paired.select("key", (F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).alias("block"), "id", "component")
+    several = paired.groupBy("key", "block").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key", "block")
+    return paired.join(several, ["key", "block"])
 
 
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 1 << 20, **options) -> DataFrame:
