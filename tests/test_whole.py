@@ -21,3 +21,17 @@ def test_no_length_is_lost(spark):
     both = a.join(b, (F.col("a.way_id") == F.col("b.way_id")) & (F.col("b.n") == F.col("a.n") + 1))
     want = both.agg(F.sum(grid.metres(F.col("a.lat"), F.col("a.lng"), F.col("b.lat"), F.col("b.lng")))).first()[0]
     assert abs(got - want) < 1e-3 * 20000
+
+
+def test_every_row_is_handled(spark):
+    # sf0.001 has fewer customers than the ids that the cut queries take.
+    sf = "/root/testdata/sf0.01"
+    n = fx.table(spark, sf, "customer").count()
+    assert catalogue.QUERIES["slug_suffix_whole"](spark, sf).count() == n
+    assert catalogue.QUERIES["retention_two_whole"](spark, sf).count() == n
+    tiles = fx.tile(spark, sf)
+    blocks = tiles.select("part", F.floor(F.col("i") * 13 / 10).alias("bi"), F.floor(F.col("j") * 7 / 10).alias("bj")).distinct()
+    filled = catalogue.QUERIES["cover_gap_fill_whole"](spark, sf)
+    assert blocks.join(filled, ["part", "bi", "bj"], "left_anti").isEmpty()
+    # Blocks of gaps have no tile of their own.
+    assert filled.count() > blocks.count()

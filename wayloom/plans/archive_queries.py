@@ -23,31 +23,48 @@ def duplicate_ids(spark, sf):
     return archive.duplicate_ids(fx.tile(spark, sf)).select("i", "j", col("count").alias("n"))
 
 
-_THIN = "t as (select part, i * 13 as i, j * 29 as j from fx_tile where i % 3 = 0), b as (select distinct part, cast(floor(i / 10.0) as bigint) as bi, cast(floor(j / 10.0) as bigint) as bj from t)"
-_FILL = _THIN + ", g as (select *, lead(bj) over (partition by part, bi order by bj) as nx from b), f as (select part, bi, unnest(range(bj, case when nx - bj - 1 between 1 and 8 then nx else bj + 1 end)) as bj from g)"
+
+def _fill(where: str, apart: int) -> str:
+    return f"t as (select part, i * 13 as i, j * {apart} as j from fx_tile{where}), b as (select distinct part, cast(floor(i / 10.0) as bigint) as bi, cast(floor(j / 10.0) as bigint) as bj from t), g as (select *, lead(bj) over (partition by part, bi order by bj) as nx from b), f as (select part, bi, unnest(range(bj, case when nx - bj - 1 between 1 and 8 then nx else bj + 1 end)) as bj from g)"
+
+
+def _bitmap_sql(where: str, apart: int) -> str:
+    return fx.sql(
+        "fx_tile",
+        "select part, cast(floor(bit / 8.0) as bigint) as at, cast(sum(1 << cast(bit % 8 as integer)) as bigint) as value from (select f.part, (bi - bi0) * (bj1 - bj0 + 1) + bj - bj0 as bit from f join (select part, min(bi) as bi0, min(bj) as bj0, max(bj) as bj1 from f group by part) e on f.part = e.part) group by 1, 2",
+        _fill(where, apart),
+    )
+
+
+def _spread(tiles, apart):
+    """Tiles further apart, so that coverage has gaps."""
+    return tiles.selectExpr("part", "i * 13 as i", f"j * {apart} as j")
 
 
 def _thin(spark, sf):
-    return fx.tile(spark, sf).where("i % 3 = 0").selectExpr("part", "i * 13 as i", "j * 29 as j")
+    return _spread(fx.tile(spark, sf).where("i % 3 = 0"), 29)
 
 
-@query("cover_gap_fill", fx.sql("fx_tile", "select part, bi, bj from f", _FILL))
+@query("cover_gap_fill", fx.sql("fx_tile", "select part, bi, bj from f", _fill(" where i % 3 = 0", 29)))
 def cover_gap_fill(spark, sf):
     return archive.filled_blocks(_thin(spark, sf), ["part"])
 
 
-@query(
-    "cover_bitmap",
-    fx.sql(
-        "fx_tile",
-        "select part, cast(floor(bit / 8.0) as bigint) as at, cast(sum(1 << cast(bit % 8 as integer)) as bigint) as value from (select f.part, (bi - bi0) * (bj1 - bj0 + 1) + bj - bj0 as bit from f join (select part, min(bi) as bi0, min(bj) as bj0, max(bj) as bj1 from f group by part) e on f.part = e.part) group by 1, 2",
-        _FILL,
-    ),
-)
+@query("cover_gap_fill_whole", fx.sql("fx_tile", "select part, bi, bj from f", _fill("", 7)))
+def cover_gap_fill_whole(spark, sf):
+    return archive.filled_blocks(_spread(fx.tile(spark, sf), 7), ["part"])
+
+
+@query("cover_bitmap", _bitmap_sql(" where i % 3 = 0", 29))
 def cover_bitmap(spark, sf):
     return archive.cover_bytes(_thin(spark, sf), ["part"]).select("part", col("byte").alias("at"), "value")
 
 
+@query("cover_bitmap_whole", _bitmap_sql("", 7))
+def cover_bitmap_whole(spark, sf):
+    return archive.cover_bytes(_spread(fx.tile(spark, sf), 7), ["part"]).select("part", col("byte").alias("at"), "value")
+
+
 @query("bbox", fx.sql("fx_tile", "select part, cast(min(i) as bigint) as min_i, cast(max(i) as bigint) as max_i, cast(min(j) as bigint) as min_j, cast(max(j) as bigint) as max_j from fx_tile group by part"))
 def bbox(spark, sf):
     return archive.bounds(fx.tile(spark, sf), ["part"])
@@ -97,15 +114,28 @@ def leaf_extracts(spark, sf):
     return slices.leaves(fx.extract(spark, sf)).select("id", "number")
 
 
-@query("slug_suffix", "select c_custkey as id, case when n > 1 then base || '-' || cast(n as varchar) else base end as slug from (select *, row_number() over (partition by base order by name) as n from (select c_custkey, c_name as name, lower(c_mktsegment) as base from customer where c_custkey <= 200))")
-def slug_suffix(spark, sf):
-    own = fx.table(spark, sf, "customer").where("c_custkey <= 200").withColumn("base", text.slug("c_mktsegment"))
+def _slug_sql(where: str) -> str:
+    return f"select c_custkey as id, case when n > 1 then base || '-' || cast(n as varchar) else base end as slug from (select *, row_number() over (partition by base order by name) as n from (select c_custkey, c_name as name, lower(c_mktsegment) as base from customer{where}))"
+
+
+def _slugs(customers):
+    own = customers.withColumn("base", text.slug("c_mktsegment"))
     from pyspark.sql import Window
 
     n = F.row_number().over(Window.partitionBy("base").orderBy("c_name"))
     return own.withColumn("n", n).select(col("c_custkey").alias("id"), F.when(col("n") > 1, F.concat_ws("-", "base", "n")).otherwise(col("base")).alias("slug"))
 
 
+@query("slug_suffix", _slug_sql(" where c_custkey <= 200"))
+def slug_suffix(spark, sf):
+    return _slugs(fx.table(spark, sf, "customer").where("c_custkey <= 200"))
+
+
+@query("slug_suffix_whole", _slug_sql(""))
+def slug_suffix_whole(spark, sf):
+    return _slugs(fx.table(spark, sf, "customer"))
+
+
 _DAY = "cast(list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(id, ''), lambda c: cast(ascii(c) as bigint))), lambda h, c: (h * 31 + c) % 4294967296) % 28 + 1 as bigint)"
 
 
@@ -119,36 +149,71 @@ def slice_registry(spark, sf):
     return slices.registry(fx.extract(spark, sf).withColumn("url", F.concat(F.lit("x/"), "id")))
 
 
-_GEN = "g as (select 's' || cast(c_custkey % 9 as varchar) as slice, 's' || cast(c_custkey % 9 as varchar) || '-' || substr(sha256(c_name), 1, 12) || '.wta' as file, c_custkey * 31 % 997 as modified from customer where c_custkey <= 120)"
+def _gen(where: str) -> str:
+    return f"g as (select 's' || cast(c_custkey % 9 as varchar) as slice, 's' || cast(c_custkey % 9 as varchar) || '-' || substr(sha256(c_name), 1, 12) || '.wta' as file, c_custkey * 31 % 997 as modified from customer{where})"
 
 
-def _generations(spark, sf):
-    c = fx.table(spark, sf, "customer").where("c_custkey <= 120")
+_GEN, _GEN_WHOLE = _gen(" where c_custkey <= 120"), _gen("")
+_RETENTION = "select slice, file, row_number() over (partition by slice order by modified desc, file desc) <= 2 as keep from g"
+_OWN = "select file, slice from g where slice in ('s1', 's4')"
+_GATE = "n as (select slice, 'v5' as version, max(file) as sha from g group by slice), o as (select slice, 'v5' as version, case when slice in ('s1', 's2') then max(file) else min(file) end as sha from g where slice <> 's3' group by slice) select n.slice, n.version, n.sha from n left join o on n.slice = o.slice where o.sha is null or n.sha <> o.sha"
+
+
+def _files(customers):
     name = F.concat(F.lit("s"), (col("c_custkey") % 9).cast("string"))
-    return c.select(name.alias("slice"), F.concat(name, F.lit("-"), text.short_digest("c_name"), F.lit(".wta")).alias("file"), (col("c_custkey") * 31 % 997).alias("modified"))
+    return customers.select(name.alias("slice"), F.concat(name, F.lit("-"), text.short_digest("c_name"), F.lit(".wta")).alias("file"), (col("c_custkey") * 31 % 997).alias("modified"))
+
+
+def _generations(spark, sf):
+    return _files(fx.table(spark, sf, "customer").where("c_custkey <= 120"))
+
+
+def _generations_whole(spark, sf):
+    return _files(fx.table(spark, sf, "customer"))
 
 
-@query("retention_two", f"with {_GEN} select slice, file, row_number() over (partition by slice order by modified desc, file desc) <= 2 as keep from g")
+@query("retention_two", f"with {_GEN} {_RETENTION}")
 def retention_two(spark, sf):
     return publish.retained(_generations(spark, sf)).select("slice", "file", "keep")
 
 
-@query("own_generations", f"with {_GEN} select file, slice from g where slice in ('s1', 's4')")
-def own_generations(spark, sf):
-    files = _generations(spark, sf)
+@query("retention_two_whole", f"with {_GEN_WHOLE} {_RETENTION}")
+def retention_two_whole(spark, sf):
+    return publish.retained(_generations_whole(spark, sf)).select("slice", "file", "keep")
+
+
+def _own(files):
     wanted = files.select(col("slice").alias("name")).distinct().where("name in ('s1', 's4')")
     return publish.own_generations(files.select("file"), wanted)
 
 
-@query("publish_gate", f"with {_GEN}, n as (select slice, 'v5' as version, max(file) as sha from g group by slice), o as (select slice, 'v5' as version, case when slice in ('s1', 's2') then max(file) else min(file) end as sha from g where slice <> 's3' group by slice) select n.slice, n.version, n.sha from n left join o on n.slice = o.slice where o.sha is null or n.sha <> o.sha")
-def publish_gate(spark, sf):
-    g = _generations(spark, sf)
+@query("own_generations", f"with {_GEN} {_OWN}")
+def own_generations(spark, sf):
+    return _own(_generations(spark, sf))
+
+
+@query("own_generations_whole", f"with {_GEN_WHOLE} {_OWN}")
+def own_generations_whole(spark, sf):
+    return _own(_generations_whole(spark, sf))
+
+
+def _gated(g):
     own = lambda sha: [F.lit("v5").alias("version"), sha.alias("sha")]
     built = g.groupBy("slice").agg(*own(F.max("file")))
     old = g.where("slice <> 's3'").groupBy("slice").agg(F.lit("v5").alias("version"), F.when(col("slice").isin("s1", "s2"), F.max("file")).otherwise(F.min("file")).alias("sha"))
     return publish.to_upload(built, old).select("slice", "version", "sha")
 
 
+@query("publish_gate", f"with {_GEN}, {_GATE}")
+def publish_gate(spark, sf):
+    return _gated(_generations(spark, sf))
+
+
+@query("publish_gate_whole", f"with {_GEN_WHOLE}, {_GATE}")
+def publish_gate_whole(spark, sf):
+    return _gated(_generations_whole(spark, sf))
+
+
 @query("archive_index", fx.sql("fx_tile", "select cast(part as integer) as slice, cast(count(*) as bigint) as tile_count, cast(sum(bytes) as bigint) as tile_bytes, min(i) || ',' || max(i) || ',' || min(j) || ',' || max(j) as bbox from fx_tile group by part"))
 def archive_index(spark, sf):
     return fx.tile(spark, sf).groupBy(col("part").cast("int").alias("slice")).agg(F.count(F.lit(1)).alias("tile_count"), F.sum("bytes").alias("tile_bytes"), F.concat_ws(",", F.min("i"), F.max("i"), F.min("j"), F.max("j")).alias("bbox"))
