@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayloom.functions import grid, tags
+from wayloom.operators import spatial
 from wayloom.plans import catalogue
 from wayloom.plans import fixtures as fx
 
@@ -35,3 +36,12 @@ def test_every_row_is_handled(spark):
     assert blocks.join(filled, ["part", "bi", "bj"], "left_anti").isEmpty()
     # Blocks of gaps have no tile of their own.
     assert filled.count() > blocks.count()
+
+
+def test_nearest_blocks_are_found_however_far(spark):
+    targets = [(0, 0), (3, -5), (-700, 40), (900, 900)]
+    blocks = [("a", 100, 0), ("a", -70, 0), ("b", 1200, -300), ("c", 64, 64), ("c", -65, 1)]
+    found = spatial.nearest_by_rings(spark.createDataFrame(targets, "bx long, by long"), spark.createDataFrame(blocks, "class string, bx long, by long"))
+    got = {(r.bx, r.by, r["class"]): (r.distance, r.x, r.y) for r in found.collect()}
+    want = {(x, y, k): min((max(abs(a - x), abs(b - y)), a, b) for kind, a, b in blocks if kind == k) for x, y in targets for k in "abc"}
+    assert got == want
