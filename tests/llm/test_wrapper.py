@@ -20,6 +20,13 @@ def test_main_text_of_odd_pages():
     assert text("</div></p>stray</article> &lt;b&gt; &#8364;&copy") == "stray <b> €©"
 
 
+def test_words_of_classes_never_empty_an_article():
+    assert text('<html class="nav-open"><body class="single right-sidebar"><article class="post has-comments"><p>a</p></article></body></html>') == "a"
+    assert text('<body class="right-sidebar"><div class="with-sidebar"><main class="widget"><p>a</p></main></div><div class="sidebar">b</div></body>') == "a"
+    assert text('<body class="social"><p>a</p><div class="share">b</div></body>') == "a"
+    assert text('<article><p>a</p><section id="discussion"><p>b</p></section><nav>c</nav></article>') == "a b"
+
+
 def test_skeletons_fold_repeated_children():
     a, b = (w.Page(f"<article>{'<p>x</p>' * n}</article>").skeleton() for n in (1, 9))
     assert a == b == "0 root;1 article;2 p"

@@ -11,7 +11,8 @@ a content slot. Copies of an article count once, so they don't make it template.
 The text of a page is that of its content slots inside its article or main element
 (all of the body without one), in page order, less what mark-up declares to be
 something else: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and comments.
+styles and comments. Words in class or id declare that only outside an article element
+(inside it the template decides), and never of html, body, main or what holds an article or main.
 
 Counts are taken over all pages with map-side combining; a host, however large,
 never meets in one task. The per-skeleton verdicts are broadcast behind a size check.
@@ -65,17 +66,18 @@ _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _inline, _void, _bad_tag, _bad_role, _bad_word = (frozenset(x) for x in (INLINE, VOID, NOT_CONTENT, NOT_CONTENT_ROLES, NOT_CONTENT_WORDS))
 _main = frozenset(MAIN)
+_never_worded = frozenset(["html", "body", *MAIN])
 
 
 @lru_cache(maxsize=4096)
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """Label of an element (tag and words of its class), and whether it is declared not to be content."""
-    bad, words = tag in _bad_tag, []
+def _label(tag: str, attrs: str) -> tuple[str, bool, bool]:
+    """Label of an element (tag and words of its class), and whether its mark-up, or a word of its class or id, declares it not to be content."""
+    bad, worded, words = tag in _bad_tag, False, []
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
             own = _WORD.findall(_CAMEL.sub(" ", value).lower())
-            bad |= not _bad_word.isdisjoint(own)
+            worded |= tag not in _never_worded and not _bad_word.isdisjoint(own)
             words += own if name == "class" else []
         elif name == "role":
             bad |= value.lower() in _bad_role
@@ -83,7 +85,7 @@ def _label(tag: str, attrs: str) -> tuple[str, bool]:
             bad |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
         elif name == "hidden" or value.lower() == "true":
             bad = True
-    return ".".join([tag, *sorted(set(words))])[:80] + ("!" if bad else ""), bad
+    return ".".join([tag, *sorted(set(words))])[:80] + ("!" if bad or worded else ""), bad, worded
 
 
 class Page:
@@ -92,6 +94,7 @@ class Page:
     def __init__(self, source: str):
         self.labels, self.children, self.parent = ["root"], [[]], [-1]
         self.bad, self.inside = [False], [False]
+        self._worded, self._article, self._holds = [False], [False], [False]
         self.pieces: list[tuple[int, str]] = []
         self._by_label: list[dict[str, int]] = [{}]
         stack: list[tuple[str, int]] = [("", 0)]
@@ -122,8 +125,8 @@ class Page:
                 elif tag not in _inline:
                     self._flush(text, stack[-1][1])
                 continue
-            label, bad = _label(tag, attrs.rstrip("/ ") if attrs else "")
-            if tag in _inline and not bad:
+            label, bad, worded = _label(tag, attrs.rstrip("/ ") if attrs else "")
+            if tag in _inline and not bad and not worded:
                 continue
             self._flush(text, stack[-1][1])
             self._end_implied(tag, stack)
@@ -131,12 +134,21 @@ class Page:
                 continue
             node = stack[-1][1]
             if len(stack) <= MAX_DEPTH:
-                node = self._open(node, label, bad, tag)
+                node = self._open(node, label, bad, worded, tag)
             stack.append((tag, node))
         text.append(source[at:])
         self._flush(text, stack[-1][1])
+        self._settle()
 
-    def _open(self, parent: int, label: str, bad: bool, tag: str) -> int:
+    def _settle(self) -> None:
+        """Words of class or id count only outside articles and for elements without article or main; what is declared holds for all inside."""
+        holds = self._holds
+        for n in range(len(holds) - 1, 0, -1):
+            holds[self.parent[n]] |= holds[n]
+        for n in range(1, len(holds)):
+            self.bad[n] |= self.bad[self.parent[n]] or (self._worded[n] and not holds[n])
+
+    def _open(self, parent: int, label: str, bad: bool, worded: bool, tag: str) -> int:
         have = self._by_label[parent].get(label)
         if have is not None:
             return have
@@ -147,7 +159,11 @@ class Page:
         self.children.append([])
         self._by_label.append({})
         self.parent.append(parent)
-        self.bad.append(bad or self.bad[parent])
+        self.bad.append(bad)
+        article = self._article[parent] or tag == "article"
+        self._worded.append(worded and not article)
+        self._article.append(article)
+        self._holds.append(tag in _main)
         self.inside.append(inside)
         node = len(self.labels) - 1
         self.children[parent].append(node)
