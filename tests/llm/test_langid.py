@@ -64,3 +64,13 @@ def test_odd_rows_and_empty_tables(spark, odd):
     empty = c.train(odd.limit(0))
     assert empty.labels == [] and {r.lang_pred for r in c.identify(odd, empty).collect()} == {"und"}
     assert c.identify(odd.limit(0), model).count() == 0
+
+
+def test_too_many_languages_are_refused(spark):
+    import pytest
+
+    from wayloom.llm import langid_crf
+
+    rows = [(k, "one two three", f"l{k % 3}") for k in range(60)]
+    with pytest.raises(ValueError, match="languages"):
+        langid_crf.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_languages=2)

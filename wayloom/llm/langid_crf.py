@@ -13,8 +13,8 @@ of the plain recursion over the whole document.
 
 Training sequences are runs of words of different documents put together, so the
 transitions see switches. At most `per_language` documents of each language are
-collected for it, and at most `train_words` words of each; of more than `max_languages`
-languages the commonest are learnt.
+collected for it, and at most `train_words` words of each. More than `max_languages`
+languages are refused with an error, as no text of one left out could be labelled right.
 
 Edge cases: null texts and texts without a letter are `und` with score 0; a text
 with letters always gets a learnt language; repeated rows are labelled alike; extra
@@ -219,6 +219,9 @@ def _sequences(lang: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: i
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 700, train_words: int = 250, max_languages: int = 256, epochs: int = 4, length: int = 50) -> Crf:
     """Fit on rows with a language that are not held out."""
     own = docs.select(id_col, F.col(lang_col).alias("__wl_y")).where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
+    many = own.select("__wl_y").distinct().limit(max_languages + 1).count()
+    if many > max_languages:
+        raise ValueError(f"over {max_languages} languages; at most {max_languages} are supported")
     chosen = sample(own, "__wl_y", per_language, id_col, max_languages).dropDuplicates([id_col])
     rows = docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), id_col).select("__wl_y", text_col, F.xxhash64(id_col).alias("h"))
 
