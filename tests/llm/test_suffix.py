@@ -25,6 +25,21 @@ def test_recursion_and_large_alphabets(monkeypatch):
             assert sa.suffix_array(np.array(s), 4).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
 
 
+def test_prefixes_are_common_prefixes():
+    r = random.Random(7)
+    segs = list({bytes(r.choice(b"ab") for _ in range(r.randint(1, 40))) for _ in range(30)})
+    start = np.cumsum([0, *(len(x) + 1 for x in segs[:-1])])
+    whole = np.frombuffer(b"\0".join(segs) + b"\0\0", np.uint8)
+    s = np.where(whole > 0, whole, 1)
+    s[-1] = 0
+    order = sa.suffix_array(s, 200)
+    got = sa.permuted_prefixes(whole, order, start, np.array([len(x) for x in segs]))
+    tail = lambda i: bytes(whole[i:]).split(b"\0")[0]
+    for a, b in zip(order, order[1:], strict=False):
+        x, y = tail(a), tail(b)
+        assert got[b] == next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
+
+
 def test_earliest_owner_of_every_window():
     r = random.Random(3)
     for _ in range(60):
@@ -75,6 +90,30 @@ def test_spans_match_brute_force(spark):
     rows += [(2000 + k, near[:k] + "Q" + near[k + 1 :]) for k in range(60, 75)] + [(-99, "ab" * 200), (7, "ab" * 150), (8, "a" * 60), (9, "a" * 120), (9, "a" * 120)]
     check(spark, rows)
     check(spark, rows, slice_bytes=2000, hot_rows=2)
+    # Through groups of slices; and with hashes that all collide, so that only bytes decide.
+    check(spark, rows, slice_bytes=1000, hot_rows=3, fan=4)
+    check(spark, rows, slice_bytes=2000, bits=1)
+    check(spark, rows, slice_bytes=4000, bits=1, hot_rows=0, fan=2)
+
+
+def test_anchors_do_not_depend_on_the_chunks(monkeypatch):
+    r = random.Random(5)
+    texts = [bytes(r.choice(b"ab") for _ in range(n)) for n in (0, 10, 49, 50, 400, 0, 900, 51)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+    def windows():
+        runs = sd.Runs(data, offsets, 50)
+        out = {}
+        for first, count, row, at, anchor in zip(*(x.tolist() for x in (runs.first, runs.count, runs.row, runs.at, runs.anchor)), strict=True):
+            assert offsets[row] <= first <= at and at + sd.GRAM <= first + 50 and first + count + 49 <= offsets[row + 1]
+            out |= {k: (at, anchor) for k in range(first, first + count)}
+        return out
+
+    want = windows()
+    assert set(want) == {k for a, b in zip(offsets, offsets[1:], strict=False) for k in range(a, b - 49)}
+    for chunk in (1, 7, 100):
+        monkeypatch.setattr(sd, "CHUNK", chunk)
+        assert windows() == want
 
 
 def test_odd_rows_and_empty_tables(spark, odd):

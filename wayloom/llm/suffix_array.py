@@ -1,13 +1,14 @@
 """Suffix arrays of shards by induced sorting, vectorised over buckets.
 
 A shard is a set of distinct byte segments, each followed by a separator. Suffixes
-are classified as smaller (S) or larger (L) than their right neighbour; leftmost S
-positions are sorted by inducing from their first bytes, named, and, where names
-repeat, ordered by sorting the shorter string of names in the same way (by rank
-doubling once its alphabet is large). Two induction passes then place every other
-suffix. Where the textbook loop moves one suffix at a time, here all suffixes of a
-bucket move together: a bucket only feeds itself (a run of one byte, in waves) and
-buckets not yet visited, so their order is the same.
+are classified as smaller (S) or larger (L) than their right neighbour. The substrings
+from one leftmost S position to the next are sorted by words of several symbols (one
+that is a longer one's beginning is the larger, as it ends on an S) and named; where
+names repeat, the shorter string of names is sorted in the same way, or, once its
+alphabet is large, by doubling the compared length of what is still tied. Two
+induction passes then place every other suffix. Where the textbook loop moves one suffix
+at a time, here all suffixes of a bucket move together: a bucket only feeds itself (a run
+of one byte, in waves) and buckets not yet visited, so their order is the same.
 
 Common prefixes are computed in text order (the permuted array), each starting
 from its left neighbour's less one, for all segments in step.
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .textkit import U64, eights
+
 SMALL_ALPHABET = 512
 
 
@@ -25,10 +28,8 @@ def classify(s: np.ndarray) -> np.ndarray:
     n = len(s)
     out = np.ones(n, bool)
     if n > 1:
-        step = s[1:] != s[:-1]
-        at = np.where(step, np.arange(n - 1), n)
-        at = np.minimum.accumulate(at[::-1])[::-1]
-        out[:-1] = s[at] < s[np.minimum(at + 1, n - 1)]
+        at = np.flatnonzero(s[1:] != s[:-1])  # ends of runs of one symbol
+        out[:-1] = np.repeat(s[at] < s[at + 1], np.diff(np.append(-1, at)))
     return out
 
 
@@ -38,9 +39,9 @@ def _deal(ch: np.ndarray, j: np.ndarray, pending: list[list[np.ndarray]]) -> Non
         return
     order = np.argsort(ch, kind="stable")
     ch, j = ch[order], j[order]
-    cut = np.flatnonzero(ch[1:] != ch[:-1]) + 1
-    for part, c in zip(np.split(j, cut), ch[np.concatenate([[0], cut])].tolist(), strict=True):
-        pending[c].append(part)
+    cut = [0, *(np.flatnonzero(ch[1:] != ch[:-1]) + 1).tolist(), len(j)]
+    for a, b, c in zip(cut, cut[1:], ch[cut[:-1]].tolist(), strict=False):
+        pending[c].append(j[a:b])
 
 
 def _waves(c: int, first: list[np.ndarray], s: np.ndarray, wanted: np.ndarray, pending: list[list[np.ndarray]]) -> np.ndarray:
@@ -52,10 +53,14 @@ def _waves(c: int, first: list[np.ndarray], s: np.ndarray, wanted: np.ndarray, p
         j = j[wanted[j]]
         ch = s[j]
         own = ch == c
-        _deal(ch[~own], j[~own], pending)
-        wave = j[own]
-        parts.append(wave)
-    return np.concatenate(parts)
+        if own.any():
+            _deal(ch[~own], j[~own], pending)
+            wave = j[own]
+            parts.append(wave)
+        else:
+            _deal(ch, j, pending)
+            break
+    return np.concatenate(parts) if len(parts) > 1 else wave
 
 
 def induce(s: np.ndarray, is_s: np.ndarray, seeds: list[np.ndarray], sigma: int) -> np.ndarray:
@@ -81,89 +86,130 @@ def induce(s: np.ndarray, is_s: np.ndarray, seeds: list[np.ndarray], sigma: int)
     return np.concatenate([x for c in range(sigma) for x in (larger[c], smaller[c])])
 
 
-def _by_bucket(s: np.ndarray, at: np.ndarray, sigma: int) -> list[np.ndarray]:
-    order = np.argsort(s[at], kind="stable")
-    bounds = np.searchsorted(s[at][order], np.arange(sigma + 1))
-    return [at[order[bounds[c] : bounds[c + 1]]] for c in range(sigma)]
+def _starts(new: np.ndarray) -> np.ndarray:
+    """The first place of the group of each place."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
+def _tied(new: np.ndarray) -> np.ndarray:
+    """Places of groups of more than one."""
+    return np.flatnonzero(~(new & np.append(new[1:], True)))
+
+
+def _part(order: np.ndarray, new: np.ndarray, places: np.ndarray, key: np.ndarray) -> None:
+    """Sort whole groups, of which `places` are all, by a key of their members, and split them where it changes."""
+    group = np.cumsum(new[places])
+    by = np.lexsort((key, group))
+    order[places] = order[places][by]
+    key = key[by]
+    new[places[1:]] |= key[1:] != key[:-1]
+
 
+def sorted_substrings(s: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): numbers of the leftmost S substrings in order, and where a new one begins among equal ones.
 
-def _double(rank: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string over a large alphabet, by doubling the compared length."""
-    k = 1
-    n = len(rank)
-    while rank.max() + 1 < n:
-        follow = np.zeros(n, np.int64)
-        follow[: n - k] = rank[k:] + 1
-        _, rank = np.unique(rank.astype(np.int64) * (n + 1) + follow, return_inverse=True)
+    The filler behind the end of a substring is larger than every symbol.
+    """
+    size = np.append(lms[1:] + 1, len(s)) - lms
+    bits = 8 * s.itemsize
+    each, last = 64 // bits, len(s) - 1
+
+    def word(who: np.ndarray, j: int) -> np.ndarray:
+        out = np.zeros(len(who), U64)
+        for k in range(j * each, (j + 1) * each):
+            symbol = s[np.minimum(lms[who] + k, last)].astype(U64)
+            out = (out << U64(bits % 64)) | np.where(k < size[who], symbol, U64((1 << bits) - 1))
+        return out
+
+    first = word(np.arange(len(lms)), 0)
+    order = np.argsort(first, kind="stable")
+    new = np.ones(len(lms), bool)
+    new[1:] = first[order[1:]] != first[order[:-1]]
+    for j in range(1, -(-int(size.max()) // each)):
+        places = _tied(new)
+        places = places[np.flatnonzero(np.isin(_starts(new)[places], _starts(new)[places][size[order[places]] > j * each]))]
+        if not len(places):
+            break
+        _part(order, new, places, word(order[places], j))
+    return order, new
+
+
+def _double(order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a string of names, by doubling the compared length of those that are still tied."""
+    n, k = len(order), 1
+    rank = np.empty(n, np.int64)
+    rank[order] = _starts(new)
+    places = _tied(new)
+    while len(places):
+        who = order[places]
+        group = rank[who]
+        follow = np.where(who + k < n, rank[np.minimum(who + k, n - 1)] + 1, 0)
+        key = group * (n + 1) + follow
+        by = np.argsort(key, kind="stable")
+        order[places] = who[by]
+        key = key[by]
+        begins = np.ones(len(key), bool)
+        begins[1:] = key[1:] != key[:-1]
+        rank[who[by]] = places[_starts(begins)]
+        places = places[_tied(begins)]
         k *= 2
-    out = np.empty(n, np.int64)
-    out[rank] = np.arange(n)
-    return out
+    return order
 
 
 def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
-    """Suffix array of s, whose last symbol 0 occurs nowhere else."""
+    """Suffix array of s, whose last symbol 0 occurs nowhere else and whose symbols are below sigma."""
     n = len(s)
     if n == 1:
         return np.zeros(1, np.int64)
-    if sigma > SMALL_ALPHABET:
-        return _double(np.unique(s, return_inverse=True)[1])
+    s = s.astype(np.uint8 if sigma < 1 << 8 else np.uint16 if sigma < 1 << 16 else np.uint32, copy=False)
     is_s = classify(s)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    sa = induce(s, is_s, _by_bucket(s, lms, sigma), sigma)
-    nth = np.full(n, -1, np.int64)
-    nth[lms] = np.arange(len(lms))
-    order = nth[sa]
-    order = order[order >= 0]  # numbers of leftmost S substrings, sorted
-    end = np.append(lms[1:] + 1, n)
-    size = end - lms
-    new = np.ones(len(lms), bool)
-    same = np.flatnonzero(size[order[1:]] == size[order[:-1]])
-    a, b = lms[order[same]], lms[order[same + 1]]
-    length = size[order[same]]
-    for t in range(int(length.max(initial=0))):
-        some = length > t
-        equal = np.ones(len(a), bool)
-        equal[some] = s[a[some] + t] == s[b[some] + t]
-        a, b, length, same = a[equal], b[equal], length[equal], same[equal]
-    new[same + 1] = False
-    name = np.empty(len(lms), np.int64)
-    name[order] = np.cumsum(new) - 1
+    order, new = sorted_substrings(s, lms)
     if not new.all():
         # The last substring is the sentinel's: its name is 0 and unique.
-        order = suffix_array(name, int(name.max()) + 1)
+        many = int(new.sum())
+        if many > SMALL_ALPHABET:
+            order = _double(order, new)
+        else:
+            name = np.empty(len(lms), np.int64)
+            name[order] = np.cumsum(new) - 1
+            order = suffix_array(name, many)
     seeds = lms[order]
     bounds = np.searchsorted(s[seeds], np.arange(sigma + 1))
     return induce(s, is_s, [seeds[bounds[c] : bounds[c + 1]] for c in range(sigma)], sigma)
 
 
-def permuted_prefixes(s: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+def permuted_prefixes(s: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np.ndarray, width: int = 1) -> np.ndarray:
     """Common prefix of each suffix with the one before it in the array, within their segments, in text order.
 
-    start, size: the segments, distinct and each followed by a separator.
+    start, size: the segments of bytes, distinct and each followed by a separator. Suffixes
+    with fewer than `width` bytes to the end of their segment are left at 0.
     """
     before = np.empty(len(s), np.int64)
-    before[sa[0]] = -1
+    before[sa[0]] = len(s) - 1
     before[sa[1:]] = sa[:-1]
-    left = np.zeros(len(s), np.int64)  # symbols up to the end of the segment
-    for_each = np.repeat(start + size, size)
+    left = np.zeros(len(s), np.int64)  # bytes up to the end of the segment
     inside = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    left[inside] = for_each - inside
+    left[inside] = np.repeat(start + size, size) - inside
+    eight = eights(s)
     out = np.zeros(len(s), np.int64)
     order = np.argsort(-size, kind="stable")
-    start, size = start[order], size[order]
+    start, steps = start[order], size[order] - width + 1
     have = np.zeros(len(start), np.int64)
-    for t in range(int(size.max(initial=0))):
-        m = int(np.searchsorted(-size, -t, "left"))
+    for t in range(int(steps.max(initial=0))):
+        m = int(np.searchsorted(-steps, -t, "left"))
         i = start[:m] + t
         q = before[i]
-        q = np.where(q < 0, len(s) - 1, q)
         most = np.minimum(left[i], left[q])
         n = np.minimum(np.maximum(have[:m] - 1, 0), most)
         grow = np.flatnonzero(n < most)
         while len(grow):
-            grow = grow[s[i[grow] + n[grow]] == s[q[grow] + n[grow]]]
-            n[grow] += 1
+            differ = eight[i[grow] + n[grow]] ^ eight[q[grow] + n[grow]]
+            same = differ == 0
+            lowest = differ & (~differ + U64(1))
+            n[grow] += np.where(same, 8, np.log2(np.maximum(lowest, U64(1)).astype(np.float64)).astype(np.int64) >> 3)
+            np.minimum(n, most, out=n)
+            grow = grow[same]
             grow = grow[n[grow] < most[grow]]
         have[:m] = n
         out[i] = n
@@ -176,13 +222,18 @@ def earliest(segments: list[bytes], owner: np.ndarray, width: int) -> list[np.nd
     if not len(size):
         return []
     start = np.concatenate([[0], np.cumsum(size[:-1] + 1)])
-    s = np.zeros(int(start[-1] + size[-1]) + 2, np.int32)
-    inside = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    s[inside] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int32) + 2
-    s[start + size] = 1
-    present = np.unique(s)
-    sa = suffix_array(np.searchsorted(present, s).astype(np.int32), len(present))
-    prefix = permuted_prefixes(s, sa, start, size)
+    whole = np.frombuffer(b"\0".join(segments) + b"\0\0", np.uint8)
+    inside = np.ones(len(whole), bool)
+    inside[start + size] = inside[-1] = False
+    present = np.zeros(256, bool)
+    present[whole[inside]] = True
+    # Bytes from 2 on in their order, separators 1, the sentinel 0; shards with all of the 254 lowest symbols take two bytes each.
+    symbol = (np.cumsum(present) + 1).astype(np.uint16)
+    sigma = int(present.sum()) + 2
+    s = np.where(inside, symbol[whole], 1)
+    s[-1] = 0
+    sa = suffix_array(s, sigma)
+    prefix = permuted_prefixes(whole, sa, start, size, width)
     own = np.full(len(s), np.iinfo(np.int64).max)
     own[inside] = np.repeat(owner, size)
     first = np.flatnonzero(np.concatenate([[True], prefix[sa[1:]] < width]))

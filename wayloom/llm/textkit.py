@@ -52,6 +52,22 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(29))
 
 
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one after another."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def eights(s: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number, the first the lowest; bytes behind the end are 0."""
+    n = len(s)
+    padded = np.zeros(-(-n // 8) * 8 + 16, np.uint8)
+    padded[:n] = s
+    out = np.empty(len(padded) - 8, U64)
+    for o in range(8):
+        out[o::8] = padded[o : o + len(out[o::8]) * 8].view("<u8")
+    return out
+
+
 def buffers(arr: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and int64 offsets (starting at 0) of a string array; null counts as empty."""
     if isinstance(arr, pa.ChunkedArray):
