@@ -69,6 +69,39 @@ def test_all_segmentations_of_a_short_text_are_found():
     assert all(x[3] == 1.0 for x in got)
 
 
+def test_unlikely_segmentations_are_found_too():
+    # Nearly all the probability is on one piece; the rest lies below the digits of 1 - q.
+    for word in ("который", "Становништво", "the"):
+        p, (got,) = sampled([word], 400)
+        prob = every_segmentation(p, f" {word}".encode())
+        assert {tuple(x[0].tolist()) for x in got} == set(prob)
+        p, (got,) = sampled([word], 5)
+        assert len({tuple(x[0].tolist()) for x in got}) == min(5, len(prob))
+
+
+def test_distant_sets_are_left_out_only_where_they_cannot_win():
+    r = np.random.default_rng(3)
+    size = r.integers(0, 30, 200)
+    first = np.concatenate([[0], np.cumsum(size)])
+    log_q = -r.random(first[-1]) * r.choice([0.01, 20.0], first[-1])
+    rest = np.where(r.random(first[-1]) < 0.2, -np.inf, -r.random(first[-1]) * 300)
+    before, top, seed = -r.random(200) * 50, r.normal(size=200) * 20, r.integers(0, 1 << 63, 200).astype(np.uint64)
+    got = s._best_splits(log_q, rest, before, top, seed, first, 3)
+    for i in range(200):
+        own = slice(first[i], first[i + 1])
+        mass = np.concatenate([[0], np.cumsum(log_q[own])[:-1]])[: size[i]] + before[i] + rest[own]
+        alive = np.flatnonzero(mass > -np.inf)
+        g = s._truncated(mass[alive], np.full(len(alive), top[i]), s._uniform(np.full(len(alive), seed[i]), alive))
+        want = sorted(zip(g.tolist(), alive.tolist(), strict=True), reverse=True)[:3]
+        assert [j for _, j in got[i]] == [j for _, j in want] and np.allclose([x for x, _ in got[i]], [x for x, _ in want])
+
+
+def test_plain_encoding_is_the_library_s(spark, odd):
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    want = sorted((str(i), tuple(model.encode(t or ""))) for i, t in odd_rows())
+    assert sorted((str(r.doc_id), tuple(r.ids)) for r in s.encode(odd, PATH).collect()) == want
+
+
 def test_round_trip_and_determinism(spark, odd):
     rows = s.segmentations(odd, PATH, k=2)
     back = s.decode(rows, PATH).collect()

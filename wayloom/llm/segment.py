@@ -37,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import lean, small_batches
-from .textkit import U64, _powers, buffers, byte_slices, mix
+from .textkit import U64, _powers, buffers, byte_slices, mix, ranges
 
 SPACE = "▁"
 SHIFT = 2.7
-FAR = 45.0  # sets with a log-mass so much below the best have no chance
+#: Gumbel variables of 53-bit uniforms differ by less than SPREAD: sets that much below NEAR don't matter where enough lie above it.
+NEAR, SPREAD = 20.0, 41.0
 NEVER = -np.inf
 
 _loaded: dict[str, Pieces] = {}
@@ -145,10 +146,6 @@ class Pieces:
         return self.blob[at].tobytes()[1:]
 
 
-def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-
-
 def _order(major: np.ndarray, minor: np.ndarray) -> np.ndarray:
     """Order by major, then minor (both not negative): one sort of packed numbers where they fit in 64 bits."""
     n = len(major)
@@ -175,7 +172,7 @@ class Lattice:
         self.node = np.cumsum(size + 1) - (size + 1)  # first node of each distinct chunk
         n = int((size + 1).sum())
         text = np.full(n, 0xFF, np.uint8)  # no UTF-8 byte: it ends a chunk
-        text[_ranges(self.node, size)] = data[_ranges(start[pick], size)]
+        text[ranges(self.node, size)] = data[ranges(start[pick], size)]
         self.text = text
         self.last = np.zeros(n, bool)
         self.last[self.node + size] = True
@@ -232,6 +229,20 @@ class Lattice:
         self.q = q
         closing = self.first[1:][np.diff(self.first) > 0] - 1
         self.upto[closing] = 2.0  # whatever rounding left
+        # Log-probability of the other edges of an edge's node; of the likeliest by their sum, as 1 - q has no digits left near 1.
+        head = self.first[:-1][np.diff(self.first) > 0]
+        with np.errstate(divide="ignore"):
+            self.rest = np.log1p(-q)
+        other = self.log_q.copy()
+        other[head] = NEVER
+        if len(head):
+            self.rest[head] = np.logaddexp.reduceat(other, head)
+
+    def without(self, edges: tuple[int, ...]) -> float:
+        """Log-probability of all edges of a node but the given ones."""
+        a = self.a[edges[0]]
+        left = [e for e in range(int(self.first[a]), int(self.first[a + 1])) if e not in edges]
+        return float(np.logaddexp.reduce(self.log_q[left])) if left else NEVER
 
     def walk(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges from each given node to the end of its chunk, drawn by q: (flat edges, number for each walk)."""
@@ -267,7 +278,7 @@ class Lattice:
             return ids
         n = np.where(bare, self.b[edges] - self.a[edges], 1)
         out = np.repeat(ids, n)
-        at = _ranges(self.a[edges], n)
+        at = ranges(self.a[edges], n)
         spelled = np.repeat(bare, n)
         out[spelled] = p.byte_id[self.text[at[spelled]]]
         return out
@@ -279,8 +290,8 @@ def _uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 def _truncated(mass: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel variables of the log-masses, below `top`."""
-    with np.errstate(over="ignore", divide="ignore"):
-        return mass - np.log(np.exp(mass - top) - np.log(u))
+    with np.errstate(divide="ignore"):
+        return -np.logaddexp(-top, np.log(-np.log(u)) - mass)
 
 
 def _best_splits(log_q: np.ndarray, rest: np.ndarray, before: np.ndarray, top: np.ndarray, seed: np.ndarray, first: np.ndarray, k: int) -> list[list[tuple[float, int]]]:
@@ -302,7 +313,9 @@ def _best_splits(log_q: np.ndarray, rest: np.ndarray, before: np.ndarray, top: n
     mass = run - log_q - base[row] + before[row] + rest
     peak = np.full(rows, NEVER)
     peak[some] = np.maximum.reduceat(mass, first[:-1][some])
-    at = np.flatnonzero((mass > peak[row] - FAR) & (mass > NEVER))
+    near = np.zeros(rows, np.int64)
+    near[some] = np.add.reduceat(mass > peak[row] - NEAR, first[:-1][some], dtype=np.int64)
+    at = np.flatnonzero((mass > NEVER) & (mass > np.where(near >= k, peak - NEAR - SPREAD, NEVER)[row]))
     row, mass = row[at], mass[at]
     nth = at - first[row]
     g = _truncated(mass, top[row], _uniform(seed[row], nth))
@@ -352,7 +365,7 @@ def sample_batch(p: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np.ndar
             break
         partial = active[resume[active] >= 0]
         spans = chunk_of[active + 1] - fresh[active]
-        chunks = _ranges(fresh[active], spans)
+        chunks = ranges(fresh[active], spans)
         owner = np.concatenate([partial, np.repeat(active, spans)])
         node = np.concatenate([resume[partial], lattice.node[lattice.of[chunks]]])
         place = np.concatenate([np.full(len(partial), -1), chunks - chunk_of[np.repeat(active, spans)]])
@@ -376,13 +389,11 @@ def sample_batch(p: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np.ndar
         size = np.array([len(x) for x in parts])
         edges = np.concatenate(parts)
         log_q = lattice.log_q[edges]
-        kept = 1 - lattice.q[edges]
+        rest = lattice.rest[edges]
         first = np.concatenate([[0], np.cumsum(size)])
         for i, row in enumerate(active.tolist()):
             if out_of[row] and size[i]:
-                kept[first[i]] -= lattice.q[list(out_of[row])].sum()
-        with np.errstate(divide="ignore"):
-            rest = np.log(np.where(kept > 1e-12, kept, 0.0))
+                rest[first[i]] = lattice.without((*out_of[row], int(edges[first[i]])))
         before = np.array([x for _, x in rest_first])
         total = np.concatenate([[0], np.cumsum(log_q)])
         splits = _best_splits(log_q, rest, before, bound[active], mix(seeds[r][active] + U64(0x8EBC6AF09C88C6E3)), first, k - r)
@@ -403,7 +414,7 @@ def sample_batch(p: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np.ndar
             options = [e for e in range(int(lattice.first[node_at]), int(lattice.first[node_at + 1])) if e not in excluded]
             if not options:
                 continue
-            weight = np.cumsum(lattice.q[options])
+            weight = np.cumsum(np.exp(lattice.log_q[options] - lattice.log_q[options].max()))
             u = float(_uniform(seeds[r + 1][row : row + 1] + U64(1), np.array([j]))[0]) * weight[-1]
             edge = options[min(int(np.searchsorted(weight, u, "right")), len(options) - 1)]
             head[row] = np.append(base[:j], edge)
@@ -481,6 +492,21 @@ def digests(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id"
     return _source(docs, id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, rank int, n_pieces bigint, ids_sha256 string, round_trip boolean, log_prob double, perturbed double, inclusion double")
 
 
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", out_col: str = "ids") -> DataFrame:
+    """(id, ids) of every text, as the library encodes it; null texts count as empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        for batch in batches:
+            ids = [model.encode(x or "") for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, out_col])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return _source(docs, id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, `{out_col}` array<int>")
+
+
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
     """rows with the text that the ids spell; ids that spell no UTF-8 give replacement signs."""
     place = rows.columns.index(ids_col)
