@@ -4,8 +4,10 @@ A text is the weighted set of its five-word shingles; a shingle's weight is its
 times its inverse document frequency to the power DAMP. (Undamped, the few shingles an
 edit makes would outweigh the many that a large group of copies shares, and the copies
 would come out unlike.) Document frequencies are counted over all documents, in a
-fixed number of hash buckets: a rare shingle then has the same frequency relative to
-the corpus, whatever its size.
+fixed number of hash buckets, so what is broadcast has a bound. A bucket also counts the
+rare shingles that fall into it by chance, as many as into any other; the median
+bucket's count is therefore taken off, which leaves a frequent shingle its own frequency
+up to the scatter of that noise (the root of the median) and a rare one about none.
 
 Improved consistent weighted sampling draws, for each of BANDS x ROWS samples, the
 shingle and the quantised weight of least ln a = ln c - r (t - b + 1), t = floor(ln w / r
@@ -21,7 +23,9 @@ each with the bucket's least member in it, which joins most of a group of copies
 still holds several components after the last round is compared in full, part against
 part, in blocks of two parts. So no task's work grows with a group, and a link is lost
 only where sampling misses it; the number of blocks grows with the square of a bucket
-whose members are not alike.
+whose members are not alike. Counts of buckets are written down before they are
+joined with the members, so a join with a bucket that holds much of the corpus has two
+plain exchanges below it, which adaptive execution splits.
 
 As the weight of a shingle is its count times a number of its own, a count c is the same
 as c different shingles (the first occurrence, the second and so on) of that number, and
@@ -29,7 +33,8 @@ the common weight of all pairs of a block is one matrix product.
 
 Edge cases: null and empty texts, and texts without words, are classed with their
 equals only; a text of one to four words is one shingle; rows without an id have no
-class; rows that share an id count as one document; extra columns are ignored.
+class; rows that share an id count as one document, of which `dedupe` keeps the row of
+the least text; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,11 +43,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .storage import Kept, checkpoint, lean, release, small_batches
+from .storage import Kept, checkpoint, forget, lean, release, small_batches
 from .textkit import U64, buffers, byte_slices, mix, shingles, words
 
 SHINGLE = 5
@@ -159,7 +164,8 @@ def frequencies(docs: DataFrame, text: str = "t") -> tuple[np.ndarray, int]:
 
 def idf_table(df: np.ndarray, documents: int) -> np.ndarray:
     """Damped inverse document frequency of each hash bucket, 1 for a shingle in all documents."""
-    return (1 + np.log((1 + documents) / (1 + np.minimum(df, documents)))).astype(np.float64) ** DAMP
+    own = np.clip(df - np.median(df), 0, documents)
+    return (1 + np.log((1 + documents) / (1 + own))).astype(np.float64) ** DAMP
 
 
 def _weights(shingle: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -178,20 +184,24 @@ def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray
     return float(common / (total - common))
 
 
+KEYS = [f"k{j}" for j in range(BANDS)]
+
+
 def buckets_of(docs: DataFrame, idf, slice_bytes: int = SLICE) -> DataFrame:
-    """(id, digest, keys) of rows (id, t); keys is empty without words. idf: a broadcast table."""
+    """(id, digest, a key for each band) of rows (id, t); keys are null without words. idf: a broadcast table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column(2))
-            keys = []
+            keys, bare = [np.zeros((0, BANDS), np.int64)], [np.zeros(0, bool)]
             for a, b in byte_slices(offsets, slice_bytes):
                 first, s, n = weighted(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                some = np.diff(first) > 0
-                keys += [k if y else [] for k, y in zip(band_keys(samples(first, s, _weights(s, n, idf.value))).tolist(), some, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["id", "digest", "keys"])
+                bare.append(np.diff(first) == 0)
+                keys.append(band_keys(samples(first, s, _weights(s, n, idf.value))))
+            k, none = np.concatenate(keys), np.concatenate(bare)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(k[:, j], pa.int64(), mask=none) for j in range(BANDS))], names=["id", "digest", *KEYS])
 
-    return docs.select("id", F.unhex(F.md5("t")).alias("digest"), "t").mapInArrow(lean(run), "id bigint, digest binary, keys array<bigint>")
+    return docs.select("id", F.unhex(F.md5("t")).alias("digest"), "t").mapInArrow(lean(run), "id bigint, digest binary, " + ", ".join(f"{k} bigint" for k in KEYS))
 
 
 def _alike(first: np.ndarray, shingle: np.ndarray, count: np.ndarray, rows: list[int], idf: np.ndarray) -> np.ndarray:
@@ -274,64 +284,68 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     idf = docs.sparkSession.sparkContext.broadcast(idf_table(counts, n))
     keyed = kept(buckets_of(rows.where("id is not null"), idf))
     # Equal texts have equal keys: the row of the least id stands for all.
-    first = keyed.groupBy("digest").agg(F.min("id").alias("id"))
-    banded = keyed.join(first, ["digest", "id"]).select("id", F.posexplode("keys").alias("band", "key")).distinct()
-    several = banded.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-    shared = kept(banded.join(several, "key").select("key", "band", "id"))
-    none = rows.select(F.col("id").alias("a"), F.col("id").alias("b")).where(F.lit(False))
-    links, labels = none, none.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    large = shared.groupBy("key").count().where(F.col("count") > BLOCK).select("key")
+    nodes = keyed.groupBy("digest").agg(F.min("id").alias("id"), *(F.any_value(k).alias(k) for k in KEYS))
+    banded = nodes.where(F.col(KEYS[0]).isNotNull()).select("id", F.posexplode(F.array(*KEYS)).alias("band", "key"))
+    several = kept(banded.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most").drop("most"))
+    shared = kept(banded.join(several, "key").select("key", "band", "id", "n", "least"))
+    links = labels = None
+    forget(docs.sparkSession)
     for number, (least, most) in enumerate((*ROUNDS, ROUNDS[-1])):
-        here = shared.where(F.col("band").between(least, most)).select("key", "id")
+        here = shared.where(F.col("band").between(least, most))
         if number < len(ROUNDS):
-            members = kept(_mixed_members(here, labels, number))
-        elif large.isEmpty():
-            break
+            members = kept(_dealt(_mixed(here, labels, kept), number))
         else:
-            members = checkpoint(_paired_members(here.join(large, "key", "left_semi"), labels))
+            here = here.where(F.col("n") > BLOCK)
+            if here.isEmpty():
+                break
+            members = checkpoint(_paired_members(_mixed(here, labels, kept)))
         many = members.count()
         if not many:
+            if labels is None:
+                break
             continue
         ids = members.select("id").distinct()
         if ids.count() <= broadcast_ids:
             ids = F.broadcast(ids)
         texts = rows.join(ids, "id", "left_semi")
-        links = links.unionByName(kept(_linked(members, texts, idf, threshold, max(64, many // 1000))))
+        found = kept(_linked(members, texts, idf, threshold, max(64, many // 1000)))
+        links = found if links is None else links.unionByName(found)
         labels = kept(components(links, kept=kept).select(F.col("node").alias("id"), "component"))
-    by_text = first.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
+        forget(docs.sparkSession)
+    first = nodes.select("digest", "id")
+    if labels is None:
+        by_text = first.select("digest", F.col("id").alias("class_id"))
+    else:
+        by_text = first.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
     known = keyed.select("id", "digest").join(by_text, "digest").select(F.col("id").alias(id_col), "class_id")
     unknown = rows.where("id is null").select(F.col("id").alias(id_col), F.lit(None).cast("bigint").alias("class_id"))
     return kept(known.unionByName(unknown))
 
 
-def _mixed(labelled: DataFrame) -> DataFrame:
-    """Buckets with several components: key, size, least member."""
-    seen = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
-    return seen.where("x <> y").select("key", "n", "least")
+def _mixed(shared: DataFrame, labels: DataFrame | None, kept: Kept) -> DataFrame:
+    """(key, id, component, n, least) of buckets with several components. labels: id, component."""
+    if labels is None:
+        return shared.select("key", "id", F.col("id").alias("component"), "n", "least")
+    labelled = shared.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"), "n", "least")
+    mixed = kept(labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key"))
+    return labelled.join(mixed, "key", "left_semi")
 
 
-def _mixed_members(banded: DataFrame, labels: DataFrame, number: int) -> DataFrame:
-    """(key, block, id, component): members of buckets with several components, in blocks of bounded size."""
-    labelled = _labelled(banded, labels)
+def _dealt(mixed: DataFrame, number: int) -> DataFrame:
+    """(key, block, id, component): members of mixed buckets, in blocks of bounded size."""
     blocks = F.ceil(F.col("n") / BLOCK)
     block = F.pmod(F.xxhash64("id", F.lit(number)), blocks)
     # The least member of a large bucket goes to all its blocks, so they share one.
     every = F.when((F.col("n") > BLOCK) & (F.col("id") == F.col("least")), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array(block))
-    return labelled.join(_mixed(labelled), "key").select("key", F.explode(every).alias("block"), "id", "component")
-
-
-def _labelled(banded: DataFrame, labels: DataFrame) -> DataFrame:
-    return banded.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    return mixed.select("key", F.explode(every).alias("block"), "id", "component")
 
 
-def _paired_members(banded: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, block, id, component): members of buckets of over BLOCK with several components, each two of which meet in a block.
+def _paired_members(mixed: DataFrame) -> DataFrame:
+    """(key, block, id, component): members of mixed buckets, each two of which meet in a block.
 
     A bucket is dealt into parts of half a block, and a block is two of its parts; blocks of one component are left out.
     """
-    labelled = _labelled(banded, labels)
-    parts = F.ceil(F.col("n") / max(1, BLOCK // 2))
-    own = labelled.join(_mixed(labelled).where(F.col("n") > BLOCK), "key").withColumn("parts", parts)
+    own = mixed.withColumn("parts", F.ceil(F.col("n") / max(1, BLOCK // 2)))
     own = own.withColumn("part", F.pmod(F.xxhash64("id", F.lit(len(ROUNDS))), F.col("parts")))
     others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), lambda x: x != F.col("part"))
     paired = own.select("key", "part", "parts", F.explode(others).alias("other"), "id", "component")
@@ -352,5 +366,7 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broa
     out = docs.join(gone, id_col, "left_anti")
     twice = found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
     if not twice.isEmpty():
-        out = out.join(twice, id_col, "left_anti").unionByName(out.join(twice, id_col, "left_semi").dropDuplicates([id_col]))
+        order = Window.partitionBy(id_col).orderBy(text_col, F.xxhash64(*docs.columns))
+        one = out.join(twice, id_col, "left_semi").withColumn("__wl_nth", F.row_number().over(order)).where("__wl_nth = 1").drop("__wl_nth")
+        out = out.join(twice, id_col, "left_anti").unionByName(one)
     return out.select(*docs.columns)

@@ -32,17 +32,24 @@ class Kept:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write df to the cluster's checkpoint folder and read it back, cutting its lineage.
 
-    The folder is the session's spark.checkpoint.dir. Only where none is set, as in
-    tests on one machine, a temporary one is made.
+    The folder is the session's spark.checkpoint.dir. Only where none is set and Spark
+    runs on one machine, as in tests, a temporary one is made; a cluster without one is an error.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context._jsc.sc().isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint"))
     return df.checkpoint(eager=True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Let the driver collect its garbage: it then has the shuffle files removed of what has been written down since, and gives memory back."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let Arrow batches of texts hold BATCH_ROWS rows at most; a session that asks for fewer keeps its number.
 
