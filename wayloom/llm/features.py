@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .textkit import Words, words
@@ -98,23 +98,37 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def sample(labels: DataFrame, by: str, per_class: int, key: str, most: int = 256) -> DataFrame:
-    """At most `per_class` rows for each value of `by`, the first by hash of `key`: the same rows whatever the partitioning.
+def sample(rows: DataFrame, by: str, per_class: int, key: str | list[str], most: int = 256, what: str = "classes") -> DataFrame:
+    """At most `per_class` rows for each value of `by`, the first by hash of the `key` columns: the same rows whatever the partitioning.
 
-    Only the `most` largest classes are sampled. The sizes of the classes are counted first, and only the expected share (and a
-    margin) of each class is ranked, so no class meets in one task whole.
+    One scan counts the classes, of which there may be `most`; another takes of each class
+    the expected share of its rows and a margin, which are then ranked, so no class meets
+    in one task whole.
     """
-    sizes = {r[0]: r[1] for r in labels.where(F.col(by).isNotNull()).groupBy(by).count().orderBy(F.desc("count"), by).limit(most).collect()}
+    key = [key] if isinstance(key, str) else key
+    rows = rows.where(F.col(by).isNotNull())
+    sizes = {r[0]: r[1] for r in rows.groupBy(by).count().limit(most + 1).collect()}
+    if len(sizes) > most:
+        raise ValueError(f"over {most} {what}; at most {most} are supported")
     if not sizes:
-        return labels.where(F.lit(False))
+        return rows.where(F.lit(False))
     scale = 1 << 20
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(scale))
+    hashed = F.xxhash64(*key, F.lit(7))
     share = F.lit(0)
-    for value, n in sizes.items():
+    for value, n in sorted(sizes.items(), key=str):
         share = F.when(F.col(by) == F.lit(value), F.lit(int(scale * min(1.0, (1.2 * per_class + 50) / n)))).otherwise(share)
-    few = labels.where(draw < share)
-    parts = [few.where(F.col(by) == F.lit(v)).orderBy(F.xxhash64(F.col(key), F.lit(7)), key).limit(per_class) for v in sorted(sizes, key=str)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    few = rows.where(F.pmod(hashed, F.lit(scale)) < share)
+    order = Window.partitionBy(by).orderBy(hashed, *key)
+    return few.withColumn("__wl_rank", F.row_number().over(order)).where(F.col("__wl_rank") <= per_class).drop("__wl_rank")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, per_class: int) -> DataFrame:
+    """(id, __wl_y, text): a bounded sample of the labelled texts that are not held out, one for each id.
+
+    An id with contradictory labels teaches nothing and is left out; of different texts
+    with one id the least is taken.
+    """
+    own = labels.select(id_col, F.col(label_col).cast("int").alias("y")).where(F.col(id_col).isNotNull() & F.col("y").isNotNull() & ~held_out(id_col))
+    agreed = own.groupBy(id_col).agg(F.min("y").alias("__wl_y"), F.max("y").alias("__wl_z")).where("__wl_y = __wl_z").drop("__wl_z")
+    chosen = F.broadcast(sample(agreed, "__wl_y", per_class, [id_col]))
+    return docs.select(id_col, text_col).join(chosen, id_col).groupBy(id_col, "__wl_y").agg(F.min(text_col).alias(text_col))

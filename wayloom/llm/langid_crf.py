@@ -12,9 +12,10 @@ the messages on, and one pass each way yields the posteriors. The result is that
 of the plain recursion over the whole document.
 
 Training sequences are runs of words of different documents put together, so the
-transitions see switches. At most `per_language` documents of each language are
-collected for it, and at most `train_words` words of each. More than `max_languages`
-languages are refused with an error, as no text of one left out could be labelled right.
+transitions see switches. The model is trained on a bounded sample of rows: at most
+`per_language` documents of each language, whole, of at most `max_bytes` each. More than
+`max_languages` languages are refused with an error, as the model grows with their number
+(its transitions with the square) and no text of one left out could be labelled right.
 
 Edge cases: null texts and texts without a letter are `und` with score 0; a text
 with letters always gets a learnt language; repeated rows are labelled alike; extra
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import held_out, sample
-from .storage import lean, small_batches
+from .storage import lean, release, small_batches
 from .textkit import U64, Words, _powers, buffers, byte_slices, mix, words
 
 BITS = 17
@@ -216,40 +217,42 @@ def _sequences(lang: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: i
     return at.reshape(n, length), y.reshape(n, length)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 700, train_words: int = 250, max_languages: int = 256, epochs: int = 4, length: int = 50) -> Crf:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, max_bytes: int = 1 << 16, max_languages: int = 256, epochs: int = 4, length: int = 50) -> Crf:
     """Fit on rows with a language that are not held out."""
-    own = docs.select(id_col, F.col(lang_col).alias("__wl_y")).where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    many = own.select("__wl_y").distinct().limit(max_languages + 1).count()
-    if many > max_languages:
-        raise ValueError(f"over {max_languages} languages; at most {max_languages} are supported")
-    chosen = sample(own, "__wl_y", per_language, id_col, max_languages).dropDuplicates([id_col])
-    rows = docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), id_col).select("__wl_y", text_col, F.xxhash64(id_col).alias("h"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A run of at most train_words words from the middle of each text."""
-        for batch in batches:
-            data, offsets = buffers(batch.column(1))
-            w = words(data, offsets)
-            out = []
-            for i in range(len(batch)):
-                a, b = int(w.first[i]), int(w.first[i + 1])
-                a += max(0, b - a - train_words) // 2
-                b = min(b, a + train_words)
-                out.append(bytes(w.lower[w.start[a] : w.end[b - 1]]).decode("utf-8", "ignore") if b > a else "")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out), batch.column(2)], names=["y", "t", "h"])
-
-    got = rows.mapInArrow(lean(run), "y string, t string, h bigint").toArrow().sort_by("h")
+    own = docs.select(F.col(id_col).alias("i"), F.col(lang_col).alias("y"), F.col(text_col).alias("t"))
+    own = own.where(F.col("i").isNotNull() & ~held_out("i") & (F.octet_length("t") <= max_bytes))
+    chosen = sample(own, "y", per_language, ["i", "t"], max_languages, "languages")
+    got = chosen.select("y", "t", F.xxhash64("i", "t").alias("h")).toArrow().sort_by([("h", "ascending"), ("y", "ascending")])
     names = got["y"].to_pylist()
     labels = sorted(set(names))
-    w = words(*buffers(got["t"])) if len(names) else None
-    if w is None or not len(w.hash):
+    data, offsets = buffers(got["t"])
+    # Texts are cut into words a slice at a time, and features are kept for distinct words only, so the driver holds little.
+    known = np.zeros(0, U64)
+    hashes, counts, sizes, buckets, fresh_names = [known], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [known]
+    for a, b in byte_slices(offsets, 1 << 18):
+        w = words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        own_names, pick = np.unique(w.hash, return_index=True)
+        fresh = ~np.isin(own_names, known)
+        first, bucket = word_features(w, pick[fresh])
+        hashes.append(w.hash)
+        counts.append(w.counts())
+        sizes.append(np.diff(first))
+        buckets.append(bucket.astype(np.int32))
+        fresh_names.append(own_names[fresh])
+        known = np.union1d(known, own_names)
+    words_of = np.concatenate(hashes)
+    if not len(words_of):
         return Crf([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0)))
-    # Features are kept for distinct words only, so the driver holds little.
-    _, pick, word = np.unique(w.hash, return_index=True, return_inverse=True)
-    first, bucket = word_features(w, pick)
+    order = np.argsort(np.concatenate(fresh_names))
+    word = order[np.searchsorted(known, words_of)]
+    first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    begin = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
     lang = np.array([labels.index(x) for x in names])
-    seqs, gold = _sequences(lang, w.first[:-1], w.first[1:], length)
-    return fit(word[seqs], first, bucket.astype(np.int32), gold, labels, epochs)
+    seqs, gold = _sequences(lang, begin[:-1], begin[1:], length)
+    crf = fit(word[seqs], first, np.concatenate(buckets), gold, labels, epochs)
+    del got, data, words_of, word, seqs, gold
+    release()
+    return crf
 
 
 def has_letter(raw: bytes) -> bool:

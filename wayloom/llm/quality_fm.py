@@ -13,7 +13,8 @@ class (features, not texts, are collected); its size is fixed by `bits`.
 
 Edge cases: null and empty texts are scored from their (zero) statistics; repeated
 rows get equal scores; rows with a null id are scored and never held out; extra
-columns are ignored; without any labelled row of both classes the prior is used.
+columns are ignored; an id with contradictory labels isn't learnt from, and of rows that
+share an id one text is; without any labelled row of both classes the prior is used.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import STATS, Features, extract, held_out, sample
-from .storage import lean, small_batches
+from .features import STATS, Features, extract, labelled
+from .storage import lean, release, small_batches
 from .textkit import buffers, byte_slices
 
 BINS = 10
@@ -120,9 +121,7 @@ def collect_features(rows: DataFrame, text_col: str, label_col: str, bits: int)
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = 4000, bits: int = 16, factors: int = 6, epochs: int = 8) -> FactorMachine:
     """Fit on labelled rows that are not held out, at most `per_class` of each class."""
-    own = labels.select(id_col, F.col(label_col).alias("__wl_y")).where(F.col(id_col).isNotNull() & ~held_out(id_col)).dropDuplicates([id_col])
-    chosen = sample(own, "__wl_y", per_class, id_col)
-    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
+    rows = labelled(docs, labels, label_col, id_col, text_col, per_class)
     f, y = collect_features(rows, text_col, "__wl_y", bits)
     size = (1 << bits) + len(STATS) * BINS
     rng = np.random.default_rng(0)
@@ -130,6 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     m = FactorMachine(bits, np.ascontiguousarray(edges), 0.0, np.zeros(size, np.float32), rng.normal(0, 0.05, (size, factors)).astype(np.float32))
     if len(set(y.tolist())) == 2:
         m.fit(*m.vectors(f), y, epochs, 0.1, 1e-5)
+    release()
     return m
 
 

@@ -91,7 +91,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     chain = x.train(docs, _table(spark, sf_dir, "labels"))
     return x.score(docs, chain).select(
-        "doc_id", held_out().alias("held_out"), F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"), "p_severe", "p_repeated", "p_toxic"
+        "doc_id", held_out().alias("held_out"), F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"), *(f"p_{c}" for c in x.CATEGORIES)
     )
 
 

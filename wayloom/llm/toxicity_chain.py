@@ -1,19 +1,21 @@
 """Toxicity: a chain of linear classifiers, one for each category, in a fixed order.
 
-Categories, from the labelled rows: `severe` and `repeated` are toxic rows holding
-at least SEVERE and REPEATED distinct terms of a lexicon learnt from the labels;
-`toxic` is the label itself and comes last. The model of each category is a
-logistic regression over hashed terms (words and their 4- to 6-byte beginnings, which catch
-inflected forms) plus the probabilities of all earlier categories. In training
-those probabilities are out-of-fold: each row gets them from models that did not
-see it, so a later model can't lean on an earlier one's memory of the labels.
-
-Terms are chosen by log-odds on the training rows, so the model is a few thousand
+Categories: `blunt` and `suspect` are rows that hold a term of that kind, whatever their
+label; `toxic` is the label itself and comes last. The kinds are learnt: of the terms that
+set toxic rows apart, a blunt one has log-odds over BLUNT (clean rows hardly ever have it), a
+suspect one over SUSPECT. The model of each category is a logistic regression over hashed
+terms (words and their 4- to 6-byte beginnings, which catch inflected forms) plus the
+probabilities of all earlier categories. In training those probabilities are
+out-of-fold: each row gets them from models that did not see it, whose terms and kinds were
+chosen without it too, so a later model can't lean on an earlier one's memory of the labels.
+
+Terms are chosen by likelihood ratio on the training rows, so the model is a few thousand
 weights whatever the corpus. It is fitted on the driver from the hashed terms of at
 most `per_class` labelled rows of each class.
 
 Edge cases: null and empty texts hold no terms and get the bias alone; repeated
-rows get equal scores; extra columns are ignored; without labels of both classes
+rows get equal scores; extra columns are ignored; an id with contradictory labels isn't
+learnt from, and of rows that share an id one text is; without labels of both classes
 every probability is the prior.
 """
 
@@ -27,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import held_out, sample
-from .storage import lean, small_batches
+from .features import labelled
+from .storage import lean, release, small_batches
 from .textkit import U64, Words, buffers, byte_slices, mix, words
 
-CATEGORIES = ("severe", "repeated", "toxic")
-REPEATED, SEVERE = 2, 4
+CATEGORIES = ("blunt", "suspect", "toxic")
+BLUNT, SUSPECT = 5.0, 1.0
 BITS = 22
 FOLDS = 3
 BEGINNINGS = (4, 5, 6)
@@ -113,38 +115,55 @@ class Chain:
         return out
 
 
+class _Terms:
+    """Terms chosen on some rows, the chosen ones of every row, and every row's categories."""
+
+    def __init__(self, first: np.ndarray, term: np.ndarray, toxic: np.ndarray, seen: np.ndarray, max_terms: int, evidence: float):
+        """term: numbers of the terms of all rows; seen: whether a row may be learnt from."""
+        n = int(term.max(initial=-1)) + 1
+        row = np.repeat(np.arange(len(toxic)), np.diff(first))
+        use = seen[row]
+        pos, neg = (np.bincount(term[use], y[row][use], n) for y in (toxic, 1 - toxic))
+        n1, n0 = max(toxic[seen].sum(), 1), max((1 - toxic)[seen].sum(), 1)
+        odds = np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))
+        gain = _likelihood_ratio(pos, neg, n1, n0)
+        gain[gain < evidence] = 0
+        self.chosen = np.argsort(-gain, kind="stable")[:max_terms]
+        self.chosen = self.chosen[gain[self.chosen] > 0]
+        slots = np.full(n, -1, np.int64)
+        slots[self.chosen] = np.arange(len(self.chosen))
+        slot = slots[term]
+        self.first, self.slot = np.concatenate([[0], np.cumsum(slot >= 0)])[first], slot[slot >= 0]
+        odds = odds[self.chosen][self.slot]
+        self.target = np.column_stack([self._holds(odds > BLUNT), self._holds((odds > SUSPECT) & (odds <= BLUNT)), toxic])
+
+    def _holds(self, kind: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(kind)])
+        return (total[self.first[1:]] > total[self.first[:-1]]).astype(float)
+
+    def fit(self, category: int, rows: np.ndarray, before: np.ndarray) -> Link:
+        return _fit(*_rows(self.first, self.slot, rows), before[rows], self.target[rows, category], len(self.chosen))
+
+
 def fit_chain(first: np.ndarray, bucket: np.ndarray, toxic: np.ndarray, fold: np.ndarray, max_terms: int = 4096, evidence: float = 20.0) -> Chain:
     """Choose terms, derive the categories, and fit the links in order with out-of-fold probabilities.
 
     A term is chosen if the log-likelihood ratio of its presence against the label is
     at least `evidence`, which chance reaches once in some 100,000 terms.
     """
-    n = 1 << BITS
-    row = np.repeat(np.arange(len(toxic)), np.diff(first))
-    pos, neg = np.bincount(bucket, toxic[row], n), np.bincount(bucket, 1 - toxic[row], n)
-    n1, n0 = max(toxic.sum(), 1), max((1 - toxic).sum(), 1)
-    odds = np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))
-    gain = _likelihood_ratio(pos, neg, n1, n0)
-    gain[gain < evidence] = 0
-    top = np.argsort(-gain, kind="stable")[:max_terms]
-    top = top[gain[top] > 0]
-    chain = Chain(np.full(n, -1, np.int32))
-    chain.slots[top] = np.arange(len(top))
-    first, slot = chain.choose(first, bucket)
-    strong = odds[top] > 2.0
-    hits = np.concatenate([[0], np.cumsum(strong[slot])]) if len(slot) else np.zeros(1)
-    hits = hits[first[1:]] - hits[first[:-1]] if len(slot) else np.zeros(len(toxic))
-    target = {"severe": toxic * (hits >= SEVERE), "repeated": toxic * (hits >= REPEATED), "toxic": toxic}
+    buckets, term = np.unique(bucket, return_inverse=True)
+    every = np.arange(len(toxic))
+    whole = _Terms(first, term, toxic, every >= 0, max_terms, evidence)
+    parts = [_Terms(first, term, toxic, fold != k, max_terms, evidence) for k in range(FOLDS)]
+    chain = Chain(np.full(1 << BITS, -1, np.int16))
+    chain.slots[buckets[whole.chosen]] = np.arange(len(whole.chosen))
     before = np.zeros((len(toxic), 0))
-    for name in CATEGORIES:
-        y = target[name].astype(float)
-        chain.links.append(_fit(first, slot, before, y, len(top)))
-        held = np.zeros(len(y))
-        for k in range(FOLDS):
-            other = _rows(first, slot, np.flatnonzero(fold != k))
+    for category in range(len(CATEGORIES)):
+        chain.links.append(whole.fit(category, every, before))
+        held = np.zeros(len(toxic))
+        for k, part in enumerate(parts):
             own = np.flatnonzero(fold == k)
-            link = _fit(*other, before[fold != k], y[fold != k], len(top))
-            held[own] = link.prob(*_rows(first, slot, own), before[own])
+            held[own] = part.fit(category, np.flatnonzero(fold != k), before).prob(*_rows(part.first, part.slot, own), before[own])
         before = np.column_stack([before, held])
     return chain
 
@@ -168,8 +187,6 @@ def _rows(first: np.ndarray, slot: np.ndarray, rows: np.ndarray) -> tuple[np.nda
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = 2500) -> Chain:
     """Fit on labelled rows that are not held out, at most `per_class` of each class."""
-    own = labels.select(id_col, F.col(label_col).cast("int").alias("__wl_y")).where(F.col(id_col).isNotNull() & ~held_out(id_col)).dropDuplicates([id_col])
-    chosen = sample(own, "__wl_y", per_class, id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,12 +196,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(bucket, pa.int32()))
                 yield pa.RecordBatch.from_arrays([lists, batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a)], names=["t", "y", "h"])
 
-    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col, "__wl_y", F.xxhash64(id_col).alias("h"))
+    rows = labelled(docs, labels, label_col, id_col, text_col, per_class).select(text_col, "__wl_y", F.xxhash64(id_col).alias("h"))
     got = rows.mapInArrow(lean(run), "t array<int>, y int, h bigint").toArrow().sort_by("h")
     lists = got["t"].combine_chunks()
     bucket = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     first = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-    return fit_chain(first, bucket, got["y"].to_numpy().astype(float), np.arange(len(lists)) % FOLDS)
+    toxic = got["y"].to_numpy().astype(float)
+    del got, lists
+    chain = fit_chain(first, bucket, toxic, np.arange(len(toxic)) % FOLDS)
+    release()
+    return chain
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 1 << 21) -> DataFrame:
