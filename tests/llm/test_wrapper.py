@@ -1,3 +1,9 @@
+import os
+import random
+import re
+from html.parser import HTMLParser
+
+import pytest
 from wayloom.llm import wrapper as w
 
 
@@ -61,3 +67,83 @@ def test_odd_pages(spark):
     got = sorted(((r.page_id or 0), len(r.text)) for r in w.extract(df).collect())
     assert got == [(0, 2), (1, 0), (2, 0), (2, 0), (3, 299_999)]
     assert w.extract(df.limit(0)).count() == 0
+
+
+def site(k, kind):
+    """A page of a site and its main text; kinds of mark-up that look like something else."""
+    r = random.Random(k)
+    say = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7))) for _ in range(n))
+    parts = [say(30), say(60), say(25)]
+    body = "".join(f"<p>{x}</p>" for x in parts)
+    around = lambda x: f"<html><body><header>The site</header><nav><a>one</a></nav>{x}<div class='comments'><p>{say(4)} nice</p></div><footer>Rights kept</footer></body></html>"
+    if kind == "plain":
+        return around(f"<article>{body}</article>"), parts
+    if kind == "ad-free":
+        return around(f'<article class="post ad-free">{body}</article>'), parts
+    if kind == "words inside":
+        own = f'<div class="social history"><p>{parts[0]}</p></div><section class="related-work">{parts[1]}</section><div id="notice-of-appeal">{parts[2]}</div>'
+        return around(f"<article>{own}</article>"), parts
+    if kind == "label":
+        return around(f"<article><p>{parts[0]}</p><label>{parts[1]}</label><p>{parts[2]}</p></article>"), parts
+    if kind == "teaser":
+        return around(f"<div class=body>{body}</div><article class=card><p>{say(3)}</p></article>"), None
+    if kind == "bulk":
+        return around(f'<div class="social history">{body}</div><div class="share">{say(5)}</div>'), parts
+    if kind == "share box":
+        return around(f"<article>{body}<div class=share>Tell {k % 2}</div></article>"), parts
+    return around(f'<div class="{" ".join(f"w{x}" + "abcdefghij"[x] * 9 for x in range(9))} first">{parts[0]}</div><div class="{" ".join(f"w{x}" + "abcdefghij"[x] * 9 for x in range(9))} second">{parts[1]}</div><p>{parts[2]}</p>'), parts
+
+
+def test_sites_with_known_main_text(spark):
+    kinds = ["plain", "ad-free", "words inside", "label", "teaser", "bulk", "share box", "long classes"]
+    rows = [(100 * k + n, f"https://{kind.replace(' ', '-')}.example/{n}", *site(100 * k + n, kind)) for k, kind in enumerate(kinds) for n in range(12)]
+    df = spark.createDataFrame([x[:3] for x in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in w.extract(df).collect()}
+    for i, url, html, parts in rows:
+        if parts is None:
+            assert all(x in got[i] for x in re.findall(r"<p>(.*?)</p>", html.split("</div>")[0])), url
+            assert "nice" not in got[i] and "site" not in got[i]
+        else:
+            assert got[i] == " ".join(parts), url
+
+
+class Slow(HTMLParser):
+    """Texts of the blocks inside an article, by the library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.blocks, self.text = 0, [], ""
+
+    def flush(self):
+        own = " ".join(self.text.split())
+        self.blocks += [own] if own else []
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text += " "
+        elif tag not in w.INLINE:
+            self.flush()
+        self.depth += tag == "article"
+
+    def handle_endtag(self, tag):
+        if tag not in w.INLINE:
+            self.flush()
+        self.depth -= tag == "article"
+
+    def handle_data(self, data):
+        self.text += data if self.depth else ""
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the supplied tables are not here")
+def test_supplied_pages_give_their_articles(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r.text for r in w.extract(pages).collect()}
+    rows = pages.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        slow = Slow()
+        slow.feed(r.html or "")
+        slow.close()
+        slow.flush()
+        assert got[r.page_id] == " ".join(slow.blocks), r.url

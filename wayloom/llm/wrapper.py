@@ -8,14 +8,19 @@ children, top down), so all pages' nodes have names in common. A node whose text
 repeats over pages with different main texts is template; one whose text varies is
 a content slot. Copies of an article count once, so they don't make it template.
 
-The text of a page is that of its content slots inside its article or main element
-(all of the body without one), in page order, less what mark-up declares to be
-something else: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and comments. Words in class or id declare that only outside an article element
-(inside it the template decides), and never of html, body, main or what holds an article or main.
-
-Counts are taken over all pages with map-side combining; a host, however large,
-never meets in one task. The per-skeleton verdicts are broadcast behind a size check.
+The text of a page is that of its content slots, in page order, less what elements and
+roles declare to be something else: menus, headers, footers, sidebars, adverts, forms,
+scripts, styles. Words in class or id are evidence of that, not proof. Outside an article
+element they leave a node out unless it holds over half of the page's text (only comments
+go however much they are); html, body, main, article and what holds an article or main are never left out so.
+Inside an article element, and for what holds most of a page, they only lower what it takes to be template. Where
+the text inside article and main elements is at least half as much as what else is left,
+it alone is the page's text; else it is a teaser, and all counts.
+
+Pages are parsed twice: once for the hashes that wrappers are induced from, which are
+written down, and once for the text. Counts are taken over all pages with map-side
+combining; a host, however large, never meets in one task. The nodes' names and the
+per-skeleton verdicts are broadcast behind a size check.
 
 Edge cases: null and empty pages give empty texts; text outside any element counts;
 unclosed and stray tags are tolerated; nesting beyond MAX_DEPTH keeps its text in the
@@ -43,12 +48,15 @@ INLINE = [
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
 ]
 #: Elements, roles and words in class or id that declare something other than the article.
-NOT_CONTENT = ["head", "nav", "footer", "aside", "form", "button", "menu", "dialog", "select", "label", "fieldset", "object", "canvas", "audio", "video"]
+NOT_CONTENT = ["head", "nav", "footer", "aside", "form", "button", "menu", "dialog", "select", "object", "canvas", "audio", "video"]
 NOT_CONTENT_ROLES = ["navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "form"]
 NOT_CONTENT_WORDS = [
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "side", "footer", "cookie", "cookies",
-    "consent", "gdpr", "notice", "notices", "comment", "comments", "reply", "replies", "discussion", "disqus", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "popup", "modal", "overlay", "widget", "toolbar", "pagination", "pager", "skip", "masthead", "topbar",
+    "consent", "gdpr", "notice", "notices", "discussion", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "popup", "modal", "overlay", "widget", "toolbar", "pagination", "pager", "skip", "masthead", "topbar",
 ]
+COMMENT_WORDS = ["comment", "comments", "reply", "replies", "disqus"]
+#: A class that begins like this tells a state of the page, not what the element is.
+STATES = ["has", "with", "without", "no", "is"]
 MAIN = ["article", "main"]
 #: Opening one of the first ends an open one of the second, up to the third.
 ENDS = {
@@ -65,27 +73,33 @@ _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden|style)(?:\s
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _inline, _void, _bad_tag, _bad_role, _bad_word = (frozenset(x) for x in (INLINE, VOID, NOT_CONTENT, NOT_CONTENT_ROLES, NOT_CONTENT_WORDS))
+_comment_word, _state = frozenset(COMMENT_WORDS), frozenset(STATES)
 _main = frozenset(MAIN)
 _never_worded = frozenset(["html", "body", *MAIN])
 
 
 @lru_cache(maxsize=4096)
-def _label(tag: str, attrs: str) -> tuple[str, bool, bool]:
-    """Label of an element (tag and words of its class), and whether its mark-up, or a word of its class or id, declares it not to be content."""
-    bad, worded, words = tag in _bad_tag, False, []
+def _label(tag: str, attrs: str) -> tuple[str, bool, int]:
+    """Label of an element (tag and words of its class), whether its mark-up declares it not to be content, and whether words do: 2 if of comments."""
+    bad, worded, words = tag in _bad_tag, 0, []
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
-            own = _WORD.findall(_CAMEL.sub(" ", value).lower())
-            worded |= tag not in _never_worded and not _bad_word.isdisjoint(own)
-            words += own if name == "class" else []
+            for token in value.split():
+                own = _WORD.findall(_CAMEL.sub(" ", token).lower())
+                words += own if name == "class" else []
+                if tag not in _never_worded and own and own[0] not in _state:
+                    worded = max(worded, 0 if _bad_word.isdisjoint(own) else 1, 0 if _comment_word.isdisjoint(own) else 2)
         elif name == "role":
             bad |= value.lower() in _bad_role
         elif name == "style":
             bad |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
         elif name == "hidden" or value.lower() == "true":
             bad = True
-    return ".".join([tag, *sorted(set(words))])[:80] + ("!" if bad or worded else ""), bad, worded
+    label = ".".join([tag, *sorted(set(words))])
+    if len(label) > 80:
+        label = f"{label[:60]}~{_hash(label):x}"
+    return label + ("!" if bad or worded else ""), bad, worded
 
 
 class Page:
@@ -94,7 +108,7 @@ class Page:
     def __init__(self, source: str):
         self.labels, self.children, self.parent = ["root"], [[]], [-1]
         self.bad, self.inside = [False], [False]
-        self._worded, self._article, self._holds = [False], [False], [False]
+        self._worded, self._article, self._holds = [0], [False], [False]
         self.pieces: list[tuple[int, str]] = []
         self._by_label: list[dict[str, int]] = [{}]
         stack: list[tuple[str, int]] = [("", 0)]
@@ -127,7 +141,7 @@ class Page:
                 continue
             label, bad, worded = _label(tag, attrs.rstrip("/ ") if attrs else "")
             if tag in _inline and not bad and not worded:
-                continue
+                continue  # part of the text around it
             self._flush(text, stack[-1][1])
             self._end_implied(tag, stack)
             if attrs.endswith("/") and tag not in ("p", "div"):
@@ -141,14 +155,20 @@ class Page:
         self._settle()
 
     def _settle(self) -> None:
-        """Words of class or id count only outside articles and for elements without article or main; what is declared holds for all inside."""
-        holds = self._holds
+        """Hand down what is declared, then what words say: of nodes outside articles that hold neither an article or main nor most of the page."""
+        holds, bad, parent = self._holds, self.bad, self.parent
+        for n in range(1, len(bad)):
+            bad[n] |= bad[parent[n]]
+        size = [0] * len(bad)
+        for n, text in self.pieces:
+            size[n] += 0 if bad[n] else len(text)
         for n in range(len(holds) - 1, 0, -1):
-            holds[self.parent[n]] |= holds[n]
-        for n in range(1, len(holds)):
-            self.bad[n] |= self.bad[self.parent[n]] or (self._worded[n] and not holds[n])
+            holds[parent[n]] |= holds[n]
+            size[parent[n]] += size[n]
+        for n in range(1, len(bad)):
+            bad[n] |= bad[parent[n]] or (not holds[n] and (self._worded[n] == 2 or (self._worded[n] == 1 and 2 * size[n] <= size[0])))
 
-    def _open(self, parent: int, label: str, bad: bool, worded: bool, tag: str) -> int:
+    def _open(self, parent: int, label: str, bad: bool, worded: int, tag: str) -> int:
         have = self._by_label[parent].get(label)
         if have is not None:
             return have
@@ -161,7 +181,7 @@ class Page:
         self.parent.append(parent)
         self.bad.append(bad)
         article = self._article[parent] or tag == "article"
-        self._worded.append(worded and not article)
+        self._worded.append(0 if article else worded)
         self._article.append(article)
         self._holds.append(tag in _main)
         self.inside.append(inside)
@@ -295,30 +315,37 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, skeleton, names, marked): the reference's node for each node, and whether its mark-up is evidence against it."""
     cached = lru_cache(maxsize=1 << 14)(match)
     for batch in batches:
-        names = [cached(a, b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.list_(pa.int32()))], names=["host", "skeleton", "names"])
+        skeletons = batch.column(1).to_pylist()
+        names = [cached(a, b) for a, b in zip(skeletons, batch.column(2).to_pylist(), strict=True)]
+        marked = [[label.endswith("!") for label in tree(a)[0]] for a in skeletons]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.list_(pa.int32())), pa.array(marked, pa.list_(pa.bool_()))], names=["host", "skeleton", "names", "marked"])
 
 
-def induce(pages: DataFrame, min_pages: int = 4, min_share: float = 0.5, pool_pages: int = 30, pool_repeats: float = 4.0) -> DataFrame:
+def induce(pages: DataFrame, min_pages: int = 4, min_share: float = 0.5, pool_pages: int = 30, pool_repeats: float = 4.0, marked_share: float = 0.1, marked_repeats: float = 1.5, broadcast_rows: int = 200_000) -> DataFrame:
     """Verdicts: (host, skeleton, template), the skeleton's nodes that are template. pages: (host, html).
 
     A node is template if one text of it stands beside at least `min_share` of the
     host's different main texts, `min_pages` of them at least; or if, over `pool_pages`
-    of them at least, each of its texts repeats `pool_repeats` times on average.
+    of them at least, each of its texts repeats `pool_repeats` times on average. Of a
+    marked node half so many pages, `marked_share` and `marked_repeats` are enough.
     """
-    seen = pages.mapInArrow(_observe, "host string, skeleton string, nodes array<int>, texts array<bigint>, main bigint")
+    seen = checkpoint(pages.mapInArrow(_observe, "host string, skeleton string, nodes array<int>, texts array<bigint>, main bigint"))
     shapes = seen.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n"))
     reference = shapes.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("reference"))
-    names = shapes.join(reference, "host").select("host", "skeleton", "reference").mapInArrow(_align, "host string, skeleton string, names array<int>")
-    facts = seen.select("host", "skeleton", F.explode(F.arrays_zip("nodes", "texts")).alias("x"), "main").select("host", "skeleton", F.col("x.nodes").alias("node"), F.col("x.texts").alias("text"), "main").distinct()
-    nodes = names.select("host", "skeleton", F.posexplode("names").alias("node", "name")).where("name >= 0")
-    named = facts.join(nodes, ["host", "skeleton", "node"]).select("host", "name", "text", "main").distinct()
-    texts = named.groupBy("host", "name", "text").agg(F.count(F.lit(1)).alias("n"))
-    slots = texts.groupBy("host", "name").agg(F.sum("n").alias("pages"), F.max("n").alias("top"), F.count(F.lit(1)).alias("texts"))
-    fixed = (F.col("top") >= min_pages) & (F.col("top") >= min_share * F.col("pages"))
-    pool = (F.col("pages") >= pool_pages) & (F.col("pages") >= pool_repeats * F.col("texts"))
+    names = shapes.join(reference, "host").select("host", "skeleton", "reference").mapInArrow(_align, "host string, skeleton string, names array<int>, marked array<boolean>")
+    nodes = names.select("host", "skeleton", F.posexplode(F.arrays_zip("names", "marked")).alias("node", "x")).select("host", "skeleton", "node", F.col("x.names").alias("name"), "x.marked")
+    nodes = checkpoint(nodes.where("name >= 0"))
+    known = F.broadcast(nodes) if nodes.count() <= broadcast_rows else nodes
+    facts = seen.select("host", "skeleton", F.explode(F.arrays_zip("nodes", "texts")).alias("x"), "main").select("host", "skeleton", F.col("x.nodes").alias("node"), F.col("x.texts").alias("text"), "main")
+    named = facts.join(known, ["host", "skeleton", "node"]).groupBy("host", "name", "text", "main").agg(F.max("marked").alias("marked"))
+    texts = named.groupBy("host", "name", "text").agg(F.count(F.lit(1)).alias("n"), F.max("marked").alias("marked"))
+    slots = texts.groupBy("host", "name").agg(F.sum("n").alias("pages"), F.max("n").alias("top"), F.count(F.lit(1)).alias("texts"), F.max("marked").alias("marked"))
+    weaker = lambda most, least: F.when(F.col("marked"), least).otherwise(most)
+    fixed = (F.col("top") >= weaker(min_pages, min_pages / 2)) & (F.col("top") >= weaker(min_share, marked_share) * F.col("pages"))
+    pool = (F.col("pages") >= weaker(pool_pages, pool_pages / 2)) & (F.col("pages") >= weaker(pool_repeats, marked_repeats) * F.col("texts"))
     template = slots.where(fixed | pool).select("host", "name")
     return nodes.join(template, ["host", "name"]).groupBy("host", "skeleton").agg(F.sort_array(F.collect_list("node")).alias("template"))
 
@@ -326,17 +353,18 @@ def induce(pages: DataFrame, min_pages: int = 4, min_share: float = 0.5, pool_pa
 def _pieces(keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            skeletons, nodes, texts = [], [], []
+            skeletons, nodes, texts, inside = [], [], [], []
             for source in batch.column(batch.schema.names.index("html")).to_pylist():
                 page = Page(source or "")
                 place = {n: i for i, n in enumerate(page.order())}
-                article = any(page.inside[n] and not page.bad[n] for n, _ in page.pieces)
-                kept = [(place[n], t) for n, t in page.pieces if not page.bad[n] and (page.inside[n] or not article)]
+                kept = [(n, t) for n, t in page.pieces if not page.bad[n]]
                 skeletons.append(page.skeleton())
-                nodes.append([n for n, _ in kept])
+                nodes.append([place[n] for n, _ in kept])
                 texts.append([t for _, t in kept])
+                inside.append([page.inside[n] for n, _ in kept])
             cols = [batch.column(batch.schema.names.index(k)) for k in keep]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(skeletons, pa.string()), pa.array(nodes, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))], names=[*keep, "skeleton", "nodes", "texts"])
+            lists = [pa.array(nodes, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())), pa.array(inside, pa.list_(pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(skeletons, pa.string()), *lists], names=[*keep, "skeleton", "nodes", "texts", "inside"])
 
     return run
 
@@ -345,15 +373,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """(id, url, text) of every page."""
     small_batches(pages.sparkSession)
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), _host(url_col).alias("host"), F.col(html_col).alias("html"))
-    template = induce(source.select("host", "html"), **rules)
     # The verdicts are used twice (counted and joined), so they are written down, where executors share a folder.
-    template = checkpoint(template.coalesce(8))
+    template = checkpoint(induce(source.select("host", "html"), broadcast_rows=broadcast_rows, **rules).coalesce(8))
     keep = ["id", "url", "host"]
     kinds = ", ".join(f"{k} {source.schema[k].dataType.simpleString()}" for k in keep)
-    rows = source.mapInArrow(_pieces(keep), f"{kinds}, skeleton string, nodes array<int>, texts array<string>")
+    rows = source.mapInArrow(_pieces(keep), f"{kinds}, skeleton string, nodes array<int>, texts array<string>, inside array<boolean>")
     if template.count() <= broadcast_rows:
         template = F.broadcast(template)
-    rows = rows.join(template, ["host", "skeleton"], "left")
-    left = F.filter(F.arrays_zip("nodes", "texts"), lambda x: ~F.coalesce(F.array_contains("template", x["nodes"]), F.lit(False)))
-    return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.array_join(F.transform(left, lambda x: x["texts"]), " ").alias("text"))
-
+    left = F.filter(F.arrays_zip("nodes", "texts", "inside"), lambda x: ~F.coalesce(F.array_contains("template", x["nodes"]), F.lit(False)))
+    rows = rows.join(template, ["host", "skeleton"], "left").select("id", "url", left.alias("left"))
+    size = lambda pieces: F.aggregate(pieces, F.lit(0), lambda n, x: n + F.length(x["texts"]))
+    rows = rows.withColumn("own", F.filter("left", lambda x: x["inside"]))
+    text = lambda pieces: F.array_join(F.transform(pieces, lambda x: x["texts"]), " ")
+    main = F.when((F.size("own") > 0) & (3 * size(F.col("own")) >= size(F.col("left"))), text("own")).otherwise(text("left"))
+    return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col), main.alias("text"))
