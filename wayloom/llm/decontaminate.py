@@ -6,13 +6,15 @@ stream that occurs in an item. Where that length reaches the window, the words o
 the window are hit, and the state's item set names the items holding it. An item
 shorter than the window, but not empty, is a window of its own.
 
-The stream is first thinned without loss: only runs of consecutive words that all
-occur in some item, at least as long as the shortest window, can hold a match.
+The stream is first thinned without loss: only words inside a window whose hash is
+that of some item's window can be hit, and runs of such words go through the automaton.
 
-Test items are sent to the executors in blocks of at most `block_bytes`; a larger
-benchmark takes one more narrow pass for each block, so what is broadcast has a
-fixed bound. Spans longer than `max_span` words, or all spans of a text with more
-than `max_coverage` of its words hit, are decided upon in `clean`.
+A benchmark of at most `block_bytes` is one automaton, which is broadcast. A larger one
+is dealt into blocks of about that size and never leaves the executors: what
+is broadcast is a table of bits of the items' window hashes, of a fixed size. Texts are thinned by it, and only the
+runs that are left, with the text's digest, are sent to every block's automaton, in parts of bounded
+size; hits come back by the digest. Spans longer than `max_span` words, or all
+spans of a text with more than `max_coverage` of its words hit, are decided upon in `clean`.
 
 Edge cases: null and empty texts have no words and are clean; empty or null items
 are ignored; an empty benchmark leaves all clean; repeated rows are each decided
@@ -29,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import lean, small_batches
-from .textkit import Words, buffers, byte_slices, words
+from .storage import checkpoint, lean, release, small_batches
+from .textkit import U64, Words, _powers, buffers, byte_slices, mix, words
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 SPANS, ITEMS, COUNT, BYTES = "hit_spans", "hit_items", "n_words", "hit_bytes"
@@ -81,7 +83,6 @@ class SuffixAutomaton:
         for name, toks in items:
             if tuple(toks) in self.short:
                 self.short[tuple(toks)].add(name)
-        self.least = min((min(len(t), window) for _, t in items if t), default=0)
         self.any_short = bool(self.short)
 
     def _extend(self, last: int, tok: bytes, own: list[set[str]]) -> int:
@@ -156,57 +157,55 @@ class SuffixAutomaton:
         return spans, found, longest
 
 
-class Vocabulary:
-    """Word hashes of all items behind a bit filter, to thin a batch of words."""
+class Windows:
+    """Bits of the hashes of items' windows, by length, to thin a batch of words."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]]):
-        vocab = sorted({t for _, toks in items for t in toks})
-        data = np.frombuffer(b" ".join(vocab), np.uint8) if vocab else np.zeros(0, np.uint8)
-        self.hashes = np.sort(words(data, np.array([0, len(data)])).hash)
-        self.bits = np.zeros(1 << 20, bool)
-        self.bits[self.hashes >> np.uint64(44)] = True
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.seen: dict[int, np.ndarray] = {}
 
-    def has(self, h: np.ndarray) -> np.ndarray:
-        out = self.bits[h >> np.uint64(44)]
-        some = np.flatnonzero(out)
-        if len(some):
-            at = np.searchsorted(self.hashes, h[some])
-            out[some] = self.hashes[np.minimum(at, len(self.hashes) - 1)] == h[some]
+    @classmethod
+    def of(cls, items: list[tuple[str, list[bytes]]], window: int, bits: int) -> Windows:
+        out = cls(bits)
+        for _, toks in items:
+            if toks:
+                data = np.frombuffer(b" ".join(toks), np.uint8)
+                out.add(words(data, np.array([0, len(data)])), min(window, len(toks)))
         return out
 
-
-def runs(w: Words, inside: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
-    """(row, first word, end word) of maximal runs of words inside the vocabulary, of at least `least` words."""
-    if not len(inside) or not least:
-        return
-    edge = np.zeros(len(inside) + 1, bool)
-    edge[w.first[w.first < len(inside)]] = True
-    prev = np.empty(len(inside), bool)
-    prev[0], prev[1:] = False, inside[:-1]
-    begin = np.flatnonzero(inside & (~prev | edge[:-1]))
-    follow = np.empty(len(inside), bool)
-    follow[-1], follow[:-1] = False, inside[1:]
-    end = np.flatnonzero(inside & (~follow | edge[1:])) + 1
-    long = end - begin >= least
-    begin, end = begin[long], end[long]
-    rows = np.searchsorted(w.first, begin, "right") - 1
-    yield from zip(rows.tolist(), begin.tolist(), end.tolist(), strict=True)
-
-
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str, list[bytes]]]]:
-    """Items in blocks of at most `block_bytes` of text (one longer item stands alone)."""
-    out: list[list[tuple[str, list[bytes]]]] = []
-    size = block_bytes + 1
-    for name, text in items.select(F.col(id_col).cast("string"), F.col(text_col)).where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).distinct().toLocalIterator():
-        toks = normalise(text)
-        if not toks:
-            continue
-        if size + len(text) > block_bytes:
-            out.append([])
-            size = 0
-        out[-1].append((name, toks))
-        size += len(text)
-    return out
+    def add(self, w: Words, length: int) -> None:
+        self.seen.setdefault(length, np.zeros(1 << self.bits, bool))[self.hashes(w, length)[0]] = True
+
+    def hashes(self, w: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first word) of all windows of a length that lie in one row."""
+        n = len(w.hash) - length + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        power, inverse = _powers(len(w.hash) + 1)
+        total = np.zeros(len(w.hash) + 1, U64)
+        np.cumsum(w.hash * power[: len(w.hash)], out=total[1:])
+        at = np.arange(n)
+        at = at[np.repeat(w.first[1:], w.counts())[:n] - at >= length]
+        return (mix((total[at + length] - total[at]) * inverse[at]) >> U64(64 - self.bits)).astype(np.int64), at
+
+    def runs(self, w: Words) -> Iterator[tuple[int, int, int]]:
+        """(row, first word, end word) of maximal runs of words inside windows that may be an item's."""
+        cover = np.zeros(len(w.hash) + 1, np.int32)
+        for length, seen in self.seen.items():
+            h, at = self.hashes(w, length)
+            at = at[seen[h]]
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + length, -1)
+        inside = np.cumsum(cover[:-1]) > 0
+        if not inside.any():
+            return
+        new = np.ones(len(inside), bool)
+        new[1:] = ~inside[:-1]
+        new[w.first[w.first < len(inside)]] = True
+        last = np.append(new[1:] | ~inside[1:], True)
+        begin, end = np.flatnonzero(inside & new), np.flatnonzero(inside & last) + 1
+        rows = np.searchsorted(w.first, begin, "right") - 1
+        yield from zip(rows.tolist(), begin.tolist(), end.tolist(), strict=True)
 
 
 def find_hits(
@@ -220,50 +219,147 @@ def find_hits(
     slice_bytes: int = 1 << 22,
 ) -> DataFrame:
     """docs with n_words, hit_spans (merged word ranges), hit_bytes (byte range of each span) and hit_items (sorted ids)."""
-    extra = {COUNT: "bigint", SPANS: "array<struct<a:int,b:int>>", BYTES: "array<struct<a:int,b:int>>", ITEMS: "array<string>"}
     small_batches(docs.sparkSession)
-    out = docs.drop(*extra).withColumns({k: F.lit(None).cast(v) for k, v in extra.items()})
-    schema = out.schema
-    for block in _blocks(items, item_id, item_text, block_bytes) or [[]]:
-        out = out.mapInArrow(lean(_scanner(block, text_col, window, slice_bytes)), schema)
-    return out
+    docs = docs.drop(COUNT, SPANS, BYTES, ITEMS)
+    own = items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("t")).where("item is not null and t is not null").distinct()
+    size = own.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    if size > block_bytes:
+        return _through_blocks(docs, own, text_col, window, -(-size // block_bytes), slice_bytes)
+    block = [(r.item, normalise(r.t)) for r in own.orderBy("item", "t").collect()]
+    schema = docs.withColumns({k: F.lit(None).cast(v) for k, v in KINDS.items()}).schema
+    return docs.mapInArrow(lean(_scanner([x for x in block if x[1]], docs.columns.index(text_col), window, slice_bytes)), schema)
+
+
+KINDS = {COUNT: "bigint", SPANS: "array<struct<a:int,b:int>>", BYTES: "array<struct<a:int,b:int>>", ITEMS: "array<string>"}
+_SPAN = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+#: Of a whole benchmark that is one block, and of one of many blocks: bits of the table of windows, 2 MB a length at most.
+BLOCK_BITS, TABLE_BITS = 18, 24
+
+
+def _hits(data: np.ndarray, offsets: np.ndarray, w: Words, windows: Windows) -> Iterator[tuple[int, list[bytes], list[tuple[int, int, int]]]]:
+    """(row, words, (number in the text, begin, end) of each) of the runs of a batch."""
+    for row, i, j in windows.runs(w):
+        first, base = int(w.first[row]), int(offsets[row])
+        yield row, [w.text(x) for x in range(i, j)], [(x - first, int(w.start[x]) - base, int(w.end[x]) - base) for x in range(i, j)]
 
 
-def _scanner(block: list, text_col: str, window: int, slice_bytes: int):
+def _spans(sam: SuffixAutomaton, toks: list[bytes], places: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int]], set[str]]:
+    """Hit ranges of words and of bytes, and the items concerned."""
+    spans, found, _ = sam.scan(toks)
+    return [(places[p][0], places[q - 1][0] + 1, places[p][1], places[q - 1][2]) for p, q in spans], found
+
+
+def _columns(spans: list[list[tuple[int, int, int, int]]], found: list[list[str]]) -> list[pa.Array]:
+    pairs = lambda k: pa.array([[{"a": x[k], "b": x[k + 1]} for x in row] for row in spans], _SPAN)
+    return [pairs(0), pairs(2), pa.array(found, pa.list_(pa.string()))]
+
+
+def _scanner(block: list, place: int, window: int, slice_bytes: int):
+    """Arrow function: rows with their hits in the one block."""
     cache: dict[str, object] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not cache:
-            cache["sam"], cache["vocab"] = SuffixAutomaton(block, window), Vocabulary(block)
-        sam, vocab = cache["sam"], cache["vocab"]
+            cache["sam"], cache["windows"] = SuffixAutomaton(block, window), Windows.of(block, window, BLOCK_BITS)
         for batch in batches:
-            at = {n: i for i, n in enumerate(batch.schema.names)}
-            data, offsets = buffers(batch.column(at[text_col]))
-            old = [batch.column(at[k]).to_pylist() for k in (SPANS, BYTES, ITEMS)]
-            counts: list[int] = []
+            data, offsets = buffers(batch.column(place))
+            counts, spans, found = [], [[] for _ in range(len(batch))], [[] for _ in range(len(batch))]
             for a, b in byte_slices(offsets, slice_bytes):
                 off = offsets[a : b + 1] - offsets[a]
                 w = words(data[offsets[a] : offsets[b]], off)
                 counts += w.counts().tolist()
-                for row, i, j in runs(w, vocab.has(w.hash), sam.least):
-                    spans, found, _ = sam.scan([w.text(x) for x in range(i, j)])
-                    if not spans:
-                        continue
-                    first, r = int(w.first[row]), a + row
-                    here = [(i + p - first, i + q - first, int(w.start[i + p] - off[row]), int(w.end[i + q - 1] - off[row])) for p, q in spans]
-                    before = [(x["a"], x["b"], y["a"], y["b"]) for x, y in zip(old[0][r] or [], old[1][r] or [], strict=True)]
-                    joined = _merge(before + here)
-                    old[0][r] = [{"a": x[0], "b": x[1]} for x in joined]
-                    old[1][r] = [{"a": x[2], "b": x[3]} for x in joined]
-                    old[2][r] = sorted({*(old[2][r] or []), *found})
-            new = {COUNT: pa.array(counts, pa.int64())}
-            for k, v in zip((SPANS, BYTES, ITEMS), old, strict=True):
-                new[k] = pa.array([x or [] for x in v], batch.schema.field(k).type)
-            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(i)) for n, i in at.items()], names=batch.schema.names)
+                for row, toks, places in _hits(data, off, w, cache["windows"]):
+                    here, names = _spans(cache["sam"], toks, places)
+                    spans[a + row] = _merge(spans[a + row] + here)
+                    found[a + row] = sorted({*found[a + row], *names})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), *_columns(spans, found)], names=[*batch.schema.names, *KINDS])
 
     return run
 
 
+def window_table(items: DataFrame, window: int, bits: int = TABLE_BITS, parts: int = 64) -> Windows:
+    """Bits of all items' windows, put together on the executors in parts; what reaches the driver has a fixed size."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Windows(bits)
+        for batch in batches:
+            for text in batch.column(1).to_pylist():
+                own = normalise(text)
+                for _ in own[:1]:
+                    data = np.frombuffer(b" ".join(own), np.uint8)
+                    out.add(words(data, np.array([0, len(data)])), min(window, len(own)))
+        for length, seen in out.seen.items():
+            packed = [np.packbits(x).tobytes() for x in np.split(seen, parts)]
+            yield pa.RecordBatch.from_arrays([pa.array([length] * parts, pa.int32()), pa.array(range(parts), pa.int32()), pa.array(packed, pa.binary())], names=["length", "part", "seen"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in table["seen"].to_pylist()])
+        return pa.table({"length": table["length"][:1], "part": table["part"][:1], "seen": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "length int, part int, seen binary"
+    out = Windows(bits)
+    size = (1 << bits) // parts
+    for r in items.select("item", "t").mapInArrow(lean(count), schema).groupBy("length", "part").applyInArrow(add, schema).collect():
+        seen = out.seen.setdefault(r.length, np.zeros(1 << bits, bool))
+        seen[r.part * size : (r.part + 1) * size] = np.unpackbits(np.frombuffer(r.seen, np.uint8)).astype(bool)
+    return out
+
+
+def _through_blocks(docs: DataFrame, items: DataFrame, text_col: str, window: int, blocks: int, slice_bytes: int, part_bytes: int = 1 << 25) -> DataFrame:
+    """docs with their hits in a benchmark of many blocks."""
+    shared = docs.sparkSession.sparkContext.broadcast(window_table(items, window))
+    digest = F.sha2(F.col(text_col), 256)
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(1))
+            out: list[tuple] = []
+            for a, b in byte_slices(offsets, slice_bytes):
+                off = offsets[a : b + 1] - offsets[a]
+                w = words(data[offsets[a] : offsets[b]], off)
+                for row, toks, places in _hits(data, off, w, shared.value):
+                    out.append((a + row, b" ".join(toks).decode("utf-8", "surrogateescape"), *zip(*places, strict=True)))
+            rows, toks, nth, begin, end = zip(*out, strict=True) if out else ([],) * 5
+            lists = [pa.array([list(x) for x in v], pa.list_(pa.int32())) for v in (nth, begin, end)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array([x.encode("utf-8", "surrogateescape") for x in toks], pa.binary()), *lists], names=["digest", "toks", "nth", "begin", "end"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(place))
+            counts = [words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]).counts() for a, b in byte_slices(offsets, slice_bytes)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0, np.int64), *counts]), pa.int64())], names=[*batch.schema.names, COUNT])
+
+    def scan(table: pa.Table, own: pa.Table) -> pa.Table:
+        release()
+        block = [(k, normalise(t)) for k, t in zip(own["item"].to_pylist(), own["t"].to_pylist(), strict=True)]
+        sam, out = SuffixAutomaton([x for x in block if x[1]], window), []
+        for r in table.to_pylist() if block else []:
+            spans, found = _spans(sam, r["toks"].split(b" "), list(zip(r["nth"], r["begin"], r["end"], strict=True)))
+            if spans:
+                out.append((r["digest"], spans, sorted(found)))
+        digests, spans, found = zip(*out, strict=True) if out else ([],) * 3
+        return pa.table([pa.array(digests, pa.string()), *_columns(list(spans), list(found))], names=["digest", SPANS, BYTES, ITEMS])
+
+    def join(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        spans = _merge([(x["a"], x["b"], y["a"], y["b"]) for r in rows for x, y in zip(r[SPANS], r[BYTES], strict=True)])
+        return pa.table([table["digest"][:1], *_columns([spans], [sorted({k for r in rows for k in r[ITEMS]})])], names=["digest", SPANS, BYTES, ITEMS])
+
+    kinds = "digest string, " + ", ".join(f"{k} {v}" for k, v in KINDS.items() if k != COUNT)
+    source = docs.select(digest.alias("digest"), F.col(text_col).alias("t")).where("t is not null")
+    runs = checkpoint(source.mapInArrow(lean(thin), "digest string, toks binary, nth array<int>, begin array<int>, end array<int>").dropDuplicates(["digest", "nth"]))
+    parts = max(1, -(-(runs.agg(F.sum(F.octet_length("toks"))).first()[0] or 0) // part_bytes))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = runs.withColumn("part", F.pmod(F.xxhash64("digest", "nth"), F.lit(parts)).cast("int")).select("*", every(blocks).alias("block"))
+    owned = items.withColumn("block", F.pmod(F.xxhash64("item", "t"), F.lit(blocks)).cast("int")).select("*", every(parts).alias("part"))
+    hits = dealt.groupBy("block", "part").cogroup(owned.groupBy("block", "part")).applyInArrow(scan, kinds).groupBy("digest").applyInArrow(join, kinds)
+    place = docs.columns.index(text_col)
+    counted = docs.mapInArrow(lean(count), docs.withColumn(COUNT, F.lit(None).cast("bigint")).schema)
+    hits = checkpoint(hits).withColumnRenamed("digest", "__wl_digest")
+    out = counted.withColumn("__wl_digest", digest).join(hits, "__wl_digest", "left")
+    return out.select(*docs.columns, COUNT, *(F.coalesce(k, F.array().cast(v)).alias(k) for k, v in KINDS.items() if k != COUNT))
+
+
 def _merge(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     out: list[tuple[int, int, int, int]] = []
     for s in sorted(spans):
