@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import xxhash
 from pyspark.sql import functions as F
@@ -64,6 +65,26 @@ def test_next_document_across_buckets(spark):
         assert abs(r.near_next - jaccard(brute(t), brute(nxt))) < 1e-12
 
 
+def test_buckets_hold_up_against_outliers_and_a_hot_id(spark):
+    r = random.Random(4)
+    ids = [10**15 + k for k in range(1200)] + [-(2**63), 2**63 - 1, 5] + [10**15 + 77] * 600
+    rows = [(i, f"{r.random()} text {k}") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "id long, t string").withColumn("tie", F.xxhash64("t"))
+    b = winnow.with_bucket(df, 20).select("id", "tie", "b").collect()
+    order = sorted(b, key=lambda x: (-x.id, x.tie))
+    assert all(x.b >= y.b for x, y in zip(order, order[1:], strict=False))
+    sizes = Counter(x.b for x in b)
+    assert max(sizes.values()) <= 100 and len(sizes) > 50
+    got = winnow.compare_with_next(df.withColumnsRenamed({"id": "doc_id", "t": "text"}), per_bucket=20).select("doc_id", "edited", "n_chars").collect()
+    texts = {x.tie: x.t for x in df.collect()}
+    want = []
+    for k, x in enumerate(order):
+        t, nxt = texts[x.tie], texts[order[(k + 1) % len(order)].tie]
+        third = len(t) // 3
+        want.append((x.id, t[: len(t) - third] + nxt[:third], len(t)))
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     df = spark.createDataFrame([(None, "abc"), (None, None), (1, "abc"), (1, "abc")], "doc_id long, text string")
     assert winnow.compare_with_next(df).count() == 4

@@ -18,10 +18,14 @@ have no successor (it counts as empty) and are no one's. Extra columns are ignor
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, W = 8, 16
+QUANTILES = 1024
 _POSITIONS = (1 << 30) - 1
 _ALL = 1 << 30
 #: Up to so many buckets (24 bytes each) their first ids are broadcast; beyond, the join is a shuffle.
@@ -97,25 +101,62 @@ def _below(buckets: DataFrame, fan: int = 4096) -> DataFrame:
     return buckets.withColumn("g", group).withColumn("lag", F.lag("b").over(inner)).join(ends, "g").select("b", F.coalesce("lag", "before").alias("below"))
 
 
+def _cells(rows: DataFrame, per_bucket: int) -> tuple[list[int], list[int], list[int], list[int]]:
+    """(first id, width, buckets, first bucket) of cells of ids that hold about as many rows each.
+
+    Cells end at quantiles, at most QUANTILES of them, so an outlying id widens one cell
+    only. An id at which several quantiles fall has a cell, and as many cells' buckets, of its own.
+    """
+    low, high, n = rows.agg(F.min("id"), F.max("id"), F.count("id")).first()
+    if not n:
+        return [0], [1], [1], [0]
+    groups = max(1, min(QUANTILES, n // per_bucket))
+    at = rows.agg(F.percentile_approx("id", [k / groups for k in range(1, groups)], 10_000)).first()[0] if groups > 1 else []
+    times = Counter(at)
+    starts = sorted({low, *times, *(x + 1 for x, m in times.items() if m > 1 and x < high)})
+    widths = [b - a for a, b in zip(starts, [*starts[1:], high + 1], strict=True)]
+    each = max(1, -(-n // (groups * per_bucket)))
+    buckets = [min(each, w) if w > 1 else each * times[a] if times[a] > 1 else 1 for a, w in zip(starts, widths, strict=True)]
+    return starts, widths, buckets, list(accumulate(buckets, initial=0))[:-1]
+
+
+def with_bucket(rows: DataFrame, per_bucket: int) -> DataFrame:
+    """rows (id, tie, ...) with b, a bucket of neighbouring ids that rises with the id; inside an id it falls with the tie.
+
+    The cell is found by halving in an array of fixed size, its bucket by the share of the
+    cell's width that the id has passed. Rows without an id are dealt by their tie, below 0.
+    """
+    starts, widths, buckets, first = _cells(rows, per_bucket)
+    array = lambda v, kind="bigint": F.expr(f"array({','.join(map(str, v))})").cast(f"array<{kind}>")
+    steps = [1 << k for k in reversed(range(max(1, (len(starts) - 1).bit_length())))]
+    here = lambda at, step: F.when((at + step < len(starts)) & (F.get(array(starts, "decimal(20,0)"), at + step) <= F.col("id")), at + step).otherwise(at)
+    cell = F.aggregate(F.array(*(F.lit(x) for x in steps)), F.lit(0), here)
+    rows = rows.withColumn("cell", cell)
+    of = lambda v, kind="bigint": F.get(array(v, kind), F.col("cell"))
+    rows = rows.withColumns({"start": of(starts, "decimal(20,0)"), "width": of(widths, "decimal(20,0)"), "many": of(buckets), "base": of(first)})
+    by_id = F.expr("cast(((cast(id as decimal(20, 0)) - start) * many) div width as bigint)")
+    share = F.shiftrightunsigned(F.col("tie").bitwiseXOR(F.lit(-(1 << 63))), 33)
+    by_tie = F.col("many") - 1 - F.shiftright(share * F.col("many"), 31)
+    b = F.col("base") + F.when(F.col("width") > 1, by_id).otherwise(by_tie)
+    none = -1 - F.pmod(F.col("tie"), F.lit(1 << 20))
+    return rows.withColumn("b", F.when(F.col("id").isNull(), none).otherwise(b)).drop("cell", "start", "width", "many", "base")
+
+
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_bucket: int = 256, k: int = K, w: int = W) -> DataFrame:
     """Each text against itself with its last third replaced from the next text, and against the next text.
 
     The next document in falling order of the id is found inside buckets of about
-    `per_bucket` neighbouring ids; each bucket also gets a copy of the first row of
+    `per_bucket` neighbouring rows; each bucket also gets a copy of the first row of
     the bucket below it, so no row looks outside its bucket. Returns id, n_chars,
     edited, grams, edited_grams, near_edited, near_next.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    low, high, n = rows.agg(F.min("id"), F.max("id"), F.count("id")).first()
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) // max(1, -(-n // per_bucket))))
-    bucket = F.expr(f"cast((cast(id as decimal(20, 0)) - {low}) div {width} as bigint)")
-    tops = rows.where("id is not null").groupBy(bucket.alias("b")).agg(F.max("id").alias("top"))
-    few = -(-n // per_bucket) <= BROADCAST_BUCKETS
-    edges = _below(tops.select("b")).join(tops.select(F.col("b").alias("below"), "top"), "below").select(F.col("top").alias("id"), F.col("b").alias("to"))
-    own = rows.withColumn("b", F.coalesce(bucket, -1 - F.pmod(F.xxhash64("t"), F.lit(1 << 20)))).withColumn("halo", F.lit(False))
-    halo = rows.join(F.broadcast(edges) if few else edges, "id").select("id", "t", F.col("to").alias("b"), F.lit(True).alias("halo"))
-    both = own.unionByName(halo).withColumns({"n": F.length("t"), "tie": F.xxhash64("t")})
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).withColumn("tie", F.xxhash64("t"))
+    own = with_bucket(rows, per_bucket).withColumn("halo", F.lit(False))
+    tops = own.where("id is not null").groupBy("b").agg(F.max(F.struct("id", F.bitwise_not("tie").alias("tie"))).alias("top"))
+    few = -(-docs.count() // per_bucket) <= BROADCAST_BUCKETS
+    edges = _below(tops.select("b")).join(tops.select(F.col("b").alias("below"), "top"), "below").select("top.id", F.bitwise_not("top.tie").alias("tie"), F.col("b").alias("to"))
+    halo = rows.join(F.broadcast(edges) if few else edges, ["id", "tie"]).dropDuplicates(["id", "tie", "to"]).select("id", "t", "tie", F.col("to").alias("b"), F.lit(True).alias("halo"))
+    both = own.select("id", "t", "tie", "b", "halo").unionByName(halo).withColumn("n", F.length("t"))
     order = Window.partitionBy("b").orderBy("halo", F.col("id").desc(), "tie")
     none = F.col("id").isNull()
     df = both.withColumn("after", F.when(none, F.lit("")).otherwise(F.coalesce(F.lead("t").over(order), F.lit(""))))
