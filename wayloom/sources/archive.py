@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
 from ..functions import grid
+from . import ranges
 
 # Fixed values of the format.
 MAGIC = b"WTA1"
@@ -253,23 +254,15 @@ def write_archives(tiles: DataFrame, folder: str) -> DataFrame:
 
 
 def read_head(path: str) -> tuple[Head, dict, list[tuple[int, int, int]]]:
-    """Header, meta data and directory of an archive."""
-    with open(path, "rb") as f:
-        head = Head.decode(f.read(HEADER_BYTES))
-        f.seek(head.meta[0])
-        meta = json.loads(gzip.decompress(f.read(head.meta[1])))
-        f.seek(head.directory[0])
-        return head, meta, decode_directory(gzip.decompress(f.read(head.directory[1])))
+    """Header, meta data and directory of an archive, wherever it is."""
+    head = Head.decode(ranges.read_all(path, 0, HEADER_BYTES))
+    part = lambda span: gzip.decompress(ranges.read_all(path, *span))
+    return head, json.loads(part(head.meta)), decode_directory(part(head.directory))
 
 
 def read_range(path: str, first: int, last: int) -> bytes:
     """Bytes first to last of a file; anything but all of them is an error."""
-    with open(path, "rb") as f:
-        f.seek(first)
-        out = f.read(last - first + 1)
-    if len(out) != last - first + 1:
-        raise OSError(f"{path}: wanted bytes {first}-{last}, got {len(out)}")
-    return out
+    return ranges.read_all(path, first, last - first + 1)
 
 
 @dataclass
@@ -313,13 +306,23 @@ class _Reader(DataSourceReader):
     def read(self, partition):
         if not partition.entries:
             return
-        with open(partition.path, "rb") as f:
-            for number, offset, length in partition.entries:
-                f.seek(partition.base + offset)
-                body = f.read(length)
-                if len(body) != length:
-                    raise OSError(f"{partition.path}: tile {number} is cut off")
-                yield (partition.slice, partition.version, number // grid.ID_STRIDE - grid.ID_ROWS, number % grid.ID_STRIDE - grid.ID_COLS, offset, length, body)
+        for part in self._stretches(partition.entries):
+            start, end = part[0][1], part[-1][1] + part[-1][2]
+            raw = ranges.read_all(partition.path, partition.base + start, end - start)
+            for number, offset, length in part:
+                yield (partition.slice, partition.version, number // grid.ID_STRIDE - grid.ID_ROWS, number % grid.ID_STRIDE - grid.ID_COLS, offset, length, raw[offset - start : offset - start + length])
+
+    @staticmethod
+    def _stretches(entries: list[tuple[int, int, int]], most: int = 1 << 22) -> Iterator[list[tuple[int, int, int]]]:
+        """Entries whose bodies lie back to back, up to some bytes: a read for each."""
+        part: list[tuple[int, int, int]] = []
+        for entry in entries:
+            if part and (entry[1] != part[-1][1] + part[-1][2] or entry[1] + entry[2] - part[0][1] > most):
+                yield part
+                part = []
+            part.append(entry)
+        if part:
+            yield part
 
 
 class _PruningReader(_Reader):

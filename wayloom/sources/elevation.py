@@ -1,27 +1,32 @@
 """Elevation rasters: one-degree TIFF tiles of deflated float blocks, read block by block.
 
-Only the layout that the rasters have is accepted; any other is an error, as a raster
-decoded wrongly would be a wrong elevation. Format "dem" makes a partition of every
-block that a box touches.
+Tiles are TIFF 6.0 files with the floating-point predictor. What is accepted is declared
+in PROFILE; any other layout is an error, as a raster decoded wrongly would be a wrong
+elevation. Format "dem" makes a partition of every block that a box touches.
 """
 
 from __future__ import annotations
 
 import math
-import os
-import struct
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.grid import DEM_ROWS
+from . import ranges
 
-# TIFF tags and the values they must have.
-REQUIRED = {258: (32, "bits a sample"), 259: (8, "compression"), 277: (1, "samples a pixel"), 317: (3, "predictor"), 339: (3, "sample format")}
-TYPE_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 11: 4, 12: 8}
-TYPE_CODES = {1: "B", 3: "H", 4: "I", 11: "f", 12: "d"}
+#: Fixed values of TIFF 6.0: byte order marks, the field types by their codes, the fields used and their defaults.
+ORDERS = {b"II": "<", b"MM": ">"}
+TYPES = {1: "u1", 2: "S1", 3: "u2", 4: "u4", 5: "2u4", 6: "i1", 7: "V1", 8: "i2", 9: "i4", 10: "2i4", 11: "f4", 12: "f8"}
+FIELDS = {"ImageWidth": 256, "ImageLength": 257, "BitsPerSample": 258, "Compression": 259, "SamplesPerPixel": 277, "Predictor": 317, "TileWidth": 322, "TileLength": 323, "TileOffsets": 324, "TileByteCounts": 325, "SampleFormat": 339}
+DEFAULTS = {"BitsPerSample": 1, "Compression": 1, "SamplesPerPixel": 1, "Predictor": 1, "SampleFormat": 1}
+#: What the rasters have: 32-bit floats, one a pixel, deflated with the floating-point predictor.
+PROFILE = {"BitsPerSample": 32, "SamplesPerPixel": 1, "SampleFormat": 3, "Compression": 8, "Predictor": 3}
+HEAD_BYTES = 1 << 16
 
 
 @dataclass
@@ -34,26 +39,58 @@ class Raster:
     counts: list[int]
 
 
+class Directory:
+    """The first image file directory of a TIFF, whose fields are looked up by name."""
+
+    def __init__(self, raw: bytes):
+        self.raw, self.order = raw, ORDERS.get(bytes(raw[:2]))
+        if self.order is None or len(raw) < 8 or self._array("u2", 2, 1)[0] != 42:
+            raise ValueError("no classic TIFF")
+        place = int(self._array("u4", 4, 1)[0])
+        entry = np.dtype([("tag", f"{self.order}u2"), ("type", f"{self.order}u2"), ("count", f"{self.order}u4"), ("value", "V4")])
+        many = int(self._array("u2", place, 1)[0])
+        self._need(place + 2, many * entry.itemsize)
+        self.first = place + 2
+        self.entries = np.frombuffer(raw, entry, many, self.first)
+
+    def _need(self, place: int, size: int) -> None:
+        if place + size > len(self.raw):
+            raise ValueError(f"bytes {place} to {place + size} lie behind the {len(self.raw)} that were read")
+
+    def _array(self, kind: str, place: int, count: int) -> np.ndarray:
+        dtype = np.dtype(kind).newbyteorder(self.order)
+        self._need(place, dtype.itemsize * count)
+        return np.frombuffer(self.raw, dtype, count, place)
+
+    def values(self, name: str) -> np.ndarray:
+        """All values of a field; its default if it is missing."""
+        found = np.flatnonzero(self.entries["tag"] == FIELDS[name])
+        if not len(found):
+            if name not in DEFAULTS:
+                raise ValueError(f"{name} is missing")
+            return np.array([DEFAULTS[name]])
+        kind, count = int(self.entries["type"][found[0]]), int(self.entries["count"][found[0]])
+        if kind not in TYPES or not count:
+            raise ValueError(f"{name} has {count} values of the type {kind}")
+        place = self.first + int(found[0]) * self.entries.itemsize + 8
+        if np.dtype(TYPES[kind]).itemsize * count > 4:  # longer values stand elsewhere
+            place = int(self._array("u4", place, 1)[0])
+        return self._array(TYPES[kind], place, count)
+
+    def number(self, name: str) -> int:
+        return int(self.values(name)[0])
+
+
 def parse_header(raw: bytes, rows: int = DEM_ROWS) -> Raster:
-    """First image directory of a little-endian classic TIFF."""
-    if raw[:2] != b"II" or struct.unpack_from("<H", raw, 2)[0] != 42:
-        raise ValueError("elevation: not a little-endian classic TIFF")
-    at = struct.unpack_from("<I", raw, 4)[0]
-    tags: dict[int, list] = {}
-    for k in range(struct.unpack_from("<H", raw, at)[0]):
-        tag, kind, n = struct.unpack_from("<HHI", raw, at + 2 + 12 * k)
-        size = TYPE_BYTES.get(kind, 1) * n
-        place = at + 10 + 12 * k if size <= 4 else struct.unpack_from("<I", raw, at + 10 + 12 * k)[0]
-        if place + size > len(raw):
-            raise ValueError(f"elevation: the value of tag {tag} lies past the header")
-        if kind in TYPE_CODES:
-            tags[tag] = list(struct.unpack_from(f"<{n}{TYPE_CODES[kind]}", raw, place))
-    for tag, (want, what) in REQUIRED.items():
-        if tags.get(tag, [None])[0] != want:
-            raise ValueError(f"elevation: {what} is {tags.get(tag, [None])[0]}, not {want}")
-    if tags[257][0] != rows:
-        raise ValueError(f"elevation: {tags[257][0]} rows, not {rows}")
-    return Raster(tags[256][0], tags[257][0], tags[322][0], tags[323][0], tags[324], tags[325])
+    """Layout of a raster from its first bytes; one that is not as declared is refused with all that differs."""
+    try:
+        d = Directory(raw)
+        wrong = [f"{name} is {d.number(name)}, not {want}" for name, want in (PROFILE | {"ImageLength": rows}).items() if d.number(name) != want]
+        if wrong:
+            raise ValueError("; ".join(wrong))
+        return Raster(d.number("ImageWidth"), rows, d.number("TileWidth"), d.number("TileLength"), d.values("TileOffsets").tolist(), d.values("TileByteCounts").tolist())
+    except ValueError as e:
+        raise ValueError(f"elevation raster refused: {e}") from None
 
 
 def decode_block(raw: bytes, width: int, height: int) -> np.ndarray:
@@ -89,56 +126,64 @@ class _Block(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.folder = options["path"]
+        self.folder = options["path"].rstrip("/")
         self.rows = int(options.get("rows", DEM_ROWS))
+        self.cache = options.get("cache")
         self.box = [float(options[k]) for k in ("south", "north", "west", "east")]
 
+    def _head(self, corner: tuple[int, int]) -> Raster | None:
+        raw = ranges.cached(self.cache, self._path(corner), 0, HEAD_BYTES)
+        return None if raw is None else parse_header(raw, self.rows)
+
+    def _path(self, corner: tuple[int, int]) -> str:
+        return f"{self.folder}/{tile_name(*corner)}.tif"
+
     def partitions(self):
         """Blocks that the box touches, with a margin of one post. A missing file is an unpublished tile: no data."""
         south, north, west, east = self.box
-        out: list[_Block] = []
-        widths: dict[int, int] = {}
         margin = 1 / self.rows
-        for lat in range(math.floor(south - margin), math.floor(north + margin) + 1):
-            for lng in range(math.floor(west - margin), math.floor(east + margin) + 1):
-                path = os.path.join(self.folder, f"{tile_name(lat, lng)}.tif")
-                if not os.path.exists(path):
-                    continue
-                with open(path, "rb") as f:
-                    raster = parse_header(f.read(1 << 16), self.rows)
-                if widths.setdefault(lat, raster.width) != raster.width:
-                    raise ValueError(f"elevation: tiles of latitude {lat} differ in width")
-                across = -(-raster.width // raster.block_width)
-                for number in range(len(raster.offsets)):
-                    top = lat + 1 - (number // across) * raster.block_height / raster.height
-                    left = lng + (number % across) * raster.block_width / raster.width
-                    bottom, right = top - raster.block_height / raster.height, left + raster.block_width / raster.width
-                    if bottom - margin <= north and top + margin >= south and left - margin <= east and right + margin >= west:
-                        out.append(_Block(path, lat, lng, number % across, number // across, raster, number))
+        corners = [(lat, lng) for lat in range(math.floor(south - margin), math.floor(north + margin) + 1) for lng in range(math.floor(west - margin), math.floor(east + margin) + 1)]
+        with ThreadPoolExecutor(16) as pool:
+            heads = {c: r for c, r in zip(corners, pool.map(self._head, corners), strict=True) if r is not None}
+        out: list[_Block] = []
+        for (lat, lng), r in heads.items():
+            if any(other.width != r.width for (band, _), other in heads.items() if band == lat):
+                raise ValueError(f"elevation: tiles of latitude {lat} differ in width")
+            across = -(-r.width // r.block_width)
+            for number in range(len(r.offsets)):
+                row, column = divmod(number, across)
+                top, left = lat + 1 - row * r.block_height / r.height, lng + column * r.block_width / r.width
+                bottom, right = top - r.block_height / r.height, left + r.block_width / r.width
+                if bottom - margin <= north and top + margin >= south and left - margin <= east and right + margin >= west:
+                    out.append(_Block(self._path((lat, lng)), lat, lng, column, row, r, number))
         return out or [_Block("", 0, 0, 0, 0, None, 0)]
 
     def read(self, partition):
+        """One batch: the block's posts inside the box. The first row is the tile's north edge."""
         r = partition.raster
         if r is None:
             return
-        with open(partition.path, "rb") as f:
-            f.seek(r.offsets[partition.number])
-            values = decode_block(f.read(r.counts[partition.number]), r.block_width, r.block_height)
+        place, size = r.offsets[partition.number], r.counts[partition.number]
+        raw = ranges.cached(self.cache, partition.path, place, size)
+        if raw is None or len(raw) != size:
+            raise OSError(f"{partition.path}: block {partition.number} is cut off")
+        values = decode_block(raw, r.block_width, r.block_height)
         south, north, west, east = self.box
-        for y in range(min(r.block_height, r.height - partition.row * r.block_height)):
-            row = partition.row * r.block_height + y
-            ky = (partition.lat + 1) * r.height - row  # the first row is the tile's north edge
-            if not south - 1 / r.height <= ky / r.height <= north + 1 / r.height:
-                continue
-            for x in range(min(r.block_width, r.width - partition.column * r.block_width)):
-                kx = partition.lng * r.width + partition.column * r.block_width + x
-                if west - 1 / r.width <= kx / r.width <= east + 1 / r.width:
-                    e = float(values[y, x])
-                    yield (kx, ky, r.width, None if math.isnan(e) else e)
+        ky = (partition.lat + 1) * r.height - partition.row * r.block_height - np.arange(r.block_height)
+        kx = partition.lng * r.width + partition.column * r.block_width + np.arange(r.block_width)
+        rows = np.flatnonzero((ky > partition.lat * r.height) & (ky / r.height >= south - 1 / r.height) & (ky / r.height <= north + 1 / r.height))
+        columns = np.flatnonzero((kx < (partition.lng + 1) * r.width) & (kx / r.width >= west - 1 / r.width) & (kx / r.width <= east + 1 / r.width))
+        e = values[np.ix_(rows, columns)].ravel()
+        own = [np.tile(kx[columns], len(rows)), np.repeat(ky[rows], len(columns)), np.full(len(e), r.width)]
+        yield pa.RecordBatch.from_arrays([pa.array(own[0], pa.int64()), pa.array(own[1], pa.int64()), pa.array(own[2], pa.int32()), pa.array(e, pa.float32(), mask=np.isnan(e))], names=["kx", "ky", "width", "e"])
 
 
 class ElevationSource(DataSource):
-    """spark.read.format("dem").option(south, north, west, east).load(folder): posts (kx, ky, width, e) of a box."""
+    """spark.read.format("dem").option(south, north, west, east).load(folder): posts (kx, ky, width, e) of a box.
+
+    The folder may be local, an HTTP URL or one of a file system that Arrow knows. Option
+    `cache`: a folder that executors share, which keeps blocks and what tiles there aren't.
+    """
 
     @classmethod
     def name(cls) -> str:
