@@ -1,4 +1,4 @@
-"""Queries named _whole give the results of whole tables."""
+"""Queries take whole tables, and their results show it."""
 
 import os
 
@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the supplied tabl
 
 
 def test_no_length_is_lost(spark):
-    got = catalogue.QUERIES["way_length_by_cell_whole"](spark, SF).agg(F.sum("metres")).first()[0]
+    got = catalogue.QUERIES["way_length_by_cell"](spark, SF).agg(F.sum("metres")).first()[0]
     kinds = {r.way_id for r in fx.way(spark, SF).where(tags.habitat_group(F.col("highway")).isNotNull()).collect()}
     v = fx.vertex(spark, SF).where(F.col("way_id").isin(kinds))
     a, b = v.alias("a"), v.alias("b")
@@ -25,14 +25,13 @@ def test_no_length_is_lost(spark):
 
 
 def test_every_row_is_handled(spark):
-    # sf0.001 has fewer customers than the ids that the cut queries take.
     sf = "/root/testdata/sf0.01"
     n = fx.table(spark, sf, "customer").count()
-    assert catalogue.QUERIES["slug_suffix_whole"](spark, sf).count() == n
-    assert catalogue.QUERIES["retention_two_whole"](spark, sf).count() == n
+    assert catalogue.QUERIES["slug_suffix"](spark, sf).count() == n
+    assert catalogue.QUERIES["retention_two"](spark, sf).count() == n
     tiles = fx.tile(spark, sf)
     blocks = tiles.select("part", F.floor(F.col("i") * 13 / 10).alias("bi"), F.floor(F.col("j") * 7 / 10).alias("bj")).distinct()
-    filled = catalogue.QUERIES["cover_gap_fill_whole"](spark, sf)
+    filled = catalogue.QUERIES["cover_gap_fill"](spark, sf)
     assert blocks.join(filled, ["part", "bi", "bj"], "left_anti").isEmpty()
     # Blocks of gaps have no tile of their own.
     assert filled.count() > blocks.count()

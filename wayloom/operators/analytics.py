@@ -100,6 +100,65 @@ def histogram(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), key)
 
 
+def lengths_by_group(credited: DataFrame) -> DataFrame:
+    """(cx, cy, res, foot, road): metres of each group of ways in a spawn cell. credited: cx, cy, group, metres."""
+    none = F.lit(0).cast(credited.schema["metres"].dataType)
+    return credited.groupBy("cx", "cy").agg(*(F.coalesce(F.sum(F.when(F.col("group") == g, F.col("metres"))), none).alias(g) for g in ("res", "foot", "road")))
+
+
+def listings_by_kind(listings: DataFrame) -> DataFrame:
+    """(kind, listings, own): how often landmarks of a kind are listed, and how many different ones."""
+    return listings.groupBy("kind").agg(F.count(F.lit(1)).alias("listings"), F.countDistinct("key").alias("own"))
+
+
+def names_by_kind(listings: DataFrame, most: int = 6) -> DataFrame:
+    """(kind, n, first): different names of a kind, and the first of them by name."""
+    names = listings.select("kind", "name").where("name is not null").distinct()
+    first = names.withColumn("nth", F.row_number().over(Window.partitionBy("kind").orderBy("name"))).where(F.col("nth") <= most)
+    shown = first.groupBy("kind").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", "name"))), lambda x: x["name"]), "|").alias("first"))
+    return names.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).join(shown, "kind")
+
+
+def kept_share(areas: DataFrame, least: float, area: str = "area") -> DataFrame:
+    """(kind, polys_pct, area_pct): share of polygons, and of their area, that are of the least area at least."""
+    big, a = F.col(area) >= least, F.col(area)
+    share = lambda part, whole: F.round(F.lit(100.0) * part / whole, 4)
+    kept = F.sum(F.when(big, a).otherwise(0)).cast("double")
+    return areas.groupBy("kind").agg(share(F.count_if(big), F.count(F.lit(1))).alias("polys_pct"), share(kept, F.sum(a).cast("double")).alias("area_pct"))
+
+
+def reader_counters(log: DataFrame, within: list[str]) -> DataFrame:
+    """What a reader did: tiles seen, blocks read, bytes fetched cold and taken from its cache. log: tile, bytes, cold."""
+    part = lambda c: F.sum(F.when(c, F.col("bytes")).otherwise(0))
+    return log.groupBy(*within).agg(F.countDistinct("tile").alias("tiles"), F.count(F.lit(1)).alias("blocks"), part(F.col("cold")).alias("fetched"), part(~F.col("cold")).alias("cached"))
+
+
+def sizes(tiles: DataFrame, within: list[str]) -> DataFrame:
+    """Tiles, bytes and megabytes of each version. tiles: bytes."""
+    return tiles.groupBy(*within).agg(F.count(F.lit(1)).alias("tiles"), F.sum("bytes").alias("bytes"), F.round(F.sum("bytes") / (1 << 20), 6).alias("mb"))
+
+
+def coarse_totals(polygons: DataFrame) -> DataFrame:
+    """(kind, polys, points): polygons of coarse tiles and their points. polygons: kind, rings as flat arrays of latitudes and longitudes."""
+    numbers = F.aggregate(F.transform("rings", lambda r: F.size(r)), F.lit(0), lambda a, n: a + n)
+    return polygons.groupBy("kind").agg(F.count(F.lit(1)).alias("polys"), F.call_function("div", F.sum(numbers), F.lit(2)).alias("points"))
+
+
+def layer_cells(fine: DataFrame, coarse: DataFrame) -> DataFrame:
+    """(i, j, fine, coarse): cells of either layer, and which of them have it."""
+    a, b = (df.select("i", "j").distinct().withColumn(c, F.lit(True)) for df, c in ((fine, "a"), (coarse, "b")))
+    return a.join(b, ["i", "j"], "full_outer").select("i", "j", F.col("a").isNotNull().alias("fine"), F.col("b").isNotNull().alias("coarse"))
+
+
+def grid_cells(grids: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(keep, cx, cy, f) of the cells of habitat grids (cx0, cy0, cols, feat); one from before there were records has no feat and gives none."""
+    n = F.call_function("div", F.length("feat"), F.lit(codec.CHARS)).cast("int")
+    keep = keep or []
+    slots = grids.where(F.coalesce(n, F.lit(0)) > 0).select(*keep, "cx0", "cy0", "cols", "feat", F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
+    code = F.substring(F.col("feat"), F.col("k") * codec.CHARS + 1, F.lit(codec.CHARS))
+    return slots.select(*keep, (F.col("cx0") + F.col("k") % F.col("cols")).alias("cx"), (F.col("cy0") + F.call_function("div", F.col("k"), F.col("cols"))).alias("cy"), code.alias("f"))
+
+
 def tile_metrics(tiles: DataFrame) -> DataFrame:
     """Counts that a probe looks at, from tiles with nested ways, names, crossings and land cover."""
     ways = F.coalesce(F.col("ways"), F.array().cast(tiles.schema["ways"].dataType))

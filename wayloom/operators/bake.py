@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codec, geometry, grid, tags, text
-from . import landmarks, spatial
+from . import analytics, landmarks, spatial
 
 
 def tag(key: str) -> Column:
@@ -136,8 +136,7 @@ def way_lengths(features: DataFrame) -> DataFrame:
     lines = ways(features).withColumn("group", tags.habitat_group(F.col("highway"))).where(F.col("group").isNotNull())
     pairs = F.zip_with(F.slice("points", 1, F.size("points") - 1), F.slice("points", 2, F.size("points") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     segments = lines.where(F.size("points") > 1).select("group", F.explode(pairs).alias("s")).select("group", F.col("s.a.lat").alias("lat1"), F.col("s.a.lng").alias("lng1"), F.col("s.b.lat").alias("lat2"), F.col("s.b.lng").alias("lng2"))
-    credited = spatial.segment_lengths(segments)
-    return credited.groupBy("cx", "cy").agg(*(F.coalesce(F.sum(F.when(F.col("group") == g, F.col("metres"))), F.lit(0.0)).alias(g) for g in ("res", "foot", "road")))
+    return analytics.lengths_by_group(spatial.segment_lengths(segments))
 
 
 def habitat_cells(features: DataFrame, relief: DataFrame | None = None) -> DataFrame:

@@ -42,6 +42,17 @@ def anchor_cap(area_km2: float) -> int:
     return max(1, math.floor(DENSITY_PER_KM2 * area_km2 + 0.5))
 
 
+def ranked_candidates(candidates: DataFrame) -> DataFrame:
+    """Every candidate with its group, half-degree cell and place in that cell, those under the least significance too: what the choice is made from."""
+    order = [F.col("np").desc(), F.col("sig").desc(), F.col("key")]
+    placed = _grouped(candidates).withColumn("place", F.row_number().over(Window.partitionBy("slice", "grp", "ai", "aj").orderBy(*order)))
+    return placed.withColumn("above", F.col("sig") >= LEAST_SIGNIFICANCE)
+
+
+def _grouped(candidates: DataFrame) -> DataFrame:
+    return candidates.withColumns({"grp": F.when(F.col("kind") == "peak", "peak").otherwise("areal"), "ai": grid.anchor("lat"), "aj": grid.anchor("lng"), "np": (F.col("kind") == "national_park").cast("int")})
+
+
 def select_anchors(candidates: DataFrame, caps: DataFrame) -> DataFrame:
     """The anchors of each slice: the best of each group and half-degree cell, national parks first, up to the slice's cap.
 
@@ -49,9 +60,7 @@ def select_anchors(candidates: DataFrame, caps: DataFrame) -> DataFrame:
     cell followed by the first rows of the slice. candidates: slice, kind, lat, lng, sig,
     key. caps: slice, cap.
     """
-    ranked = candidates.where(f"sig >= {LEAST_SIGNIFICANCE}").withColumns(
-        {"grp": F.when(F.col("kind") == "peak", "peak").otherwise("areal"), "ai": grid.anchor("lat"), "aj": grid.anchor("lng"), "np": (F.col("kind") == "national_park").cast("int")}
-    )
+    ranked = _grouped(candidates.where(f"sig >= {LEAST_SIGNIFICANCE}"))
     order = [F.col("np").desc(), F.col("sig").desc(), F.col("key")]
     seats = ranked.withColumn("_c", F.row_number().over(Window.partitionBy("slice", "grp", "ai", "aj").orderBy(*order))).where("_c = 1")
     placed = seats.withColumn("seat", F.row_number().over(Window.partitionBy("slice").orderBy(*order)))

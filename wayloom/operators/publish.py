@@ -55,4 +55,4 @@ def due(slices: DataFrame, day: int, only: str | None = None, force_all: bool =
 def expiry(resolved: DataFrame, now: str = "fetched_at") -> DataFrame:
     """When a client may ask again: holes keep for 30 days, uncovered cells five minutes, all else an hour."""
     life = F.when(F.col("kind") == "hole", 30 * 86400).when(F.col("kind") == "uncovered", 300).otherwise(3600)
-    return resolved.withColumn("expires_at", F.timestamp_seconds(F.unix_timestamp(F.col(now)) + life))
+    return resolved.withColumn("expires_at", F.col(now) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), life.cast("decimal(18,6)")))

@@ -92,6 +92,13 @@ def drops(peaks: DataFrame, posts: DataFrame, radius_m: float = PEAK_RADIUS_M, l
     return own.join(low, "peak", "left").withColumn("drop", F.col("e") - F.col("low")).drop("low")
 
 
+def one_width(headers: DataFrame) -> DataFrame:
+    """(tile_lat, width) of latitude bands whose tiles all have one width; a band that mixes them is an error."""
+    ends = headers.groupBy("tile_lat").agg(F.min("width").alias("width"), F.max("width").alias("most"))
+    mixed = F.raise_error(F.concat(F.lit("elevation: tiles of latitude "), F.col("tile_lat").cast("string"), F.lit(" differ in width")))
+    return ends.select("tile_lat", F.when(F.col("width") == F.col("most"), F.col("width")).otherwise(mixed.cast("int")).alias("width"))
+
+
 def nearest_post(cells: DataFrame, posts: DataFrame, width: int) -> DataFrame:
     """cells with the elevation of the post nearest their centre, null if it isn't published. posts: kx, ky, e."""
     keyed = cells.withColumns({"kx": grid.post("cx", width), "ky": grid.post("cy", grid.DEM_ROWS)})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,22 @@ def judge(probes: DataFrame, cover: DataFrame, tiles: DataFrame, metrics: DataFr
     return rows.withColumn("problems", analytics.problems(F.col("kind"), F.col("expect"), F.col("version"), own))
 
 
+def probed_versions(slices: DataFrame, coarse: Column) -> DataFrame:
+    """slices with each version that is probed: the coarse one only where it is published."""
+    wanted = F.when(coarse, F.array(*map(F.lit, ("v4", "v5", "v5c")))).otherwise(F.array(*map(F.lit, ("v4", "v5"))))
+    return slices.withColumn("version", F.explode(wanted))
+
+
+def report(judged: DataFrame, expected: list[str], as_json: bool = False) -> str:
+    """What failed and the totals, as text or as one JSON document. Probes are written by hand, so they are few."""
+    failed = judged.where(F.size("problems") > 0).orderBy("slice", "probe").select("slice", "probe", "version", "problems").collect()
+    total = totals(judged, expected).first().asDict()
+    if as_json:
+        return json.dumps(total | {"problems": [r.asDict() for r in failed]}, separators=(",", ":"))
+    lines = [f"{r.slice} {r.probe} {r.version}: {', '.join(r.problems)}" for r in failed]
+    return "\n".join([*lines, f"{total['passed']} passed, {total['failed']} failed, {total['skipped']} skipped"])
+
+
 def totals(judged: DataFrame, expected: list[str]) -> DataFrame:
     """One row: probes passed, failed and skipped. A probe of an unexpected slice is skipped; `unbaked` always counts."""
     skipped = ~F.col("slice").isin([*expected, "unbaked"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import codec, grid
-from ..operators import analytics
+from ..operators import analytics, bake, slices
 from . import fixtures as fx
 from .registry import query
 
@@ -36,7 +36,9 @@ def mask_counts(spark, sf):
 
 @query("way_length_by_group", fx.sql("fx_cell", "select cx, cy, res, foot, road from fx_cell"))
 def way_length_by_group(spark, sf):
-    return fx.cell(spark, sf)
+    """Credited lengths by cell and group: views are residential, clicks footways, the rest roads."""
+    group = F.expr("case event_type when 'view' then 'res' when 'click' then 'foot' else 'road' end").alias("group")
+    return analytics.lengths_by_group(fx.obs_cells(spark, sf).select("cx", "cy", group, col("len_dm").alias("metres")))
 
 
 @query("display_share", fx.sql("fx_mask", f"select {_SHOWN} as class, count(*) as n from fx_mask group by 1"))
@@ -119,14 +121,14 @@ def percentile_floor_index(spark, sf):
 
 @query("tiles_by_version", fx.sql("fx_tile", "select part, count(*) as tiles, cast(sum(bytes) as bigint) as bytes, round(cast(sum(bytes) as double) / 1048576, 6) as mb from fx_tile group by part"))
 def tiles_by_version(spark, sf):
-    return fx.tile(spark, sf).groupBy("part").agg(F.count(F.lit(1)).alias("tiles"), F.sum("bytes").alias("bytes"), F.round(F.sum("bytes") / (1 << 20), 6).alias("mb"))
+    return analytics.sizes(fx.tile(spark, sf), ["part"])
 
 
-@query("coarse_totals", fx.sql("fx_poly", "select kind, count(*) as polys, count(*) * 4 as points, cast(sum((lat1_e6 - lat0_e6) * (lng1_e6 - lng0_e6)) as bigint) as extent from fx_poly group by kind"))
+@query("coarse_totals", fx.sql("fx_poly", "select kind, count(*) as polys, cast(sum(case when poly_id % 3 = 0 then 8 else 4 end) as bigint) as points from fx_poly group by kind"))
 def coarse_totals(spark, sf):
+    """Every third polygon with its ring twice, as if it had a hole."""
     flat = F.flatten(F.transform("ring", lambda p: F.array(p["lat"], p["lng"])))
-    extent = (col("lat1_e6") - col("lat0_e6")) * (col("lng1_e6") - col("lng0_e6"))
-    return fx.poly(spark, sf).select("kind", F.size(flat).alias("n"), extent.alias("a")).groupBy("kind").agg(F.count(F.lit(1)).alias("polys"), F.call_function("div", F.sum("n"), F.lit(2)).alias("points"), F.sum("a").alias("extent"))
+    return analytics.coarse_totals(fx.poly(spark, sf).select("kind", F.when(col("poly_id") % 3 == 0, F.array(flat, flat)).otherwise(F.array(flat)).alias("rings")))
 
 
 @query("landcover_counts", fx.sql("fx_poly", "select kind, count(*) as n from fx_poly group by kind"))
@@ -145,15 +147,13 @@ def lit_access_counts(spark, sf):
 @query("layer_cells", fx.sql("fx_tile", "select coalesce(a.i, b.i) as i, coalesce(a.j, b.j) as j, a.i is not null as fine, b.i is not null as coarse from (select i, j from fx_tile where part = 0) a full join (select distinct i, j from fx_tile where part in (0, 2) and n > 1 or part = 2) b on a.i = b.i and a.j = b.j"))
 def layer_cells(spark, sf):
     tiles = fx.tile(spark, sf)
-    a = tiles.where("part = 0").select("i", "j", F.lit(True).alias("a"))
-    b = tiles.where("part in (0, 2) and n > 1 or part = 2").select("i", "j", F.lit(True).alias("b")).distinct()
-    return a.join(b, ["i", "j"], "full_outer").select("i", "j", col("a").isNotNull().alias("fine"), col("b").isNotNull().alias("coarse"))
+    return analytics.layer_cells(tiles.where("part = 0"), tiles.where("part in (0, 2) and n > 1 or part = 2"))
 
 
 @query("atlas_sidecar_pairs", fx.sql("fx_slice", "select a.id, a.number as atlas, b.number as sidecar from fx_slice a join fx_slice b on a.id = b.id where a.number % 2 = 0"))
 def atlas_sidecar_pairs(spark, sf):
     own = fx.extract(spark, sf)
-    return own.where("number % 2 = 0").select("id", col("number").alias("atlas")).join(own.select("id", col("number").alias("sidecar")), "id")
+    return slices.paired(own.where("number % 2 = 0").select("id", col("number").alias("atlas")), own.select("id", col("number").alias("sidecar")))
 
 
 @query(
@@ -177,3 +177,22 @@ def probe_metrics(spark, sf):
     tiles = ways.groupBy("i", "j").agg(F.collect_list("way").alias("ways"), F.collect_list(F.coalesce("name", F.lit(""))).alias("names"))
     tiles = tiles.withColumns({"crossings": F.array().cast("array<string>"), "landcover": F.array().cast("array<string>")})
     return analytics.tile_metrics(tiles).select("i", "j", "ways", "named", "attr_ways", "points_in_cell")
+
+
+@query(
+    "habitat_grids",
+    fx.sql(
+        "fx_mask",
+        "select f.i, f.j, f.cx, f.cy, cast(coalesce(m.record, 511 * 68719476736) as bigint) as record from f left join fx_mask m on m.cx = f.cx and m.cy = f.cy",
+        "t as (select distinct cast(floor(cy * 3 / 20.0) as bigint) as i, cast(floor(cx * 3 / 20.0) as bigint) as j from fx_mask), "
+        "f as (select i, j, unnest(range(cast(floor(j * 20 / 3.0) as bigint), cast(ceil((j + 1) * 20 / 3.0) as bigint))) as cx, cy from (select i, j, unnest(range(cast(floor(i * 20 / 3.0) as bigint), cast(ceil((i + 1) * 20 / 3.0) as bigint))) as cy from t))",
+    ),
+)
+def habitat_grids(spark, sf):
+    """Records written into the grids of tiles and read from them again; a grid without records gives none."""
+    cells = fx.record(spark, sf)
+    tiles = cells.select(grid.floor_div(col("cy") * 3, 20).alias("i"), grid.floor_div(col("cx") * 3, 20).alias("j")).distinct()
+    grids = bake.habitat_grids(tiles, cells.select("cx", "cy", "record")).select("i", "j", "habitat.*")
+    legacy = grids.withColumn("feat", F.lit(None).cast("string"))
+    back = analytics.grid_cells(grids.unionByName(legacy), ["i", "j"])
+    return back.select("i", "j", "cx", "cy", codec.from_chars("f").alias("record"))

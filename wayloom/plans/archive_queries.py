@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import grid, text
-from ..operators import analytics, archive, publish, slices
+from ..operators import analytics, archive, publish, slices, verify
+from ..sources import archive as files
+from ..sources import features, shared, sinks
 from . import fixtures as fx
 from .registry import query
 
@@ -23,46 +25,30 @@ def duplicate_ids(spark, sf):
     return archive.duplicate_ids(fx.tile(spark, sf)).select("i", "j", col("count").alias("n"))
 
 
+#: Tiles further apart, so that coverage has gaps.
+APART = 7
+_FILL = f"t as (select part, i * 13 as i, j * {APART} as j from fx_tile), b as (select distinct part, cast(floor(i / 10.0) as bigint) as bi, cast(floor(j / 10.0) as bigint) as bj from t), g as (select *, lead(bj) over (partition by part, bi order by bj) as nx from b), f as (select part, bi, unnest(range(bj, case when nx - bj - 1 between 1 and 8 then nx else bj + 1 end)) as bj from g)"
 
-def _fill(where: str, apart: int) -> str:
-    return f"t as (select part, i * 13 as i, j * {apart} as j from fx_tile{where}), b as (select distinct part, cast(floor(i / 10.0) as bigint) as bi, cast(floor(j / 10.0) as bigint) as bj from t), g as (select *, lead(bj) over (partition by part, bi order by bj) as nx from b), f as (select part, bi, unnest(range(bj, case when nx - bj - 1 between 1 and 8 then nx else bj + 1 end)) as bj from g)"
 
-
-def _bitmap_sql(where: str, apart: int) -> str:
-    return fx.sql(
-        "fx_tile",
-        "select part, cast(floor(bit / 8.0) as bigint) as at, cast(sum(1 << cast(bit % 8 as integer)) as bigint) as value from (select f.part, (bi - bi0) * (bj1 - bj0 + 1) + bj - bj0 as bit from f join (select part, min(bi) as bi0, min(bj) as bj0, max(bj) as bj1 from f group by part) e on f.part = e.part) group by 1, 2",
-        _fill(where, apart),
-    )
-
-
-def _spread(tiles, apart):
-    """Tiles further apart, so that coverage has gaps."""
-    return tiles.selectExpr("part", "i * 13 as i", f"j * {apart} as j")
-
-
-def _thin(spark, sf):
-    return _spread(fx.tile(spark, sf).where("i % 3 = 0"), 29)
+def _spread(spark, sf):
+    return fx.tile(spark, sf).selectExpr("part", "i * 13 as i", f"j * {APART} as j")
 
 
-@query("cover_gap_fill", fx.sql("fx_tile", "select part, bi, bj from f", _fill(" where i % 3 = 0", 29)))
+@query("cover_gap_fill", fx.sql("fx_tile", "select part, bi, bj from f", _FILL))
 def cover_gap_fill(spark, sf):
-    return archive.filled_blocks(_thin(spark, sf), ["part"])
+    return archive.filled_blocks(_spread(spark, sf), ["part"])
 
 
-@query("cover_gap_fill_whole", fx.sql("fx_tile", "select part, bi, bj from f", _fill("", 7)))
-def cover_gap_fill_whole(spark, sf):
-    return archive.filled_blocks(_spread(fx.tile(spark, sf), 7), ["part"])
-
-
-@query("cover_bitmap", _bitmap_sql(" where i % 3 = 0", 29))
+@query(
+    "cover_bitmap",
+    fx.sql(
+        "fx_tile",
+        "select part, cast(floor(bit / 8.0) as bigint) as at, cast(sum(1 << cast(bit % 8 as integer)) as bigint) as value from (select f.part, (bi - bi0) * (bj1 - bj0 + 1) + bj - bj0 as bit from f join (select part, min(bi) as bi0, min(bj) as bj0, max(bj) as bj1 from f group by part) e on f.part = e.part) group by 1, 2",
+        _FILL,
+    ),
+)
 def cover_bitmap(spark, sf):
-    return archive.cover_bytes(_thin(spark, sf), ["part"]).select("part", col("byte").alias("at"), "value")
-
-
-@query("cover_bitmap_whole", _bitmap_sql("", 7))
-def cover_bitmap_whole(spark, sf):
-    return archive.cover_bytes(_spread(fx.tile(spark, sf), 7), ["part"]).select("part", col("byte").alias("at"), "value")
+    return archive.cover_bytes(_spread(spark, sf), ["part"]).select("part", col("byte").alias("at"), "value")
 
 
 @query("bbox", fx.sql("fx_tile", "select part, cast(min(i) as bigint) as min_i, cast(max(i) as bigint) as max_i, cast(min(j) as bigint) as min_j, cast(max(j) as bigint) as max_j from fx_tile group by part"))
@@ -114,26 +100,9 @@ def leaf_extracts(spark, sf):
     return slices.leaves(fx.extract(spark, sf)).select("id", "number")
 
 
-def _slug_sql(where: str) -> str:
-    return f"select c_custkey as id, case when n > 1 then base || '-' || cast(n as varchar) else base end as slug from (select *, row_number() over (partition by base order by name) as n from (select c_custkey, c_name as name, lower(c_mktsegment) as base from customer{where}))"
-
-
-def _slugs(customers):
-    own = customers.withColumn("base", text.slug("c_mktsegment"))
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.partitionBy("base").orderBy("c_name"))
-    return own.withColumn("n", n).select(col("c_custkey").alias("id"), F.when(col("n") > 1, F.concat_ws("-", "base", "n")).otherwise(col("base")).alias("slug"))
-
-
-@query("slug_suffix", _slug_sql(" where c_custkey <= 200"))
+@query("slug_suffix", "select c_custkey as id, case when n > 1 then base || '-' || cast(n as varchar) else base end as slug from (select *, row_number() over (partition by base order by name) as n from (select c_custkey, c_name as name, lower(c_mktsegment) as base from customer))")
 def slug_suffix(spark, sf):
-    return _slugs(fx.table(spark, sf, "customer").where("c_custkey <= 200"))
-
-
-@query("slug_suffix_whole", _slug_sql(""))
-def slug_suffix_whole(spark, sf):
-    return _slugs(fx.table(spark, sf, "customer"))
+    return slices.slugged(fx.table(spark, sf, "customer"), "c_mktsegment", "c_name").select(col("c_custkey").alias("id"), "slug")
 
 
 _DAY = "cast(list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(id, ''), lambda c: cast(ascii(c) as bigint))), lambda h, c: (h * 31 + c) % 4294967296) % 28 + 1 as bigint)"
@@ -149,74 +118,53 @@ def slice_registry(spark, sf):
     return slices.registry(fx.extract(spark, sf).withColumn("url", F.concat(F.lit("x/"), "id")))
 
 
-def _gen(where: str) -> str:
-    return f"g as (select 's' || cast(c_custkey % 9 as varchar) as slice, 's' || cast(c_custkey % 9 as varchar) || '-' || substr(sha256(c_name), 1, 12) || '.wta' as file, c_custkey * 31 % 997 as modified from customer{where})"
-
-
-_GEN, _GEN_WHOLE = _gen(" where c_custkey <= 120"), _gen("")
-_RETENTION = "select slice, file, row_number() over (partition by slice order by modified desc, file desc) <= 2 as keep from g"
-_OWN = "select file, slice from g where slice in ('s1', 's4')"
-_GATE = "n as (select slice, 'v5' as version, max(file) as sha from g group by slice), o as (select slice, 'v5' as version, case when slice in ('s1', 's2') then max(file) else min(file) end as sha from g where slice <> 's3' group by slice) select n.slice, n.version, n.sha from n left join o on n.slice = o.slice where o.sha is null or n.sha <> o.sha"
-
-
-def _files(customers):
-    name = F.concat(F.lit("s"), (col("c_custkey") % 9).cast("string"))
-    return customers.select(name.alias("slice"), F.concat(name, F.lit("-"), text.short_digest("c_name"), F.lit(".wta")).alias("file"), (col("c_custkey") * 31 % 997).alias("modified"))
+_GEN = "g as (select 's' || cast(c_custkey % 9 as varchar) as slice, 's' || cast(c_custkey % 9 as varchar) || '-' || substr(sha256(c_name), 1, 12) || '.wta' as file, c_custkey * 31 % 997 as modified from customer)"
 
 
 def _generations(spark, sf):
-    return _files(fx.table(spark, sf, "customer").where("c_custkey <= 120"))
-
-
-def _generations_whole(spark, sf):
-    return _files(fx.table(spark, sf, "customer"))
+    name = F.concat(F.lit("s"), (col("c_custkey") % 9).cast("string"))
+    return fx.table(spark, sf, "customer").select(name.alias("slice"), F.concat(name, F.lit("-"), text.short_digest("c_name"), F.lit(".wta")).alias("file"), (col("c_custkey") * 31 % 997).alias("modified"))
 
 
-@query("retention_two", f"with {_GEN} {_RETENTION}")
+@query("retention_two", f"with {_GEN} select slice, file, row_number() over (partition by slice order by modified desc, file desc) <= 2 as keep from g")
 def retention_two(spark, sf):
     return publish.retained(_generations(spark, sf)).select("slice", "file", "keep")
 
 
-@query("retention_two_whole", f"with {_GEN_WHOLE} {_RETENTION}")
-def retention_two_whole(spark, sf):
-    return publish.retained(_generations_whole(spark, sf)).select("slice", "file", "keep")
-
-
-def _own(files):
-    wanted = files.select(col("slice").alias("name")).distinct().where("name in ('s1', 's4')")
-    return publish.own_generations(files.select("file"), wanted)
-
-
-@query("own_generations", f"with {_GEN} {_OWN}")
+@query("own_generations", f"with {_GEN} select file, slice from g where slice in ('s1', 's4')")
 def own_generations(spark, sf):
-    return _own(_generations(spark, sf))
-
+    files = _generations(spark, sf)
+    return publish.own_generations(files.select("file"), files.select(col("slice").alias("name")).distinct().where("name in ('s1', 's4')"))
 
-@query("own_generations_whole", f"with {_GEN_WHOLE} {_OWN}")
-def own_generations_whole(spark, sf):
-    return _own(_generations_whole(spark, sf))
 
-
-def _gated(g):
+@query(
+    "publish_gate",
+    f"with {_GEN}, n as (select slice, 'v5' as version, max(file) as sha from g group by slice), o as (select slice, 'v5' as version, case when slice in ('s1', 's2') then max(file) else min(file) end as sha from g where slice <> 's3' group by slice) select n.slice, n.version, n.sha from n left join o on n.slice = o.slice where o.sha is null or n.sha <> o.sha",
+)
+def publish_gate(spark, sf):
+    g = _generations(spark, sf)
     own = lambda sha: [F.lit("v5").alias("version"), sha.alias("sha")]
     built = g.groupBy("slice").agg(*own(F.max("file")))
     old = g.where("slice <> 's3'").groupBy("slice").agg(F.lit("v5").alias("version"), F.when(col("slice").isin("s1", "s2"), F.max("file")).otherwise(F.min("file")).alias("sha"))
     return publish.to_upload(built, old).select("slice", "version", "sha")
 
 
-@query("publish_gate", f"with {_GEN}, {_GATE}")
-def publish_gate(spark, sf):
-    return _gated(_generations(spark, sf))
-
-
-@query("publish_gate_whole", f"with {_GEN_WHOLE}, {_GATE}")
-def publish_gate_whole(spark, sf):
-    return _gated(_generations_whole(spark, sf))
+def _bodies(spark, sf):
+    """Every part's tiles as packed bodies of an archive."""
+    empty = lambda kind: F.array().cast(kind)
+    tiles = fx.tile(spark, sf).withColumns({"slice": F.concat(F.lit("s"), col("part").cast("string")), "ways": empty("array<struct<points:array<struct<lat:double,lng:double>>,foot:boolean>>"), "names": F.array(col("n").cast("string")), "crossings": empty("array<struct<lat:double,lng:double>>")})
+    return sinks.tile_bodies(tiles, "v4")
 
 
-@query("archive_index", fx.sql("fx_tile", "select cast(part as integer) as slice, cast(count(*) as bigint) as tile_count, cast(sum(bytes) as bigint) as tile_bytes, min(i) || ',' || max(i) || ',' || min(j) || ',' || max(j) as bbox from fx_tile group by part"))
+@query("archive_index", fx.sql("fx_tile", "select 's' || cast(part as varchar) as slice, cast(count(*) as integer) as tile_count, min(i) || ',' || max(i) || ',' || min(j) || ',' || max(j) as bbox, cast(count(*) * 2 as integer) as copies from fx_tile group by part"))
 def archive_index(spark, sf):
-    return fx.tile(spark, sf).groupBy(col("part").cast("int").alias("slice")).agg(F.count(F.lit(1)).alias("tile_count"), F.sum("bytes").alias("tile_bytes"), F.concat_ws(",", F.min("i"), F.max("i"), F.min("j"), F.max("j")).alias("bbox"))
+    """Index entries of every part's archive, of two versions of which one is packed, written down and read again."""
+    folder = shared.folder(spark, "archives")
+    both = _bodies(spark, sf).unionByName(_bodies(spark, sf).withColumn("version", F.lit("v5")))
+    entries = files.write_archives(both, folder, ["v5"])
+    entries.agg(F.to_json(F.collect_list(F.struct(*entries.columns))).alias("value")).coalesce(1).write.text(f"{folder}/index")
+    index = features.archive_index(spark, f"{folder}/index")
+    return index.where("version = 'v5'").select("slice", col("tileCount").alias("tile_count"), F.concat_ws(",", F.transform("bbox", lambda x: x.cast("string"))).alias("bbox"), (col("tileCount") * 2).alias("copies"))
 
 
 @query("unfinished_slices", fx.sql("fx_slice", "select id as name from fx_slice where number % 3 <> 0"))
@@ -225,12 +173,11 @@ def unfinished_slices(spark, sf):
     return publish.unfinished(own.select("name"), own.where("number % 3 = 0"))
 
 
-@query("body_equality", fx.sql("fx_tile", "select a.i, a.j, sha256(cast(a.bytes as varchar)) = sha256(cast(b.bytes as varchar)) as same from fx_tile a join fx_tile b on a.i = b.i and a.j = b.j and a.part = 0 and b.part = 1"))
+@query("body_equality", fx.sql("fx_tile", "select coalesce(a.i, b.i) as i, coalesce(a.j, b.j) as j from (select * from fx_tile where part = 0) a full join (select * from fx_tile where part = 1) b on a.i = b.i and a.j = b.j where a.n is null or b.n is null or a.n <> b.n"))
 def body_equality(spark, sf):
-    tiles = fx.tile(spark, sf)
-    body = text.digest(col("bytes").cast("string"))
-    a, b = (tiles.where(col("part") == k).select("i", "j", body.alias(f"sha{k}")) for k in (0, 1))
-    return a.join(b, ["i", "j"]).select("i", "j", (col("sha0") == col("sha1")).alias("same"))
+    """Tiles of two parts whose packed bodies differ, or that one of them lacks."""
+    bodies = _bodies(spark, sf)
+    return files.first_difference(bodies.where("slice = 's0'"), bodies.where("slice = 's1'"))
 
 
 _STATES = "case event_id % 7 when 0 then 'hole' when 1 then 'uncovered' when 2 then 'noindex' when 3 then 'absent' when 4 then 'error' else 'tile' end"
@@ -255,58 +202,45 @@ def probe_judge(spark, sf):
     return p.select("event_id", F.array_join(found, ";").alias("problems"))
 
 
-@query("probe_totals", f"with {_PROBE} select expect, cast(sum(case when kind = 'tile' then 1 else 0 end) as bigint) as passed, cast(sum(case when kind = 'error' then 1 else 0 end) as bigint) as failed, cast(sum(case when kind = 'noindex' then 1 else 0 end) as bigint) as skipped from p group by expect")
+@query("probe_totals", f"with {_PROBE}, q as (select kind = 'error' as bad, expect in ('dense', 'any', 'empty') as own from p) select cast(sum(case when own and not bad then 1 else 0 end) as bigint) as passed, cast(sum(case when own and bad then 1 else 0 end) as bigint) as failed, cast(sum(case when not own then 1 else 0 end) as bigint) as skipped from q")
 def probe_totals(spark, sf):
-    p = fx.table(spark, sf, "events").selectExpr(f"{_STATES} as kind", f"{_EXPECTS} as expect")
-    return p.groupBy("expect").agg(F.count_if(col("kind") == "tile").alias("passed"), F.count_if(col("kind") == "error").alias("failed"), F.count_if(col("kind") == "noindex").alias("skipped"))
+    """Probes of three expected slices, named like what they expect; an unreadable cell fails."""
+    p = fx.table(spark, sf, "events").selectExpr(f"{_EXPECTS} as slice", f"case when ({_STATES}) = 'error' then array('unresolved') else cast(array() as array<string>) end as problems")
+    return verify.totals(p, ["dense", "any", "empty"])
 
 
 @query("probe_versions", fx.sql("fx_slice", "select id, v as version from fx_slice, (select unnest(['v4', 'v5', 'v5c']) as v) where number % 2 = 0 or v <> 'v5c'"))
 def probe_versions(spark, sf):
-    wanted = F.expr("case when number % 2 = 0 then array('v4', 'v5', 'v5c') else array('v4', 'v5') end")
-    return fx.extract(spark, sf).select("id", F.explode(wanted).alias("version"))
+    return verify.probed_versions(fx.extract(spark, sf).select("id", "number"), col("number") % 2 == 0).select("id", "version")
 
 
 @query("cache_expiry", f"select event_id, kind, ts + to_seconds(case kind when 'hole' then 2592000 when 'uncovered' then 300 else 3600 end) as expires_at from (select event_id, ts, {_STATES} as kind from events)")
 def cache_expiry(spark, sf):
     e = fx.table(spark, sf, "events").select("event_id", "ts", F.expr(_STATES).alias("kind"))
-    life = F.when(col("kind") == "hole", 2592000).when(col("kind") == "uncovered", 300).otherwise(3600)
-    return e.select("event_id", "kind", (col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), life.cast("decimal(18,6)"))).alias("expires_at"))
+    return publish.expiry(e, "ts").select("event_id", "kind", "expires_at")
 
 
-@query("archive_roundtrip")
+@query("archive_roundtrip", fx.sql("fx_tile", "select 's' || cast(part as varchar) as slice, count(*) as tiles, count(*) as same from fx_tile group by part"))
 def archive_roundtrip(spark, sf):
     """Each part's tiles packed into an archive and read back through its directory: whether every byte returned."""
-    import pyarrow as pa
+    folder = shared.folder(spark, "archives")
+    bodies = _bodies(spark, sf)
+    written = files.write_archives(bodies, folder).agg(F.sum("tileCount")).first()[0]
+    back = files.read_archives(spark, f"{folder}/v4")
+    both = back.join(bodies.select("slice", "i", "j", col("body").alias("was")), ["slice", "i", "j"], "full_outer")
+    own = both.groupBy("slice").agg(F.count("body").alias("tiles"), F.count_if(col("body") == col("was")).alias("same"))
+    return own.where(F.lit(written) > 0)
 
-    from ..sources import archive as files
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        tiles = [(r["i"], r["j"], files.pack(f'{{"v":4,"n":{r["n"]},"bytes":{r["bytes"]}}}'.encode())) for r in rows]
-        raw = files.build(f"s{rows[0]['part']}", "v4", tiles)
-        head, _, entries = files.parse(raw)
-        own = {files.tile_id(i, j): body for i, j, body in tiles}
-        same = [raw[head.tiles[0] + at : head.tiles[0] + at + n] == own[number] for number, at, n in entries]
-        return pa.table({"part": [rows[0]["part"]], "tiles": [len(entries)], "same": [sum(same)], "bytes": [len(raw)]})
-
-    return fx.tile(spark, sf).select(col("part").cast("int"), col("i").cast("int"), col("j").cast("int"), "n", "bytes").groupBy("part").applyInArrow(run, "part long, tiles long, same long, bytes long")
-
-
-@query("tile_bodies")
+@query("tile_bodies", fx.sql("fx_tile", "select 's' || cast(part as varchar) as slice, i, j, sha256('{\"v\":4,\"ways\":[],\"names\":[\"' || cast(n as varchar) || '\"],\"crossings\":[]}') as sha, true as same from fx_tile"))
 def tile_bodies(spark, sf):
     """Canonical JSON of tiles, packed and unpacked again: digest and whether it came back."""
-    from ..sources import features, sinks
-
-    empty = lambda kind: F.array().cast(kind)
-    tiles = fx.tile(spark, sf).withColumns({"slice": F.concat(F.lit("s"), col("part").cast("string")), "ways": empty("array<struct<points:array<struct<lat:double,lng:double>>,foot:boolean>>"), "names": F.array(col("n").cast("string")), "crossings": empty("array<struct<lat:double,lng:double>>")})
-    packed = sinks.tile_bodies(tiles, "v4")
-    return features.payloads(packed).select("slice", "i", "j", "sha", (F.sha2("body", 256) == col("sha")).alias("same"))
+    return features.payloads(_bodies(spark, sf)).select("slice", "i", "j", "sha", (F.sha2("body", 256) == col("sha")).alias("same"))
 
 
-@query("raster_blocks")
+@query("raster_blocks", fx.sql("fx_dem", "select cast(floor(cx / 16.0) as bigint) as bx, cast(floor(cy / 16.0) as bigint) as b_y, count(*) as cells, cast(coalesce(sum(e), 0) as bigint) as total, cast(0 as bigint) as bad from fx_dem group by 1, 2"))
 def raster_blocks(spark, sf):
-    """Elevations by block of 16 x 16 cells, encoded as a raster block and decoded again: cells and differences."""
+    """Elevations by block of 16 x 16 cells, encoded as a raster block and decoded again: cells, their sum and differences."""
     import numpy as np
     import pyarrow as pa
 
@@ -319,7 +253,7 @@ def raster_blocks(spark, sf):
         block[y % 16, x % 16] = e
         back = elevation.decode_block(elevation.encode_block(block), 16, 16)
         bad = int(((back != block) & ~(np.isnan(back) & np.isnan(block))).sum())
-        return pa.table({"bx": [int(x[0] // 16)], "b_y": [int(y[0] // 16)], "cells": [len(x)], "bad": [bad]})
+        return pa.table({"bx": [int(x[0] // 16)], "b_y": [int(y[0] // 16)], "cells": [len(x)], "total": [int(np.nansum(back))], "bad": [bad]})
 
     cells = fx.dem(spark, sf).withColumns({"bx": grid.floor_div("cx", 16), "b_y": grid.floor_div("cy", 16)})
-    return cells.groupBy("bx", "b_y").applyInArrow(run, "bx long, b_y long, cells long, bad long")
+    return cells.groupBy("bx", "b_y").applyInArrow(run, "bx long, b_y long, cells long, total long, bad long")

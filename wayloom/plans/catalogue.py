@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analytics_queries, archive_queries, grid_queries, landmark_queries, spatial_queries, verify_queries  # noqa: F401
+from . import analytics_queries, archive_queries, grid_queries, landmark_queries, source_queries, spatial_queries, verify_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -163,3 +163,38 @@ def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     inner = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr("lower(n_name) as id", "lower(r_name) as parent", "n_nationkey as number")
     return inner.unionByName(region.selectExpr("lower(r_name) as id", "cast(null as string) as parent", "1000 + r_regionkey as number"))
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(way_id, points) of all ways, their points in order."""
+    own = vertex(spark, sf_dir).groupBy("way_id").agg(F.sort_array(F.collect_list(F.struct("n", "lat", "lng"))).alias("p"))
+    return own.select("way_id", F.transform("p", lambda x: F.struct(x["lat"].alias("lat"), x["lng"].alias("lng"))).alias("points"))
+
+
+def _tags(**values) -> F.Column:
+    pairs = F.array(*(F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()))
+    return F.map_from_entries(F.filter(pairs, lambda x: x["value"].isNotNull()))
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features as a stream has them: ways (footways are crossings too), observed nodes (every third a crossing), and parts as areas."""
+    ways = way(spark, sf_dir).join(lines(spark, sf_dir), "way_id")
+    crossing = F.when(F.col("highway") == "footway", "crossing")
+    line = ways.select(F.concat(F.lit("w"), F.col("way_id").cast("string")).alias("id"), F.lit("w").alias("object"), _tags(highway=F.col("highway"), lit=F.col("lit"), access=F.col("access"), name=F.col("name"), footway=crossing).alias("tags"), F.col("points").alias("line"))
+    third = F.col("event_id") % 3 == 0
+    node = obs(spark, sf_dir).select(F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("id"), F.lit("n").alias("object"), _tags(highway=F.when(third, "crossing"), natural=F.when(~third, "tree")).alias("tags"), F.struct("lat", "lng").alias("point"))
+    is_kind = lambda kind, value: F.when(F.col("kind") == kind, value)
+    area = poly(spark, sf_dir).select(F.concat(F.lit("a"), F.col("poly_id").cast("string")).alias("id"), F.lit("a").alias("object"), _tags(natural=F.coalesce(is_kind("water", "water"), is_kind("wood", "wood")), leisure=is_kind("green", "park"), landuse=is_kind("field", "farmland")).alias("tags"), F.array("rings").alias("polygons"))
+    return line.unionByName(node, allowMissingColumns=True).unionByName(area, allowMissingColumns=True)
+
+
+def stream(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the features as a stream of one JSON feature a line, record separators before them; returns the path."""
+    pair = lambda p: F.array(p["lng"], p["lat"])
+    ring = lambda r: F.transform(F.concat(r, F.slice(r, 1, 1)), pair)
+    shape = lambda kind, at: F.concat(F.lit('{"type":"' + kind + '","coordinates":'), at, F.lit("}"))
+    point = F.concat(F.lit("["), F.col("point.lng").cast("string"), F.lit(","), F.col("point.lat").cast("string"), F.lit("]"))
+    geometry = F.when(F.col("point").isNotNull(), shape("Point", point)).when(F.col("line").isNotNull(), shape("LineString", F.to_json(F.transform("line", pair)))).otherwise(shape("MultiPolygon", F.to_json(F.transform("polygons", lambda p: F.transform(p, ring)))))
+    whole = F.concat(F.lit('\x1e{"type":"Feature","id":"'), F.col("id"), F.lit('","properties":'), F.to_json("tags"), F.lit(',"geometry":'), geometry, F.lit("}"))
+    features(spark, sf_dir).select(whole.alias("value")).write.text(path)
+    return path

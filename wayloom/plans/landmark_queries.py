@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry, tags, text
-from ..operators import landmarks, spatial
+from ..operators import analytics, landmarks, spatial
 from . import fixtures as fx
 from .registry import query
 
@@ -73,6 +73,14 @@ def anchor_greedy(spark, sf):
     return landmarks.select_anchors(found, caps).select("slice", "lm_id", "key", "seat")
 
 
+@query(
+    "anchor_candidates",
+    fx.sql("fx_landmark", "select slice, lm_id, case when kind = 'peak' then 'peak' else 'areal' end as grp, ai, aj, sig >= 0 as above, cast(row_number() over (partition by slice, case when kind = 'peak' then 'peak' else 'areal' end, ai, aj order by case when kind = 'national_park' then 1 else 0 end desc, sig desc, key) as integer) as place from c", _CAND),
+)
+def anchor_candidates(spark, sf):
+    return landmarks.ranked_candidates(candidates(spark, sf)).select("slice", "lm_id", "grp", "ai", "aj", "above", "place")
+
+
 @query("anchor_cap", "select n_nationkey as k, cast(greatest(1, floor(15 / (pi() * 10000) * n_nationkey * 10000.0 + 0.5)) as bigint) as cap from nation")
 def anchor_cap(spark, sf):
     n = fx.table(spark, sf, "nation")
@@ -96,13 +104,12 @@ def anchor_anti_both(spark, sf):
 
 @query("landmark_listings_distinct", fx.sql("fx_landmark", "select kind, count(*) as listings, count(distinct key) as own from l group by kind", _LIST))
 def landmark_listings_distinct(spark, sf):
-    return listings(spark, sf).groupBy("kind").agg(F.count(F.lit(1)).alias("listings"), F.countDistinct("key").alias("own"))
+    return analytics.listings_by_kind(listings(spark, sf))
 
 
 @query("names_by_kind", fx.sql("fx_landmark", "select kind, count(distinct name) as n, array_to_string(list_sort(list(distinct name))[1:6], '|') as first from l group by kind", _LIST))
 def names_by_kind(spark, sf):
-    names = listings(spark, sf).select("kind", "name").distinct()
-    return names.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.slice(F.sort_array(F.collect_list("name")), 1, 6), "|").alias("first"))
+    return analytics.names_by_kind(listings(spark, sf))
 
 
 @query(
@@ -110,14 +117,24 @@ def names_by_kind(spark, sf):
     fx.sql("fx_landmark", "select kind, min(ele) as least, max(ele) as most, list_sort(list(distinct ele))[cast(floor(count(distinct ele) / 2.0) as integer) + 1] as median from fx_landmark group by kind"),
 )
 def ele_median_distinct(spark, sf):
-    from ..operators.analytics import distinct_median
+    return analytics.distinct_median(fx.landmark(spark, sf), "ele", ["kind"])
+
 
-    return distinct_median(fx.landmark(spark, sf), "ele", ["kind"])
+_AREA = "abs({0}) * (cos(radians({1})) * 6196071200.0)"
+_SHOELACE = "0.0 + (x1 * y2 - x2 * y1) + (x2 * y3 - x3 * y2) + (x3 * y4 - x4 * y3) + (x4 * y1 - x1 * y4)"
+_DEG = "cast({0}_e6 as double) / 1e6"
 
 
-@query("simplify_rings")
+@query(
+    "simplify_rings",
+    fx.sql(
+        "fx_poly",
+        f"select poly_id, kind, 32 as before, 4 as after, round({_AREA.format(_SHOELACE, 'y1')}, 1) as area_m2 from r",
+        f"r as (select poly_id, kind, {_DEG.format('lat0')} as y1, {_DEG.format('lng0')} as x1, {_DEG.format('lat0')} as y2, {_DEG.format('lng1')} as x2, {_DEG.format('lat1')} as y3, {_DEG.format('lng1')} as x3, {_DEG.format('lat1')} as y4, {_DEG.format('lng0')} as x4 from fx_poly)",
+    ),
+)
 def simplify_rings(spark, sf):
-    """Octagons around each part's rectangle, simplified: points before and after, and the area kept."""
+    """Each part's rectangle with seven points more on every side, simplified: only its corners are left."""
     polys = fx.poly(spark, sf)
     dense = F.flatten(F.zip_with("ring", F.concat(F.slice("ring", 2, 3), F.slice("ring", 1, 1)), lambda a, b: F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.struct((a["lat"] + (b["lat"] - a["lat"]) * k / 8).alias("lat"), (a["lng"] + (b["lng"] - a["lng"]) * k / 8).alias("lng")))))
     rings = polys.select("poly_id", "kind", dense.alias("ring"))
@@ -125,7 +142,18 @@ def simplify_rings(spark, sf):
     return done.select("poly_id", "kind", F.size("ring").alias("before"), F.size("simple").alias("after"), F.round(geometry.area_m2(col("simple")), 1).alias("area_m2"))
 
 
-@query("clip_polygons")
+_CLIPPED = (
+    "b as (select poly_id, kind, cast(i as bigint) as i, cast(j as bigint) as j, (i + 0.5) * cast(0.01 as double) - 1200 / cast(111320 as double) as s, (i + 0.5) * cast(0.01 as double) + 1200 / cast(111320 as double) as n, "
+    "(j + 0.5) * cast(0.01 as double) - 1200 / cast(111320 as double) / cos(radians((i + 0.5) * cast(0.01 as double))) as w, (j + 0.5) * cast(0.01 as double) + 1200 / cast(111320 as double) / cos(radians((i + 0.5) * cast(0.01 as double))) as e, "
+    f"{_DEG.format('lat0')} as a0, {_DEG.format('lat1')} as a1, {_DEG.format('lng0')} as o0, {_DEG.format('lng1')} as o1 from fx_poly, (select unnest(range(4190, 4226)) as i), (select unnest(range(-7165, -7124)) as j)), "
+    "c as (select *, greatest(a0, s) as lo, least(a1, n) as hi, greatest(o0, w) as le, least(o1, e) as ri from b where a0 < n and a1 > s and o0 < e and o1 > w), "
+    # The clipped ring begins at a cut of the north side, if there is one, and further east if that is cut too.
+    "r as (select *, case when a1 > n then n else lo end as y1, case when a1 > n and o1 > e then ri else le end as x1, case when a1 > n and o1 > e then n else lo end as y2, case when a1 > n then le else ri end as x2, "
+    "case when a1 > n then lo else hi end as y3, case when a1 > n and o1 > e then le else ri end as x3, case when a1 > n and o1 > e then lo else hi end as y4, case when a1 > n then ri else le end as x4 from c)"
+)
+
+
+@query("clip_polygons", fx.sql("fx_poly", f"select i, j, poly_id, kind, 4 as points, round({_AREA.format(_SHOELACE, 'y1')}, 1) as area_m2 from r where round({_AREA.format(_SHOELACE, 'y1')}, 1) >= 1000", _CLIPPED))
 def clip_polygons(spark, sf):
     """Each part's rectangle clipped to the boxes of the tiles it may reach, with what is left of it."""
     half = geometry.M_PER_DEG
@@ -142,6 +170,4 @@ _KEPT = "m as (select kind, cast((lat1_e6 - lat0_e6) * (lng1_e6 - lng0_e6) as bi
 
 @query("kept_area_share", fx.sql("fx_poly", "select kind, round(100.0 * cast(sum(case when a >= 25000000 then 1 else 0 end) as double) / count(*), 4) as polys_pct, round(100.0 * cast(sum(case when a >= 25000000 then a else 0 end) as double) / cast(sum(a) as double), 4) as area_pct from m group by kind", _KEPT))
 def kept_area_share(spark, sf):
-    m = fx.poly(spark, sf).select("kind", ((col("lat1_e6") - col("lat0_e6")) * (col("lng1_e6") - col("lng0_e6"))).alias("a"))
-    big = col("a") >= 25_000_000
-    return m.groupBy("kind").agg(F.round(F.lit(100.0) * F.count_if(big) / F.count(F.lit(1)), 4).alias("polys_pct"), F.round(F.lit(100.0) * F.sum(F.when(big, col("a")).otherwise(0)).cast("double") / F.sum("a").cast("double"), 4).alias("area_pct"))
+    return analytics.kept_share(fx.poly(spark, sf).select("kind", ((col("lat1_e6") - col("lat0_e6")) * (col("lng1_e6") - col("lng0_e6"))).alias("area")), 25_000_000)

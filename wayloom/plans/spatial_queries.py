@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import grid
-from ..operators import relief, spatial
+from ..operators import bake, relief, spatial
 from . import fixtures as fx
 from .registry import query
 
@@ -14,10 +14,6 @@ MID = 42.03  # latitude of the fixtures' middle
 _LL = "cast({0}lat_e6 as double) / 1e6 as lat, cast({0}lng_e6 as double) / 1e6 as lng"
 
 
-def _vertices(spark, sf):
-    return fx.vertex(spark, sf).where("way_id % 10 = 0")
-
-
 _BOX = "abs(lat - (i + 0.5) * cast(0.01 as double)) <= 1200 / cast(111320 as double) and abs(lng - (j + 0.5) * cast(0.01 as double)) <= 1200 / (cast(111320 as double) * cos(radians((i + 0.5) * cast(0.01 as double))))"
 
 
@@ -29,12 +25,16 @@ def way_tile_binning(spark, sf):
     return spatial.ways_in_tiles(fx.vertex(spark, sf))
 
 
-@query("crossing_points", fx.sql("fx_vertex fx_way", "select way_id, lat_e6, lng_e6 from fx_vertex where n = 1 and way_id % 5 = 0 union all select w.way_id, cast(floor(avg(lat_e6) + 0.25) as bigint), cast(floor(avg(lng_e6) + 0.25) as bigint) from fx_way w join fx_vertex v on w.way_id = v.way_id where highway = 'footway' and n <= 2 group by w.way_id"))
+@query(
+    "crossing_points",
+    fx.sql(
+        "fx_obs fx_vertex fx_way",
+        f"select 'n' || cast(event_id as varchar) as id, {_LL.format('')} from fx_obs where event_id % 3 = 0 union all select id, lat, lng from (select 'w' || cast(w.way_id as varchar) as id, {_LL.format('')}, row_number() over (partition by w.way_id order by n) - 1 as k, count(*) over (partition by w.way_id) as m from fx_way w join fx_vertex v on w.way_id = v.way_id where highway = 'footway') where k = floor(m / 2.0)",
+    ),
+)
 def crossing_points(spark, sf):
-    nodes = fx.vertex(spark, sf).where("n = 1 and way_id % 5 = 0").select("way_id", "lat_e6", "lng_e6")
-    ways = fx.way(spark, sf).where("highway = 'footway'").select("way_id").join(fx.vertex(spark, sf).where("n <= 2"), "way_id")
-    middle = ways.groupBy("way_id").agg(*(F.floor(F.avg(c) + 0.25).cast("bigint").alias(c) for c in ("lat_e6", "lng_e6")))
-    return nodes.unionByName(middle)
+    """Nodes that are crossings, and the middle points of the footways, all of which are tagged as crossings."""
+    return bake.crossings(fx.features(spark, sf))
 
 
 _RING = [(42.01, -71.49), (42.05, -71.485), (42.045, -71.45), (42.02, -71.455)]
@@ -90,40 +90,24 @@ def listing_union(spark, sf):
 _STEP = "len as (select way_id, n, lat1, lng1, lat2, lng2, sqrt(((lat2 - lat1) * 111320) * ((lat2 - lat1) * 111320) + ((lng2 - lng1) * 111320 * cos(radians(lat1))) * ((lng2 - lng1) * 111320 * cos(radians(lat1)))) as m from seg), st as (select *, greatest(1, cast(ceil(m / 20) as integer)) as k from len), ex as (select *, unnest(range(0, k)) as s from st)"
 
 
-def _seg(vertices: str, lat2: str, lng2: str) -> str:
-    return f"v as (select way_id, n, {_LL.format('')} from fx_vertex{vertices}), seg as (select a.way_id, a.n, a.lat as lat1, a.lng as lng1, {lat2} as lat2, {lng2} as lng2 from v a join v b on a.way_id = b.way_id and b.n = a.n + 1)"
-
-
-def _length_sql(segments: str) -> str:
+def _length_sql() -> str:
     return fx.sql(
         "fx_vertex fx_way",
         "select cast(floor((lng1 + (lng2 - lng1) * (s + 0.5) / k) / cast(0.0015 as double)) as bigint) as cx, cast(floor((lat1 + (lat2 - lat1) * (s + 0.5) / k) / cast(0.0015 as double)) as bigint) as cy, "
         "case when highway in ('residential', 'living_street') then 'res' when highway in ('footway', 'path', 'pedestrian', 'steps', 'track') then 'foot' else 'road' end as grp, round(sum(m / k), 3) as metres "
         "from ex join fx_way w on ex.way_id = w.way_id where highway not in ('primary', 'tertiary_link', 'motorway') group by 1, 2, 3",
-        f"{segments}, {_STEP}",
+        f"v as (select way_id, n, {_LL.format('')} from fx_vertex), seg as (select a.way_id, a.n, a.lat as lat1, a.lng as lng1, b.lat as lat2, b.lng as lng2 from v a join v b on a.way_id = b.way_id and b.n = a.n + 1), {_STEP}",
     )
 
 
-def _lengths(spark, sf, vertices, end):
-    """Lengths by cell of the segments between vertices; end(a, b) is where a segment from column a to b stops."""
-    from ..functions import tags
-
-    v = vertices.select("way_id", "n", "lat", "lng")
-    ahead = v.select("way_id", (col("n") - 1).alias("n"), col("lat").alias("lat_b"), col("lng").alias("lng_b"))
-    seg = v.join(ahead, ["way_id", "n"]).join(fx.way(spark, sf).select("way_id", tags.habitat_group(col("highway")).alias("group")).where(F.col("group").isNotNull()), "way_id")
-    seg = seg.select("group", col("lat").alias("lat1"), col("lng").alias("lng1"), end("lat", "lat_b").alias("lat2"), end("lng", "lng_b").alias("lng2"))
-    return spatial.segment_lengths(seg).select("cx", "cy", col("group").alias("grp"), F.round("metres", 3).alias("metres"))
-
-
-@query("way_length_by_cell", _length_sql(_seg(" where way_id % 10 = 0", "a.lat + (b.lat - a.lat) / 16", "a.lng + (b.lng - a.lng) / 16")))
+@query("way_length_by_cell", _length_sql())
 def way_length_by_cell(spark, sf):
-    """The first sixteenth of each segment of a tenth of the ways, as its SQL has it."""
-    return _lengths(spark, sf, _vertices(spark, sf), lambda a, b: col(a) + (col(b) - col(a)) / 16)
-
+    from ..functions import tags
 
-@query("way_length_by_cell_whole", _length_sql(_seg("", "b.lat", "b.lng")))
-def way_length_by_cell_whole(spark, sf):
-    return _lengths(spark, sf, fx.vertex(spark, sf), lambda a, b: col(b))
+    v = fx.vertex(spark, sf).select("way_id", "n", "lat", "lng")
+    ahead = v.select("way_id", (col("n") - 1).alias("n"), col("lat").alias("lat2"), col("lng").alias("lng2"))
+    seg = v.withColumnsRenamed({"lat": "lat1", "lng": "lng1"}).join(ahead, ["way_id", "n"]).join(fx.way(spark, sf).select("way_id", tags.habitat_group(col("highway")).alias("group")).where(F.col("group").isNotNull()), "way_id")
+    return spatial.segment_lengths(seg.select("group", "lat1", "lng1", "lat2", "lng2")).select("cx", "cy", col("group").alias("grp"), F.round("metres", 3).alias("metres"))
 
 
 @query("landcover_by_tile", fx.sql("fx_poly", "select cast(i as bigint) as i, cast(j as bigint) as j, kind, count(*) as n from (select kind, cast(lat0_e6 as double) / 1e6 as a, cast(lat1_e6 as double) / 1e6 as b, cast(lng0_e6 as double) / 1e6 as c, cast(lng1_e6 as double) / 1e6 as d from fx_poly), ii, jj where i between floor(a / cast(0.01 as double)) and floor(b / cast(0.01 as double)) and j between floor(c / cast(0.01 as double)) and floor(d / cast(0.01 as double)) group by 1, 2, 3", _GRID))
@@ -191,10 +175,22 @@ def nearest_class_block(spark, sf):
     return spatial.nearest_by_rings(cells, blocks).withColumnRenamed("by", "b_y")
 
 
+_AROUND = "c as (select lm_id, i, j from (select lm_id, cast(floor(lat_e6 / 10000.0) as bigint) as i0, cast(floor(lng_e6 / 10000.0) as bigint) as j0, lat_e6 from fx_landmark), (select unnest(range(-5, 6)) as di), (select unnest(range(-5, 6)) as dj), lateral (select i0 + di as i, j0 + dj as j) where abs(di) <= 3 and abs(dj) <= cast(ceil(1200 / (cast(1113.2 as double) * cos(radians(cast(lat_e6 as double) / 1e6 + 1200 / cast(111320 as double))))) as bigint) + 1)"
+
+
 @query(
     "seam_dedupe",
-    fx.sql("fx_vertex", "select a0, a1, b0, b1, m, min(way_id) as way_id, count(*) as copies from (select way_id, min(lat_e6) as a0, min(lng_e6) as a1, max(lat_e6) as b0, max(lng_e6) as b1, count(*) as m from fx_vertex where n <= 2 group by way_id) group by a0, a1, b0, b1, m"),
+    fx.sql(
+        "fx_vertex fx_landmark",
+        "select lm_id as pos, cast(count(distinct (a0, a1, b0, b1, m)) as bigint) as ways, cast(sum(distinct_points) as bigint) as points from (select distinct c.lm_id, a0, a1, b0, b1, m, m as distinct_points from c join (select distinct way_id, k, cast(floor(lat / 10000.0) as bigint) as i, cast(floor(lng / 10000.0) as bigint) as j, a0, a1, b0, b1, m from w, (values (0), (1)) t(k), lateral (select case when k = 0 then a0 else b0 end as lat, case when k = 0 then a1 else b1 end as lng)) l on c.i = l.i and c.j = l.j) group by lm_id",
+        "w as (select way_id, arg_min(lat_e6, n) as a0, arg_min(lng_e6, n) as a1, arg_max(lat_e6, n) as b0, arg_max(lng_e6, n) as b1, count(*) as m from fx_vertex group by way_id), " + _AROUND,
+    ),
 )
 def seam_dedupe(spark, sf):
-    ends = fx.vertex(spark, sf).where("n <= 2").groupBy("way_id").agg(F.min("lat_e6").alias("a0"), F.min("lng_e6").alias("a1"), F.max("lat_e6").alias("b0"), F.max("lng_e6").alias("b1"), F.count(F.lit(1)).alias("m"))
-    return ends.groupBy("a0", "a1", "b0", "b1", "m").agg(F.min("way_id").alias("way_id"), F.count(F.lit(1)).alias("copies"))
+    """Ways listed in the tiles of both their ends, as seen from every landmark: each way once."""
+    lines = fx.lines(spark, sf).select("way_id", "points")
+    end = lambda k: F.element_at("points", k)
+    listed = lines.select("points", F.explode(F.array(end(1), end(-1))).alias("p")).select(grid.tile("p.lat").alias("i"), grid.tile("p.lng").alias("j"), F.struct("points").alias("way"))
+    tiles = listed.groupBy("i", "j").agg(F.collect_list("way").alias("ways"))
+    seen = bake.visible(tiles, fx.landmark(spark, sf).select(col("lm_id").alias("pos"), "lat", "lng"))
+    return seen.groupBy("pos").agg(F.count(F.lit(1)).alias("ways"), F.sum(F.size("w.points")).alias("points"))

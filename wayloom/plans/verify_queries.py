@@ -70,4 +70,4 @@ def coarse_density(spark, sf):
 @query("reader_counters", "select event_type, count(distinct user_id) as tiles, count(*) as blocks, cast(sum(case when event_id % 3 = 0 then event_id else 0 end) as bigint) as fetched, cast(sum(case when event_id % 3 <> 0 then event_id else 0 end) as bigint) as cached from events group by event_type")
 def reader_counters(spark, sf):
     log = fx.table(spark, sf, "events").select("event_type", col("user_id").alias("tile"), col("event_id").alias("bytes"), (col("event_id") % 3 == 0).alias("cold"))
-    return log.groupBy("event_type").agg(F.countDistinct("tile").alias("tiles"), F.count(F.lit(1)).alias("blocks"), F.sum(F.when(col("cold"), col("bytes")).otherwise(0)).alias("fetched"), F.sum(F.when(~col("cold"), col("bytes")).otherwise(0)).alias("cached"))
+    return analytics.reader_counters(log, ["event_type"])

@@ -226,8 +226,8 @@ _ENTRY = pa.schema(
 )
 
 
-def write_archives(tiles: DataFrame, folder: str) -> DataFrame:
-    """Pack tiles (slice, version, i, j, body) into an archive for each slice and version; returns their index entries.
+def write_archives(tiles: DataFrame, folder: str, versions: list[str] | None = None) -> DataFrame:
+    """Pack tiles (slice, version, i, j, body) into an archive for each slice and version (all, or those named); returns their index entries.
 
     Slices are packed side by side, each in one task that streams its sorted tiles. A file
     is named by its digest and moved into place when whole, so a repeated task changes
@@ -248,7 +248,8 @@ def write_archives(tiles: DataFrame, folder: str) -> DataFrame:
         if packer:
             yield pa.RecordBatch.from_pylist([packer.finish()], _ENTRY)
 
-    keyed = tiles.withColumn("id", grid.tile_id("i", "j"))
+    wanted = tiles if versions is None else tiles.where(F.col("version").isin(versions))
+    keyed = wanted.withColumn("id", grid.tile_id("i", "j"))
     ordered = keyed.repartition("slice", "version").sortWithinPartitions("slice", "version", "id")
     return ordered.select("slice", "version", F.col("i").cast("int"), F.col("j").cast("int"), "body").mapInArrow(run, ENTRY)
 

@@ -8,8 +8,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import codec, tags, text
+from ..functions.geometry import RING
 
 FEATURE = "type string, id string, properties map<string,string>, geometry struct<type:string,coordinates:string>"
 HABITAT = "cx long, cy long, f string, classes array<string>"
@@ -73,16 +75,20 @@ def parse_boundary(body: str) -> list[dict]:
     return out
 
 
-def boundaries(spark: SparkSession, path: str) -> DataFrame:
-    """(slice, rings) of boundary files named after their slice. A slice without a file owns all it is given."""
+RINGS = T.ArrayType(T.StructType([T.StructField("hole", T.BooleanType()), T.StructField("ring", RING)]))
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("hole", pa.bool_()), ("ring", pa.list_(pa.struct([("lat", pa.float64()), ("lng", pa.float64())])))]))
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([parse_boundary(x) for x in batch.column(1).to_pylist()], kind)], names=["slice", "rings"])
+@F.arrow_udf(RINGS)
+def rings(bodies: pa.Array) -> pa.Array:
+    """Arrow function: rings of the text of boundary files."""
+    kind = pa.list_(pa.struct([("hole", pa.bool_()), ("ring", pa.list_(pa.struct([("lat", pa.float64()), ("lng", pa.float64())])))]))
+    return pa.array([parse_boundary(x or "") for x in bodies.to_pylist()], kind)
 
-    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.poly$", 1).alias("slice"), "value")
-    return files.mapInArrow(run, "slice string, rings array<struct<hole:boolean,ring:array<struct<lat:double,lng:double>>>>")
+
+def boundaries(spark: SparkSession, path: str) -> DataFrame:
+    """(slice, rings) of boundary files named after their slice. A slice without a file owns all it is given."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.poly$", 1).alias("slice"), rings("value").alias("rings"))
 
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:

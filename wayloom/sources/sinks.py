@@ -47,6 +47,11 @@ def habitat_sidecar(cells: DataFrame) -> DataFrame:
     return rows.orderBy("cy", "cx")
 
 
+def anchor_candidates(ranked: DataFrame) -> DataFrame:
+    """Rows of a dump of all anchor candidates, before any is cut: to be written beside the sidecar."""
+    return ranked.select("slice", "key", "kind", "lat", "lng", "sig", F.col("grp").alias("group"), "ai", "aj", "place", "above").orderBy("slice", F.col("sig").desc(), "key")
+
+
 def anchor_sidecar(anchors: DataFrame) -> DataFrame:
     """Rows of an anchor sidecar by key; only peaks have an elevation."""
     return anchors.select("key", "kind", "lat", "lng", F.when(F.col("kind") == "peak", F.col("ele")).alias("ele"), "name").orderBy("key")
@@ -61,7 +66,7 @@ def atlas(blocks: DataFrame, slice_name: str) -> DataFrame:
     frame = blocks.agg(F.min("bx").alias("x0"), F.max("bx").alias("x1"), F.min("by").alias("y0"), F.max("by").alias("y1"))
     lines = blocks.groupBy("by").agg(F.map_from_entries(F.collect_list(F.struct("bx", codec.chars_of_mask("mask")))).alias("m"))
     every = frame.select("*", F.explode(F.sequence("y0", "y1")).alias("by")).join(lines, "by", "left")
-    text = F.array_join(F.transform(F.sequence("x0", "x1"), lambda x: F.coalesce(F.get(F.map_values(F.map_filter("m", lambda k, v: k == x)), F.lit(0)), F.lit("AA"))), "")
+    text = F.array_join(F.transform(F.sequence("x0", "x1"), lambda x: F.coalesce(F.try_element_at("m", x), F.lit("AA"))), "")
     joined = every.select("x0", "x1", "y0", "y1", F.struct("by", text.alias("t")).alias("line"))
     whole = joined.groupBy("x0", "x1", "y0", "y1").agg(F.array_join(F.transform(F.sort_array(F.collect_list("line")), lambda r: r["t"]), "").alias("blocks"))
     return whole.select(
