@@ -2,14 +2,16 @@
 
 A ring is an array of (lat, lng) structs, open: its last point does not repeat the
 first. Area, centroid and containment are built from array functions; simplification and
-clipping, which are sequential, run in Arrow functions over whole batches.
+clipping, which are sequential, run in Arrow functions that treat all rings of a batch in step.
 """
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,70 +72,127 @@ def contains(rings: Column, lat: Column, lng: Column) -> Column:
     return F.aggregate(F.transform(rings, crossings), F.lit(0), lambda s, v: s + v) % 2 == 1
 
 
-def simplify_points(points: list[tuple[float, float]], tolerance_m: float) -> list[tuple[float, float]]:
-    """Douglas-Peucker on an open ring, closed over its two mutually far points; fewer than four stay."""
-    n = len(points)
-    if n < 4:
-        return points
-    kx = math.cos(math.radians(points[0][0])) * M_PER_DEG
-    xy = [(lng * kx, lat * M_PER_DEG) for lat, lng in points]
-    far = max(range(n), key=lambda k: (xy[k][0] - xy[0][0]) ** 2 + (xy[k][1] - xy[0][1]) ** 2)
-    closed = [*xy, xy[0]]
-    keep = {0, far}
-    todo = [(0, far), (far, n)]
-    while todo:
-        a, b = todo.pop()
-        (x1, y1), (x2, y2) = closed[a], closed[b]
-        dx, dy = x2 - x1, y2 - y1
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def simplified(lat: np.ndarray, lng: np.ndarray, size: np.ndarray, tolerance_m: float) -> np.ndarray:
+    """Whether each point of open rings, one behind another, is kept by Douglas-Peucker.
+
+    A ring is closed over its two mutually far points; fewer than four points stay. All
+    stretches of all rings that may lose points are halved in step.
+    """
+    start = np.cumsum(size) - size
+    keep = np.repeat(size < 4, size)
+    ring = np.flatnonzero(size >= 4)
+    if not len(ring):
+        return keep
+    n, head = size[ring], start[ring]
+    # Points on a plane true at the first latitude, each ring with its first point again at the end.
+    first = np.cumsum(n + 1) - (n + 1)
+    at = _ranges(first, n + 1)
+    nth = at - np.repeat(first, n + 1)
+    source = np.repeat(head, n + 1) + np.where(nth == np.repeat(n, n + 1), 0, nth)
+    x, y = lng[source] * np.repeat(np.cos(np.radians(lat[head])) * M_PER_DEG, n + 1), lat[source] * M_PER_DEG
+    away = (x - np.repeat(x[first], n + 1)) ** 2 + (y - np.repeat(y[first], n + 1)) ** 2
+    far = first + _first_of(away, first, np.maximum.reduceat(away, first), n + 1)
+    keep[source[first]] = keep[source[far]] = True
+    a, b = np.concatenate([first, far]), np.concatenate([far, first + n])
+    while True:
+        open_ = b - a > 1
+        a, b = a[open_], b[open_]
+        if not len(a):
+            return keep
+        many = b - a - 1
+        begin = np.cumsum(many) - many
+        k = _ranges(a + 1, many)
+        each = lambda v: np.repeat(v, many)  # noqa: B023, E731
+        dx, dy = x[b] - x[a], y[b] - y[a]
         length = dx * dx + dy * dy
-        worst, at = -1.0, -1
-        for k in range(a + 1, b):
-            x, y = closed[k]
-            t = max(0.0, min(1.0, ((x - x1) * dx + (y - y1) * dy) / length)) if length else 0.0
-            d = (x - x1 - t * dx) ** 2 + (y - y1 - t * dy) ** 2
-            if d > worst:
-                worst, at = d, k
-        if worst > tolerance_m * tolerance_m:
-            keep.add(at)
-            todo += [(a, at), (at, b)]
-    return [points[k] for k in sorted(keep)]
+        along = (x[k] - each(x[a])) * each(dx) + (y[k] - each(y[a])) * each(dy)
+        t = np.clip(np.divide(along, each(length), out=np.zeros(len(k)), where=each(length) > 0), 0.0, 1.0)
+        off = (x[k] - each(x[a]) - t * each(dx)) ** 2 + (y[k] - each(y[a]) - t * each(dy)) ** 2
+        worst = np.maximum.reduceat(off, begin)
+        split = a + 1 + _first_of(off, begin, worst, many)
+        beyond = worst > tolerance_m * tolerance_m
+        a, b, split = a[beyond], b[beyond], split[beyond]
+        keep[source[split]] = True
+        a, b = np.concatenate([a, split]), np.concatenate([split, b])
+
+
+def _first_of(values: np.ndarray, begin: np.ndarray, wanted: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Where in its group each wanted value stands first."""
+    hit = np.flatnonzero(values == np.repeat(wanted, size))
+    return hit[np.searchsorted(hit, begin)] - begin
+
+
+def clipped(lat: np.ndarray, lng: np.ndarray, size: np.ndarray, box: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sutherland-Hodgman clipping of open rings, one behind another, each to its box (south, north, west, east)."""
+    points = [lat, lng]
+    for bound, axis, sign in zip(box, (0, 0, 1, 1), (1, -1, 1, -1), strict=True):
+        x, other = points[axis], points[1 - axis]
+        row = np.repeat(np.arange(len(size)), size)
+        edge = bound[row]
+        before = np.arange(len(x)) - 1
+        some = size > 0
+        before[(np.cumsum(size) - size)[some]] = (np.cumsum(size) - 1)[some]
+        inside = (x - edge) * sign >= 0
+        cross = inside != inside[before]
+        t = np.divide(edge - x[before], x - x[before], out=np.zeros(len(x)), where=cross)
+        cut = other[before] + t * (other - other[before])
+        many = cross.astype(np.int64) + inside
+        place = np.cumsum(many) - many
+        new = [np.empty(many.sum()), np.empty(many.sum())]
+        new[axis][place[cross]], new[1 - axis][place[cross]] = edge[cross], cut[cross]
+        own = place[inside] + cross[inside]
+        new[axis][own], new[1 - axis][own] = x[inside], other[inside]
+        points, size = new, np.bincount(row, many, len(size)).astype(np.int64)
+    return points[0], points[1], size
+
+
+def simplify_points(points: list[tuple[float, float]], tolerance_m: float) -> list[tuple[float, float]]:
+    """One open ring simplified."""
+    lat, lng = np.array(points, float).reshape(-1, 2).T
+    return [p for p, k in zip(points, simplified(lat, lng, np.array([len(points)]), tolerance_m), strict=True) if k]
 
 
 def clip_points(points: list[tuple[float, float]], south: float, north: float, west: float, east: float) -> list[tuple[float, float]]:
-    """Sutherland-Hodgman clipping of an open ring to a box."""
-    for axis, bound, sign in ((0, south, 1), (0, north, -1), (1, west, 1), (1, east, -1)):
-        out: list[tuple[float, float]] = []
-        for k, q in enumerate(points):
-            p = points[k - 1]
-            p_in, q_in = (p[axis] - bound) * sign >= 0, (q[axis] - bound) * sign >= 0
-            if p_in != q_in:
-                t = (bound - p[axis]) / (q[axis] - p[axis])
-                other = p[1 - axis] + t * (q[1 - axis] - p[1 - axis])
-                out.append((bound, other) if axis == 0 else (other, bound))
-            if q_in:
-                out.append(q)
-        points = out
-        if not points:
-            break
-    return points
+    """One open ring clipped to a box."""
+    lat, lng = np.array(points, float).reshape(-1, 2).T
+    a, o, _ = clipped(lat, lng, np.array([len(points)]), [np.array([float(x)]) for x in (south, north, west, east)])
+    return list(zip(a.tolist(), o.tolist(), strict=True))
+
+
+def _open(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Latitudes, longitudes and sizes of an array of rings; a null ring has no points."""
+    lat, lng = (c.to_numpy(zero_copy_only=False) for c in rings.flatten().flatten())
+    return lat, lng, pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _close(lat: np.ndarray, lng: np.ndarray, size: np.ndarray, like: pa.Array) -> pa.Array:
+    """An array of rings, null where another is."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+    points = pa.StructArray.from_arrays([pa.array(lat, pa.float64()), pa.array(lng, pa.float64())], names=["lat", "lng"])
+    return pa.ListArray.from_arrays(offsets, points, mask=like.is_null())
 
 
 def simplify(tolerance_m: float = SIMPLIFY_M):
     """Arrow function: a ring simplified to a tolerance in metres."""
 
-    @F.pandas_udf(RING)
-    def run(rings: pd.Series) -> pd.Series:
-        return rings.map(lambda r: None if r is None else [{"lat": a, "lng": b} for a, b in simplify_points([(p["lat"], p["lng"]) for p in r], tolerance_m)])
+    @F.arrow_udf(RING)
+    def run(rings: pa.Array) -> pa.Array:
+        lat, lng, size = _open(rings)
+        keep = simplified(lat, lng, size, tolerance_m)
+        return _close(lat[keep], lng[keep], np.bincount(np.repeat(np.arange(len(size)), size), keep, len(size)).astype(np.int64), rings)
 
     return run
 
 
-@F.pandas_udf(RING)
-def clip(rings: pd.Series, south: pd.Series, north: pd.Series, west: pd.Series, east: pd.Series) -> pd.Series:
+@F.arrow_udf(RING)
+def clip(rings: pa.Array, south: pa.Array, north: pa.Array, west: pa.Array, east: pa.Array) -> pa.Array:
     """Arrow function: a ring clipped to a box; empty if nothing is left."""
-    return pd.Series(
-        [None if r is None else [{"lat": a, "lng": b} for a, b in clip_points([(p["lat"], p["lng"]) for p in r], s, n, w, e)] for r, s, n, w, e in zip(rings, south, north, west, east, strict=True)]
-    )
+    lat, lng, size = _open(rings)
+    return _close(*clipped(lat, lng, size, [x.to_numpy(zero_copy_only=False).astype(float) for x in (south, north, west, east)]), rings)
 
 
 def coarse_box(i: Column, j: Column) -> tuple[Column, Column, Column, Column]:
