@@ -122,6 +122,34 @@ def test_pairs_inside_a_large_unlike_group_are_found(spark, monkeypatch):
     assert got == want
 
 
+def test_pairs_on_one_template_are_joined_at_any_block_size(spark, monkeypatch):
+    r = random.Random(13)
+    template = prose(r, 200).split()
+    rows = []
+    for k in range(150):
+        own = prose(r, 22).split()
+        for c in range(2):
+            rows.append((2 * k + c, " ".join(template + own + prose(r, 6).split())))
+    want = brute_classes(rows)
+    assert len(set(want.values())) == 150  # alike in pairs, not across them
+    for block in (1024, 32):
+        monkeypatch.setattr(x, "BLOCK", block)
+        got = {a.doc_id: a.class_id for a in x.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        found = sum(got[2 * k] == got[2 * k + 1] for k in range(150))
+        assert found >= 0.98 * 150 and all(want[i] == c for i, c in got.items() if c != i)
+
+
+def test_chance_counts_are_taken_off():
+    r = np.random.default_rng(5)
+    noise = r.poisson(80, 1 << x.DF_BITS).astype(float)
+    real = np.zeros(1 << x.DF_BITS)
+    real[:100] = np.geomspace(2_000, 100_000, 100)
+    got, want = (x.idf_table(df, 250_000) for df in (noise + real, real))
+    assert np.abs(got[:100] / want[:100] - 1).max() < 0.02
+    # Without it every rare shingle would count as one of 80 documents.
+    assert np.median(np.abs(got / want - 1)) < np.median(np.abs((1 + np.log(250_001 / (1 + noise))) ** x.DAMP / want - 1))
+
+
 def test_odd_rows_and_empty_tables(spark, odd):
     rows = odd_rows()
     found = x.classes(odd).collect()

@@ -46,6 +46,31 @@ def test_fingerprint_matches_brute_force(spark):
         assert got[i] == brute(t or ""), (i, t)
 
 
+def test_long_texts_in_pieces_are_the_same(spark):
+    r = random.Random(6)
+    texts = ["".join(r.choice("abcé 😀") for _ in range(n)) for n in (0, 5, 22, 23, 24, 25, 29, 30, 31, 47, 48, 49, 50, 77, 100, 230)] + ["a" * 100]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, t string")
+    for piece in (24, 25, 37, 100):
+        got = {x.doc_id: x.m for x in winnow.with_minima(df, "t", "m", offset=F.lit(3), piece=piece).collect()}
+        for i, t in enumerate(texts):
+            want = winnow_all(t, 3)
+            assert got[i] == want, (piece, len(t))
+
+
+def winnow_all(text, shift, k=winnow.K, w=winnow.W):
+    if not text:
+        return []
+    grams = [gram(text[i : i + k], i + shift) for i in range(max(1, len(text) - k + 1))]
+    return [min(grams[i : i + w]) for i in range(max(1, len(grams) - w + 1))]
+
+
+def test_very_long_texts(spark):
+    t = "".join(random.Random(1).choice("abcdefgh ") for _ in range(2_000_000))
+    df = spark.createDataFrame([(1, t), (2, t[:100] + "x" + t[100:])], "doc_id long, text string")
+    rows = {x.doc_id: x for x in winnow.compare_with_next(df).select("doc_id", "n_chars", "near_next", F.size("grams").alias("n")).collect()}
+    assert rows[1].n_chars == 2_000_000 and rows[1].near_next > 0.999 and rows[1].n > 200_000
+
+
 def test_next_document_across_buckets(spark):
     texts = cases()
     ids = random.Random(2).sample(range(-500, 100000), len(texts))

@@ -7,7 +7,8 @@ is the least hash and, among equals, the rightmost. Any run of w + k - 1 charact
 that two texts share gives them a gram in common, and its positions in both.
 
 The hashes come from one pass of a regular expression with a lookahead, the window
-minima from log2(w) pairwise passes; both are linear in the length of the text.
+minima from log2(w) pairwise passes; both are linear in the length of the text. Very long
+texts are read in pieces, as each gram is a string of its own while it is hashed.
 
 Edge cases: null counts as the empty text, whose fingerprint is empty; a text of
 fewer than k characters has one gram, itself; one of fewer than w grams has one
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 K, W = 8, 16
 QUANTILES = 1024
+PIECE = 1 << 18
 _POSITIONS = (1 << 30) - 1
 _ALL = 1 << 30
 #: Up to so many buckets (24 bytes each) their first ids are broadcast; beyond, the join is a shuffle.
@@ -36,27 +38,62 @@ def _pack(gram: Column, position: Column) -> Column:
     return F.shiftleft(F.shiftright(F.xxhash64(gram), 31), 30).bitwiseOR(F.lit(_POSITIONS) - position)
 
 
-def with_minima(df: DataFrame, text: str, out: str, offset: Column | None = None, short: Column | None = None, k: int = K, w: int = W) -> DataFrame:
+def _grams(text: Column, k: int) -> Column:
+    """Every k code points of a text; of a shorter one that isn't empty, one empty string."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}})).|^.{{1,{k - 1}}}$"), F.lit(0 if k == 1 else 1))
+
+
+def _pairwise(least: Column, reach: int) -> Column:
+    """Minima over twice as many neighbours, at all places but the last ones."""
+    return F.zip_with(least, F.slice(least, reach + 1, _ALL), lambda a, b: F.least(a, b))
+
+
+def _in_pieces(text: Column, shift: Column, k: int, w: int, piece: int) -> Column:
+    """Minima of all windows of a long text, `piece` of them at a time, so that its grams are never in memory together."""
+    named = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+
+    def doubled(reach: int):
+        return lambda x: _pairwise(x, reach)
+
+    def minima(p: Column) -> Column:
+        own = F.substring(text, (p * piece + 1).cast("int"), F.lit(piece + k + w - 2))
+        out = F.transform(_grams(own, k), lambda g, i: _pack(g, i + shift + (p * piece).cast("int")))
+        reach = 1
+        while reach < w:
+            out = named(out, doubled(reach))
+            reach *= 2
+        return named(out, lambda x: F.slice(x, 1, F.size(x) - (w - 1)))
+
+    last = F.call_function("div", F.length(text) - (k + w - 1), F.lit(piece))
+    return F.flatten(F.transform(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint")), minima))
+
+
+def with_minima(df: DataFrame, text: str, out: str, offset: Column | None = None, short: Column | None = None, k: int = K, w: int = W, piece: int = PIECE) -> DataFrame:
     """df with the packed minimum of every window of the text.
 
     offset: position of the text's first character in a larger one. short: whether a
-    text of fewer than w grams has a window at all (it has, unless stated).
+    text of fewer than w grams has a window at all (it has, unless stated). Texts of over
+    `piece` code points, which is more than a window, are read in pieces of that many.
     """
     if w & (w - 1):
         raise ValueError("w must be a power of two")
+    if piece < k + w:
+        raise ValueError("a piece must hold a window")
     shift = F.lit(0) if offset is None else offset
-    grams = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{k}}})).|^.{{1,{k - 1}}}$"), F.lit(0 if k == 1 else 1))
-    packed = F.transform(grams, lambda g, i: _pack(g, i + shift))
-    # A text shorter than k: the pattern above yields one empty group; its gram is the text.
-    whole = F.when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(_pack(F.col(text), shift)))
-    few = F.col(text).rlike(f"(?s)\\A.{{0,{k - 1}}}\\z")
+    long, own = F.length(text) > piece, f"{out}_t"
+    df = df.withColumn(own, F.when(long, F.lit("")).otherwise(F.col(text)))
+    packed = F.transform(_grams(F.col(own), k), lambda g, i: _pack(g, i + shift))
+    # A text shorter than k has itself as its gram.
+    whole = F.when(F.col(own) == "", F.array().cast("array<bigint>")).otherwise(F.array(_pack(F.col(own), shift)))
+    few = F.col(own).rlike(f"(?s)\\A.{{0,{k - 1}}}\\z")
     df = df.withColumn(out, F.when(few, whole).otherwise(packed)).withColumn(f"{out}_n", F.size(out))
     reach = 1
     while reach < w:
-        df = df.withColumn(out, F.zip_with(out, F.slice(out, reach + 1, _ALL), lambda a, b: F.least(a, b)))
+        df = df.withColumn(out, _pairwise(F.col(out), reach))
         reach *= 2
     least = F.lit(1) if short is None else F.when(short, 1).otherwise(0)
-    return df.withColumn(out, F.slice(out, 1, F.greatest(F.col(f"{out}_n") - (w - 1), F.least(least, F.col(f"{out}_n"))))).drop(f"{out}_n")
+    minima = F.slice(out, 1, F.greatest(F.col(f"{out}_n") - (w - 1), F.least(least, F.col(f"{out}_n"))))
+    return df.withColumn(out, F.when(long, _in_pieces(F.col(text), shift, k, w, piece)).otherwise(minima)).drop(f"{out}_n", own)
 
 
 def chosen(minima: str) -> Column:
