@@ -96,6 +96,35 @@ def test_spans_match_brute_force(spark):
     check(spark, rows, slice_bytes=4000, bits=1, hot_rows=0, fan=2)
 
 
+def test_slices_grow_with_the_root_of_the_input():
+    assert sd.fitting_slice(0) == sd.fitting_slice(10**9) == sd.SLICE
+    assert sd.fitting_slice(100 * 10**9) == 10 * sd.SLICE and sd.fitting_slice(10**14) == sd.SLICE_MOST
+
+
+def test_shards_in_several_arrays(monkeypatch):
+    r = random.Random(8)
+    text = bytes(r.choice(b"abc") for _ in range(3000))
+    segs = [text[a : a + n] for a, n in ((r.randint(0, 2900), r.randint(50, 80)) for _ in range(300))]
+    cut = [x for x in segs if len(x) >= 50]
+    runs = [sd.Runs(np.frombuffer(x, np.uint8), np.array([0, len(x)]), 50) for x in cut]
+    pieces = {(x[f : f + c + 49], a - f, i) for i, (x, q) in enumerate(zip(cut, runs, strict=True)) for f, c, a in zip(q.first.tolist(), q.count.tolist(), q.at.tolist(), strict=True)}
+    rows = sorted(pieces)
+    column = lambda v: [sd.pack(np.array(v, np.int64))]
+    table = sd._table({"slice": [0], "shard": [0]}, run=column(range(len(rows))), nth=column([0] * len(rows)), at=column([a for _, a, _ in rows]), low=column([i for *_, i in rows]), more=column([0] * len(rows)), size=column([len(x) for x, *_ in rows]), blob=[b"".join(x for x, *_ in rows)])
+    owners = []
+    for most in (1 << 22, 200):
+        monkeypatch.setattr(sd, "ARRAY", most)
+        s = sd.Shard(table)
+        start, size, own = s.owners(50)
+        owners.append([np.resize(own[a : a + n], len(x) - 49).tolist() if n == 1 else own[a : a + n].tolist() for x, a, n in zip(s.segments, start, size, strict=True)])
+    assert owners[0] == owners[1]
+    least = {}
+    for x, _, i in rows:
+        for k in range(len(x) - 49):
+            least[x[k : k + 50]] = min(i, least.get(x[k : k + 50], i))
+    assert owners[0] == [[least[x[k : k + 50]] for k in range(len(x) - 49)] for x in s.segments]
+
+
 def test_anchors_do_not_depend_on_the_chunks(monkeypatch):
     r = random.Random(5)
     texts = [bytes(r.choice(b"ab") for _ in range(n)) for n in (0, 10, 49, 50, 400, 0, 900, 51)]

@@ -18,6 +18,8 @@ with a smaller id. All are judged on the input.
    the least id that has it.
 3. Back in its slice, each document compares the owners of its windows with its own id.
 
+Slices, buckets and shards grow with the root of the input; a shard's segments are
+sorted in suffix arrays of about ARRAY bytes, between which no anchor is split.
 An anchor that over `hot_rows` slices have is sharded by whole windows, so that no shard
 grows with the different texts around it. Beyond `fan` slices, buckets and shards are
 asked through groups of that many slices, which send on what is distinct among them and
@@ -34,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,9 @@ from .textkit import U64, buffers, eights, ranges
 
 GRAM = 16
 CHUNK = 1 << 20
+ARRAY = 1 << 22
+#: Slices have SLICE bytes for up to a gigabyte, then as many more as the root of the input grows, up to SLICE_MOST.
+SLICE, SLICE_MOST = 1 << 20, 1 << 25
 _ORDER = U64(0xFFFFFFFF00000000)
 _FACTORS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD)]
 SHARED, HOT = 1, 2
@@ -236,15 +242,28 @@ class Shard:
         """(start, size, owners): of each segment the owner of each window, or one owner of all, in a flat array."""
         grams = [x[a : a + GRAM] for x, a in zip(self.segments, self.at.tolist(), strict=True)]
         times = Counter(g for g, p in zip(grams, self.piece.tolist(), strict=True) if not p)
-        several = np.flatnonzero([times[g] > 1 for g in grams] & ~self.piece) if grams else np.zeros(0, np.int64)
-        found = earliest([self.segments[k] for k in several], self.low[several], width)
+        several = sorted((k for k, (g, p) in enumerate(zip(grams, self.piece.tolist(), strict=True)) if times[g] > 1 and not p), key=lambda k: grams[k])
         size = np.ones(len(grams), np.int64)
         lists = [self.low[k : k + 1] for k in range(len(grams))]
-        for k, own in zip(several.tolist(), found, strict=True):
-            lists[k] = own[:1] if own.min() == own.max() else own
-            size[k] = len(lists[k])
+        for part in self._arrays(several, grams):
+            for k, own in zip(part, earliest([self.segments[k] for k in part], self.low[part], width), strict=True):
+                lists[k] = own[:1] if own.min() == own.max() else own
+                size[k] = len(lists[k])
         return np.cumsum(size) - size, size, np.concatenate([np.zeros(0, np.int64), *lists])
 
+    def _arrays(self, several: list[int], grams: list[bytes]) -> Iterator[list[int]]:
+        """Segments in parts of about ARRAY bytes, each a suffix array: those of one anchor stay together, others share no window."""
+        part: list[int] = []
+        held = 0
+        for k in several:
+            if held > ARRAY and grams[k] != grams[part[-1]]:
+                yield part
+                part, held = [], 0
+            part.append(k)
+            held += len(self.segments[k])
+        if part:
+            yield part
+
     def answers(self, start: np.ndarray, size: np.ndarray, own: np.ndarray, **fixed: int) -> pa.Table:
         """For each packet the owners of its segments, where a document with a later id has one."""
         least = np.minimum.reduceat(own, start) if len(start) else start
@@ -270,7 +289,12 @@ def _through(asked: DataFrame, key: str, salts: int, meet, decide, split, packet
     return salted.groupBy(key, "salt").cogroup(told.groupBy(key, "salt")).applyInArrow(split, answer)
 
 
-def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int, fan: int, bits: int | None) -> tuple[DataFrame, DataFrame, int]:
+def fitting_slice(size: int) -> int:
+    """Bytes of a slice for so many of all: as every slice writes to every bucket, both their number and their size grow."""
+    return int(min(SLICE_MOST, SLICE * max(1.0, (size / 1e9) ** 0.5)))
+
+
+def owners(docs: DataFrame, width: int, slice_bytes: int | None, hot_rows: int, fan: int, bits: int | None) -> tuple[DataFrame, DataFrame, int]:
     """(dealt, found, bits): rows (id, t, slice), and for each slice the owners of its segments that a smaller id may own.
 
     found: slice, and packed: run, nth, size, own: the owners of the windows of the segment
@@ -281,6 +305,7 @@ def owners(docs: DataFrame, width: int, slice_bytes: int, hot_rows: int, fan: in
     if docs.schema["id"].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError("the id must be an integer")
     size = docs.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    slice_bytes = slice_bytes or fitting_slice(size)
     slices, shards = max(1, -(-size // slice_bytes)), max(64, -(-size // (4 * slice_bytes)))
     bits, buckets, salts = bits or anchor_bits(size), max(64, -(-size // (6 * slice_bytes))), -(-slices // fan)
     dealt = docs.withColumn("slice", F.pmod(F.xxhash64("id", "t"), F.lit(slices)))
@@ -410,7 +435,7 @@ def removed(runs: Runs, ids: np.ndarray, known: np.ndarray, found: pa.Table) ->
     return np.cumsum(gone, dtype=np.int32)[:-1] > 0
 
 
-def _cut(docs: DataFrame, id_col: str, text_col: str, carry: list[str], width: int, slice_bytes: int, hot_rows: int, fan: int, bits: int | None) -> DataFrame:
+def _cut(docs: DataFrame, id_col: str, text_col: str, carry: list[str], width: int, slice_bytes: int | None, hot_rows: int, fan: int, bits: int | None) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) and the carried columns, as c0, c1 and so on."""
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
     extra = [f"c{i}" for i in range(len(carry))]
@@ -441,12 +466,12 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, carry: list[str], width: i
     return dealt.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary" + kinds)
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, slice_bytes: int = 1 << 20, hot_rows: int = 20_000, fan: int = 2048, bits: int | None = None) -> DataFrame:
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, slice_bytes: int | None = None, hot_rows: int = 20_000, fan: int = 2048, bits: int | None = None) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) of every row; kept: the remaining bytes. bits: of the anchors' hashes, by the input's size if not given."""
     return _cut(docs, id_col, text_col, [], width, slice_bytes, hot_rows, fan, bits).withColumnRenamed("id", id_col)
 
 
-def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, slice_bytes: int = 1 << 20, hot_rows: int = 20_000, fan: int = 2048, bits: int | None = None) -> DataFrame:
+def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, slice_bytes: int | None = None, hot_rows: int = 20_000, fan: int = 2048, bits: int | None = None) -> DataFrame:
     """Rows with the remaining text, less bytes of characters that lost some; a row that lost all its text goes."""
     carry = [c for c in docs.columns if c not in (id_col, text_col)]
     out = _cut(docs, id_col, text_col, carry, width, slice_bytes, hot_rows, fan, bits).where("n_removed = 0 or n_removed < n_bytes")
