@@ -10,12 +10,9 @@ with a smaller id. All are judged on the input.
    least and greatest id that has it, whether several documents have it. The others end here: this
    is all that the hashes decide, and one that collides only sends more.
 2. A slice sends the bytes of its distinct segments around shared anchors to the shards
-   of the anchors. A shard finds equal segments by their bytes. Segments that have an
-   anchor's bytes in common with a different segment go through the shard's suffix
-   array, made by induced sorting (`suffix_array`): neighbours in it with a common prefix
-   of `width` bytes or more hold equal windows, and the least id among them owns these. A
-   segment alone under its anchor has no other to share a window with and is owned by
-   the least id that has it.
+   of the anchors. A shard finds equal segments by their bytes, and makes a suffix array
+   of the distinct ones by induced sorting (`suffix_array`): neighbours in it with a common
+   prefix of `width` bytes or more hold equal windows, and the least id among them owns these.
 3. Back in its slice, each document compares the owners of its windows with its own id.
 
 Slices, buckets and shards grow with the root of the input; a shard's segments are
@@ -35,7 +32,6 @@ extra columns are ignored by `spans` and kept by `dedupe`.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -241,21 +237,21 @@ class Shard:
     def owners(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, size, owners): of each segment the owner of each window, or one owner of all, in a flat array."""
         grams = [x[a : a + GRAM] for x, a in zip(self.segments, self.at.tolist(), strict=True)]
-        times = Counter(g for g, p in zip(grams, self.piece.tolist(), strict=True) if not p)
-        several = sorted((k for k, (g, p) in enumerate(zip(grams, self.piece.tolist(), strict=True)) if times[g] > 1 and not p), key=lambda k: grams[k])
+        # A window of a hot anchor is the same as its equals only, which are one piece here.
+        whole = sorted(np.flatnonzero(~self.piece).tolist(), key=grams.__getitem__)
         size = np.ones(len(grams), np.int64)
         lists = [self.low[k : k + 1] for k in range(len(grams))]
-        for part in self._arrays(several, grams):
+        for part in self._arrays(whole, grams):
             for k, own in zip(part, earliest([self.segments[k] for k in part], self.low[part], width), strict=True):
                 lists[k] = own[:1] if own.min() == own.max() else own
                 size[k] = len(lists[k])
         return np.cumsum(size) - size, size, np.concatenate([np.zeros(0, np.int64), *lists])
 
-    def _arrays(self, several: list[int], grams: list[bytes]) -> Iterator[list[int]]:
+    def _arrays(self, whole: list[int], grams: list[bytes]) -> Iterator[list[int]]:
         """Segments in parts of about ARRAY bytes, each a suffix array: those of one anchor stay together, others share no window."""
         part: list[int] = []
         held = 0
-        for k in several:
+        for k in whole:
             if held > ARRAY and grams[k] != grams[part[-1]]:
                 yield part
                 part, held = [], 0
