@@ -3,7 +3,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from wayloom.operators import spatial
 from wayloom.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -36,3 +38,13 @@ def test_ranks_are_limited_before_the_shuffle(spark):
 def test_sums_are_combined_before_the_shuffle(spark):
     for name in ("window_sum", "cover_mask", "thin_blocks", "atlas_mask"):
         assert "partial_" in plan(spark, name)
+
+
+def test_areas_are_neither_broadcast_nor_shuffled_by_cell(spark):
+    """However small the file of the areas, masks are combined before anything is joined."""
+    cells = spark.range(10).selectExpr("id as cx", "id as cy")
+    areas = spark.range(3).select(F.lit("wood").alias("kind"), F.array(F.array(*(F.struct(F.lit(a).alias("lat"), F.lit(b).alias("lng")) for a, b in [(0.0, 0.0), (0.0, 0.01), (0.01, 0.01), (0.01, 0.0)]))).alias("rings"), *(F.lit(v).alias(c) for c, v in {"lat0": 0.0, "lat1": 0.01, "lng0": 0.0, "lng1": 0.01}.items()))
+    got = spatial.cover_masks(cells, areas)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < text.index("Join ") < text.index("bit_or(") < text.index("Generate ")
+    assert {(r.cx, r.cy, r.mask) for r in got.collect()} == {(k, k, 15) for k in range(6)} | {(6, 6, 1)}
