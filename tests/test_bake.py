@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from test_sources import LINES, write_features
 
 from wayloom.functions import grid
-from wayloom.operators import bake
+from wayloom.operators import bake, spatial
+from wayloom.plans import fixtures as fx
 from wayloom.sources import features, sinks
 
 
@@ -82,3 +83,19 @@ def test_no_way_is_paired_with_a_position(spark):
     tiles = text[: text.index("l_orderkey")]
     # Below the joins with positions, ways are already counted by the tiles that list them.
     assert tiles.rindex("Join ") < tiles.index("AS tiles#") < tiles.rindex("Aggregate")
+
+
+def test_lines_find_the_tiles_of_their_vertices(spark):
+    lines = spark.createDataFrame([(1, [(42.001, -71.0), (42.05, -71.02)]), (2, [(-0.004, 0.0), (None, 3.0), (0.02, -0.03)]), (3, [(70.0, 25.0)]), (4, []), (5, None)], "way_id long, points array<struct<lat:double,lng:double>>")
+    got = spatial.lines_in_tiles(lines).select("i", "j", "way_id")
+    want = spatial.ways_in_tiles(lines.select("way_id", F.explode("points").alias("p")).select("way_id", "p.lat", "p.lng"))
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 28
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sizes_are_those_of_base_tiles(spark):
+    own = fx.features(spark, "/root/testdata/sf0.001").cache()
+    tiles = bake.base_tiles(own).select("i", "j", F.size("ways").alias("ways"), F.size(F.filter("names", lambda n: n.isNotNull())).alias("named"), F.size(F.filter("ways", lambda w: w["foot"])).alias("feet"), F.size("crossings").alias("crossings"))
+    sizes = bake.base_sizes(own)
+    assert sorted(sizes.collect()) == sorted(tiles.collect()) and sizes.dtypes == tiles.dtypes
+    assert "collect_list" not in sizes.drop("ways")._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
