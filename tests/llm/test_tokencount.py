@@ -36,3 +36,27 @@ def test_odd_columns_and_empty_table(spark, odd):
     got = t.count_tokens(odd, path)
     assert got.columns == ["doc_id", "n_bytes", "n_tokens"] and got.count() == odd.count()
     assert t.count_tokens(odd.limit(0), path).count() == 0
+
+
+def test_parts_are_encoded_once_and_add_up():
+    encoder = t.load(public_tokenizers.path("byte_bpe_50k.json"))
+    assert encoder.parts
+    blanks = [" ", "  ", "\t", "\n", "\r\n", "\v", "\f", *map(chr, (0x1C, 0x1F, 0x7F, 0x85, 0xA0, 0x1680, 0x180E, 0x2003, 0x2028, 0x202F, 0x205F, 0x3000, 0x200B))]
+    others = ["a", "'s", "x'll", "7", "b.", "'", "\u00e9", "\u044f", "\u8a9e", "\u3005", "\u3001", "\u20ac", "\U0001f642", "<|endoftext|>", "e\u0301", ""]
+    texts = [x + u + y + v + z for x in others for u in blanks for y in ("a", "'re", "a'", "!", "a,\u00e9", "\u20ac", "<|endoftext|>", "") for v in blanks for z in ("b", "5", "")]
+    texts += ["", "the same words " * 2000]
+    data, offsets = t.buffers(t.pa.array(texts))
+    want, encoded = encoder.lengths(texts), []
+    encoder.known.clear()
+    own = encoder.lengths
+    encoder.lengths = lambda parts: encoded.extend(parts) or own(parts)
+    usual = t.AT_ONCE, t.KNOWN, t.LONGEST
+    try:
+        assert t.summed(encoder, data, offsets).tolist() == want
+        first = len(encoded)
+        t.AT_ONCE, t.KNOWN, t.LONGEST = 50, 20, 3
+        assert t.summed(encoder, data, offsets).tolist() == want
+    finally:
+        encoder.lengths = own
+        t.AT_ONCE, t.KNOWN, t.LONGEST = usual
+    assert len(set(encoded[:first])) == first and encoded[:first].count(" words") == 1
