@@ -166,3 +166,17 @@ def test_dedupe_leaves_valid_text(spark):
 def test_packed_integers():
     for x in ([], [5], [-(2**63), 2**63 - 1], [7, -3, 1000000], list(range(300))):
         assert sd.unpack(sd.pack(np.array(x, np.int64))).tolist() == x
+
+
+def test_windows_of_segments_of_all_bytes_have_their_earliest_owner():
+    r = np.random.default_rng(11)
+    for letters in (2, 5, 254, 255, 256):
+        segs = list({r.integers(0, letters, r.integers(0, 60)).astype(np.uint8).tobytes() for _ in range(300)} | {b"", b"\0", b"\xff" * 9, b"\0" * 9, bytes(range(letters)) * 2})
+        owner = r.integers(-5, 1000, len(segs))
+        least = {}
+        for x, o in zip(segs, owner.tolist(), strict=True):
+            for a in range(len(x) - 3):
+                least[x[a : a + 4]] = min(o, least.get(x[a : a + 4], o))
+        flat, many = sa.earliest_windows(segs, owner, 4)
+        assert many.tolist() == [max(len(x) - 3, 0) for x in segs]
+        assert flat.tolist() == [least[x[a : a + 4]] for x in segs for a in range(len(x) - 3)]

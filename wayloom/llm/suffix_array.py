@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .textkit import U64, eights
+from .textkit import U64, eights, ranges
 
 SMALL_ALPHABET = 512
 
@@ -113,16 +113,22 @@ def sorted_substrings(s: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, np.nd
     size = np.append(lms[1:] + 1, len(s)) - lms
     bits = 8 * s.itemsize
     each, last = 64 // bits, len(s) - 1
-
-    def word(who: np.ndarray, j: int) -> np.ndarray:
-        out = np.zeros(len(who), U64)
-        for k in range(j * each, (j + 1) * each):
-            symbol = s[np.minimum(lms[who] + k, last)].astype(U64)
-            out = (out << U64(bits % 64)) | np.where(k < size[who], symbol, U64((1 << bits) - 1))
-        return out
-
-    first = word(np.arange(len(lms)), 0)
-    order = np.argsort(first, kind="stable")
+    eight = eights(s).byteswap() if bits == 8 else None
+    filler = ~U64(0) >> (np.arange(each + 1).astype(U64) * U64(bits) % U64(64))  # behind so many symbols
+    filler[each] = 0
+
+    def word(who: np.ndarray | slice, j: int) -> np.ndarray:
+        at = lms[who] + j * each
+        behind = filler[np.clip(size[who] - j * each, 0, each)]
+        if eight is not None:
+            return eight[np.minimum(at, last)] | behind
+        out = np.zeros(len(at), U64)
+        for k in range(each):
+            out = (out << U64(bits)) | s[np.minimum(at + k, last)].astype(U64)
+        return out | behind
+
+    first = word(slice(None), 0)
+    order = np.argsort(first)  # equal ones in any order: they are told apart below, or have one name
     new = np.ones(len(lms), bool)
     new[1:] = first[order[1:]] != first[order[:-1]]
     for j in range(1, -(-int(size.max()) // each)):
@@ -145,7 +151,7 @@ def _double(order: np.ndarray, new: np.ndarray) -> np.ndarray:
         group = rank[who]
         follow = np.where(who + k < n, rank[np.minimum(who + k, n - 1)] + 1, 0)
         key = group * (n + 1) + follow
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         order[places] = who[by]
         key = key[by]
         begins = np.ones(len(key), bool)
@@ -207,7 +213,8 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np
             differ = eight[i[grow] + n[grow]] ^ eight[q[grow] + n[grow]]
             same = differ == 0
             lowest = differ & (~differ + U64(1))
-            n[grow] += np.where(same, 8, np.log2(np.maximum(lowest, U64(1)).astype(np.float64)).astype(np.int64) >> 3)
+            # The exponent of a power of two as a float is its logarithm.
+            n[grow] += np.where(same, 8, ((lowest.astype(np.float64).view(np.int64) >> 52) - 1023) >> 3)
             np.minimum(n, most, out=n)
             grow = grow[same]
             grow = grow[n[grow] < most[grow]]
@@ -216,28 +223,37 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray, start: np.ndarray, size: np
     return out
 
 
-def earliest(segments: list[bytes], owner: np.ndarray, width: int) -> list[np.ndarray]:
-    """For each window of `width` bytes of each distinct segment, the least owner of a segment holding it."""
+def earliest_windows(segments: list[bytes], owner: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of `width` bytes of each distinct segment, the least owner of a segment holding it: (flat, windows of each segment)."""
     size = np.array([len(x) for x in segments], np.int64)
     if not len(size):
-        return []
-    start = np.concatenate([[0], np.cumsum(size[:-1] + 1)])
+        return np.zeros(0, np.int64), size
+    start = np.cumsum(size + 1) - (size + 1)
     whole = np.frombuffer(b"\0".join(segments) + b"\0\0", np.uint8)
-    inside = np.ones(len(whole), bool)
-    inside[start + size] = inside[-1] = False
-    present = np.zeros(256, bool)
-    present[whole[inside]] = True
+    count = np.bincount(whole, minlength=256)
+    count[0] -= len(size) + 1
     # Bytes from 2 on in their order, separators 1, the sentinel 0; shards with all of the 254 lowest symbols take two bytes each.
-    symbol = (np.cumsum(present) + 1).astype(np.uint16)
-    sigma = int(present.sum()) + 2
-    s = np.where(inside, symbol[whole], 1)
+    symbol = np.cumsum(count > 0) + 1
+    sigma = int(symbol[-1]) + 1
+    s = symbol.astype(np.uint8 if sigma < 1 << 8 else np.uint16)[whole]
+    s[start + size] = 1
     s[-1] = 0
     sa = suffix_array(s, sigma)
     prefix = permuted_prefixes(whole, sa, start, size, width)
-    own = np.full(len(s), np.iinfo(np.int64).max)
-    own[inside] = np.repeat(owner, size)
-    first = np.flatnonzero(np.concatenate([[True], prefix[sa[1:]] < width]))
+    most = np.iinfo(np.int64).max
+    own = np.append(np.repeat(owner, size + 1), most)
+    own[start + size] = most
+    new = prefix[sa] < width
+    new[0] = True
+    first = np.flatnonzero(new)
     least = np.minimum.reduceat(own[sa], first)
     out = np.empty(len(s), np.int64)
     out[sa] = np.repeat(least, np.diff(np.append(first, len(sa))))
-    return [out[a : a + n - width + 1] for a, n in zip(start.tolist(), size.tolist(), strict=True)]
+    many = np.maximum(size - width + 1, 0)
+    return out[ranges(start, many)], many
+
+
+def earliest(segments: list[bytes], owner: np.ndarray, width: int) -> list[np.ndarray]:
+    """As `earliest_windows`, an array for each segment."""
+    flat, many = earliest_windows(segments, owner, width)
+    return np.split(flat, np.cumsum(many)[:-1]) if len(many) else []
