@@ -119,3 +119,28 @@ def test_round_trip_and_determinism(spark, odd):
 def test_space_sign_in_a_text_survives():
     p, got = sampled(["a▁b ▁"], 2)
     assert all(p.decode(x[0]) == "a▁b ▁".encode() for x in got[0])
+
+
+def test_steps_by_table_and_by_hash_are_the_same(monkeypatch):
+    p = s.Pieces.load(PATH)
+    assert p.next is not None
+    r = np.random.default_rng(4)
+    keys = p.keys[p.keys >= 0]
+    state = np.concatenate([keys // p.width, r.integers(0, len(p.end), 5000), np.zeros(p.width, np.int64)])
+    column = np.concatenate([keys % p.width, r.integers(0, p.width, 5000), np.arange(p.width)])
+    got = p.step(state, column)
+    assert got[: len(keys)].tolist() == p.values[p.keys >= 0].tolist()
+    monkeypatch.setattr(s, "DENSE", 0)
+    hashed = s.Pieces(PATH)
+    assert hashed.next is None and hashed.step(state, column).tolist() == got.tolist()
+
+
+def test_rows_of_a_slice_are_spelled_as_alone():
+    texts = ["", "a▁b", "", "the \x00\U0001f642▁▁", "", "▁", "word", ""]
+    keys = np.arange(len(texts), dtype=np.uint64) * np.uint64(977)
+    p, got = sampled(texts, 3, keys)
+    for i, (text, own) in enumerate(zip(texts, got, strict=True)):
+        _, (alone,) = sampled([text], 3, keys[i : i + 1])
+        assert [x[0].tolist() for x in own] == [x[0].tolist() for x in alone]
+        assert all(p.decode(x[0]) == text.encode() for x in own) and bool(text) == any(len(x[0]) for x in own)
+    assert list(s.sample_batch(p, np.zeros(0, np.uint8), np.zeros(3, np.int64), keys[:2], 2))[1][0][0].tolist() == []

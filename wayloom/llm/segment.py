@@ -44,6 +44,8 @@ SHIFT = 2.7
 #: Gumbel variables of 53-bit uniforms differ by less than SPREAD: sets that much below NEAR don't matter where enough lie above it.
 NEAR, SPREAD = 20.0, 41.0
 NEVER = -np.inf
+#: Numbers in a table of all edges of the trie, at most; beyond that they are looked up by hash.
+DENSE = 1 << 24
 
 _loaded: dict[str, Pieces] = {}
 
@@ -96,11 +98,16 @@ class Pieces:
                 self.inside[two[:-1], two[1:]] = True
         self.width = width
         self._fill(np.array(list(edges), np.int64), np.array(list(edges.values()), np.int32))
+        # Up to DENSE numbers: the edges of all nodes that have some, a row of the table each; row 0 is of those without.
+        inner, keys = np.unique(self.keys[self.keys >= 0] // width), self.keys[self.keys >= 0]
+        self.row = np.zeros(nodes, np.int32)
+        self.row[inner] = np.arange(1, len(inner) + 1)
+        self.next = None
+        if (len(inner) + 1) * width <= DENSE:
+            self.next = np.zeros((len(inner) + 1) * width, np.int32)
+            self.next[self.row[keys // width].astype(np.int64) * width + keys % width] = self.values[self.keys >= 0]
         self.end = np.full(nodes, -1, np.int32)
         self.end[list(ends)] = list(ends.values())
-        self.size = np.array([len(x) for x in self.raw])
-        self.place = np.cumsum(self.size) - self.size
-        self.blob = np.frombuffer(b"".join(self.raw), np.uint8)
 
     def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Trie edges in an open-addressed table, at most a quarter full."""
@@ -121,6 +128,8 @@ class Pieces:
 
     def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
         """Next trie states, 0 where there is no edge."""
+        if self.next is not None:
+            return self.next[self.row[state].astype(np.int64) * self.width + column]
         keys = state * self.width + column
         slot = self._slot(keys)
         out = np.zeros(len(keys), np.int64)
@@ -141,9 +150,7 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the pieces, without the space put before the text."""
-        n = self.size[ids]
-        at = np.repeat(self.place[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return self.blob[at].tobytes()[1:]
+        return b"".join([self.raw[i] for i in ids.tolist()])[1:]
 
 
 def _order(major: np.ndarray, minor: np.ndarray) -> np.ndarray:
@@ -222,15 +229,16 @@ class Lattice:
         order = _order(a, np.minimum(-log_q * 1024, 1 << 16).astype(np.int64).clip(0))
         self.a, self.b, self.id, self.log_q = a[order], b[order], ids[order], np.minimum(log_q[order], 0.0)
         q = np.exp(self.log_q)
-        self.first = np.searchsorted(self.a, np.arange(n + 1))
+        fan = np.bincount(self.a, minlength=n)
+        self.first = np.concatenate([[0], np.cumsum(fan)])
+        head = self.first[:-1][fan > 0]
+        fan = fan[fan > 0]
         run = np.cumsum(q)
-        run -= np.repeat((run - q)[self.first[:-1][np.diff(self.first) > 0]], np.diff(self.first)[np.diff(self.first) > 0])
+        run -= np.repeat((run - q)[head], fan)
         self.upto = run
         self.q = q
-        closing = self.first[1:][np.diff(self.first) > 0] - 1
-        self.upto[closing] = 2.0  # whatever rounding left
+        self.upto[head + fan - 1] = 2.0  # whatever rounding left
         # Log-probability of the other edges of an edge's node; of the likeliest by their sum, as 1 - q has no digits left near 1.
-        head = self.first[:-1][np.diff(self.first) > 0]
         with np.errstate(divide="ignore"):
             self.rest = np.log1p(-q)
         other = self.log_q.copy()
@@ -270,18 +278,21 @@ class Lattice:
             out[offset[who] + t] = e
         return out, count
 
-    def ids(self, p: Pieces, edges: np.ndarray) -> np.ndarray:
-        """Piece ids along edges; a spelled character gives the ids of its bytes."""
+    def ids(self, p: Pieces, paths: list[np.ndarray]) -> list[np.ndarray]:
+        """Piece ids along the edges of each path; a spelled character gives the ids of its bytes."""
+        edges = np.concatenate(paths)
+        ends = np.cumsum([len(x) for x in paths])
         ids = self.id[edges]
-        bare = ids < 0
-        if not bare.any():
-            return ids
-        n = np.where(bare, self.b[edges] - self.a[edges], 1)
-        out = np.repeat(ids, n)
-        at = ranges(self.a[edges], n)
-        spelled = np.repeat(bare, n)
-        out[spelled] = p.byte_id[self.text[at[spelled]]]
-        return out
+        bare = np.flatnonzero(ids < 0)
+        if len(bare):
+            more = self.b[edges[bare]] - self.a[edges[bare]]
+            n = np.ones(len(ids), np.int64)
+            n[bare] = more
+            total = np.cumsum(n)
+            ids = np.repeat(ids, n)
+            ids[ranges(total[bare] - more, more)] = p.byte_id[self.text[ranges(self.a[edges[bare]], more)]]
+            ends = total[ends - 1]
+        return np.split(ids, ends[:-1])
 
 
 def _uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -427,12 +438,14 @@ def sample_batch(p: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np.ndar
             bound[row] = g
             going.append(row)
         active = np.array(going, np.int64)
+    walked = [x for row in range(rows) if chunk_of[row + 1] > chunk_of[row] for x in paths[row]]
+    spelled = iter(lattice.ids(p, walked) if walked else ())
     for row in range(rows):
         if lattice is None or chunk_of[row + 1] == chunk_of[row]:
             yield [(np.zeros(0, np.int32), 0.0, float(top[row]), 1.0)]
             continue
         line = max((x[0] for x in queue[row]), default=NEVER)
-        yield [(lattice.ids(p, path), lp, g, 1.0 if line == NEVER else float(-np.expm1(-np.exp(min(lp - line, 700.0))))) for path, (lp, g) in zip(paths[row], found[row], strict=True)]
+        yield [(next(spelled), lp, g, 1.0 if line == NEVER else float(-np.expm1(-np.exp(min(lp - line, 700.0))))) for lp, g in found[row]]
 
 
 def _batches(batches: Iterator[pa.RecordBatch], path: str, k: int, slice_bytes: int):
