@@ -1,12 +1,16 @@
 """From a small feature stream to tiles, and what clients and checks see of them."""
 
 import json
+from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 from test_sources import LINES, write_features
 
 from wayloom.functions import grid
-from wayloom.operators import bake, spatial
+from wayloom.operators import bake, spans, spatial
 from wayloom.plans import fixtures as fx
 from wayloom.sources import features, sinks
 
@@ -99,3 +103,82 @@ def test_sizes_are_those_of_base_tiles(spark):
     sizes = bake.base_sizes(own)
     assert sorted(sizes.collect()) == sorted(tiles.collect()) and sizes.dtypes == tiles.dtypes
     assert "collect_list" not in sizes.drop("ways")._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+
+
+def odd_features(spark):
+    """A feature stream with ids that stand twice, names to escape, holes, hazards far from anything, and lines without places."""
+    at = lambda *p: [{"lat": a, "lng": b} for a, b in p]
+    square = lambda y, x, d: at((y, x), (y, x + d), (y + d, x + d), (y + d, x))
+    home = at((42.001, -71.0), (42.0121234567, -71.02))
+    rows = [
+        ("w2", "w", {"highway": "footway", "name": ']"q"\\ é[', "footway": "crossing", "lit": "yes"}, home, None, None),
+        ("w10", "w", {"highway": "path", "access": "no"}, home, None, None),
+        ("w2", "w", {"highway": "service"}, at((42.0, -71.0)), None, None),
+        ("w2", "w", {"highway": "footway", "name": "null"}, home, None, None),
+        ("w3", "w", {"highway": "primary", "footway": "crossing"}, at((42.0, -71.001), (42.1, -71.2)), None, None),
+        ("w4", "w", {"highway": "motorway"}, at((10.0, 10.0), (10.01, 10.0)), None, None),
+        ("w5", "w", {"highway": "path", "name": "nowhere"}, at((None, 3.0)), None, None),
+        ("w6", "w", {"highway": "path", "name": "empty"}, [], None, None),
+        ("n1", "n", {"highway": "crossing"}, None, {"lat": 42.003, "lng": -71.003}, None),
+        ("n2", "n", {"place": "town", "name": "Town"}, None, {"lat": 42.004, "lng": -71.004}, None),
+        ("a1", "a", {"natural": "water"}, None, None, [[square(42.0, -71.0, 0.03), square(42.005, -70.995, 0.004), square(42.012, -70.99, 0.0001)], [square(42.1, -71.1, 0.01)]]),
+        ("a2", "a", {"leisure": "park", "name": "Park"}, None, None, [[square(42.0, -71.0, 0.03)]]),
+        ("a2", "a", {"leisure": "park", "name": "Park"}, None, None, [[square(42.3, -71.3, 0.001)]]),
+    ]
+    point = "struct<lat:double,lng:double>"
+    return spark.createDataFrame(rows, f"id string, object string, tags map<string,string>, line array<{point}>, point {point}, polygons array<array<array<{point}>>>")
+
+
+@pytest.mark.parametrize("source", ["odd", "fixtures"])
+def test_spans_are_the_json_of_whole_tiles(spark, source):
+    """Put one behind another, the spans of each tile are its canonical JSON, in however many batches they are made."""
+    own = (odd_features(spark) if source == "odd" else fx.features(spark, "/root/testdata/sf0.001")).cache()
+    tiles = bake.full_tiles(own)
+    whole = {(r.i, r.j): r.t for r in tiles.select("i", "j", sinks.tile_json(tiles, "v5").alias("t")).collect()}
+    sizes = {(r.i, r.j): r for r in bake.full_sizes(own).select("*", F.to_json("habitat").alias("h")).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3" if source == "odd" else "100")
+    try:
+        parts = defaultdict(list)
+        for r in bake.full_spans(own).collect():
+            parts[r.i, r.j, r.layer].append((r.at, r.json[1:-1]))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    listed = lambda at, layer: f',"{layer}":[' + ",".join(x for _, x in sorted(parts[(*at, layer)])) + "]"
+    assert max(len(p) for p in parts.values()) > 1
+    assert sizes.keys() == whole.keys() and {at[:2] for at in list(parts)} >= whole.keys()
+    for at, text in whole.items():
+        assert text == '{"v":5' + "".join(listed(at, n) for n in ("ways", "names", "crossings", "landcover", "landmarks")) + f',"habitat":{sizes[at].h}' + (listed(at, "hazards") if parts[(*at, "hazards")] else "") + "}"
+        doc = json.loads(text)
+        assert [sizes[at][n] for n in sinks.TILE_KEYS["v5"][1:] if n != "habitat"] == [len(doc.get(n, [])) for n in sinks.TILE_KEYS["v5"][1:] if n != "habitat"] and not sizes[at].broken
+
+
+def test_spans_are_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(spans, "SPAN_BYTES", 20)
+    texts, row, tile = pa.array(["1", "22", "x" * 50, "4"]), np.array([0, 0, 1, 1, 2, 3, 3, 3]), np.array([7, 8, 7, 8, 8, 7, 8, 9])
+    found = [r for b in spans._spans("ways", texts, row, tile, np.zeros(8, int), 5) for r in b.to_pylist()]
+    by_tile = defaultdict(list)
+    for r in sorted(found, key=lambda r: r["at"]):
+        by_tile[r["j"] + grid.ID_COLS].append(r["json"])
+    assert by_tile == {7: ["[1,22]", "[4]"], 8: ["[1,22]", "[" + "x" * 50 + "]", "[4]"], 9: ["[4]"]}
+
+
+def test_the_query_of_full_tiles_puts_no_tile_together(spark):
+    from wayloom.plans import catalogue
+
+    text = catalogue.QUERIES["full_tiles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in text and "collect_list(struct(way_id" not in text and "collect_list(e#" not in text and "FullOuter" in text
+
+
+def test_batched_tiles_and_lengths_are_those_of_rows(spark):
+    rng = np.random.default_rng(5)
+    near = lambda n: [(float(a), float(b)) for a, b in zip(rng.uniform(-0.05, 0.05, n) + rng.choice([0, 42, 70, -89], 1), rng.uniform(-0.05, 0.05, n), strict=True)]
+    rows = [(k, near(k % 6)) for k in range(60)] + [(60, [(42.0, -71.0), (None, 1.0), (42.2, -71.0)]), (61, None)]
+    lines = spark.createDataFrame(rows, "id long, points array<struct<lat:double,lng:double>>").repartition(2)
+    want = {(r.id, r.i, r.j) for r in spatial.lines_in_tiles(lines).collect()}
+    made = spans.of_lines(lines.select("id", F.lit("hazards").alias("layer"), "points", F.col("id").cast("string").alias("json"), F.lit("null").alias("names"))).collect()
+    got = [(k, r.i, r.j) for r in made for k in json.loads(r.json)]
+    assert len(got) == len(set(got)) and set(got) == want
+    segments = [(("res", "foot")[k % 2], *(float(x) for x in rng.uniform(-0.02, 0.02, 4))) for k in range(40)] + [("road", 1.0, 2.0, 1.0, 2.0), ("road", 1.0, 2.0, None, 2.0)]
+    segments = spark.createDataFrame(segments, "group string, lat1 double, lng1 double, lat2 double, lng2 double")
+    one, two = ({(r.cx, r.cy, r.group): r.metres for r in f(segments).where("metres is not null").collect()} for f in (spatial.segment_lengths, spatial.batched_lengths))
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-6 for k in one)
