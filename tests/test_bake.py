@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from test_sources import LINES, write_features
 
 from wayloom.functions import grid
-from wayloom.operators import bake, spans, spatial
+from wayloom.operators import bake, documents, spans, spatial
 from wayloom.plans import fixtures as fx
 from wayloom.sources import features, sinks
 
@@ -182,3 +182,48 @@ def test_batched_tiles_and_lengths_are_those_of_rows(spark):
     segments = spark.createDataFrame(segments, "group string, lat1 double, lng1 double, lat2 double, lng2 double")
     one, two = ({(r.cx, r.cy, r.group): r.metres for r in f(segments).where("metres is not null").collect()} for f in (spatial.segment_lengths, spatial.batched_lengths))
     assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-6 for k in one)
+
+
+def _document(pieces):
+    return documents.Document(iter(pieces))
+
+
+@pytest.mark.parametrize("source", ["odd", "fixtures"])
+def test_documents_of_base_tiles_are_whole(spark, source, monkeypatch):
+    """Byte by byte the canonical JSON of the tiles, and the query takes its sizes from them."""
+    own = (odd_features(spark) if source == "odd" else fx.features(spark, "/root/testdata/sf0.001")).cache()
+    tiles = bake.base_tiles(own)
+    want = {(r.i, r.j): r.t for r in tiles.select("i", "j", sinks.tile_json(tiles, "v4").alias("t")).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3" if source == "odd" else "100")
+    try:
+        rows = documents.documents(bake.base_entries(own), "v4").collect()
+        read = documents.sizes(bake.base_entries(own), "v4").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(rows) == len(want) and {(r.i, r.j): r.json for r in rows} == want
+    assert {(r.i, r.j): r.bytes for r in read} == {at: len(t.encode()) for at, t in want.items()} and not any(r.broken for r in read)
+    docs = {at: json.loads(t) for at, t in want.items()}
+    counts = lambda d: (len(d["ways"]), len(d["names"]), sum(n is not None for n in d["names"]), sum(w["foot"] for w in d["ways"]), len(d["crossings"]))
+    assert {(r.i, r.j): (r.ways, r.names, r.named, r.feet, r.crossings) for r in read} == {at: counts(d) for at, d in docs.items()}
+
+
+def test_the_query_of_base_tiles_puts_tiles_together(spark):
+    from wayloom.plans import catalogue
+
+    text = catalogue.QUERIES["base_tiles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "documents_read(" in text and "_packs(" in text
+
+
+def test_documents_are_read_to_their_end(monkeypatch):
+    """In pieces that end anywhere, and nothing that is cut off, lacks a layer or goes on counts as read."""
+    point, names = '{"lat":1.5,"lng":2.0}', ['"a,b"', "null", r'"x\",\"y"', r'"\\"', '",null,"', '"null"']
+    ways = [f'{{"points":[{point}],"foot":true}}', f'{{"points":[{point},{point}],"foot":false}}', '{"points":[{"lng":2.0}],"foot":true,"lit":true}']
+    whole = f'{{"v":4,"ways":[{",".join(ways * 5)}],"names":[{",".join(names * 5)}],"crossings":[{",".join([point] * 7)}]}}'.encode()
+    assert len(json.loads(whole)["names"]) == 30
+    want = {"v": 4, "ways": 15, "feet": 10, "names": 30, "named": 25, "crossings": 7}
+    for size in (1, 7, 64, 1 << 20):
+        monkeypatch.setattr(documents, "READ_BYTES", size)
+        assert documents.document_sizes(_document(whole[k : k + size] for k in range(0, len(whole), size)), "v4") == want
+    for bad in (whole[:-1], whole[:-40], whole + b" ", whole.replace(b'"names"', b'"other"'), whole.replace(b'"lng":2.0}],"foot":true}', b'"lng":2.0],"foot":true}', 1), whole.replace(b"null", b"nul", 1), whole.replace(b'"v":4', b'"v":5'), b""):
+        with pytest.raises(ValueError):
+            documents.document_sizes(_document([bad]), "v4")
