@@ -227,3 +227,23 @@ def test_documents_are_read_to_their_end(monkeypatch):
     for bad in (whole[:-1], whole[:-40], whole + b" ", whole.replace(b'"names"', b'"other"'), whole.replace(b'"lng":2.0}],"foot":true}', b'"lng":2.0],"foot":true}', 1), whole.replace(b"null", b"nul", 1), whole.replace(b'"v":4', b'"v":5'), b""):
         with pytest.raises(ValueError):
             documents.document_sizes(_document([bad]), "v4")
+
+
+@pytest.mark.parametrize("source", ["odd", "fixtures"])
+def test_documents_of_full_tiles_are_whole(spark, source):
+    """Byte by byte the canonical JSON of the tiles, with their habitat and hazards, and their sizes."""
+    own = (odd_features(spark) if source == "odd" else fx.features(spark, "/root/testdata/sf0.001")).cache()
+    tiles = bake.full_tiles(own)
+    want = {(r.i, r.j): r.t for r in tiles.select("i", "j", sinks.tile_json(tiles, "v5").alias("t")).collect()}
+    rows = documents.documents(bake.full_entries(own), "v5").collect()
+    assert len(rows) == len(want) and {(r.i, r.j): r.json for r in rows} == want
+    keys = [k for k in sinks.TILE_KEYS["v5"][1:] if k != "habitat"]
+    read = {(r.i, r.j): [r[k] for k in keys] for r in documents.sizes(bake.full_entries(own), "v5").where("not broken and v = 5").collect()}
+    assert read == {at: [len(d.get(k, [])) for k in keys] for at, d in ((at, json.loads(t)) for at, t in want.items())}
+
+
+def test_the_query_of_full_tiles_puts_tiles_together(spark):
+    from wayloom.plans import catalogue
+
+    text = catalogue.QUERIES["full_tiles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "documents_read(" in text and "_packs(" in text
